@@ -102,8 +102,9 @@ def stage_flows(flows: DataFrame, path: str) -> DataFrame:
     """
     spark = flows.sparkSession
     flows.write.mode("overwrite").partitionBy("source_file").parquet(path)
+    part = F.regexp_replace("_metadata.file_name", r"-[0-9a-f-]{36}", "")
     return spark.read.parquet(path).withColumn(
-        "row_id", F.concat_ws(":", "_metadata.file_name", F.col("_metadata.row_index").cast("string")))
+        "row_id", F.concat_ws(":", "source_file", part, F.col("_metadata.row_index").cast("string")))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
