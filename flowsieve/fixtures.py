@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .session import materialize
+
 PACKETS_SQL = """
 SELECT event_id AS packet_id, ts, event_id % 97 <> 0 AS is_ip, proto,
        CASE WHEN resp THEN server ELSE client END AS src_ip,
@@ -72,16 +74,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, text: str, **tables: str) -> DataFrame:
+    """The derived table, written once per application so that queries read columns, not long expressions.
+
+    The given tables are single files of one row group; the rows are spread over the cores here.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        derived = spark.sql(text, **{arg: table(spark, sf_dir, t) for arg, t in tables.items()})
+        spread = derived.repartition(spark.sparkContext.defaultParallelism)
+        _STORED[key] = materialize(spread, name)
+    return _STORED[key]
+
+
 def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(PACKETS_SQL, events=table(spark, sf_dir, "events"))
+    return _stored(spark, sf_dir, "packets", PACKETS_SQL, events="events")
 
 
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(FLOWS_SQL, lineitem=table(spark, sf_dir, "lineitem"))
+    return _stored(spark, sf_dir, "flows", FLOWS_SQL, lineitem="lineitem")
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(SCORES_SQL, lineitem=table(spark, sf_dir, "lineitem"))
+    return _stored(spark, sf_dir, "scores", SCORES_SQL, lineitem="lineitem")
 
 
 def duckdb_text(sql: str) -> str:

@@ -16,8 +16,7 @@ def usable() -> Column:
     """Every feature is present and finite."""
     ok = F.lit(True)
     for f in FEATURES:
-        value = F.col(f).cast("double")
-        ok = ok & value.isNotNull() & ~F.isnan(value) & (F.abs(value) != F.lit(float("inf")))
+        ok = ok & F.coalesce(F.abs(F.col(f).cast("double")) < float("inf"), F.lit(False))
     return ok
 
 

@@ -9,48 +9,53 @@ that holds most of the data costs no more than the rest. Keys must be unique in
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import DRAW_BUCKETS, draw, draw_bucket
 from ..schema import SEED, TEST_FRACTION, TRAIN_CAP
-from ..session import attach
+from ..session import attach_table, bounded_table
 
 _MAX_DRAW = "g"  # sorts after every hex digit
 
 
 def _cuts(df: DataFrame, group: str, sizes: Column) -> DataFrame:
-    """Largest kept draw per group; ``df`` has the group and ``_draw``, ``sizes`` is the rows to keep."""
-    buckets = (df.groupBy(group, draw_bucket(F.col("_draw")).alias("_bucket")).agg(F.count("*").alias("_n")))
-    upto = Window.partitionBy(group).orderBy("_bucket")
-    cut = (buckets
-           .withColumn("_upto", F.sum("_n").over(upto))
-           .withColumn("_size", sizes)
-           .where((F.col("_upto") >= F.col("_size")) & (F.col("_upto") - F.col("_n") < F.col("_size")))
-           .select(group, F.col("_bucket").alias("_cut_bucket"),
-                   (F.col("_size") - F.col("_upto") + F.col("_n")).alias("_need")))
-    ranked = (attach(df, cut, [group], "inner")
+    """Largest kept draw per group, from the group and ``_draw`` columns of ``df``."""
+    buckets = df.groupBy(group, draw_bucket(F.col("_draw")).alias("_bucket")).agg(F.count("*").alias("_n"))
+    whole = Window.partitionBy(group)
+    sized = (buckets
+             .withColumn("_upto", F.sum("_n").over(whole.orderBy("_bucket")))
+             .withColumn("_total", F.sum("_n").over(whole))
+             .withColumn("_size", sizes.cast("long")))
+    # One row per group: the bucket that holds the last kept row, or the first bucket where none is split.
+    split = (F.col("_size") > 0) & (F.col("_size") < F.col("_total"))
+    at_cut = F.when(split, (F.col("_upto") >= F.col("_size")) & (F.col("_upto") - F.col("_n") < F.col("_size"))) \
+        .otherwise(F.col("_upto") == F.col("_n"))
+    cut = sized.where(at_cut).select(
+        group, F.when(split, F.col("_bucket")).alias("_cut_bucket"),
+        (F.col("_size") - F.col("_upto") + F.col("_n")).alias("_need"),
+        F.when(F.col("_size") <= 0, "").when(~split, _MAX_DRAW).alias("_fixed"))
+    plan = bounded_table(cut)
+    ranked = (attach_table(df, plan.where("_fixed IS NULL"), [group], "inner")
               .where(draw_bucket(F.col("_draw")) == F.col("_cut_bucket"))
               .withColumn("_rank", F.row_number().over(Window.partitionBy(group).orderBy("_draw"))))
-    return (ranked.where(F.col("_rank") <= F.col("_need"))
-            .groupBy(group).agg(F.max("_draw").alias("_cut")))
+    found = ranked.where(F.col("_rank") == F.col("_need")).select(group, F.col("_draw").alias("_cut"))
+    return found.unionByName(plan.where("_fixed IS NOT NULL").select(group, F.col("_fixed").alias("_cut")))
 
 
 def mark_n(df: DataFrame, sizes: Column | int, key: list[str], by: str | None = None, seed: int = SEED,
            name: str = "picked") -> DataFrame:
-    """Flag the sampled rows. ``sizes`` may depend on the group column; groups below it are kept whole."""
+    """Flag the sampled rows.
+
+    ``sizes`` may use the group (``_group``) and its row count (``_total``). Smaller groups are kept whole.
+    """
     group = "_group"
     tagged = (df.withColumn("_draw", draw(seed, *key))
               .withColumn(group, F.col(by) if by else F.lit(0)))
     wanted = sizes if isinstance(sizes, Column) else F.lit(int(sizes))
-    wanted = F.greatest(wanted.cast("long"), F.lit(0))
-    cuts = _cuts(tagged.select(group, "_draw"), group, wanted)
-    # A group without a cut has fewer rows than asked for, unless nothing was asked for.
-    limit = F.when(F.col("_cut").isNotNull(), F.col("_cut")).when(wanted == 0, "").otherwise(_MAX_DRAW)
-    sized = attach(tagged, cuts, [group])
-    return sized.withColumn(name, F.col("_draw") <= limit).drop("_draw", "_cut", group)
+    cuts = bounded_table(_cuts(tagged.select(group, "_draw"), group, wanted))
+    return (attach_table(tagged, cuts, [group], "inner")
+            .withColumn(name, F.col("_draw") <= F.col("_cut")).drop("_draw", "_cut", group))
 
 
 def sample_n(df: DataFrame, sizes: Column | int, key: list[str], by: str | None = None,
@@ -97,7 +102,7 @@ def class_sample(df: DataFrame, n: int = 150, key: list[str] = ("row_id",), seed
 def mark_test(df: DataFrame, fraction: float = TEST_FRACTION, key: list[str] = ("row_id",),
               seed: int = SEED) -> DataFrame:
     """Flag ``is_test`` on exactly ceil(fraction * rows) rows."""
-    return mark_n(df, math.ceil(fraction * df.count()), list(key), None, seed, "is_test")
+    return mark_n(df, F.ceil(F.lit(fraction) * F.col("_total")), list(key), None, seed, "is_test")
 
 
 def train_test_split(df: DataFrame, fraction: float = TEST_FRACTION, key: list[str] = ("row_id",),

@@ -1,8 +1,8 @@
 """Session settings and the two ways intermediate results are kept.
 
 `materialize` writes a table into the folder that ``spark.checkpoint.dir`` names, so lost executors
-never force a replay of the steps before it. `bounded_rows` / `attach` implement the only broadcast
-rule of the package: a side is broadcast after its row count was checked, and joined by shuffle
+never force a replay of the steps before it. `bounded_table` / `attach_table` implement the only
+broadcast rule of the package: a side is broadcast after its row count was checked, and joined by shuffle
 otherwise.
 """
 
@@ -60,16 +60,21 @@ def materialize(df: DataFrame, purpose: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_rows(df: DataFrame, limit: int = BROADCAST_ROWS) -> list | None:
-    """The rows of ``df`` if there are at most ``limit`` of them, else None."""
+def bounded_table(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Evaluate a table expected to be small once: a local table of at most ``limit`` rows, a written one beyond."""
     rows = df.limit(limit + 1).collect()
-    return rows if len(rows) <= limit else None
+    if len(rows) > limit:
+        return materialize(df, "side")
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
+def attach_table(df: DataFrame, side: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Join a `bounded_table` result: local tables are broadcast, written ones joined by shuffle."""
+    local = not side.inputFiles()
+    return df.join(F.broadcast(side) if local else side, on, how)
 
 
 def attach(df: DataFrame, side: DataFrame, on: list[str], how: str = "left",
            limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Join ``side``, whose size is checked first: broadcast when small, a shuffle join beyond."""
-    rows = bounded_rows(side, limit)
-    if rows is None:
-        return df.join(materialize(side, "side"), on, how)
-    return df.join(F.broadcast(df.sparkSession.createDataFrame(rows, side.schema)), on, how)
+    """Join ``side`` after its size was checked: broadcast when small, a shuffle join beyond."""
+    return attach_table(df, bounded_table(side, limit), on, how)
