@@ -16,8 +16,7 @@ from ..session import shared_dir
 from .base import Model
 
 MAX_DEPTH = 30   # deepest tree Spark ML grows; stands for "no limit"
-COLUMNS = {"featuresCol": "_features", "labelCol": "y", "probabilityCol": "_probability",
-           "rawPredictionCol": "_raw", "predictionCol": "_prediction"}
+COLUMNS = {"featuresCol": "_features", "labelCol": "y", "predictionCol": "_prediction"}
 
 
 def decision_tree(depth: int | None, seed: int = SEED) -> DecisionTreeClassifier:
@@ -53,6 +52,7 @@ class SparkModel(Model):
         rows = train.select("y", *FEATURES).persist()
         try:
             stage = stage or estimator(code, rows.count(), seed)
+            stage.setProbabilityCol("_probability").setRawPredictionCol("_raw")
             return cls(code, Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="_features"), stage]).fit(rows))
         finally:
             rows.unpersist()
