@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 DRAW_BUCKETS = 65_536
 
 
-def draw(seed: int, *keys: str | Column) -> Column:
-    """128-bit draw as 32 hex digits; text order equals numeric order."""
+def draw(seed: int | str, *keys: str | Column) -> Column:
+    """128-bit draw as 32 hex digits; text order equals numeric order.
+
+    Steps that draw from one another's results need unrelated draws: name the step in the seed (``"42:split"``).
+    """
     parts = [F.col(k) if isinstance(k, str) else k for k in keys]
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[p.cast("string") for p in parts]))
 

@@ -33,7 +33,7 @@ def estimator(code: str, rows: int, seed: int):
         return decision_tree(p["depth"], seed)
     if code in ("gb", "xgb"):
         return GBTClassifier(maxIter=p["rounds"], maxDepth=p["depth"], stepSize=p["rate"], maxMemoryInMB=1024,
-                             cacheNodeIds=True, checkpointInterval=20, seed=seed, **COLUMNS)
+                             seed=seed, **COLUMNS)
     if code == "lr":
         # Penalty 1/C on the summed loss is 1/(C n) on the mean loss Spark minimises.
         return LogisticRegression(maxIter=p["max_iter"], regParam=1.0 / (p["c"] * rows), standardization=False, **COLUMNS)

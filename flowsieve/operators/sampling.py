@@ -5,6 +5,9 @@ Nothing is ranked as a whole: counts per leading 16 bits of the draw (at most 65
 before the shuffle) locate the one bucket the cut falls into, only that bucket is ranked, and the sample is
 then a plain comparison with the cut of the row's group. The rows themselves are never shuffled, so a group
 that holds most of the data costs no more than the rest. Keys must be unique in their group.
+
+Each operator names itself in the seed of its draws: were balancing and splitting to share draws, the rows that
+survive the first would all land on one side of the second.
 """
 
 from __future__ import annotations
@@ -43,7 +46,7 @@ def _cuts(df: DataFrame, group: str, sizes: Column) -> DataFrame:
     return found.unionByName(plan.where("_fixed IS NOT NULL").select(group, F.col("_fixed").alias("_cut")))
 
 
-def mark_n(df: DataFrame, sizes: Column | int, key: list[str], by: str | None = None, seed: int = SEED,
+def mark_n(df: DataFrame, sizes: Column | int, key: list[str], by: str | None = None, seed: int | str = SEED,
            name: str = "picked") -> DataFrame:
     """Flag the sampled rows.
 
@@ -59,7 +62,7 @@ def mark_n(df: DataFrame, sizes: Column | int, key: list[str], by: str | None =
 
 
 def sample_n(df: DataFrame, sizes: Column | int, key: list[str], by: str | None = None,
-             seed: int = SEED) -> DataFrame:
+             seed: int | str = SEED) -> DataFrame:
     """Exactly min(n, rows) rows, of the whole table or of each group."""
     return mark_n(df, sizes, key, by, seed).where("picked").drop("picked")
 
@@ -79,7 +82,7 @@ def undersample(df: DataFrame, key: list[str], ratio: float = 1.0, seed: int = S
     wanted = int(attack * ratio)
     if wanted > benign:
         raise ValueError(f"ratio {ratio} asks for {wanted} benign rows, only {benign} exist")
-    return sample_n(df, F.when(F.col("_group") == 0, wanted).otherwise(attack), key, target, seed)
+    return sample_n(df, F.when(F.col("_group") == 0, wanted).otherwise(attack), key, target, f"{seed}:balance")
 
 
 def stratified_cap(df: DataFrame, cap: int = TRAIN_CAP, key: list[str] = ("row_id",), seed: int = SEED,
@@ -90,19 +93,19 @@ def stratified_cap(df: DataFrame, cap: int = TRAIN_CAP, key: list[str] = ("row_i
     """
     if sum(class_counts(df, target)) <= cap:
         return df
-    return sample_n(df, cap // 2, list(key), target, seed)
+    return sample_n(df, cap // 2, list(key), target, f"{seed}:cap")
 
 
 def class_sample(df: DataFrame, n: int = 150, key: list[str] = ("row_id",), seed: int = SEED,
                  target: str = "y") -> DataFrame:
     """At most ``n`` rows of each class."""
-    return sample_n(df, n, list(key), target, seed)
+    return sample_n(df, n, list(key), target, f"{seed}:class")
 
 
 def mark_test(df: DataFrame, fraction: float = TEST_FRACTION, key: list[str] = ("row_id",),
               seed: int = SEED) -> DataFrame:
     """Flag ``is_test`` on exactly ceil(fraction * rows) rows."""
-    return mark_n(df, F.ceil(F.lit(fraction) * F.col("_total")), list(key), None, seed, "is_test")
+    return mark_n(df, F.ceil(F.lit(fraction) * F.col("_total")), list(key), None, f"{seed}:split", "is_test")
 
 
 def train_test_split(df: DataFrame, fraction: float = TEST_FRACTION, key: list[str] = ("row_id",),
@@ -117,4 +120,4 @@ def shuffle(df: DataFrame, key: list[str], seed: int = SEED) -> DataFrame:
 
     No operator here depends on row order; use it for exports whose readers do.
     """
-    return df.orderBy(draw(seed, *key), *key)
+    return df.orderBy(draw(f"{seed}:shuffle", *key), *key)

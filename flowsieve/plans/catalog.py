@@ -111,7 +111,8 @@ WITH_ROWS = WITH_CLEAN + f""",
 rows_y AS (SELECT *, {TARGET} AS y FROM (SELECT DISTINCT * EXCLUDE (copy) FROM clean))"""
 
 
-def sql_draw(*keys: str, seed: int = SEED) -> str:
+def sql_draw(*keys: str, step: str | None = None) -> str:
+    seed = f"{SEED}:{step}" if step else SEED
     return f"md5(concat_ws('|', '{seed}', {', '.join(f'CAST({k} AS VARCHAR)' for k in keys)}))"
 
 
@@ -357,7 +358,7 @@ def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Training rows as SQL: balanced 1:1, capped at 40,000, split 80/20, by the same draws.
 WITH_BALANCED = WITH_ROWS + f""",
 attacks AS (SELECT count(*) AS n FROM rows_y WHERE y = 1),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {sql_draw('row_id')}) AS rn FROM rows_y),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {sql_draw('row_id', step='balance')}) AS rn FROM rows_y),
 balanced AS (SELECT * EXCLUDE (rn) FROM ranked WHERE y = 1 OR rn <= (SELECT n FROM attacks))"""
 
 
@@ -368,14 +369,14 @@ def undersample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("stratified_cap", f"""
 WITH {WITH_ROWS} SELECT row_id, y FROM (
-  SELECT row_id, y, row_number() OVER (PARTITION BY y ORDER BY {sql_draw('row_id')}) AS rn FROM rows_y)
+  SELECT row_id, y, row_number() OVER (PARTITION BY y ORDER BY {sql_draw('row_id', step='cap')}) AS rn FROM rows_y)
 WHERE rn <= 20000 OR (SELECT count(*) FROM rows_y) <= 40000""")
 def stratified_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sa.stratified_cap(distinct_flows(spark, sf_dir), key=["row_id"]).select("row_id", "y")
 
 
 @check("shuffle", f"""
-WITH {WITH_ROWS} SELECT row_id, row_number() OVER (ORDER BY {sql_draw('row_id')}, row_id) AS position FROM rows_y""")
+WITH {WITH_ROWS} SELECT row_id, row_number() OVER (ORDER BY {sql_draw('row_id', step='shuffle')}, row_id) AS position FROM rows_y""")
 def shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions are read off the sorted output: rows before a partition plus the place inside it."""
     from ..session import attach, materialize
@@ -391,14 +392,14 @@ def shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("train_test_split", f"""
 WITH {WITH_ROWS} SELECT row_id, y, rn <= ceil(0.2 * (SELECT count(*) FROM rows_y)) AS is_test FROM (
-  SELECT row_id, y, row_number() OVER (ORDER BY {sql_draw('row_id')}) AS rn FROM rows_y)""")
+  SELECT row_id, y, row_number() OVER (ORDER BY {sql_draw('row_id', step='split')}) AS rn FROM rows_y)""")
 def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sa.mark_test(distinct_flows(spark, sf_dir), key=["row_id"]).select("row_id", "y", "is_test")
 
 
 @check("class_sample", f"""
 WITH {WITH_ROWS} SELECT row_id, y FROM (
-  SELECT row_id, y, row_number() OVER (PARTITION BY y ORDER BY {sql_draw('row_id')}) AS rn FROM rows_y) WHERE rn <= 150""")
+  SELECT row_id, y, row_number() OVER (PARTITION BY y ORDER BY {sql_draw('row_id', step='class')}) AS rn FROM rows_y) WHERE rn <= 150""")
 def class_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sa.class_sample(distinct_flows(spark, sf_dir), key=["row_id"]).select("row_id", "y")
 

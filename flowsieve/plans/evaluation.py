@@ -51,7 +51,7 @@ def cross_source_report(run: TrainingRun, flows: DataFrame, key: list[str], cap:
                         t2: float = ALERT_THRESHOLD, layers: tuple[str, str] = LAYERS, seed: int = SEED) -> DataFrame:
     """The cascade at two thresholds on at most ``cap`` rows of every source: one scored table, one aggregation."""
     clean = cl.drop_non_finite(cl.clean_columns(flows))
-    sampled = cl.with_target(sa.sample_n(clean, cap, key, by="source_file", seed=seed))
+    sampled = cl.with_target(sa.sample_n(clean, cap, key, by="source_file", seed=f"{seed}:cross"))
     scored = cascade_scores(run, run.transform(sampled, keep=("source_file", "y")), layers, anomaly=False)
     return me.cross_dataset_eval(ca.cascade_threshold(scored, t1, t2))
 
@@ -59,7 +59,7 @@ def cross_source_report(run: TrainingRun, flows: DataFrame, key: list[str], cap:
 def single_source(run: TrainingRun, flows: DataFrame, key: list[str], cap: int = SINGLE_EVAL_CAP, seed: int = SEED) -> DataFrame:
     """At most ``cap`` clean rows of one source, raw, with row id and target; the input of the two reports below."""
     clean = cl.drop_non_finite(cl.clean_columns(flows))
-    sampled = cl.with_target(sa.sample_n(clean, cap, key, seed=seed))
+    sampled = cl.with_target(sa.sample_n(clean, cap, key, seed=f"{seed}:single"))
     return materialize(cl.conform(sampled, keep=("row_id", "y")), "single-source")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import fixtures as fx
 from ..models import registry
 from ..operators import flows as fl
-from ..schema import FEATURES, FLOW_KEY
+from ..schema import ALERT_THRESHOLD, FEATURES, FLOW_KEY
 from ..session import materialize, scratch_path
 from ..sources import flows as flow_files
 from ..sources import read_packets
@@ -44,16 +44,16 @@ def all_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Training as SQL: per-source cap, distinct rows, scaler, 1:1 balance, cap, 80/20 split.
 WITH_TRAIN = WITH_CLEAN + f""",
-capped AS (SELECT * EXCLUDE (rn, copy) FROM (SELECT *, row_number() OVER (PARTITION BY source_file ORDER BY {sql_draw('row_id', 'copy')}) AS rn FROM clean)
+capped AS (SELECT * EXCLUDE (rn, copy) FROM (SELECT *, row_number() OVER (PARTITION BY source_file ORDER BY {sql_draw('row_id', 'copy', step='source')}) AS rn FROM clean)
   WHERE rn <= 40000),
 narrow AS (SELECT row_id, {TARGET} AS y, {F32} FROM (SELECT DISTINCT * FROM capped)),
 scaler AS (SELECT {SCALER_STATS} FROM narrow),
 scaled AS (SELECT row_id, y, {", ".join(f"(t.{f} - s.m_{f}) / s.s_{f} AS {f}" for f in FEATURES)} FROM narrow t CROSS JOIN scaler s),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {sql_draw('row_id')}) AS rn FROM scaled),
-balanced AS (SELECT * EXCLUDE (rn), row_number() OVER (PARTITION BY y ORDER BY {sql_draw('row_id')}) AS rn2 FROM ranked
+ranked AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {sql_draw('row_id', step='balance')}) AS rn FROM scaled),
+balanced AS (SELECT * EXCLUDE (rn), row_number() OVER (PARTITION BY y ORDER BY {sql_draw('row_id', step='cap')}) AS rn2 FROM ranked
   WHERE y = 1 OR rn <= (SELECT count(*) FROM scaled WHERE y = 1)),
 limited AS (SELECT * EXCLUDE (rn2) FROM balanced WHERE rn2 <= 20000 OR (SELECT count(*) FROM balanced) <= 40000),
-split AS (SELECT *, row_number() OVER (ORDER BY {sql_draw('row_id')}) <= ceil(0.2 * (SELECT count(*) FROM limited)) AS is_test FROM limited)"""
+split AS (SELECT *, row_number() OVER (ORDER BY {sql_draw('row_id', step='split')}) <= ceil(0.2 * (SELECT count(*) FROM limited)) AS is_test FROM limited)"""
 
 
 @check("training_set", f"WITH {WITH_TRAIN} SELECT row_id, y, is_test, round(flow_bytes_s, 6) AS flow_bytes_s, round(fwd_packets, 6) AS fwd_packets FROM split")
@@ -231,12 +231,13 @@ def live_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("model_alerts")
 def model_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Assembled flows through the fitted cascade; alerts carry the combined probability."""
+    """Assembled flows through the fitted cascade, with the combined probability and whether it alerts."""
     run = training_run(spark, sf_dir)
     flows = fl.flow_features(fl.keyed_packets(fx.packets(spark, sf_dir)), endpoints=True)
     keys = ["src_ip", "src_port", "dst_ip", "dst_port", "proto", "win"]
     raw = flows.withColumns({f"raw_{c}": F.col(c) for c in ("flow_duration", "fwd_packets", "bwd_packets")})
     scaled = run.transform(raw, keep=(*keys, "raw_flow_duration", "raw_fwd_packets", "raw_bwd_packets"))
     scored = ev.cascade_scores(run, scaled, anomaly=False)
-    return scored.where(F.col("proba") >= 0.5).select(*keys, "proba", F.col("raw_flow_duration").alias("flow_duration"),
-                                                      F.col("raw_fwd_packets").alias("fwd_packets"), F.col("raw_bwd_packets").alias("bwd_packets"))
+    return scored.select(
+        *keys, "proba", (F.col("proba") >= ALERT_THRESHOLD).alias("alert"), F.col("raw_flow_duration").alias("flow_duration"),
+        F.col("raw_fwd_packets").alias("fwd_packets"), F.col("raw_bwd_packets").alias("bwd_packets"))

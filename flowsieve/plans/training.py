@@ -24,6 +24,9 @@ from ..session import materialize
 from ..sources.store import load_table, save_table
 
 
+ROWS_PER_TASK = 5_000
+
+
 def training_rows(flows: DataFrame, key: list[str], tags: tuple[str, ...] = (), file_cap: int | None = TRAIN_FILE_CAP,
                   seed: int = SEED, single_precision: bool = True) -> DataFrame:
     """Distinct clean rows with ``row_id``, ``y`` and the 15 features.
@@ -33,7 +36,7 @@ def training_rows(flows: DataFrame, key: list[str], tags: tuple[str, ...] = (),
     """
     clean = cl.drop_non_finite(cl.clean_columns(flows))
     if file_cap is not None and "source_file" in clean.columns and clean.select("source_file").distinct().limit(2).count() > 1:
-        clean = sa.sample_n(clean, file_cap, key, by="source_file", seed=seed)
+        clean = sa.sample_n(clean, file_cap, key, by="source_file", seed=f"{seed}:source")
     rows = cl.drop_duplicates(clean, ignore=tags)
     if "row_id" not in rows.columns:
         rows = cl.with_row_id(rows)
@@ -67,9 +70,12 @@ class TrainingRun:
         capped = materialize(sa.stratified_cap(balanced, self.cap, ["row_id"], self.seed), "balanced")
         return materialize(sa.mark_test(capped, self.fraction, ["row_id"], self.seed), "split")
 
-    @property
+    @cached_property
     def train(self) -> DataFrame:
-        return self.split.where("NOT is_test").drop("is_test")
+        """Training rows; a small set is packed into few partitions, as every fit passes over it many times."""
+        train = self.split.where("NOT is_test").drop("is_test")
+        wanted = max(1, -(-train.count() // ROWS_PER_TASK))
+        return train.coalesce(wanted) if wanted < train.rdd.getNumPartitions() else train
 
     @property
     def test(self) -> DataFrame:
