@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DRAW_BUCKETS = 65_536
-
 
 def draw(seed: int | str, *keys: str | Column) -> Column:
     """128-bit draw as 32 hex digits; text order equals numeric order.
@@ -21,11 +19,6 @@ def draw(seed: int | str, *keys: str | Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[p.cast("string") for p in parts]))
 
 
-def draw_bucket(hex_draw: Column) -> Column:
-    """Leading 16 bits of a draw, 0..65535, in draw order."""
-    return F.conv(F.substring(hex_draw, 1, 4), 16, 10).cast("int")
-
-
 def unit_draw(hex_draw: Column, start: int = 1) -> Column:
     """A draw's 32 bits from hex digit ``start`` as a double in [0, 1)."""
     return F.conv(F.substring(hex_draw, start, 8), 16, 10).cast("long") / F.lit(4294967296.0)

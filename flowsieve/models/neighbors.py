@@ -22,33 +22,36 @@ from ..sources.store import load_table, save_table
 from .base import Model, majority
 
 BLOCK_ROWS = 40_000
-SPARE = 16          # neighbours beyond k looked at before distances are recomputed exactly
-CHUNK = 512         # scored rows per distance matrix
+SPARE = 16          # neighbours beyond k that are measured exactly
+CHUNK = 64          # scored rows per distance matrix, small enough to stay in cache
+ROUNDING = 4e-6     # relative error bound of the single-precision products
 
 
 def nearest(x: np.ndarray, train: np.ndarray, labels: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(squared distances, training positions, labels) of each row's k nearest, ordered by (distance, position).
 
-    A matrix product ranks candidates quickly but rounds, so a few more than k are measured again exactly. Rows
-    whose last candidate is not clearly farther than the k-th are measured against the whole block.
+    One single-precision matrix product gives a lower bound of every distance: norms and the rounding error are
+    two more coordinates of it. The rows with the smallest bounds are measured exactly; if the k-th of them is
+    nearer than every bound left out, it is final, otherwise the row is measured against the whole block.
     """
     k = min(k, len(train))
     wide = min(k + SPARE, len(train))
     norms = (train ** 2).sum(axis=1)
+    right = np.vstack([-2.0 * train.T, -2.0 * ROUNDING * np.sqrt(norms), norms * (1.0 - ROUNDING)]).astype(np.float32)
     dist, place = np.empty((len(x), k)), np.empty((len(x), k), dtype=np.int64)
     for at in range(0, len(x), CHUNK):
         part = x[at:at + CHUNK]
-        rough = norms[None, :] - 2.0 * (part @ train.T)
-        cand = np.sort(np.argpartition(rough, wide - 1, axis=1)[:, :wide], axis=1)
+        own = (part ** 2).sum(axis=1)
+        left = np.hstack([part, np.sqrt(own)[:, None], np.ones((len(part), 1))]).astype(np.float32)
+        lower = left @ right
+        cand = np.sort(np.argpartition(lower, wide - 1, axis=1)[:, :wide], axis=1)
         exact = ((part[:, None, :] - train[cand]) ** 2).sum(axis=2)
         order = np.argsort(exact, axis=1, kind="stable")[:, :k]
         rows = np.arange(len(part))[:, None]
         d, p = exact[rows, order], cand[rows, order]
         if wide < len(train):
-            own = (part ** 2).sum(axis=1)
-            slack = 1e-9 * (own + norms.max() + 1.0)
-            unclear = rough[rows, cand].max(axis=1) + own - slack <= d[:, -1]
-            for r in np.flatnonzero(unclear):
+            left_out = lower[rows, cand].max(axis=1) + own * (1.0 - ROUNDING)
+            for r in np.flatnonzero(left_out <= d[:, -1]):
                 full = ((part[r] - train) ** 2).sum(axis=1)
                 p[r] = np.argsort(full, kind="stable")[:k]
                 d[r] = full[p[r]]
@@ -72,39 +75,49 @@ class Neighbors(Model):
         return cls(kept, blocks, k or MODEL_PARAMS["knn"]["k"])
 
     def score(self, df: DataFrame) -> DataFrame:
+        scored = self._one_block(df) if self.blocks == 1 else self._many_blocks(df)
+        return scored.withColumn("pred", majority(F.col("proba")))
+
+    def _shared(self, spark: SparkSession, block: int):
+        side = self.train.where(F.col("block") == block).orderBy("row_id").select("row_id", "y", *FEATURES).toPandas()
+        return spark.sparkContext.broadcast((
+            side[FEATURES].to_numpy(dtype=np.float64), side["y"].to_numpy(), side["row_id"].to_numpy()))
+
+    def _one_block(self, df: DataFrame) -> DataFrame:
+        shared, k = self._shared(df.sparkSession, 0), self.k
+
+        @F.pandas_udf(T.DoubleType())
+        def share(x: pd.DataFrame) -> pd.Series:
+            train, labels, _ = shared.value
+            return pd.Series(nearest(x.to_numpy(dtype=np.float64), train, labels, k)[2].mean(axis=1))
+
+        return df.withColumn("proba", share(F.struct(*FEATURES)))
+
+    def _many_blocks(self, df: DataFrame) -> DataFrame:
         empty = lambda kind: F.array().cast(f"array<{kind}>")
         scored = df.withColumn("_best", F.struct(
             empty("double").alias("dist"), empty("string").alias("id"), empty("int").alias("vote")))
         for block in range(self.blocks):
-            scored = self._through(scored, self.train.where(F.col("block") == block))
+            scored = self._through(scored, block)
         votes = F.aggregate("_best.vote", F.lit(0), lambda acc, v: acc + v)
-        return (scored.withColumn("proba", votes / F.size("_best.vote")).drop("_best")
-                .withColumn("pred", majority(F.col("proba"))))
+        return scored.withColumn("proba", votes / F.size("_best.vote")).drop("_best")
 
-    def _through(self, scored: DataFrame, block: DataFrame) -> DataFrame:
+    def _through(self, scored: DataFrame, block: int) -> DataFrame:
         """Let the rows meet one block of training rows and keep the k best of old and new neighbours."""
-        side = block.orderBy("row_id").select("row_id", "y", *FEATURES).toPandas()
-        if side.empty:
+        shared, k = self._shared(scored.sparkSession, block), self.k
+        if not len(shared.value[0]):
             return scored
-        shared = scored.sparkSession.sparkContext.broadcast((
-            side[FEATURES].to_numpy(dtype=np.float64), side["y"].to_numpy(), side["row_id"].to_numpy()))
-        k = self.k
 
         def merge(batches: Iterator[tuple[pd.DataFrame, pd.DataFrame]]) -> Iterator[pd.DataFrame]:
             train, labels, ids = shared.value
             for x, best in batches:
                 dist, place, vote = nearest(x.to_numpy(dtype=np.float64), train, labels, k)
                 out = {"dist": [], "id": [], "vote": []}
-                old = zip(best["dist"], best["id"], best["vote"])
-                for (d0, i0, v0), d1, p1, v1 in zip(old, dist, place, vote):
-                    if len(d0) == 0:
-                        d, i, v = d1, ids[p1], v1
-                    else:
-                        ranked = sorted(zip([*d0, *d1], [*i0, *ids[p1]], [*v0, *v1]))[:k]
-                        d, i, v = zip(*ranked)
-                    out["dist"].append([float(a) for a in d])
-                    out["id"].append([str(a) for a in i])
-                    out["vote"].append([int(a) for a in v])
+                for d0, i0, v0, d1, p1, v1 in zip(best["dist"], best["id"], best["vote"], dist, place, vote):
+                    ranked = sorted(zip([*d0, *d1], [*i0, *ids[p1]], [*v0, *v1]))[:k]
+                    out["dist"].append([float(d) for d, _, _ in ranked])
+                    out["id"].append([str(i) for _, i, _ in ranked])
+                    out["vote"].append([int(v) for _, _, v in ranked])
                 yield pd.DataFrame(out)
 
         best = F.pandas_udf(merge, T.StructType([

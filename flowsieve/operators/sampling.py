@@ -1,10 +1,11 @@
 """Exact-size sampling, balancing and splitting.
 
 A sample keeps the n rows with the smallest draws, where a draw is a hash of the seed and the row's key.
-Nothing is ranked as a whole: counts per leading 16 bits of the draw (at most 65,536 per group, combined
-before the shuffle) locate the one bucket the cut falls into, only that bucket is ranked, and the sample is
-then a plain comparison with the cut of the row's group. The rows themselves are never shuffled, so a group
-that holds most of the data costs no more than the rest. Keys must be unique in their group.
+Nothing is ranked as a whole: counts per leading hex digits of the draw (4,096 per group, combined before the
+shuffle) locate the bucket the cut falls into, more digits are counted inside it while it is too large for one
+task, and only the last bucket is ranked. The sample is then a plain comparison with the cut of the row's group.
+The rows themselves are never shuffled, so a group that holds most of the data costs no more than the rest. Keys
+must be unique in their group.
 
 Each operator names itself in the seed of its draws: were balancing and splitting to share draws, the rows that
 survive the first would all land on one side of the second.
@@ -15,35 +16,51 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import DRAW_BUCKETS, draw, draw_bucket
+from ..functions.hashing import draw
 from ..schema import SEED, TEST_FRACTION, TRAIN_CAP
 from ..session import attach_table, bounded_table
 
-_MAX_DRAW = "g"  # sorts after every hex digit
+_MAX_DRAW = "g"          # sorts after every hex digit
+PREFIX = 3               # hex digits per counting step
+RANKED_ROWS = 2_000_000  # rows one task may rank
 
 
 def _cuts(df: DataFrame, group: str, sizes: Column) -> DataFrame:
     """Largest kept draw per group, from the group and ``_draw`` columns of ``df``."""
-    buckets = df.groupBy(group, draw_bucket(F.col("_draw")).alias("_bucket")).agg(F.count("*").alias("_n"))
+    plan, digits = _split_buckets(df, group, sizes, PREFIX), PREFIX
+    while True:
+        open_groups = plan.where("_fixed IS NULL")
+        at_cut = (attach_table(df, open_groups, [group], "inner")
+                  .where(F.substring("_draw", 1, digits) == F.col("_prefix")))
+        widest = open_groups.agg(F.max("_rows")).first()[0]
+        if widest is None or widest <= RANKED_ROWS or digits >= 32:
+            break
+        # Too many rows share the prefix to rank them in one task: look at more digits of those rows only.
+        digits += PREFIX
+        finer = _split_buckets(at_cut.select(group, "_draw", "_need"), group, F.col("_need"), digits, "_need")
+        plan = plan.where("_fixed IS NOT NULL").unionByName(finer)
+    ranked = at_cut.withColumn("_rank", F.row_number().over(Window.partitionBy(group).orderBy("_draw")))
+    found = ranked.where(F.col("_rank") == F.col("_need")).select(group, F.col("_draw").alias("_cut"))
+    return found.unionByName(plan.where("_fixed IS NOT NULL").select(group, F.col("_fixed").alias("_cut")))
+
+
+def _split_buckets(df: DataFrame, group: str, sizes: Column, digits: int, *carried: str) -> DataFrame:
+    """One row per group: the prefix bucket its cut falls into, or the fixed cut of a group kept or dropped whole."""
+    buckets = df.groupBy(group, *carried, F.substring("_draw", 1, digits).alias("_prefix")).agg(F.count("*").alias("_n"))
     whole = Window.partitionBy(group)
     sized = (buckets
-             .withColumn("_upto", F.sum("_n").over(whole.orderBy("_bucket")))
+             .withColumn("_upto", F.sum("_n").over(whole.orderBy("_prefix")))
              .withColumn("_total", F.sum("_n").over(whole))
              .withColumn("_size", sizes.cast("long")))
-    # One row per group: the bucket that holds the last kept row, or the first bucket where none is split.
     split = (F.col("_size") > 0) & (F.col("_size") < F.col("_total"))
-    at_cut = F.when(split, (F.col("_upto") >= F.col("_size")) & (F.col("_upto") - F.col("_n") < F.col("_size"))) \
+    here = F.when(split, (F.col("_upto") >= F.col("_size")) & (F.col("_upto") - F.col("_n") < F.col("_size"))) \
         .otherwise(F.col("_upto") == F.col("_n"))
-    cut = sized.where(at_cut).select(
-        group, F.when(split, F.col("_bucket")).alias("_cut_bucket"),
-        (F.col("_size") - F.col("_upto") + F.col("_n")).alias("_need"),
-        F.when(F.col("_size") <= 0, "").when(~split, _MAX_DRAW).alias("_fixed"))
-    plan = bounded_table(cut)
-    ranked = (attach_table(df, plan.where("_fixed IS NULL"), [group], "inner")
-              .where(draw_bucket(F.col("_draw")) == F.col("_cut_bucket"))
-              .withColumn("_rank", F.row_number().over(Window.partitionBy(group).orderBy("_draw"))))
-    found = ranked.where(F.col("_rank") == F.col("_need")).select(group, F.col("_draw").alias("_cut"))
-    return found.unionByName(plan.where("_fixed IS NOT NULL").select(group, F.col("_fixed").alias("_cut")))
+    # A size that is reached exactly by whole buckets still cuts at the last of them, so a refined group whose
+    # bucket is needed in full keeps everything up to the end of that bucket.
+    kept_whole = F.rpad("_prefix", 32, "g") if digits > PREFIX else F.lit(_MAX_DRAW)
+    return bounded_table(sized.where(here).select(
+        group, "_prefix", (F.col("_size") - F.col("_upto") + F.col("_n")).alias("_need"), F.col("_n").alias("_rows"),
+        F.when(F.col("_size") <= 0, "").when(~split, kept_whole).alias("_fixed")))
 
 
 def mark_n(df: DataFrame, sizes: Column | int, key: list[str], by: str | None = None, seed: int | str = SEED,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
@@ -20,7 +20,7 @@ from ..operators import metrics as me
 from ..operators import sampling as sa
 from ..operators import scaling as sc
 from ..schema import FEATURES, FLOW_KEY, SEED
-from ..session import scratch_path
+from ..session import attach, materialize, scratch_path
 from ..sources import (
     load_table, read_flows, read_packets, resolve_source, save_table, stage_flows, write_metrics,
 )
@@ -124,6 +124,11 @@ def distinct_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.with_target(cl.drop_duplicates(clean_flows(spark, sf_dir), ignore=("copy",)))
 
 
+def written_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct rows written once, for operators that pass over their input more than once."""
+    return materialize(distinct_flows(spark, sf_dir), "distinct")
+
+
 def rounded(df: DataFrame, digits: int = 6, only: list[str] | None = None) -> DataFrame:
     """Round double columns so that two engines' last bits cannot differ."""
     doubles = [f.name for f in df.schema.fields if f.dataType.simpleString() == "double"]
@@ -364,7 +369,7 @@ balanced AS (SELECT * EXCLUDE (rn) FROM ranked WHERE y = 1 OR rn <= (SELECT n FR
 
 @check("undersample", f"WITH {WITH_BALANCED} SELECT row_id, y FROM balanced")
 def undersample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sa.undersample(distinct_flows(spark, sf_dir), ["row_id"]).select("row_id", "y")
+    return sa.undersample(written_rows(spark, sf_dir), ["row_id"]).select("row_id", "y")
 
 
 @check("stratified_cap", f"""
@@ -372,18 +377,16 @@ WITH {WITH_ROWS} SELECT row_id, y FROM (
   SELECT row_id, y, row_number() OVER (PARTITION BY y ORDER BY {sql_draw('row_id', step='cap')}) AS rn FROM rows_y)
 WHERE rn <= 20000 OR (SELECT count(*) FROM rows_y) <= 40000""")
 def stratified_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sa.stratified_cap(distinct_flows(spark, sf_dir), key=["row_id"]).select("row_id", "y")
+    return sa.stratified_cap(written_rows(spark, sf_dir), key=["row_id"]).select("row_id", "y")
 
 
 @check("shuffle", f"""
 WITH {WITH_ROWS} SELECT row_id, row_number() OVER (ORDER BY {sql_draw('row_id', step='shuffle')}, row_id) AS position FROM rows_y""")
 def shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions are read off the sorted output: rows before a partition plus the place inside it."""
-    from ..session import attach, materialize
     kept = materialize(sa.shuffle(distinct_flows(spark, sf_dir).select("row_id"), ["row_id"])
                        .select("row_id", F.monotonically_increasing_id().alias("at")), "shuffled")
     part, place = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
-    from pyspark.sql import Window
     sizes = kept.groupBy(part.alias("part")).agg(F.count("*").alias("n")).select(
         "part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     numbered = attach(kept.withColumn("part", part), sizes, ["part"])
@@ -394,14 +397,14 @@ def shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {WITH_ROWS} SELECT row_id, y, rn <= ceil(0.2 * (SELECT count(*) FROM rows_y)) AS is_test FROM (
   SELECT row_id, y, row_number() OVER (ORDER BY {sql_draw('row_id', step='split')}) AS rn FROM rows_y)""")
 def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sa.mark_test(distinct_flows(spark, sf_dir), key=["row_id"]).select("row_id", "y", "is_test")
+    return sa.mark_test(written_rows(spark, sf_dir), key=["row_id"]).select("row_id", "y", "is_test")
 
 
 @check("class_sample", f"""
 WITH {WITH_ROWS} SELECT row_id, y FROM (
   SELECT row_id, y, row_number() OVER (PARTITION BY y ORDER BY {sql_draw('row_id', step='class')}) AS rn FROM rows_y) WHERE rn <= 150""")
 def class_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sa.class_sample(distinct_flows(spark, sf_dir), key=["row_id"]).select("row_id", "y")
+    return sa.class_sample(written_rows(spark, sf_dir), key=["row_id"]).select("row_id", "y")
 
 
 @check("align_xy", f"""

@@ -47,6 +47,12 @@ def cascade_scores(run: TrainingRun, scaled: DataFrame, layers: tuple[str, str]
     return ca.cascade_detailed(scored, "anomaly" if found else None)
 
 
+def score_flow_windows(run: TrainingRun, flows: DataFrame, layers: tuple[str, str] = LAYERS) -> DataFrame:
+    """Assembled flows, batch or micro-batch, with the cascade's combined probability; their own columns stay raw."""
+    scaled = run.transform(flows.withColumn("_flow", F.struct(*flows.columns)), keep=("_flow",))
+    return cascade_scores(run, scaled, layers, anomaly=False).select("_flow.*", "proba")
+
+
 def cross_source_report(run: TrainingRun, flows: DataFrame, key: list[str], cap: int = CROSS_EVAL_CAP, t1: float = ALERT_THRESHOLD,
                         t2: float = ALERT_THRESHOLD, layers: tuple[str, str] = LAYERS, seed: int = SEED) -> DataFrame:
     """The cascade at two thresholds on at most ``cap`` rows of every source: one scored table, one aggregation."""

@@ -234,10 +234,6 @@ def model_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Assembled flows through the fitted cascade, with the combined probability and whether it alerts."""
     run = training_run(spark, sf_dir)
     flows = fl.flow_features(fl.keyed_packets(fx.packets(spark, sf_dir)), endpoints=True)
-    keys = ["src_ip", "src_port", "dst_ip", "dst_port", "proto", "win"]
-    raw = flows.withColumns({f"raw_{c}": F.col(c) for c in ("flow_duration", "fwd_packets", "bwd_packets")})
-    scaled = run.transform(raw, keep=(*keys, "raw_flow_duration", "raw_fwd_packets", "raw_bwd_packets"))
-    scored = ev.cascade_scores(run, scaled, anomaly=False)
-    return scored.select(
-        *keys, "proba", (F.col("proba") >= ALERT_THRESHOLD).alias("alert"), F.col("raw_flow_duration").alias("flow_duration"),
-        F.col("raw_fwd_packets").alias("fwd_packets"), F.col("raw_bwd_packets").alias("bwd_packets"))
+    return ev.score_flow_windows(run, flows).select(
+        "src_ip", "src_port", "dst_ip", "dst_port", "proto", "win", "proba", (F.col("proba") >= ALERT_THRESHOLD).alias("alert"),
+        "flow_duration", "fwd_packets", "bwd_packets")

@@ -44,22 +44,20 @@ def fold_windows(key: tuple, first_win: int, us: np.ndarray, fwd: np.ndarray, le
     f, b = _side(length, fwd == 1), _side(length, fwd == 0)
     seconds = np.where(duration > 0, duration, 1) / 1e6
     per_second = lambda amount: np.where(duration > 0, amount / seconds, 0.0)
-    out = pd.DataFrame(dict(zip(FLOW_KEY, key)), index=range(windows))
-    out["win"] = first_win + np.arange(windows)
     opened = fwd[:, 0] == 1
     ip_a, ip_b, port_a, port_b, _ = key
-    out["src_ip"], out["dst_ip"] = np.where(opened, ip_a, ip_b), np.where(opened, ip_b, ip_a)
-    out["src_port"], out["dst_port"] = np.where(opened, port_a, port_b), np.where(opened, port_b, port_a)
-    out["flow_duration"] = duration
-    out["fwd_packets"], out["bwd_packets"] = fwd.sum(axis=1), size - fwd.sum(axis=1)
-    out["fwd_len_total"], out["bwd_len_total"] = f["total"], b["total"]
-    for tag, side in (("fwd", f), ("bwd", b)):
-        for stat in ("max", "min", "mean"):
-            out[f"{tag}_len_{stat}"] = side[stat]
-    out["flow_bytes_s"], out["flow_packets_s"] = per_second(f["total"] + b["total"]), per_second(size)
-    out["flow_iat_mean"] = gaps.sum(axis=1) / size
-    out["flow_iat_max"] = np.maximum(gaps.max(axis=1), 0) if size > 1 else 0
-    return out
+    side = lambda a, b: np.where(opened, a, b)
+    n_fwd = fwd.sum(axis=1)
+    return pd.DataFrame({
+        **{name: np.repeat([value], windows) for name, value in zip(FLOW_KEY, key)},
+        "win": first_win + np.arange(windows),
+        "src_ip": side(ip_a, ip_b), "dst_ip": side(ip_b, ip_a), "src_port": side(port_a, port_b), "dst_port": side(port_b, port_a),
+        "flow_duration": duration, "fwd_packets": n_fwd, "bwd_packets": size - n_fwd,
+        "fwd_len_total": f["total"], "bwd_len_total": b["total"],
+        "fwd_len_max": f["max"], "fwd_len_min": f["min"], "fwd_len_mean": f["mean"],
+        "bwd_len_max": b["max"], "bwd_len_min": b["min"], "bwd_len_mean": b["mean"],
+        "flow_bytes_s": per_second(f["total"] + b["total"]), "flow_packets_s": per_second(size),
+        "flow_iat_mean": gaps.sum(axis=1) / size, "flow_iat_max": gaps.max(axis=1, initial=0)})
 
 
 def flow_stream(packets: DataFrame, size: int = FLOW_SIZE, idle: str | None = None, watermark: str = "60 seconds") -> DataFrame:

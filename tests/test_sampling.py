@@ -26,6 +26,15 @@ def test_group_sizes_are_exact(rows, n):
     assert got == {y: k for y, k in ((0, min(n, 18_000)), (1, min(n, 2_000))) if k}
 
 
+@pytest.mark.parametrize("n", [1, 7, 2000, 9999])
+def test_refined_cut_equals_plain_cut(rows, monkeypatch, n):
+    """With one row per ranking task, every bucket has to be refined down to single draws."""
+    plain = sa.sample_n(rows, n, ["row_id"], by="y")
+    want = plain.collect()
+    monkeypatch.setattr(sa, "RANKED_ROWS", 1)
+    assert sorted(want) == sorted(sa.sample_n(rows, n, ["row_id"], by="y").collect())
+
+
 def test_sample_does_not_depend_on_layout(rows):
     ids = lambda df: sorted(r["row_id"] for r in sa.sample_n(df, 500, ["row_id"]).select("row_id").collect())
     assert ids(rows) == ids(rows.repartition(13))
