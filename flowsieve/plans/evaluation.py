@@ -19,11 +19,11 @@ from .training import TrainingRun, available, score_all
 LAYERS = ("ada", "et")
 
 
-def evaluate_external(run: TrainingRun, flows: DataFrame, codes: list[str] = registry.CODES) -> DataFrame:
+def evaluate_external(run: TrainingRun, flows: DataFrame, codes: list[str] | None = None) -> DataFrame:
     """Any flow table scored with every model at hand: quality per model if it is labelled, else the prediction mix."""
     label = cl.find_label(flows)
     tagged = cl.with_target(flows) if label else flows
-    models = available(run, codes)
+    models = available(run, codes or registry.CODES)
     wide = score_all(run.transform(tagged, keep=("y",)), models)
     long = me.long_scores(wide, list(models), ["y"] if label else [])
     mix = me.prediction_mix(long, ["model"])
@@ -69,9 +69,9 @@ def single_source(run: TrainingRun, flows: DataFrame, key: list[str], cap: int =
     return materialize(cl.conform(sampled, keep=("row_id", "y")), "single-source")
 
 
-def availability_report(run: TrainingRun, raw: DataFrame, codes: list[str] = registry.CODES) -> dict[str, DataFrame]:
+def availability_report(run: TrainingRun, raw: DataFrame, codes: list[str] | None = None) -> dict[str, DataFrame]:
     """Every model on one source: quality table, ROC and PR points, AUC, threshold sweep, decision grid, sample points."""
-    models = available(run, codes)
+    models = available(run, codes or registry.CODES)
     wide = score_all(run.transform(raw, keep=("row_id", "y")), models)
     long = materialize(me.long_scores(wide, list(models)), "long-scores")
     by = ["model"]
@@ -90,13 +90,13 @@ def cascade_report(run: TrainingRun, raw: DataFrame, layers: tuple[str, str] = L
             "auc": cu.roc_auc(scored), "pr": cu.pr_curve(scored), "sweep": cu.threshold_sweep(scored)}
 
 
-def decision_grid(run: TrainingRun, raw: DataFrame, codes: list[str] = registry.CODES, res: int = 40) -> DataFrame:
+def decision_grid(run: TrainingRun, raw: DataFrame, codes: list[str] | None = None, res: int = 40) -> DataFrame:
     """Each model's class on the grid over two features: (cell, ix, iy, x, y, model, pred).
 
     Grid values are in raw units; only the copy the models see is scaled.
     """
     grid = sc.feature_grid(raw, res=res)
-    models = available(run, codes)
+    models = available(run, codes or registry.CODES)
     marked = grid.withColumns({"x": F.col("flow_duration"), "y": F.col("fwd_len_max")})
     keep = ("cell", "ix", "iy", "x", "y")
     wide = score_all(run.transform(marked, keep=keep), models)

@@ -17,7 +17,7 @@ from ..streaming.flows import alert_stream, flow_stream, set_threshold
 from . import evaluation as ev
 from . import training as tr
 from .catalog import (
-    FLOW_OUTPUT, FLOW_SELECT, F32, SCALER_STATS, TARGET, WITH_CLEAN, WITH_WINDOWS, _ALERT_SQL, check, distinct_flows,
+    F32, FLOW_OUTPUT, FLOW_SELECT, KEY, SCALER_STATS, TARGET, WITH_CLEAN, WITH_KEYED, WITH_WINDOWS, _ALERT_SQL, check, distinct_flows,
     forward_share, rounded, sql_draw,
 )
 
@@ -211,11 +211,18 @@ def stream_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_run_to_table(spark, flow_stream(packets)).drop("src_ip", "dst_ip", "src_port", "dst_port"))
 
 
-@check("idle_eviction")
+@check("idle_eviction", f"""
+WITH {WITH_KEYED},
+gaps AS (SELECT *, us - lag(us) OVER (PARTITION BY {KEY} ORDER BY us, packet_id) AS gap FROM k),
+runs AS (SELECT *, sum(CASE WHEN gap > 86400000000 THEN 1 ELSE 0 END) OVER (PARTITION BY {KEY} ORDER BY us, packet_id) AS run FROM gaps),
+placed AS (SELECT *, (row_number() OVER (PARTITION BY {KEY}, run ORDER BY us, packet_id) - 1) // 10 AS win FROM runs)
+SELECT {KEY}, max(us) - min(us) AS flow_duration, CAST(sum(fwd) AS BIGINT) AS fwd_packets, CAST(sum(length) AS BIGINT) AS bytes
+FROM placed GROUP BY {KEY}, run, win HAVING count(*) = 10""")
 def idle_eviction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quiet keys lose their waiting packets after one event-time day."""
+    """Gaps of more than a day drop the packets waiting before them."""
     packets = read_packets(spark, _packet_slices(spark, sf_dir), streaming=True, maxFilesPerTrigger="1")
-    return _run_to_table(spark, flow_stream(packets, idle="24 hours", watermark="1 hour")).select(*FLOW_KEY, "win", "flow_duration")
+    flows = _run_to_table(spark, flow_stream(packets, idle="24 hours", watermark="1 hour"))
+    return flows.select(*FLOW_KEY, "flow_duration", "fwd_packets", (F.col("fwd_len_total") + F.col("bwd_len_total")).alias("bytes"))
 
 
 @check("live_threshold", _ALERT_SQL.format(t="0.7e0"))

@@ -2,8 +2,8 @@
 
 State per key is the number of windows closed so far and at most ``size - 1`` waiting packets. A micro-batch is
 ordered by (time, packet id) inside each key before it is folded; across micro-batches arrival order counts, as in
-a live capture. Without an idle limit a quiet key waits for ever; with one, its waiting packets are dropped once
-the watermark has passed them by that long.
+a live capture. Without an idle limit a quiet key waits for ever. One task folds a key's share of a micro-batch, so
+bound the micro-batch at the source (``maxFilesPerTrigger``) where single keys can flood.
 """
 
 from __future__ import annotations
@@ -63,35 +63,38 @@ def fold_windows(key: tuple, first_win: int, us: np.ndarray, fwd: np.ndarray, le
 def flow_stream(packets: DataFrame, size: int = FLOW_SIZE, idle: str | None = None, watermark: str = "60 seconds") -> DataFrame:
     """Closed flows with features and end points from a packet stream, in append mode.
 
-    ``idle`` (e.g. "60 seconds") turns on eviction of quiet keys and needs event time, hence the watermark. An
-    evicted key starts again at window 0.
+    ``idle`` (e.g. "60 seconds") turns on eviction: a longer gap between two packets of a key drops the packets that
+    wait before it, and a key that stays quiet loses its state once the watermark has passed its last packet by that
+    long. Such a key starts again at window 0.
     """
-    idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000) if idle else None
+    idle_us = int(pd.Timedelta(idle).total_seconds() * 1e6) if idle else None
     timeout = GroupStateTimeout.EventTimeTimeout if idle else GroupStateTimeout.NoTimeout
     if idle:
         packets = packets.withWatermark("ts", watermark)
     keyed = keyed_packets(packets)
     keyed = keyed.select(*FLOW_KEY, "packet_id", "us", "fwd", "length", *(["ts"] if idle else []))
+    columns = ["us", "packet_id", "fwd", "length"]
 
     def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        closed, us, ids, fwd, length = state.get if state.exists else (0, [], [], [], [])
         if state.hasTimedOut:
             state.remove()
             return
+        closed, *waiting = state.get if state.exists else (0, [], [], [], [])
         fresh = pd.concat(list(batches)).sort_values(["us", "packet_id"])
-        us = np.concatenate([np.asarray(us, dtype=np.int64), fresh["us"].to_numpy(dtype=np.int64)])
-        ids = np.concatenate([np.asarray(ids, dtype=np.int64), fresh["packet_id"].to_numpy(dtype=np.int64)])
-        fwd = np.concatenate([np.asarray(fwd, dtype=np.int64), fresh["fwd"].to_numpy(dtype=np.int64)])
-        length = np.concatenate([np.asarray(length, dtype=np.int64), fresh["length"].to_numpy(dtype=np.int64)])
-        windows = len(us) // size
-        used = windows * size
-        if windows:
-            shape = (windows, size)
-            yield fold_windows(key, closed, us[:used].reshape(shape), fwd[:used].reshape(shape), length[:used].reshape(shape))
-        state.update((closed + windows, us[used:].tolist(), ids[used:].tolist(), fwd[used:].tolist(), length[used:].tolist()))
-        if idle_ms is not None:
-            latest = int(us.max() // 1000)
-            state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs()) + idle_ms)
+        us, ids, fwd, length = (np.concatenate([np.asarray(old, dtype=np.int64), fresh[c].to_numpy(dtype=np.int64)])
+                                for old, c in zip(waiting, columns))
+        # Runs of packets without a gap above the idle limit; only the last run can still grow.
+        starts = [0] if idle_us is None else [0, *(np.flatnonzero(np.diff(us) > idle_us) + 1)]
+        for start, end in zip(starts, [*starts[1:], len(us)]):
+            windows = (end - start) // size
+            used = slice(start, start + windows * size)
+            if windows:
+                yield fold_windows(key, closed, *(a[used].reshape(windows, size) for a in (us, fwd, length)))
+                closed += windows
+        rest = slice(used.stop, None)
+        state.update((closed, *(a[rest].tolist() for a in (us, ids, fwd, length))))
+        if idle_us is not None:
+            state.setTimeoutTimestamp(max(int(us[-1] + idle_us) // 1000, state.getCurrentWatermarkMs() + 1))
 
     return keyed.groupBy(*FLOW_KEY).applyInPandasWithState(fold, OUTPUT, STATE, "append", timeout)
 
