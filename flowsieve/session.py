@@ -55,16 +55,24 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
+
+    Where it is unset, a local master gets one temporary folder per application and a cluster gets an error.
+    """
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if path:
         return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    path = tempfile.mkdtemp(prefix="flowsieve-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    app = context.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="flowsieve-")
+    return _LOCAL_DIRS[app]
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
@@ -88,9 +96,14 @@ def bounded_table(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def attach_table(df: DataFrame, side: DataFrame, on: list[str], how: str = "left") -> DataFrame:
-    """Join a `bounded_table` result: local tables are broadcast, written ones joined by shuffle."""
+    """Join a `bounded_table` result: local tables are broadcast, written ones joined by shuffle.
+
+    Keys match null-safely, so a group without a name is a group like any other.
+    """
+    renamed = side.withColumnsRenamed({c: f"_side_{c}" for c in on})
     local = not side.inputFiles()
-    return df.join(F.broadcast(side) if local else side, on, how)
+    same = [F.col(c).eqNullSafe(F.col(f"_side_{c}")) for c in on]
+    return df.join(F.broadcast(renamed) if local else renamed, same, how).drop(*[f"_side_{c}" for c in on])
 
 
 def attach(df: DataFrame, side: DataFrame, on: list[str], how: str = "left",

@@ -75,6 +75,12 @@ def test_steps_draw_independently(rows):
     assert benign + attack == 800 and abs(benign - attack) < 100
 
 
+def test_rows_without_a_group_are_kept(rows):
+    unnamed = rows.withColumn("name", F.when(F.col("row_id") % 2 == 0, "even"))
+    got = {r["name"]: r["count"] for r in sa.sample_n(unnamed, 30, ["row_id"], by="name").groupBy("name").count().collect()}
+    assert got == {"even": 30, None: 30}
+
+
 def test_empty_input(rows):
     assert sa.sample_n(rows.where("y = 9"), 5, ["row_id"]).count() == 0
 
