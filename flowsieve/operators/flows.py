@@ -33,8 +33,8 @@ def packet_normalize(packets: DataFrame) -> DataFrame:
     ports = F.col("proto").isin(PORT_PROTOCOLS)
     return packets.where(ip).select(
         "packet_id", "ts", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "proto", "src_ip", "dst_ip",
-        F.when(ports, F.col("src_port")).otherwise(F.lit(0)).alias("src_port"),
-        F.when(ports, F.col("dst_port")).otherwise(F.lit(0)).alias("dst_port"),
+        F.coalesce(F.when(ports, F.col("src_port")), F.lit(0)).alias("src_port"),
+        F.coalesce(F.when(ports, F.col("dst_port")), F.lit(0)).alias("dst_port"),
         "length")
 
 
