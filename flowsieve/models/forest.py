@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -314,6 +314,7 @@ class IsolationForest(Model):
 
         built = (picked.groupBy("tree").applyInPandas(build, "tree INT, node INT, feature INT, cut DOUBLE, left INT, value DOUBLE")
                  .toPandas().sort_values(["tree", "node"]))
+        picked.unpersist()
         sizes = built.groupby("tree").size().to_numpy()
         offset = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         shift = np.repeat(offset, sizes)
@@ -335,7 +336,6 @@ class IsolationForest(Model):
             hit = lambda t: F.pmod(F.xxhash64(F.lit(seed), t, *key), F.lit(2 ** 32)) < F.lit(bound)
             pairs = (benign.select(*key, *FEATURES, F.explode(F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), hit)).alias("tree"))
                      .withColumn("_draw", draw(seed, "tree", *key)))
-            from pyspark.sql import Window
             ranked = pairs.withColumn("_rank", F.row_number().over(Window.partitionBy("tree").orderBy(
                 F.pmod(F.xxhash64(F.lit(seed), "tree", *key), F.lit(2 ** 32)), "_draw")))
             picked = ranked.where(F.col("_rank") <= size).select("tree", "_draw", *FEATURES).persist()

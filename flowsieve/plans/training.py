@@ -1,7 +1,7 @@
 """From labelled flows to fitted models.
 
-The steps keep the reference order of operations: clean, cap each source, drop duplicates, fit the scaler on
-everything that is left, and only then balance, cap and split. Two tables are written on the way: the distinct
+The order matters: clean, cap each source, drop duplicates, fit the scaler on everything that is left, and only
+then balance, cap and split (so the scaler has seen the test rows too). Two tables are written on the way: the distinct
 rows at model precision and the small split training table.
 """
 
