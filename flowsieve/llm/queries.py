@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsieve.llm import gbt, line_rules, secrets, vptree
+from flowsieve.llm import bpe, gbt, line_rules, packing, secrets, training_order, vptree
 from flowsieve.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,22 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_line_rules", line_rules.ORACLE)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query("op5_training_order")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    slots = training_order.materialised(table(spark, sf_dir, "documents"))
+    return slots.select("slot", "shard", "byte_offset", "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op9_byte_bpe")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_decode(table(spark, sf_dir, "documents"))
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op10_packing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
