@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsieve.llm import bpe, gbt, line_rules, packing, secrets, training_order, vptree
+from flowsieve.llm import bpe, gbt, line_rules, packing, partenum, secrets, training_order, vptree
 from flowsieve.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op3_jaccard_join", partenum.ORACLE)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.jaccard_join(table(spark, sf_dir, "documents"))
