@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsieve.llm import bpe, gbt, line_rules, packing, partenum, secrets, training_order, vptree
+from flowsieve.llm import bpe, gbt, line_rules, ngram_trie, packing, partenum, secrets, training_order, vptree
 from flowsieve.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_jaccard_join", partenum.ORACLE)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.jaccard_join(table(spark, sf_dir, "documents"))
+
+
+@query("op4_ngram_trie")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_trie.lm_scores(table(spark, sf_dir, "documents"))
