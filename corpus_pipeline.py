@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowsieve.llm import gbt, line_rules, secrets
+from flowsieve.llm import gbt, line_rules, packing, partenum, secrets
 from flowsieve.llm.common import table
 from flowsieve.session import materialize
 
@@ -19,12 +19,23 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return line_rules.keep_sound(docs)
 
 
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of near or exact copies."""
+    return partenum.one_of_each(docs)
+
+
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, every secret in them replaced by a mark."""
     return secrets.redact_documents(docs)
 
 
-STAGES = [("quality_classifier", quality_classifier), ("quality_rules", quality_rules), ("secret_scan", secret_scan)]
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents as pieces of sequences of at most 1024 tokens."""
+    return packing.digests(packing.pack_documents(docs))
+
+
+STAGES = [("quality_classifier", quality_classifier), ("quality_rules", quality_rules), ("jaccard_join", jaccard_join),
+          ("secret_scan", secret_scan), ("packing", packed)]
 #: SQL cannot state fitted trees, entropy windows and tokens; tests hold every stage to a plain version instead.
 ORACLE_SQL = None
 

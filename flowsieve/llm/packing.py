@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from flowsieve.llm import tokens
 
@@ -90,3 +91,8 @@ def pack_documents(docs: DataFrame, limit: int = 1024, end_id: int = 0, vocabula
             base += max(columns[3], default=-1) + 1
 
     return tokens.split_documents(docs, id_col, text_col).mapInArrow(run, SCHEMA)
+
+
+def digests(pieces: DataFrame) -> DataFrame:
+    """The pieces with the crc32 of their ids in place of the ids."""
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsieve.llm import bpe, gbt, line_rules, ngram_trie, packing, partenum, secrets, training_order, vptree
+from flowsieve.llm import bpe, gbt, line_rules, ngram_trie, packing, partenum, pii, secrets, training_order, vptree
 from flowsieve.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,8 +62,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack_documents(table(spark, sf_dir, "documents"))
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return packing.digests(packing.pack_documents(table(spark, sf_dir, "documents")))
 
 
 @query("op3_jaccard_join", partenum.ORACLE)
@@ -74,3 +73,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_ngram_trie")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_trie.lm_scores(table(spark, sf_dir, "documents"))
+
+
+@query("op2_feistel_pseudonyms")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = pii.pseudonymised(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("found", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return named.select("doc_id", "text", *counts, F.transform("found", lambda x: F.concat_ws(":", x["kind"], x["value"])).alias("pseudonyms"))
