@@ -164,9 +164,8 @@ def training_features(docs: DataFrame, labels: DataFrame, fit: Fit, label: str =
     if held_out_mod:
         known = known.filter(crc_mod(F.col("doc_id"), held_out_mod) != 1)
     known = known.groupBy("doc_id").agg(F.max("y").alias("y"))
-    n = known.count()
-    if n > fit.max_rows:       # thin by hash before any text is read; the order below makes the bound exact
-        known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) <= int(1_000_000 * 1.2 * fit.max_rows / n) + 1)
+    # the smallest ids by hash: at most max_rows, so the side that is broadcast is bounded
+    known = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit.max_rows))
     joined = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(known, "doc_id")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
