@@ -112,7 +112,7 @@ def bundles(docs: DataFrame, path: str, rows: int = BUNDLE) -> DataFrame:
                 long_ids: list = [None] * len(words)
                 for i in np.flatnonzero(lengths > LONG):
                     library = library or tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_ranks(path), special_tokens={})
-                    long_ids[i] = library.encode_single_piece(words[i].as_py())
+                    long_ids[i] = library.encode_ordinary(words[i].as_py().decode())
                 short = pc.if_else(pa.array(lengths > LONG), pa.scalar(b"", pa.binary()), words).to_pylist()
                 body = np.frombuffer(b"".join(short), np.uint8).astype(np.int16)
                 bounds = np.concatenate([[0], np.cumsum([len(w) for w in short], dtype=np.int64)]).astype(np.int32)
