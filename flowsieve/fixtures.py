@@ -74,19 +74,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+ROWS_PER_TASK = 2_000_000
 _STORED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, text: str, **tables: str) -> DataFrame:
     """The derived table, written once per application so that queries read columns, not long expressions.
 
-    The given tables are single files of one row group; the rows are spread over the cores here.
+    A table of fewer files than cores (the given ones are single files of one row group) is spread over as many tasks
+    as its rows ask for; larger ones keep the partitions they were read in.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
         derived = spark.sql(text, **{arg: table(spark, sf_dir, t) for arg, t in tables.items()})
-        spread = derived.repartition(spark.sparkContext.defaultParallelism)
-        _STORED[key] = materialize(spread, name)
+        cores, read = spark.sparkContext.defaultParallelism, derived.rdd.getNumPartitions()
+        if read < cores:
+            derived = derived.repartition(max(cores, -(-derived.count() // ROWS_PER_TASK)))
+        _STORED[key] = materialize(derived, name)
     return _STORED[key]
 
 

@@ -34,16 +34,19 @@ def write_all(tables: dict[str, DataFrame], out: str) -> None:
         table.write.mode("overwrite").parquet(f"{out}/{name}")
 
 
-def train(spark: SparkSession, data: str, models: str, out: str) -> tr.TrainingRun:
-    """Fit the ten classifiers and the anomaly model, save them, and write the comparison on held-out rows."""
-    try:
+def train(spark: SparkSession, data: str, models: str, out: str, mock: bool = False) -> tr.TrainingRun:
+    """Fit the ten classifiers and the anomaly model, save them, and write the comparison on held-out rows.
+
+    Only ``mock`` trains on generated rows; a folder without flow files is an error otherwise.
+    """
+    if mock:
+        path = resolve_source(spark, f"{data}/mock_flows.csv", f"{data}/mock_flows.csv", lambda: mock_flows(spark))
+        flows = stage_flows(read_flows(spark, path), scratch_path(spark, "staged"))
+    else:
         flows = staged(spark, data, TRAIN_EXCLUDE)
-    except FileNotFoundError:
-        mock = resolve_source(spark, f"{data}/mock_flows.csv", f"{data}/mock_flows.csv", lambda: mock_flows(spark))
-        flows = stage_flows(read_flows(spark, mock), scratch_path(spark, "staged"))
     run = tr.TrainingRun(tr.training_rows(flows, ["row_id"], TAGS))
     write_all({"depth_study": tr.depth_study(run.train, run.test), "comparison": tr.compare_on_test(run, registry.CODES),
-               "report": tr.report_on_test(run, registry.CODES)}, out)
+               "report": tr.report_on_test(run, registry.CODES), "status": tr.model_status(run, [*registry.CODES, registry.ANOMALY])}, out)
     run.save(spark, models)
     return run
 
@@ -51,7 +54,11 @@ def train(spark: SparkSession, data: str, models: str, out: str) -> tr.TrainingR
 def evaluate(spark: SparkSession, data: str, models: str, out: str) -> None:
     """Score any flow CSV with every saved model."""
     flows = read_flows(spark, data).drop("source_file")
-    write_all({"external": ev.evaluate_external(tr.SavedRun(spark, models), flows)}, out)
+    run = tr.SavedRun(spark, models)
+    tables = {"external": ev.evaluate_external(run, flows)}
+    if cl.find_label(flows):
+        tables["report"] = ev.external_reports(run, flows)
+    write_all(tables, out)
 
 
 def cross_eval(spark: SparkSession, data: str, models: str, out: str, t1: float, t2: float) -> None:
@@ -60,22 +67,24 @@ def cross_eval(spark: SparkSession, data: str, models: str, out: str, t1: float,
     write_metrics(ev.cross_source_report(tr.SavedRun(spark, models), flows, ["row_id"], t1=t1, t2=t2), f"{out}/cross_dataset", t1, t2)
 
 
-def one_source(spark: SparkSession, data: str, run: tr.TrainingRun) -> DataFrame:
+def one_source(spark: SparkSession, data: str) -> DataFrame:
     path = resolve_source(spark, data, f"{scratch_path(spark, 'mock')}/mock_flows.csv", lambda: mock_flows(spark))
-    return ev.single_source(run, stage_flows(read_flows(spark, path), scratch_path(spark, "staged")), ["row_id"])
+    return stage_flows(read_flows(spark, path), scratch_path(spark, "staged"))
 
 
 def availability(spark: SparkSession, data: str, models: str, out: str) -> None:
     """All saved models on one source: quality, curves, sweep, decision grid."""
     run = tr.SavedRun(spark, models)
-    raw = one_source(spark, data, run)
-    write_all({**ev.availability_report(run, raw), "labels": cl.label_counts(raw, "y")}, out)
+    flows = one_source(spark, data)
+    label = cl.find_label(flows)
+    counts = {"labels": cl.label_counts(cl.drop_non_finite(cl.clean_columns(flows)), label)} if label else {}
+    write_all({**ev.availability_report(run, ev.single_source(run, flows, ["row_id"])), **counts}, out)
 
 
 def simulate(spark: SparkSession, data: str, models: str, out: str) -> None:
     """The cascade on one source: quality, report, curves, sweep."""
     run = tr.SavedRun(spark, models)
-    write_all(ev.cascade_report(run, one_source(spark, data, run)), out)
+    write_all(ev.cascade_report(run, ev.single_source(run, one_source(spark, data), ["row_id"])), out)
 
 
 def live(spark: SparkSession, data: str, models: str, out: str, idle: str | None = None, **trigger):
@@ -94,16 +103,19 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--t1", type=float, default=ALERT_THRESHOLD)
     parser.add_argument("--t2", type=float, default=ALERT_THRESHOLD)
     parser.add_argument("--idle", default=None)
+    parser.add_argument("--mock", action="store_true", help="train on generated rows")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"flowsieve-{args.job}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     ship_package(spark)
     paths = (spark, args.data, args.models, args.out)
-    if args.job == "cross-eval":
+    if args.job == "train":
+        train(*paths, args.mock)
+    elif args.job == "cross-eval":
         cross_eval(*paths, args.t1, args.t2)
     elif args.job == "live":
         live(*paths, args.idle).awaitTermination()
     else:
-        {"train": train, "evaluate": evaluate, "availability": availability, "simulate": simulate}[args.job](*paths)
+        {"evaluate": evaluate, "availability": availability, "simulate": simulate}[args.job](*paths)
 
 
 if __name__ == "__main__":

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import binarize, float32_round
-from ..schema import FEATURE_NAMES, FEATURES, LABEL_COLUMNS
+from ..schema import FEATURES, LABEL_COLUMNS
 
 INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 FLOATS = (T.FloatType, T.DoubleType)
@@ -22,12 +22,6 @@ def clean_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
-def snake_features(df: DataFrame) -> DataFrame:
-    """Rename CSV feature headers to the column names used by this package."""
-    known = dict(FEATURE_NAMES)
-    return df.select(*[F.col(f"`{c}`").alias(known.get(c, c)) for c in df.columns])
-
-
 def drop_non_finite(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     """Drop every row with a null, NaN or infinite value.
 
@@ -83,9 +77,13 @@ def conform(df: DataFrame, strict: bool = False, keep: tuple[str, ...] = ()) ->
 
 
 def model_types(df: DataFrame) -> DataFrame:
-    """Round floating features to single precision, the width the narrowed columns have at fit time."""
+    """Round fractional features to single precision, the width the narrowed columns have at fit time.
+
+    Whole numbers narrow to integer types and stay exact, also beyond 2^24; every feature is read as a double, so the
+    values decide and not the type.
+    """
     rounded = [f.name for f in df.schema.fields if f.name in FEATURES and isinstance(f.dataType, FLOATS)]
-    return df.withColumns({c: float32_round(F.col(c)) for c in rounded})
+    return df.withColumns({c: F.when(F.col(c) == F.rint(c), F.col(c)).otherwise(float32_round(F.col(c))) for c in rounded})
 
 
 def downsize(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -2,8 +2,9 @@
 
 Scale notes. An ordinary key is ordered by one window per key, so packets are shuffled once and the
 per-window aggregate reuses that partitioning. A hot key (more than ``hot_rows`` packets) is cut into
-time slices first: ordinals start from the running packet count of the earlier slices, which costs one
-row per slice, so no task ever holds more than one slice of a hot key. Slices are exact for any width.
+slices of bounded size first, by time and, within one instant, by packet id: ordinals start from the running
+packet count of the earlier slices, which costs one row per slice, so no task ever holds more than one slice of
+a hot key. Slices are exact for any width, and null key parts are parts like any other.
 
 The first inter-arrival value of a window is 0 (its start is its first packet), and it still counts, so
 the mean of n packets is duration / n.
@@ -16,10 +17,9 @@ from pyspark.sql import functions as F
 
 from ..functions import guarded_rate
 from ..schema import FLOW_KEY, FLOW_SIZE
-from ..session import attach
+from ..session import attach, attach_table, bounded_table
 
 HOT_ROWS = 5_000_000
-SLICE_US = 1_000_000
 
 # Protocol numbers that carry ports (TCP, UDP).
 PORT_PROTOCOLS = [6, 17]
@@ -56,10 +56,11 @@ def keyed_packets(packets: DataFrame) -> DataFrame:
     return flow_key(packet_normalize(packets))
 
 
-def order_in_key(keyed: DataFrame, hot_rows: int = HOT_ROWS, slice_us: int = SLICE_US) -> DataFrame:
+def order_in_key(keyed: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``ord`` (0-based position in the key by time) and ``prev_us`` (time of the packet before)."""
     per_key = Window.partitionBy(*FLOW_KEY)
-    hot = keyed.groupBy(*FLOW_KEY).count().where(F.col("count") > hot_rows).select(*FLOW_KEY, F.lit(True).alias("hot"))
+    sizes = keyed.groupBy(*FLOW_KEY).agg(F.count("*").alias("_n"), F.min("us").alias("_lo"), F.max("us").alias("_hi"))
+    hot = bounded_table(sizes.where(F.col("_n") > hot_rows))
     if hot.isEmpty():
         by_time = per_key.orderBy("us", "packet_id")
         return keyed.select(
@@ -67,20 +68,45 @@ def order_in_key(keyed: DataFrame, hot_rows: int = HOT_ROWS, slice_us: int = SLI
             (F.row_number().over(by_time) - 1).cast("long").alias("ord"),
             F.lag("us").over(by_time).alias("prev_us"))
 
-    sliced = attach(keyed, hot, FLOW_KEY).withColumn(
-        "slice", F.when(F.col("hot"), F.floor(F.col("us") / slice_us)).otherwise(F.lit(0)))
-    by_slice = per_key.orderBy("slice")
+    sliced = _slices(keyed, hot, hot_rows)
+    by_slice = per_key.orderBy(*SLICE)
     starts = (
-        sliced.where("hot").groupBy(*FLOW_KEY, "slice").agg(F.count("*").alias("n"), F.max("us").alias("last_us"))
-        .select(*FLOW_KEY, "slice",
+        sliced.where("_hot").groupBy(*FLOW_KEY, *SLICE).agg(F.count("*").alias("n"), F.max("us").alias("last_us"))
+        .select(*FLOW_KEY, *SLICE,
                 F.coalesce(F.sum("n").over(by_slice.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
                 F.lag("last_us").over(by_slice).alias("carry_us")))
-    in_slice = Window.partitionBy(*FLOW_KEY, "slice").orderBy("us", "packet_id")
+    in_slice = Window.partitionBy(*FLOW_KEY, *SLICE).orderBy("us", "packet_id")
     return (
-        sliced.join(starts, [*FLOW_KEY, "slice"], "left")
+        attach(sliced, starts, [*FLOW_KEY, *SLICE])
         .withColumn("ord", F.row_number().over(in_slice) - 1 + F.coalesce("before", F.lit(0)))
         .withColumn("prev_us", F.coalesce(F.lag("us").over(in_slice), "carry_us"))
-        .drop("hot", "slice", "before", "carry_us"))
+        .drop("_hot", *SLICE, "before", "carry_us"))
+
+
+SLICE = ("_time", "_instant", "_ids")
+
+
+def _slices(keyed: DataFrame, hot: DataFrame, hot_rows: int) -> DataFrame:
+    """Number the slices of hot keys: time slices, instants of slices that are too full, id ranges of instants that are.
+
+    The width of a key's time slices follows from its packet count and its span, so that an even flow of packets gives
+    slices of a quarter of ``hot_rows``; bursts are cut further by what the counts of their slices show. Other keys are
+    one slice. Keys and slices match null-safely.
+    """
+    zero = F.lit(0).cast("long")
+    width = F.greatest(F.lit(1), F.floor((F.col("_hi") - F.col("_lo") + 1) * hot_rows / (4 * F.col("_n")))).cast("long")
+    marked = attach_table(keyed, hot.select(*FLOW_KEY, F.col("_lo").alias("_from"), width.alias("_width")), FLOW_KEY)
+    timed = (marked.withColumn("_hot", F.col("_width").isNotNull())
+             .withColumn("_time", F.coalesce(F.floor((F.col("us") - F.col("_from")) / F.col("_width")), zero)).drop("_from", "_width"))
+    full = timed.where("_hot").groupBy(*FLOW_KEY, "_time").count().where(F.col("count") > hot_rows)
+    timed = attach(timed, full.select(*FLOW_KEY, "_time", F.lit(True).alias("_full")), [*FLOW_KEY, "_time"])
+    timed = timed.withColumn("_instant", F.when(F.col("_full"), F.col("us")).otherwise(zero))
+    burst = (timed.where("_full").groupBy(*FLOW_KEY, "_time", "_instant")
+             .agg(F.count("*").alias("_n"), F.min("packet_id").alias("_first"), F.max("packet_id").alias("_last")).where(F.col("_n") > hot_rows))
+    step = F.greatest(F.lit(1), F.floor((F.col("_last") - F.col("_first") + 1) * hot_rows / (4 * F.col("_n")))).cast("long")
+    timed = attach(timed, burst.select(*FLOW_KEY, "_time", "_instant", "_first", step.alias("_step")), [*FLOW_KEY, "_time", "_instant"])
+    return (timed.withColumn("_ids", F.coalesce(F.floor((F.col("packet_id") - F.col("_first")) / F.col("_step")), zero))
+            .drop("_full", "_first", "_step"))
 
 
 def window_packets(ordered: DataFrame, size: int = FLOW_SIZE) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,6 +74,13 @@ def prediction_mix(df: DataFrame, by: list[str] = ()) -> DataFrame:
     ).withColumn("attack_pct", percent(F.col("attack"), F.col("total")))
 
 
+def with_mix(compared: DataFrame) -> DataFrame:
+    """The mix of `prediction_mix` next to the rates: it follows from the same four counts."""
+    tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
+    mixed = compared.withColumns({"total": tn + fp + fn + tp, "benign": tn + fn, "attack": fp + tp})
+    return mixed.withColumn("attack_pct", percent(F.col("attack"), F.col("total")))
+
+
 def long_scores(df: DataFrame, models: list[str], keep: list[str] = ("row_id", "y")) -> DataFrame:
     """Wide ``p_<model>`` / ``pred_<model>`` columns to one row per input row and model."""
     rows = F.array(*[F.struct(F.lit(m).alias("model"), F.col(f"pred_{m}").cast("int").alias("pred"),
@@ -94,9 +99,3 @@ def cross_dataset_eval(scored: DataFrame, by: str = "source_file") -> DataFrame:
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
     return table.select(by, attack_family(F.col(by)).alias("attack_type"), (tn + fp + fn + tp).alias("samples"),
                         (tn + fp).alias("benign"), (tp + fn).alias("attack"), "recall", "tnr", "accuracy")
-
-
-def stack_models(frames: dict[str, DataFrame]) -> DataFrame:
-    """Union of per-model frames (row_id, y, pred, proba), tagged with the model name."""
-    tagged = [df.withColumn("model", F.lit(m)) for m, df in frames.items()]
-    return reduce(DataFrame.unionByName, tagged)

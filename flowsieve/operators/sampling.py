@@ -25,23 +25,29 @@ PREFIX = 3               # hex digits per counting step
 RANKED_ROWS = 2_000_000  # rows one task may rank
 
 
-def _cuts(df: DataFrame, group: str, sizes: Column) -> DataFrame:
+def _cuts(df: DataFrame, group: str, sizes: Column, ranked_rows: int) -> DataFrame:
     """Largest kept draw per group, from the group and ``_draw`` columns of ``df``."""
     plan, digits = _split_buckets(df, group, sizes, PREFIX), PREFIX
-    while True:
-        open_groups = plan.where("_fixed IS NULL")
-        at_cut = (attach_table(df, open_groups, [group], "inner")
-                  .where(F.substring("_draw", 1, digits) == F.col("_prefix")))
-        widest = open_groups.agg(F.max("_rows")).first()[0]
-        if widest is None or widest <= RANKED_ROWS or digits >= 32:
-            break
-        # Too many rows share the prefix to rank them in one task: look at more digits of those rows only.
+    fixed, ranked, wide = _sorted_out(plan, ranked_rows)
+    while digits < 32 and not wide.isEmpty():
+        # Too many rows of these groups share the prefix to rank them in one task: look at more digits of those rows only.
         digits += PREFIX
+        at_cut = attach_table(df, wide, [group], "inner").where(F.col("_draw").startswith(F.col("_prefix")))
         finer = _split_buckets(at_cut.select(group, "_draw", "_need"), group, F.col("_need"), digits, "_need")
-        plan = plan.where("_fixed IS NOT NULL").unionByName(finer)
-    ranked = at_cut.withColumn("_rank", F.row_number().over(Window.partitionBy(group).orderBy("_draw")))
-    found = ranked.where(F.col("_rank") == F.col("_need")).select(group, F.col("_draw").alias("_cut"))
-    return found.unionByName(plan.where("_fixed IS NOT NULL").select(group, F.col("_fixed").alias("_cut")))
+        more_fixed, more_ranked, wide = _sorted_out(finer, ranked_rows)
+        fixed, ranked = fixed.unionByName(more_fixed), ranked.unionByName(more_ranked)
+    at_cut = (attach_table(df, ranked.unionByName(wide), [group], "inner")
+              .where(F.col("_draw").startswith(F.col("_prefix")))
+              .withColumn("_rank", F.row_number().over(Window.partitionBy(group).orderBy("_draw"))))
+    found = at_cut.where(F.col("_rank") == F.col("_need")).select(group, F.col("_draw").alias("_cut"))
+    return found.unionByName(fixed.select(group, F.col("_fixed").alias("_cut")))
+
+
+def _sorted_out(plan: DataFrame, ranked_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Groups with a fixed cut, with a bucket one task may rank, and with a bucket that is too large for that."""
+    small = F.col("_rows") <= ranked_rows
+    return (plan.where("_fixed IS NOT NULL"), plan.where(F.col("_fixed").isNull() & small),
+            plan.where(F.col("_fixed").isNull() & ~small))
 
 
 def _split_buckets(df: DataFrame, group: str, sizes: Column, digits: int, *carried: str) -> DataFrame:
@@ -54,9 +60,8 @@ def _split_buckets(df: DataFrame, group: str, sizes: Column, digits: int, *carri
              .withColumn("_size", sizes.cast("long")))
     split = (F.col("_size") > 0) & (F.col("_size") < F.col("_total"))
     here = F.when(split, (F.col("_upto") >= F.col("_size")) & (F.col("_upto") - F.col("_n") < F.col("_size"))) \
-        .otherwise(F.col("_upto") == F.col("_n"))
-    # A size that is reached exactly by whole buckets still cuts at the last of them, so a refined group whose
-    # bucket is needed in full keeps everything up to the end of that bucket.
+        .otherwise(F.col("_upto") == F.col("_total"))
+    # A refined group whose bucket is needed in full keeps everything up to the end of its last sub-bucket.
     kept_whole = F.rpad("_prefix", 32, "g") if digits > PREFIX else F.lit(_MAX_DRAW)
     return bounded_table(sized.where(here).select(
         group, "_prefix", (F.col("_size") - F.col("_upto") + F.col("_n")).alias("_need"), F.col("_n").alias("_rows"),
@@ -64,7 +69,7 @@ def _split_buckets(df: DataFrame, group: str, sizes: Column, digits: int, *carri
 
 
 def mark_n(df: DataFrame, sizes: Column | int, key: list[str], by: str | None = None, seed: int | str = SEED,
-           name: str = "picked") -> DataFrame:
+           name: str = "picked", ranked_rows: int | None = None) -> DataFrame:
     """Flag the sampled rows.
 
     ``sizes`` may use the group (``_group``) and its row count (``_total``). Smaller groups are kept whole.
@@ -73,15 +78,16 @@ def mark_n(df: DataFrame, sizes: Column | int, key: list[str], by: str | None =
     tagged = (df.withColumn("_draw", draw(seed, *key))
               .withColumn(group, F.col(by) if by else F.lit(0)))
     wanted = sizes if isinstance(sizes, Column) else F.lit(int(sizes))
-    cuts = bounded_table(_cuts(tagged.select(group, "_draw"), group, wanted))
+    limit = RANKED_ROWS if ranked_rows is None else ranked_rows
+    cuts = bounded_table(_cuts(tagged.select(group, "_draw"), group, wanted, limit))
     return (attach_table(tagged, cuts, [group], "inner")
             .withColumn(name, F.col("_draw") <= F.col("_cut")).drop("_draw", "_cut", group))
 
 
 def sample_n(df: DataFrame, sizes: Column | int, key: list[str], by: str | None = None,
-             seed: int | str = SEED) -> DataFrame:
+             seed: int | str = SEED, ranked_rows: int | None = None) -> DataFrame:
     """Exactly min(n, rows) rows, of the whole table or of each group."""
-    return mark_n(df, sizes, key, by, seed).where("picked").drop("picked")
+    return mark_n(df, sizes, key, by, seed, ranked_rows=ranked_rows).where("picked").drop("picked")
 
 
 def class_counts(df: DataFrame, target: str = "y") -> tuple[int, int]:

@@ -174,7 +174,7 @@ WITH {WITH_WINDOWS} SELECT packet_id, {KEY}, win, ord, iat FROM i WHERE in_windo
 def count_windows_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hot-key route, forced onto every key that has more than 20 packets."""
     keyed = fl.keyed_packets(fx.packets(spark, sf_dir))
-    return fl.count_windows(keyed, hot_rows=20, slice_us=3_600_000_000).select("packet_id", *FLOW_KEY, "win", "ord", "iat")
+    return fl.count_windows(keyed, hot_rows=20).select("packet_id", *FLOW_KEY, "win", "ord", "iat")
 
 
 @check("flow_iat", f"""
@@ -293,7 +293,7 @@ def select_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @check("float32_types", f"WITH {WITH_CLEAN} SELECT row_id, copy, " + ", ".join(
-    f"CAST(CAST({f} AS FLOAT) AS DOUBLE) AS {f}" for f in FEATURES) + " FROM clean")
+    f"CASE WHEN {f} = floor({f}) THEN {f} ELSE CAST(CAST({f} AS FLOAT) AS DOUBLE) END AS {f}" for f in FEATURES) + " FROM clean")
 def float32_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.model_types(cl.conform(clean_flows(spark, sf_dir), keep=("row_id", "copy")))
 
@@ -344,6 +344,14 @@ def sample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sa.sample_n(clean_flows(spark, sf_dir), 1000, ["row_id", "copy"], by="source_file").select("row_id", "copy", "source_file")
 
 
+@check("sample_n_refined", f"""
+WITH {WITH_CLEAN} SELECT row_id, copy, source_file FROM (
+  SELECT *, row_number() OVER (PARTITION BY source_file ORDER BY {sql_draw('row_id', 'copy')}) AS rn FROM clean)
+WHERE rn <= 1000""")
+def sample_n_refined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sa.sample_n(clean_flows(spark, sf_dir), 1000, ["row_id", "copy"], by="source_file", ranked_rows=1).select("row_id", "copy", "source_file")
+
+
 @check("sample_single", f"""
 WITH {WITH_CLEAN} SELECT row_id, copy FROM clean ORDER BY {sql_draw('row_id', 'copy')} LIMIT 50000""")
 def sample_single(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,7 +426,7 @@ def align_xy(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- scaling and grid
 
 # Rows in the precision the models see, with the fitted scaler beside them.
-F32 = ", ".join(f"CAST(CAST({f} AS FLOAT) AS DOUBLE) AS {f}" for f in FEATURES)
+F32 = ", ".join(f"CASE WHEN {f} = floor({f}) THEN {f} ELSE CAST(CAST({f} AS FLOAT) AS DOUBLE) END AS {f}" for f in FEATURES)
 SCALER_STATS = ", ".join(
     f"avg({f}) AS m_{f}, CASE WHEN min({f}) = max({f}) THEN 1.0e0 ELSE stddev_pop({f}) END AS s_{f}" for f in FEATURES)
 WITH_SCALER = WITH_ROWS + f""",

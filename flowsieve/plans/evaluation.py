@@ -12,7 +12,7 @@ from ..operators import curves as cu
 from ..operators import metrics as me
 from ..operators import sampling as sa
 from ..operators import scaling as sc
-from ..schema import ALERT_THRESHOLD, CROSS_EVAL_CAP, SEED, SINGLE_EVAL_CAP
+from ..schema import ALERT_THRESHOLD, SEED
 from ..session import materialize
 from .training import TrainingRun, available, score_all
 
@@ -26,10 +26,14 @@ def evaluate_external(run: TrainingRun, flows: DataFrame, codes: list[str] | Non
     models = available(run, codes or registry.CODES)
     wide = score_all(run.transform(tagged, keep=("y",)), models)
     long = me.long_scores(wide, list(models), ["y"] if label else [])
-    mix = me.prediction_mix(long, ["model"])
-    if not label:
-        return mix
-    return me.compare_models(long).join(mix.select("model", "total", "benign", "attack", "attack_pct"), "model")
+    return me.with_mix(me.compare_models(long)) if label else me.prediction_mix(long, ["model"])
+
+
+def external_reports(run: TrainingRun, flows: DataFrame, codes: list[str] | None = None) -> DataFrame:
+    """Classification report of each model at hand on a labelled flow table."""
+    models = available(run, codes or registry.CODES)
+    wide = score_all(run.transform(cl.with_target(flows), keep=("y",)), models)
+    return me.classification_report(me.confusion(me.long_scores(wide, list(models), ["y"]), ["model"]))
 
 
 def cascade_scores(run: TrainingRun, scaled: DataFrame, layers: tuple[str, str] = LAYERS, anomaly: bool = True) -> DataFrame:
@@ -53,19 +57,25 @@ def score_flow_windows(run: TrainingRun, flows: DataFrame, layers: tuple[str, st
     return cascade_scores(run, scaled, layers, anomaly=False).select("_flow.*", "proba")
 
 
-def cross_source_report(run: TrainingRun, flows: DataFrame, key: list[str], cap: int = CROSS_EVAL_CAP, t1: float = ALERT_THRESHOLD,
+def cross_source_report(run: TrainingRun, flows: DataFrame, key: list[str], cap: int | None = None, t1: float = ALERT_THRESHOLD,
                         t2: float = ALERT_THRESHOLD, layers: tuple[str, str] = LAYERS, seed: int = SEED) -> DataFrame:
-    """The cascade at two thresholds on at most ``cap`` rows of every source: one scored table, one aggregation."""
+    """The cascade at two thresholds on every row of every source: one scored table, one aggregation.
+
+    ``cap`` (such as `schema.CROSS_EVAL_CAP`) judges on at most so many rows of each source instead.
+    """
     clean = cl.drop_non_finite(cl.clean_columns(flows))
-    sampled = cl.with_target(sa.sample_n(clean, cap, key, by="source_file", seed=f"{seed}:cross"))
+    sampled = cl.with_target(clean if cap is None else sa.sample_n(clean, cap, key, by="source_file", seed=f"{seed}:cross"))
     scored = cascade_scores(run, run.transform(sampled, keep=("source_file", "y")), layers, anomaly=False)
     return me.cross_dataset_eval(ca.cascade_threshold(scored, t1, t2))
 
 
-def single_source(run: TrainingRun, flows: DataFrame, key: list[str], cap: int = SINGLE_EVAL_CAP, seed: int = SEED) -> DataFrame:
-    """At most ``cap`` clean rows of one source, raw, with row id and target; the input of the two reports below."""
+def single_source(run: TrainingRun, flows: DataFrame, key: list[str], cap: int | None = None, seed: int = SEED) -> DataFrame:
+    """The clean rows of one source, raw, with row id and target; the input of the two reports below.
+
+    ``cap`` (such as `schema.SINGLE_EVAL_CAP`) keeps at most so many rows instead of all.
+    """
     clean = cl.drop_non_finite(cl.clean_columns(flows))
-    sampled = cl.with_target(sa.sample_n(clean, cap, key, seed=f"{seed}:single"))
+    sampled = cl.with_target(clean if cap is None else sa.sample_n(clean, cap, key, seed=f"{seed}:single"))
     return materialize(cl.conform(sampled, keep=("row_id", "y")), "single-source")
 
 

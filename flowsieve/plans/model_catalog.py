@@ -183,6 +183,9 @@ def availability_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- streaming
 
+SLICE_FILES = 4       # files that a slice is written as, and that a micro-batch takes
+
+
 def _packet_slices(spark: SparkSession, sf_dir: str, slices: int = 4) -> str:
     """All packets in ``slices`` groups of files written in time order, so a stream reads them one after another."""
     path = scratch_path(spark, "packet-stream")
@@ -191,7 +194,7 @@ def _packet_slices(spark: SparkSession, sf_dir: str, slices: int = 4) -> str:
     lo, hi = packets.agg(F.min(us), F.max(us)).first()
     part = F.least(F.floor((us - lo) * slices / F.lit(hi - lo + 1)), F.lit(slices - 1))
     for i in range(slices):
-        write_packets(packets.where(part == i).coalesce(1), path)
+        write_packets(packets.where(part == i).repartition(SLICE_FILES), path)
     return path
 
 
@@ -207,7 +210,7 @@ def _run_to_table(spark: SparkSession, stream: DataFrame) -> DataFrame:
 @check("flow_stream", f"WITH {WITH_WINDOWS}, g AS ({FLOW_SELECT}) {FLOW_OUTPUT}")
 def stream_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four micro-batches; the flows must be those of the batch operator."""
-    packets = read_packets(spark, _packet_slices(spark, sf_dir), streaming=True, maxFilesPerTrigger="1")
+    packets = read_packets(spark, _packet_slices(spark, sf_dir), streaming=True, maxFilesPerTrigger=str(SLICE_FILES))
     return rounded(_run_to_table(spark, flow_stream(packets)).drop("src_ip", "dst_ip", "src_port", "dst_port"))
 
 
@@ -220,7 +223,7 @@ SELECT {KEY}, max(us) - min(us) AS flow_duration, CAST(sum(fwd) AS BIGINT) AS fw
 FROM placed GROUP BY {KEY}, run, win HAVING count(*) = 10""")
 def idle_eviction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gaps of more than a day drop the packets waiting before them."""
-    packets = read_packets(spark, _packet_slices(spark, sf_dir), streaming=True, maxFilesPerTrigger="1")
+    packets = read_packets(spark, _packet_slices(spark, sf_dir), streaming=True, maxFilesPerTrigger=str(SLICE_FILES))
     flows = _run_to_table(spark, flow_stream(packets, idle="24 hours", watermark="1 hour"))
     return flows.select(*FLOW_KEY, "flow_duration", "fwd_packets", (F.col("fwd_len_total") + F.col("bwd_len_total")).alias("bytes"))
 
@@ -228,7 +231,7 @@ def idle_eviction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check("live_threshold", _ALERT_SQL.format(t="0.7e0"))
 def live_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts of a stream whose threshold was raised to 0.7 before it started."""
-    packets = read_packets(spark, _packet_slices(spark, sf_dir), streaming=True, maxFilesPerTrigger="1")
+    packets = read_packets(spark, _packet_slices(spark, sf_dir), streaming=True, maxFilesPerTrigger=str(SLICE_FILES))
     base = scratch_path(spark, "alerts")
     set_threshold(spark, f"{base}/threshold", 0.7)
     alert_stream(flow_stream(packets), forward_share, f"{base}/threshold", f"{base}/alerts", f"{base}/rejected",

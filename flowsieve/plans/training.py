@@ -1,8 +1,9 @@
 """From labelled flows to fitted models.
 
-The order matters: clean, cap each source, drop duplicates, fit the scaler on everything that is left, and only
-then balance, cap and split (so the scaler has seen the test rows too). Two tables are written on the way: the distinct
-rows at model precision and the small split training table.
+The order matters: clean, cap each source, drop duplicates, fit the scaler on everything that is left (so it has seen
+the test rows too, and the rows of capped sources only), split off the test rows, and balance and cap the training side
+alone: models are fitted on a bounded table and judged on every test row. Three tables are written on the way: the
+distinct rows at model precision, the marked rows and the small training table.
 """
 
 from __future__ import annotations
@@ -65,20 +66,22 @@ class TrainingRun:
 
     @cached_property
     def split(self) -> DataFrame:
+        """All distinct rows, scaled, with ``is_test``."""
         scaled = sc.scaler_apply(self.rows, self.params)
-        balanced = sa.undersample(scaled, ["row_id"], self.ratio, self.seed)
-        capped = materialize(sa.stratified_cap(balanced, self.cap, ["row_id"], self.seed), "balanced")
-        return materialize(sa.mark_test(capped, self.fraction, ["row_id"], self.seed), "split")
+        return materialize(sa.mark_test(scaled, self.fraction, ["row_id"], self.seed), "split")
 
     @cached_property
     def train(self) -> DataFrame:
-        """Training rows; a small set is packed into few partitions, as every fit passes over it many times."""
-        train = self.split.where("NOT is_test").drop("is_test")
+        """Balanced and capped training rows; a small set is packed into few partitions, as every fit passes over it many times."""
+        left = self.split.where("NOT is_test").drop("is_test")
+        balanced = sa.undersample(left, ["row_id"], self.ratio, self.seed)
+        train = materialize(sa.stratified_cap(balanced, self.cap, ["row_id"], self.seed), "balanced")
         wanted = max(1, -(-train.count() // ROWS_PER_TASK))
         return train.coalesce(wanted) if wanted < train.rdd.getNumPartitions() else train
 
     @property
     def test(self) -> DataFrame:
+        """Every distinct row that was split off, neither balanced nor capped."""
         return self.split.where("is_test").drop("is_test")
 
     def model(self, code: str) -> Model:
@@ -118,12 +121,20 @@ def available(run: TrainingRun, codes: list[str], skipped: dict[str, str] | None
     for code in codes:
         try:
             found[code] = run.model(code)
-        except (ValueError, FileNotFoundError) as error:
+        except Exception as error:  # noqa: BLE001 - one model must not end the job; `model_status` reports it
             if skipped is not None:
-                skipped[code] = str(error)
+                skipped[code] = f"{type(error).__name__}: {str(error)[:500]}"
     return found
 
 
+def model_status(run: TrainingRun, codes: list[str]) -> DataFrame:
+    """One row per model: whether it can be had, and the reason if not."""
+    skipped: dict[str, str] = {}
+    found = available(run, codes, skipped)
+    rows = [(code, code in found, skipped.get(code)) for code in codes]
+    return run.split.sparkSession.createDataFrame(rows, "model string, available boolean, reason string")
+
+
 def score_all(scaled: DataFrame, models: dict[str, Model]) -> DataFrame:
     """``p_<code>`` and ``pred_<code>`` for every model, in one pass over the rows."""
     for code, model in models.items():
@@ -138,9 +149,9 @@ def compare_on_test(run: TrainingRun, codes: list[str], anomaly: bool = True) ->
     return me.compare_models(me.long_scores(wide, list(models)))
 
 
-def report_on_test(run: TrainingRun, codes: list[str]) -> DataFrame:
-    """Classification report of each model on the held-out rows."""
-    models = available(run, codes)
+def report_on_test(run: TrainingRun, codes: list[str], anomaly: bool = True) -> DataFrame:
+    """Classification report of each model on the held-out rows, the anomaly model included."""
+    models = available(run, [*codes, registry.ANOMALY] if anomaly else codes)
     wide = score_all(run.test, models)
     return me.classification_report(me.confusion(me.long_scores(wide, list(models)), ["model"]))
 

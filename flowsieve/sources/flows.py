@@ -71,40 +71,43 @@ def _read_with(spark: SparkSession, paths: str | list[str], header: str) -> Data
             .schema(schema).csv(paths))
 
 
-def read_flows(spark: SparkSession, path: str, exclude: Iterable[str] = (), mixed_headers: bool = False) -> DataFrame:
+def read_flows(spark: SparkSession, path: str, exclude: Iterable[str] = ()) -> DataFrame:
     """All flow CSV sources below ``path`` as one table tagged with ``source_file``.
 
-    Names come from the header, features are read as doubles without an inference pass. All files must share
-    one header unless ``mixed_headers`` is set, which reads one table per distinct header and concatenates
-    them by name.
+    Names come from each file's own header, features are read as doubles without an inference pass. Files are read by
+    header, one table for each, and concatenated by name; a column that a file lacks is null there.
     """
     exclude = list(exclude)
     lines = (spark.read.option("recursiveFileLookup", True).text(path)
              .where(_wanted(exclude) & (F.col("_metadata.file_block_start") == 0)))
-    if not mixed_headers:
-        first = lines.first()
-        if first is None:
-            raise FileNotFoundError(f"no flow CSV below {path}")
-        return _typed(_read_with(spark, path, first["value"]).where(_wanted(exclude)))
     per_file = (lines.select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("i"))
-                .groupBy("file").agg(F.min_by("value", "i").alias("header"))
-                .groupBy("header").agg(F.collect_list("file").alias("files")).orderBy("header"))
-    tables = [_typed(_read_with(spark, row["files"], row["header"]).where(_wanted(exclude))) for row in per_file.collect()]
-    if not tables:
+                .groupBy("file").agg(F.min_by("value", "i").alias("header")))
+    by_header: dict[str, list[str]] = {}
+    for row in per_file.toLocalIterator():      # as long as the listing that any file source holds
+        by_header.setdefault(row["header"], []).append(row["file"])
+    if not by_header:
         raise FileNotFoundError(f"no flow CSV below {path}")
-    return union_all(*tables)
+    if len(by_header) == 1:
+        return _typed(_read_with(spark, path, next(iter(by_header))).where(_wanted(exclude)))
+    return union_all(*[_typed(_read_with(spark, sorted(files), header)) for header, files in sorted(by_header.items())])
 
 
 def stage_flows(flows: DataFrame, path: str) -> DataFrame:
     """Write flows as Parquet partitioned by source and read them back with a unique ``row_id``.
 
-    Later passes then prune columns and sources, which text files cannot.
+    The id is the source's name, a 128-bit hash of the row and the number of its copy, so it does not depend on how
+    files were cut or how many tasks read them. Equal rows are counted before they are shuffled. Later passes prune
+    columns and sources, which text files cannot.
     """
     spark = flows.sparkSession
-    flows.write.mode("overwrite").partitionBy("source_file").parquet(path)
-    part = F.regexp_replace("_metadata.file_name", r"-[0-9a-f-]{36}", "")
-    return spark.read.parquet(path).withColumn(
-        "row_id", F.concat_ws(":", "source_file", part, F.col("_metadata.row_index").cast("string")))
+    columns = [F.col(f"`{c}`") for c in flows.columns]
+    halves = [F.lpad(F.hex(F.xxhash64(F.lit(salt), *columns)), 16, "0") for salt in (1, 2)]
+    counted = flows.groupBy(*columns).agg(F.count("*").alias("_copies"))
+    numbered = counted.select(*columns, F.concat_ws(":", "source_file", F.concat(*halves)).alias("_id"),
+                              F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)).alias("_copy"))
+    rows = numbered.select(*columns, F.concat_ws(":", "_id", F.col("_copy").cast("string")).alias("row_id"))
+    rows.write.mode("overwrite").partitionBy("source_file").parquet(path)
+    return spark.read.parquet(path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -25,7 +25,7 @@ def test_windows_of_ten(spark, n, closed):
     keyed = fl.keyed_packets(packets(spark, list(range(n))))
     assert fl.flow_features(keyed).count() == closed
     assert fl.count_windows(keyed).count() == closed * 10
-    assert fl.flow_features(keyed, hot_rows=5, slice_us=3).count() == closed
+    assert fl.flow_features(keyed, hot_rows=5).count() == closed
 
 
 def test_one_instant(spark):
@@ -53,14 +53,27 @@ def test_key_direction(spark):
     assert (icmp["port_a"], icmp["port_b"]) == (0, 0)
 
 
-@pytest.mark.parametrize("slice_us", [1_000_000, 3_600_000_000, 10 ** 15])
-def test_hot_route_equals_plain_route(spark, sf, slice_us):
+@pytest.mark.parametrize("hot_rows", [3, 20, 100])
+def test_hot_route_equals_plain_route(spark, sf, hot_rows):
     keyed = fl.keyed_packets(fx.packets(spark, sf))
     plain = fl.flow_features(keyed, endpoints=True)
-    hot = fl.flow_features(keyed, endpoints=True, hot_rows=20, slice_us=slice_us)
+    hot = fl.flow_features(keyed, endpoints=True, hot_rows=hot_rows)
     assert plain.exceptAll(hot).isEmpty() and hot.exceptAll(plain).isEmpty()
 
 
+def test_hot_route_with_bursts_and_null_protocol(spark):
+    """A key without protocol, one whose packets share an instant, and one that lives long with one full second."""
+    at = lambda n, us, proto, ip: packets(spark, [us(i) for i in range(n)], ip, "2.2.2.2", proto=proto)
+    table = (at(60, lambda i: 7 * i, None, "1.1.1.1").unionByName(at(95, lambda i: 5, 6, "1.1.1.2"))
+             .unionByName(at(90, lambda i: i * 3_600_000_000 if i < 30 else 29 * 3_600_000_000 + i, 17, "1.1.1.3")))
+    keyed = fl.keyed_packets(table.withColumn("packet_id", F.xxhash64("packet_id", "src_ip") % 100_000))
+    plain = fl.count_windows(keyed)
+    assert plain.count() == 60 + 90 + 90
+    for hot_rows in (2, 10, 50):
+        hot = fl.count_windows(keyed, hot_rows=hot_rows).select(*plain.columns)
+        assert plain.exceptAll(hot).isEmpty() and hot.exceptAll(plain).isEmpty()
+
+
 def test_plain_route_shuffles_packets_once(spark, sf):
     plan = fl.flow_features(fl.keyed_packets(fx.packets(spark, sf)))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1

@@ -147,3 +147,18 @@ def test_exact_quantile(spark, q):
     want = np.quantile(values.toPandas().v, q)
     assert exact_quantile(values, "v", q) == pytest.approx(want)
     assert exact_quantile(values, "v", q, small=10) == pytest.approx(want)
+
+
+def test_refined_route_is_exact_for_every_size(spark):
+    """Two skewed groups, one row per ranking task: every bucket is refined, also those needed in full."""
+    few = spark.range(330).select(F.col("id").alias("row_id"), F.when(F.col("id") % 11 == 0, 1).otherwise(0).alias("y"))
+    for n in (*range(0, 34), 48, 100, 199, 250, 299, 300, 301):
+        got = {r["y"]: r["count"] for r in sa.sample_n(few, n, ["row_id"], by="y", ranked_rows=1).groupBy("y").count().collect()}
+        assert got == {y: k for y, k in ((0, min(n, 300)), (1, min(n, 30))) if k}, n
+
+
+def test_refined_route_with_full_buckets(spark):
+    two = spark.range(40_000).select(F.col("id").alias("row_id"), (F.col("id") % 2).cast("int").alias("y"))
+    for n in (48, 982, 4900, 4901):
+        counts = sa.sample_n(two, n, ["row_id"], by="y", ranked_rows=1).groupBy("y").count().collect()
+        assert [r["count"] for r in counts] == [n, n]

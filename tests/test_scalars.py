@@ -90,6 +90,13 @@ def test_downsize_bounds(spark):
     assert dict(cl.apply_downsize(df).dtypes) == {"a": "tinyint", "b": "smallint", "c": "int", "d": "bigint", "e": "float"}
 
 
+def test_whole_numbers_stay_exact(spark):
+    df = spark.createDataFrame([(119_999_998.0, 0.1), (16_777_217.0, 119_999_998.5)], "flow_duration DOUBLE, flow_iat_mean DOUBLE")
+    rows = cl.model_types(df).collect()
+    assert [r["flow_duration"] for r in rows] == [119_999_998.0, 16_777_217.0]
+    assert [r["flow_iat_mean"] for r in rows] == [0.10000000149011612, 120_000_000.0]
+
+
 def test_drop_non_finite_looks_at_every_column(spark):
     inf = float("inf")
     df = spark.createDataFrame([(1.0, "a"), (inf, "a"), (-inf, "a"), (float("nan"), "a"), (None, "a"), (1.0, None)], "x DOUBLE, s STRING")

@@ -47,10 +47,24 @@ def test_values(spark, folder):
 def test_mixed_headers(spark, tmp_path):
     (tmp_path / "a.csv").write_text("Flow Duration,Label\n1,BENIGN\n")
     (tmp_path / "b.csv").write_text("Label, Flow Duration,Extra\nDDoS,2,7\n")
-    rows = read_flows(spark, str(tmp_path), mixed_headers=True).orderBy("flow_duration").collect()
+    rows = read_flows(spark, str(tmp_path)).orderBy("flow_duration").collect()
     assert [(r["flow_duration"], r["Label"], r["Extra"]) for r in rows] == [(1.0, "BENIGN", None), (2.0, "DDoS", "7")]
 
 
+def test_columns_in_another_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Flow Duration,Total Fwd Packets,Label\n1,2,BENIGN\n")
+    (tmp_path / "b.csv").write_text("Total Fwd Packets,Flow Duration,Label\n2,1,BENIGN\n")
+    rows = read_flows(spark, str(tmp_path)).select("flow_duration", "fwd_packets", "Label").collect()
+    assert [tuple(r) for r in rows] == [(1.0, 2.0, "BENIGN")] * 2
+
+
+def test_row_ids_do_not_depend_on_layout(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Flow Duration,Label\n" + "".join(f"{i % 40},x\n" for i in range(100)))
+    flows = read_flows(spark, str(tmp_path))
+    ids = [sorted(r["row_id"] for r in stage_flows(flows.repartition(n), str(tmp_path / f"staged{n}")).collect()) for n in (2, 8)]
+    assert ids[0] == ids[1] and len(set(ids[0])) == 100
+
+
 def test_nothing_to_read(spark, tmp_path):
     (tmp_path / "notes.txt").write_text("x")
     with pytest.raises(FileNotFoundError):

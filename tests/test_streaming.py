@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from flowsieve import fixtures as fx
 from flowsieve.operators import flows as fl
-from flowsieve.plans.model_catalog import _packet_slices, _run_to_table
+from flowsieve.plans.model_catalog import SLICE_FILES, _packet_slices, _run_to_table
 from flowsieve.schema import PACKET_SCHEMA
 from flowsieve.session import scratch_path
 from flowsieve.sources import read_packets
@@ -18,7 +18,7 @@ from flowsieve.streaming.flows import alert_stream, current_threshold, flow_stre
 
 
 def test_batch_equals_stream(spark, sf):
-    stream = read_packets(spark, _packet_slices(spark, sf, 3), streaming=True, maxFilesPerTrigger="1")
+    stream = read_packets(spark, _packet_slices(spark, sf, 3), streaming=True, maxFilesPerTrigger=str(SLICE_FILES))
     live = _run_to_table(spark, flow_stream(stream))
     batch = fl.flow_features(fl.keyed_packets(fx.packets(spark, sf)), endpoints=True).select(*live.columns)
     assert live.exceptAll(batch).isEmpty() and batch.exceptAll(live).isEmpty()
@@ -58,7 +58,7 @@ def test_threshold_is_read_per_batch(spark, sf):
         set_threshold(spark, f"{base}/t", 0.0)           # changed while the first batch is handled
         return flows.withColumn("proba", F.lit(0.5))
 
-    stream = read_packets(spark, packets, streaming=True, maxFilesPerTrigger="1")
+    stream = read_packets(spark, packets, streaming=True, maxFilesPerTrigger=str(SLICE_FILES))
     alert_stream(flow_stream(stream), score, f"{base}/t", f"{base}/out", f"{base}/bad", f"{base}/s", availableNow=True).awaitTermination()
     found = spark.read.parquet(f"{base}/out")
     assert len(seen) >= 2 and {r["threshold"] for r in found.select("threshold").distinct().collect()} == {0.0}
