@@ -532,8 +532,8 @@ def bayes_detection_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(me.bayes_rate(rated, [0.001, 0.05]).select("model", "theta", "bayes"))
 
 
-_REPORT = f"""
-WITH {WITH_SCORED}, cm AS (SELECT model, {CONFUSION} FROM long GROUP BY model),
+# Lines of a classification report over rows of (model, y, pred).
+REPORT_LINES = f"""cm AS (SELECT model, {CONFUSION} FROM long GROUP BY model),
 c AS (SELECT model, 'Benign' AS class, tn AS hit, tn + fn AS predicted, tn + fp AS support FROM cm
       UNION ALL SELECT model, 'Attack', tp, tp + fp, tp + fn FROM cm),
 f AS (SELECT model, class, support, CASE WHEN predicted > 0 THEN hit / predicted ELSE 0 END AS p,
@@ -546,7 +546,7 @@ UNION ALL SELECT model, 'weighted avg', round(sum(p * support) / sum(support), 6
   round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f GROUP BY model"""
 
 
-@check("classification_report", _REPORT)
+@check("classification_report", f"WITH {WITH_SCORED}, {REPORT_LINES}")
 def classification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(me.classification_report(me.confusion(long_scored(spark, sf_dir), ["model"])))
 

@@ -17,7 +17,7 @@ from ..streaming.flows import alert_stream, flow_stream, set_threshold
 from . import evaluation as ev
 from . import training as tr
 from .catalog import (
-    F32, FLOW_OUTPUT, FLOW_SELECT, KEY, SCALER_STATS, TARGET, WITH_CLEAN, WITH_KEYED, WITH_WINDOWS, _ALERT_SQL, check, distinct_flows,
+    CONFUSION, F32, FAMILY, RATES, REPORT_LINES, _bayes_sql, FLOW_OUTPUT, FLOW_SELECT, KEY, SCALER_STATS, TARGET, WITH_CLEAN, WITH_KEYED, WITH_WINDOWS, _ALERT_SQL, check, distinct_flows,
     forward_share, rounded, sql_draw,
 )
 
@@ -42,24 +42,28 @@ def all_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _SCALED[key]
 
 
-# Training as SQL: per-source cap, distinct rows, scaler, 1:1 balance, cap, 80/20 split.
+# Training as SQL: per-source cap, distinct rows, scaler, 80/20 split, then 1:1 balance and cap of the training side.
 WITH_TRAIN = WITH_CLEAN + f""",
 capped AS (SELECT * EXCLUDE (rn, copy) FROM (SELECT *, row_number() OVER (PARTITION BY source_file ORDER BY {sql_draw('row_id', 'copy', step='source')}) AS rn FROM clean)
   WHERE rn <= 40000),
 narrow AS (SELECT row_id, {TARGET} AS y, {F32} FROM (SELECT DISTINCT * FROM capped)),
 scaler AS (SELECT {SCALER_STATS} FROM narrow),
 scaled AS (SELECT row_id, y, {", ".join(f"(t.{f} - s.m_{f}) / s.s_{f} AS {f}" for f in FEATURES)} FROM narrow t CROSS JOIN scaler s),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {sql_draw('row_id', step='balance')}) AS rn FROM scaled),
+split AS (SELECT *, row_number() OVER (ORDER BY {sql_draw('row_id', step='split')}) <= ceil(0.2 * (SELECT count(*) FROM scaled)) AS is_test FROM scaled),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {sql_draw('row_id', step='balance')}) AS rn FROM split WHERE NOT is_test),
 balanced AS (SELECT * EXCLUDE (rn), row_number() OVER (PARTITION BY y ORDER BY {sql_draw('row_id', step='cap')}) AS rn2 FROM ranked
-  WHERE y = 1 OR rn <= (SELECT count(*) FROM scaled WHERE y = 1)),
-limited AS (SELECT * EXCLUDE (rn2) FROM balanced WHERE rn2 <= 20000 OR (SELECT count(*) FROM balanced) <= 40000),
-split AS (SELECT *, row_number() OVER (ORDER BY {sql_draw('row_id', step='split')}) <= ceil(0.2 * (SELECT count(*) FROM limited)) AS is_test FROM limited)"""
+  WHERE y = 1 OR rn <= (SELECT count(*) FROM ranked WHERE y = 1)),
+fitted AS (SELECT * EXCLUDE (rn2) FROM balanced WHERE rn2 <= 20000 OR (SELECT count(*) FROM balanced) <= 40000)"""
 
 
-@check("training_set", f"WITH {WITH_TRAIN} SELECT row_id, y, is_test, round(flow_bytes_s, 6) AS flow_bytes_s, round(fwd_packets, 6) AS fwd_packets FROM split")
+@check("training_set", f"""WITH {WITH_TRAIN},
+used AS (SELECT * FROM fitted UNION ALL SELECT * FROM split WHERE is_test)
+SELECT row_id, y, is_test, round(flow_bytes_s, 6) AS flow_bytes_s, round(fwd_packets, 6) AS fwd_packets FROM used""")
 def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole preparation in one result: which rows train, which test, in scaled units."""
-    return rounded(training_run(spark, sf_dir).split.select("row_id", "y", "is_test", "flow_bytes_s", "fwd_packets"))
+    run = training_run(spark, sf_dir)
+    used = run.train.withColumn("is_test", F.lit(False)).unionByName(run.test.withColumn("is_test", F.lit(True)))
+    return rounded(used.select("row_id", "y", "is_test", "flow_bytes_s", "fwd_packets"))
 
 
 # ---------------------------------------------------------------- single models, scored on every distinct flow
@@ -72,23 +76,40 @@ def _scored(code: str):
 
 
 def _nb_side(y: int) -> str:
-    terms = " - ".join(f"pow(t.{f} - c.m{y}_{f}, 2) / (2.0e0 * (c.v{y}_{f} + 1e-9 * c.widest))" for f in FEATURES)
-    logs = " + ".join(f"ln(2.0e0 * pi() * (c.v{y}_{f} + 1e-9 * c.widest))" for f in FEATURES)
-    return f"ln(c.n{y} / (c.n0 + c.n1)) - 0.5e0 * ({logs}) - {terms}"
+    terms = " - ".join(f"pow(t.{f} - nbc.m{y}_{f}, 2) / (2.0e0 * (nbc.v{y}_{f} + 1e-9 * nbc.widest))" for f in FEATURES)
+    logs = " + ".join(f"ln(2.0e0 * pi() * (nbc.v{y}_{f} + 1e-9 * nbc.widest))" for f in FEATURES)
+    return f"ln(nbc.n{y} / (nbc.n0 + nbc.n1)) - 0.5e0 * ({logs}) - {terms}"
 
 
 _NB_STATS = ", ".join(
     f"avg({f}) FILTER (WHERE y = {y}) AS m{y}_{f}, var_pop({f}) FILTER (WHERE y = {y}) AS v{y}_{f}" for f in FEATURES for y in (0, 1))
+WITH_NB = WITH_TRAIN + f""",
+nbc AS (SELECT {_NB_STATS}, count(*) FILTER (WHERE y = 0) AS n0, count(*) FILTER (WHERE y = 1) AS n1,
+  greatest({", ".join(f"var_pop({f})" for f in FEATURES)}) AS widest FROM fitted)"""
+
+
+def _nb_scores(rows: str, keep: str = "row_id, y", scaled: bool = False, missing: tuple[str, ...] = ()) -> str:
+    """WITH parts that score ``rows`` (raw unless ``scaled``) by naive Bayes as ``p``; missing features count as 0."""
+    raw = ", ".join(f"0.0e0 AS {f}" if f in missing else f"CASE WHEN {f} = floor({f}) THEN {f} ELSE CAST(CAST({f} AS FLOAT) AS DOUBLE) END AS {f}" for f in FEATURES)
+    every = (f"every AS (SELECT {keep}, {', '.join(FEATURES)} FROM ({rows}))" if scaled else
+             f"fine AS (SELECT {keep}, {raw} FROM ({rows})), every AS (SELECT {keep}, "
+             + ", ".join(f"(t.{f} - s.m_{f}) / s.s_{f} AS {f}" for f in FEATURES) + " FROM fine t CROSS JOIN scaler s)")
+    return f"""{WITH_NB}, {every},
+joint AS (SELECT {keep}, {_nb_side(0)} AS j0, {_nb_side(1)} AS j1 FROM every t CROSS JOIN nbc),
+p AS (SELECT {keep}, 1.0e0 / (1.0e0 + exp(-greatest(least(j1 - j0, 700.0e0), -700.0e0))) AS proba FROM joint)"""
+
+
+_ROWS_Y = f"SELECT *, {TARGET} AS y FROM (SELECT DISTINCT * EXCLUDE (copy) FROM clean)"
+_CLEAN_Y = f"SELECT *, {TARGET} AS y FROM clean"
 _NB_SQL = f"""
-WITH {WITH_TRAIN},
-c AS (SELECT {_NB_STATS}, count(*) FILTER (WHERE y = 0) AS n0, count(*) FILTER (WHERE y = 1) AS n1,
-  greatest({", ".join(f"var_pop({f})" for f in FEATURES)}) AS widest FROM split WHERE NOT is_test),
-rows_y AS (SELECT *, {TARGET} AS y FROM (SELECT DISTINCT * EXCLUDE (copy) FROM clean)),
-fine AS (SELECT row_id, y, {F32} FROM rows_y),
-every AS (SELECT row_id, y, {", ".join(f"(t.{f} - s.m_{f}) / s.s_{f} AS {f}" for f in FEATURES)} FROM fine t CROSS JOIN scaler s),
-joint AS (SELECT t.row_id, t.y, {_nb_side(0)} AS j0, {_nb_side(1)} AS j1 FROM every t CROSS JOIN c),
-p AS (SELECT row_id, y, 1.0e0 / (1.0e0 + exp(-greatest(least(j1 - j0, 700.0e0), -700.0e0))) AS proba FROM joint)
+WITH {_nb_scores(_ROWS_Y)}
 SELECT row_id, y, round(proba, 5) AS proba, CAST(proba > 0.5 AS INTEGER) AS pred FROM p"""
+_NB_LONG = ", long AS (SELECT 'nb' AS model, y, CAST(proba > 0.5 AS INTEGER) AS pred, proba FROM p)"
+_NB_TEST = _nb_scores("SELECT * FROM split WHERE is_test", scaled=True) + _NB_LONG
+_NB_ALL = _nb_scores(_CLEAN_Y, keep="y") + _NB_LONG
+_RATED = f", cm AS (SELECT model, {CONFUSION} FROM long GROUP BY model), rated AS (SELECT *, {RATES} FROM cm)"
+_QUALITY = f"""round(recall, 6) AS recall, round(tnr, 6) AS tnr, round(fpr, 6) AS fpr, round(accuracy, 6) AS accuracy,
+  round({_bayes_sql('0.001e0')}, 6) AS bayes_01, round({_bayes_sql('0.05e0')}, 6) AS bayes_50"""
 
 for _code in registry.CODES:
     if _code != "nb":
@@ -151,6 +172,68 @@ def decision_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.decision_grid(run, ev.single_source(run, fx.flows(spark, sf_dir), ROW))
 
 
+# ---------------------------------------------------------------- the same jobs with naive Bayes, which SQL can state
+
+@check("train_all_nb", f"WITH {_NB_TEST}{_RATED} SELECT model, tn, fp, fn, tp, {_QUALITY} FROM rated")
+def train_all_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judged on every test row of all distinct rows."""
+    return rounded(tr.compare_on_test(training_run(spark, sf_dir), ["nb"], anomaly=False))
+
+
+@check("train_report_nb", f"WITH {_NB_TEST}, {REPORT_LINES}")
+def train_report_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(tr.report_on_test(training_run(spark, sf_dir), ["nb"], anomaly=False))
+
+
+@check("evaluate_external_nb", f"""WITH {_NB_ALL}{_RATED} SELECT model, tn, fp, fn, tp, {_QUALITY}, tn + fp + fn + tp AS total,
+  tn + fn AS benign, fp + tp AS attack, round((fp + tp) / (tn + fp + fn + tp) * 100.0e0, 6) AS attack_pct FROM rated""")
+def evaluate_external_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(ev.evaluate_external(training_run(spark, sf_dir), fx.flows(spark, sf_dir), ["nb"]))
+
+
+@check("external_reports_nb", f"WITH {_NB_ALL}, {REPORT_LINES}")
+def external_reports_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(ev.external_reports(training_run(spark, sf_dir), fx.flows(spark, sf_dir), ["nb"]))
+
+
+@check("availability_quality_nb", f"WITH {_NB_ALL}{_RATED} SELECT model, tn, fp, fn, tp, {_QUALITY} FROM rated")
+def availability_quality_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All clean rows of the source."""
+    run = training_run(spark, sf_dir)
+    return rounded(ev.availability_report(run, ev.single_source(run, fx.flows(spark, sf_dir), ROW), ["nb"])["quality"])
+
+
+@check("cascade_models_nb", f"""WITH {_nb_scores(_ROWS_Y)}
+SELECT row_id, y, round(proba, 5) AS p1, CAST(proba > 0.5 AS INTEGER) AS pred, CAST(proba > 0.5 AS INTEGER) AS verdict FROM p""")
+def cascade_models_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Naive Bayes as both layers, without the anomaly layer."""
+    scored = ev.cascade_scores(training_run(spark, sf_dir), all_scaled(spark, sf_dir), ("nb", "nb"), anomaly=False)
+    return rounded(scored.select("row_id", "y", "p1", "pred", "verdict"), 5)
+
+
+@check("cascade_single_report_nb", f"WITH {_NB_ALL}{_RATED} SELECT tn, fp, fn, tp, {_QUALITY} FROM rated")
+def cascade_single_report_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = training_run(spark, sf_dir)
+    return rounded(ev.cascade_report(run, ev.single_source(run, fx.flows(spark, sf_dir), ROW), ("nb", "nb"))["quality"])
+
+
+_NB_SOURCES = _nb_scores(_CLEAN_Y + " WHERE NOT contains(lower(source_file), 'monday') AND NOT contains(lower(source_file), 'mock')", keep="source_file, y")
+
+
+@check("cascade_cross_report_nb", f"""WITH {_NB_SOURCES},
+sourced AS (SELECT source_file, y, CAST(proba >= 0.5 AS INTEGER) AS pred FROM p), cm AS (SELECT source_file, {CONFUSION} FROM sourced GROUP BY source_file)
+SELECT source_file, {FAMILY} AS attack_type, tn + fp + fn + tp AS samples, tn + fp AS benign, tp + fn AS attack,
+  round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) * 100.0e0 ELSE 0 END, 6) AS recall,
+  round(CASE WHEN tn + fp > 0 THEN tn / (tn + fp) * 100.0e0 ELSE 100 END, 6) AS tnr,
+  round((tp + tn) / (tn + fp + fn + tp) * 100.0e0, 6) AS accuracy FROM cm""")
+def cascade_cross_report_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every clean row of every source."""
+    flows = fx.flows(spark, sf_dir)
+    for token in flow_files.CROSS_EVAL_EXCLUDE:
+        flows = flows.where(~F.contains(F.lower("source_file"), F.lit(token)))
+    return rounded(ev.cross_source_report(training_run(spark, sf_dir), flows, ROW, layers=("nb", "nb")))
+
+
 # ---------------------------------------------------------------- the fitted cascade
 
 @check("cascade_models")
@@ -176,7 +259,7 @@ def cascade_single_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("availability_quality")
 def availability_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All ten models and the cascade layers on the 50,000-row evaluation sample."""
+    """All ten models on every clean row of the source."""
     run = training_run(spark, sf_dir)
     return ev.availability_report(run, ev.single_source(run, fx.flows(spark, sf_dir), ROW))["quality"]
 
