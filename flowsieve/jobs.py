@@ -19,7 +19,7 @@ from .schema import ALERT_THRESHOLD
 from .session import scratch_path, ship_package
 from .sources import mock_flows, read_flows, read_packets, resolve_source, stage_flows, write_metrics
 from .sources.flows import CROSS_EVAL_EXCLUDE, TRAIN_EXCLUDE
-from .streaming.flows import alert_stream, flow_stream
+from .streaming.flows import alert_stream, flow_stream, set_threshold
 
 TAGS = ("row_id", "source_file")   # columns of a staged table that are no data
 
@@ -87,22 +87,34 @@ def simulate(spark: SparkSession, data: str, models: str, out: str) -> None:
     write_all(ev.cascade_report(run, ev.single_source(run, one_source(spark, data), ["row_id"])), out)
 
 
-def live(spark: SparkSession, data: str, models: str, out: str, idle: str | None = None, **trigger):
-    """Packet stream to cascade alerts; the threshold table may change while it runs."""
+def live(spark: SparkSession, data: str, models: str, out: str, idle: str | None = None, model: str | None = None,
+         layers: tuple[str, str] = ev.LAYERS, **trigger):
+    """Packet stream to alerts of the cascade, or of one model; the threshold table may change while it runs."""
     run = tr.SavedRun(spark, models)
     packets = read_packets(spark, data, streaming=True, maxFilesPerTrigger="100")
-    return alert_stream(flow_stream(packets, idle=idle), lambda flows: ev.score_flow_windows(run, flows), f"{out}/threshold",
+    def score(flows: DataFrame) -> DataFrame:
+        return ev.score_with_model(run, flows, model) if model else ev.score_flow_windows(run, flows, layers)
+
+    return alert_stream(flow_stream(packets, idle=idle), score, f"{out}/threshold",
                         f"{out}/alerts", f"{out}/rejected", f"{out}/checkpoint", **trigger)
 
 
+def threshold(spark: SparkSession, out: str, value: float) -> None:
+    """Set the threshold of the live job that writes to ``out``, from its next micro-batch on."""
+    set_threshold(spark, f"{out}/threshold", value)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="flowsieve")
-    parser.add_argument("job", choices=["train", "evaluate", "cross-eval", "availability", "simulate", "live"])
+    parser.add_argument("job", choices=["train", "evaluate", "cross-eval", "availability", "simulate", "live", "threshold"])
     for name in ("data", "models", "out"):
         parser.add_argument(f"--{name}", required=True)
     parser.add_argument("--t1", type=float, default=ALERT_THRESHOLD)
     parser.add_argument("--t2", type=float, default=ALERT_THRESHOLD)
     parser.add_argument("--idle", default=None)
+    parser.add_argument("--model", default=None, help="score live flows with one model")
+    parser.add_argument("--layers", nargs=2, default=ev.LAYERS, help="layers of the live cascade")
+    parser.add_argument("--threshold", type=float, default=ALERT_THRESHOLD)
     parser.add_argument("--mock", action="store_true", help="train on generated rows")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"flowsieve-{args.job}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
@@ -113,7 +125,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "cross-eval":
         cross_eval(*paths, args.t1, args.t2)
     elif args.job == "live":
-        live(*paths, args.idle).awaitTermination()
+        live(*paths, args.idle, args.model, tuple(args.layers)).awaitTermination()
+    elif args.job == "threshold":
+        threshold(spark, args.out, args.threshold)
     else:
         {"evaluate": evaluate, "availability": availability, "simulate": simulate}[args.job](*paths)
 

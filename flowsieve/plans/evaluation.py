@@ -57,6 +57,12 @@ def score_flow_windows(run: TrainingRun, flows: DataFrame, layers: tuple[str, st
     return cascade_scores(run, scaled, layers, anomaly=False).select("_flow.*", "proba")
 
 
+def score_with_model(run: TrainingRun, flows: DataFrame, code: str) -> DataFrame:
+    """Assembled flows with the probability of one model; their own columns stay raw."""
+    scaled = run.transform(flows.withColumn("_flow", F.struct(*flows.columns)), keep=("_flow",))
+    return run.model(code).score(scaled).select("_flow.*", "proba")
+
+
 def cross_source_report(run: TrainingRun, flows: DataFrame, key: list[str], cap: int | None = None, t1: float = ALERT_THRESHOLD,
                         t2: float = ALERT_THRESHOLD, layers: tuple[str, str] = LAYERS, seed: int = SEED) -> DataFrame:
     """The cascade at two thresholds on every row of every source: one scored table, one aggregation.

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import pytest
+
 from flowsieve import fixtures as fx
 from flowsieve import jobs
 from flowsieve.models import registry
+from flowsieve.plans import training as tr
 from flowsieve.sources.flows import write_flows_csv
 from flowsieve.sources.packets import write_packets
+from flowsieve.streaming.flows import current_threshold
 
 
 def test_jobs_on_csv(spark, sf, tmp_path, monkeypatch):
@@ -17,13 +21,15 @@ def test_jobs_on_csv(spark, sf, tmp_path, monkeypatch):
     assert run.rows.count() == run.rows.select("row_id").distinct().count()
     comparison = spark.read.parquet(f"{out}/comparison")
     assert {r["model"] for r in comparison.collect()} == {"nb", "dt", "ada", "et", "iforest"}
+    assert spark.read.parquet(f"{out}/report").count() == 25
+    assert [tuple(r) for r in spark.read.parquet(f"{out}/status").select("available", "reason").distinct().collect()] == [(True, None)]
 
     jobs.cross_eval(spark, data, models, out, 0.5, 0.5)
     cross = spark.read.parquet(f"{out}/cross_dataset").collect()
     assert len(cross) == 7 and all(r["accuracy"] > 90 for r in cross)
 
     jobs.evaluate(spark, data, models, out)
-    assert spark.read.parquet(f"{out}/external").count() == 4
+    assert spark.read.parquet(f"{out}/external").count() == 4 and spark.read.parquet(f"{out}/report").count() == 20
 
     jobs.simulate(spark, data, models, f"{out}/simulate")
     assert spark.read.parquet(f"{out}/simulate/sweep").count() == 100
@@ -32,3 +38,22 @@ def test_jobs_on_csv(spark, sf, tmp_path, monkeypatch):
     write_packets(fx.packets(spark, sf), packets)
     jobs.live(spark, packets, models, f"{out}/live", availableNow=True).awaitTermination()
     assert spark.read.option("recursiveFileLookup", True).parquet(f"{out}/live/alerts").columns[:2] == ["src_ip", "src_port"]
+
+    jobs.threshold(spark, f"{out}/one", 0.25)
+    assert current_threshold(spark, f"{out}/one/threshold") == 0.25
+    jobs.live(spark, packets, models, f"{out}/one", model="nb", availableNow=True).awaitTermination()
+    assert spark.read.option("recursiveFileLookup", True).parquet(f"{out}/one/alerts").where("proba < 0.25").isEmpty()
+
+
+def test_a_failing_model_gets_a_status_row(spark, sf, run, monkeypatch):
+    fit = registry.fit
+    monkeypatch.setattr(registry, "fit", lambda code, *a: fit(code, *a) if code == "nb" else 1 / 0)
+    fresh = type(run)(run.rows)
+    status = {r["model"]: (r["available"], r["reason"]) for r in tr.model_status(fresh, ["nb", "svm"]).collect()}
+    assert status["nb"] == (True, None) and not status["svm"][0] and "ZeroDivisionError" in status["svm"][1]
+
+
+def test_no_data_is_an_error_and_mock_is_asked_for(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(Exception):
+        jobs.train(spark, str(tmp_path / "empty"), str(tmp_path / "m"), str(tmp_path / "o"))
