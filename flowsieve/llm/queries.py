@@ -75,8 +75,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_trie.lm_scores(table(spark, sf_dir, "documents"))
 
 
+def _of_kind(kind: str):
+    return lambda x: x["kind"] == kind
+
+
 @query("op2_feistel_pseudonyms")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = pii.pseudonymised(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("found", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    counts = [F.size(F.filter(F.col("found"), _of_kind(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return named.select("doc_id", "text", *counts, F.transform("found", lambda x: F.concat_ws(":", x["kind"], x["value"])).alias("pseudonyms"))
