@@ -37,8 +37,10 @@ from flowsieve.session import materialize
 HEAD = 65_000
 TAIL = 65_535
 BEGIN, END = np.uint64(0xB0B0_0000_0000_0001), np.uint64(0xE0E0_0000_0000_0002)
-SHARD_TOKENS = 3_000_000
-ROWS = 2048
+SHARD_TOKENS = 1_000_000
+ROWS = 1024
+#: Partial sums a task holds before it passes them on.
+HELD_SUMS = 1_000_000
 
 
 class EliasFano:
@@ -224,7 +226,8 @@ def corpus_numbers(rows: DataFrame) -> Corpus:
 
 MESSAGE = ("shard int, key long, learnt binary, counts binary, ids binary, tail3 binary, tail2 binary, tail1 binary, "
            "doc_ids array<long>, n_tokens array<long>")
-PARTIAL = "key long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
+PARTIAL = "batch long, doc_ids array<long>, learnt binary, n_tokens array<long>, known binary, base binary, score binary"
+FINAL = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
 
 
 def messages(rows: DataFrame, corpus: Corpus, n_shards: int) -> DataFrame:
@@ -364,36 +367,69 @@ def lm_scores(docs: DataFrame, held_out_mod: int = 5, rule: Smoothing | None = N
     corpus = corpus_numbers(rows)
     n_shards = max(1, -(-int(corpus.total * held_out_mod / max(1, held_out_mod - 1)) // shard_tokens))
 
-    def score(group: pa.Table) -> pa.Table:
-        names = [x.split()[0] for x in PARTIAL.split(", ")]
-        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        if group["shard"][0].as_py() < 0:
-            out: list[list] = [[] for _ in names]
-            for key, learnt, ids, sizes in zip(*(group[c].to_pylist() for c in ("key", "learnt", "doc_ids", "n_tokens")), strict=True):
-                out[0] += range(key, key + len(ids))
-                out[1] += ids
-                out[2] += [not x for x in learnt]
-                out[3] += sizes
-                for column, value in zip(out[4:], (0, 0.0, 0.0), strict=True):
-                    column += [value] * len(ids)
-            return pa.table([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=names)
+    def row_of(batch: int, about: tuple | None, sums: tuple | None) -> pa.RecordBatch:
+        values = [[batch], *([x] for x in about or (None,) * 3), *([x.tobytes() if sums else None] for x in sums or (None,) * 3)]
+        kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names=[x.split()[0] for x in PARTIAL.split(", ")])
+
+    def add_shard(rows: list[tuple], held: dict[int, tuple[np.ndarray, ...]]) -> None:
+        """Add a shard's known tokens, base and score of each text to the sums of its batch."""
         columns: list[list[np.ndarray]] = [[] for _ in range(5)]
-        for row in zip(*(group[c].to_pylist() for c in ("key", "learnt", "counts", "ids", "tail3", "tail2", "tail1")), strict=True):
-            counts = np.frombuffer(row[2], np.uint32)
-            three, two, one = np.frombuffer(row[3], np.uint16).reshape(3, -1)
+        at = 0
+        for _, key, learnt, counts, ids, tail3, tail2, tail1, _, _ in rows:
+            counts = np.frombuffer(counts, np.uint32)
+            if key not in held:
+                held[key] = (np.zeros(len(counts), np.int64), np.zeros(len(counts)), np.zeros(len(counts)))
+            three, two, one = np.frombuffer(ids, np.uint16).reshape(3, -1)
             for column, value in zip(columns, (
-                    _unpack(three, row[4], 8), _unpack(two, row[5], 6), _unpack(one, row[6], 6),
-                    np.repeat(np.frombuffer(row[1], np.uint8).astype(bool), counts), np.repeat(row[0] + np.arange(len(counts)), counts)), strict=True):
+                    _unpack(three, tail3, 8), _unpack(two, tail2, 6), _unpack(one, tail1, 6),
+                    np.repeat(np.frombuffer(learnt, np.uint8).astype(bool), counts), np.repeat(np.arange(at, at + len(counts)), counts)), strict=True):
                 column.append(value)
-        last, before, first, learnt, keys = (np.concatenate(c) for c in columns)
-        known, base, part = shard_scores(last, before, first, learnt, corpus, rule)
-        at = _runs(keys)                            # tokens of a text lie together
-        sums = [np.add.reduceat(x, at) for x in (known.astype(np.int64), base, part)]
-        none = pa.nulls(len(at))
-        return pa.table([pa.array(keys[at]), none.cast(kinds[1]), none.cast(kinds[2]), none.cast(kinds[3]), *map(pa.array, sums)], names=names)
-
-    parts = messages(rows, corpus, n_shards).groupBy("shard").applyInArrow(score, PARTIAL)
-    summed = parts.groupBy("key").agg(*(F.max(c).alias(c) for c in ("doc_id", "held_out", "n_tokens")), *(F.sum(c).alias(c) for c in ("n_known", "base", "score")))
+            at += len(counts)
+        last, before, first, learnt, texts = (np.concatenate(c) for c in columns)
+        columns.clear()
+        sums = [np.bincount(texts, part, at) for part in shard_scores(last, before, first, learnt, corpus, rule)]
+        at = 0
+        for row in rows:
+            own = held[row[1]]
+            for total, part in zip(own, sums, strict=True):
+                total += part[at:at + len(total)].astype(total.dtype)
+            at += len(own[0])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Shards come one after the other; what they add to the texts of a batch is summed up before it is shuffled."""
+        rows: list[tuple] = []
+        held: dict[int, tuple[np.ndarray, ...]] = {}
+        for batch in rows_of(batches, 64):
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if rows and row[0] != rows[0][0]:
+                    add_shard(rows, held)
+                    rows = []
+                    if len(held) * ROWS > HELD_SUMS:
+                        yield from (row_of(key, None, sums) for key, sums in held.items())
+                        held = {}
+                if row[0] < 0:
+                    yield row_of(row[1], (row[8], row[2], row[9]), None)
+                else:
+                    rows.append(row)
+        if rows:
+            add_shard(rows, held)
+        yield from (row_of(key, None, sums) for key, sums in held.items())
+
+    def finish(group: pa.Table) -> pa.Table:
+        """All parts of one batch of texts."""
+        about = next(r for r in zip(*(group[c].to_pylist() for c in ("doc_ids", "learnt", "n_tokens")), strict=True) if r[0] is not None)
+        n = len(about[0])
+        sums = [np.zeros(n, np.int64), np.zeros(n), np.zeros(n)]
+        for total, name in zip(sums, ("known", "base", "score"), strict=True):
+            for part in group[name].to_pylist():
+                if part is not None:
+                    total += np.frombuffer(part, total.dtype)
+        return pa.table([pa.array(about[0], pa.int64()), pa.array([not x for x in about[1]]), pa.array(about[2], pa.int64()), *map(pa.array, sums)],
+                        names=[x.split()[0] for x in FINAL.split(", ")])
+
+    parts = messages(rows, corpus, n_shards).repartition("shard").sortWithinPartitions("shard").mapInArrow(score, PARTIAL)
+    summed = parts.groupBy("batch").applyInArrow(finish, FINAL)
     start = np.log10(corpus.texts + rule.head_weight * (corpus.texts + rule.head_mass * max(corpus.texts, 1)))
     whole = np.log10(corpus.total + 0.5 * (corpus.distinct + 1))
     return summed.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(corpus.total).cast("long").alias("train_tokens"),
