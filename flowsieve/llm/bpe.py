@@ -10,7 +10,6 @@ the ids. Nothing is shuffled and no vocabulary of the corpus is ever gathered.
 
 from __future__ import annotations
 
-import base64
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,18 +22,15 @@ from pyspark.sql import functions as F
 
 from flowsieve.llm import tokens
 from flowsieve.llm.line_rules import let
+from flowsieve.llm.tokens import load_ranks
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Pre-tokens of more bytes are merged by the tokenizer library: a fold's work grows with the square of the length.
 LONG = 192
 BUNDLE = 8192
 SLOTS = 1 << 17
-
-
-@lru_cache(maxsize=4)
-def load_ranks(path: str) -> dict[bytes, int]:
-    with open(path, "rb") as f:
-        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+#: An id that no token has, and a rank that no pair has.
+EDGE, NONE = 65535, 1 << 30
 
 
 def _places(pair: int) -> tuple[int, int]:
@@ -68,32 +64,43 @@ def _literal(values: list, kind: str) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
 
-def _rank(left: Column, right: Column, first: Column, second: Column) -> Column:
-    def find(pair: Column) -> Column:
-        a = F.get(first, (pair * 40_503 % 2_147_483_647 % SLOTS).cast("int"))
-        b = F.get(second, (pair * 30_011 % 2_147_483_629 % SLOTS).cast("int"))
-        return F.when(F.shiftright(a, 16) == pair, a.bitwiseAND(65535)).when(F.shiftright(b, 16) == pair, b.bitwiseAND(65535)).cast("int")
+def _found(pair: Column, lit: Column) -> Column:
+    """Rank of a pair (left id * 65536 + right id), NONE when it does not merge."""
+    a = F.get(lit["first"], (pair * 40_503 % 2_147_483_647 % SLOTS).cast("int"))
+    b = F.get(lit["second"], (pair * 30_011 % 2_147_483_629 % SLOTS).cast("int"))
+    return (F.when(F.shiftright(a, 16) == pair, a.bitwiseAND(65535)).when(F.shiftright(b, 16) == pair, b.bitwiseAND(65535))
+            .otherwise(NONE).cast("int"))
 
-    return let(left.cast("long") * 65536 + right, find)
 
+def merged(word: Column, lit: Column) -> Column:
+    """Fold ranked merges over a word's bytes.
+
+    The state is the list of ids, with a sign before and after them that merges with nothing, and the ranks of
+    neighbours in it. A step joins the leftmost pair of the lowest rank and looks up the two pairs it makes.
+    """
+    ids = F.concat(F.array(F.lit(EDGE)), F.transform(word, lambda b: F.get(lit["bytes"], b)), F.array(F.lit(EDGE)))
+    inner = F.transform(F.sequence(F.lit(0), F.size(word) - 2), lambda i: F.get(lit["two"], F.get(word, i) * 256 + F.get(word, i + 1)))
+    ranks = F.concat(F.array(F.lit(NONE)), inner, F.array(F.lit(NONE)))
 
-def merged(ids: Column, first: Column, second: Column) -> Column:
-    """Fold ranked merges over the ids of a word's bytes; a trailing -1 marks a word that no merge is left for."""
-    def step(state: Column, _: Column) -> Column:
-        ranks = F.transform(F.sequence(F.lit(0), F.size(state) - 2),
-                            lambda i: _rank(F.get(state, i), F.get(state, i + 1), first, second))
+    def step(s: Column, _: Column) -> Column:
+        ids, ranks = s["ids"], s["ranks"]
 
-        def join(all_: Column) -> Column:
-            def at(lowest: Column) -> Column:
-                j = F.array_position(all_, lowest).cast("int")
-                return F.when(lowest.isNull(), F.concat(state, F.array(F.lit(-1)))).otherwise(
-                    F.concat(F.slice(state, F.lit(1), j - 1), F.array(lowest), F.slice(state, j + 2, F.size(state))))
-            return let(F.array_min(all_), at)
+        def join(j: Column) -> Column:
+            new = F.get(ranks, j - 1)
+            pair = lambda left, right: let(left.cast("long") * 65536 + right, lambda p: _found(p, lit))
+            at = F.sequence(F.lit(0), F.size(ranks) - 2)       # of ranks; there is one more id
+            left, right = (lambda i: i < j - 2), (lambda i: i == j - 2)
+            return F.struct(
+                F.transform(F.sequence(F.lit(0), F.size(ids) - 2), lambda i: F.when(i < j - 1, F.get(ids, i)).when(i == j - 1, new)
+                            .otherwise(F.get(ids, i + 1))).alias("ids"),
+                F.transform(at, lambda i: F.when(left(i), F.get(ranks, i)).when(right(i), pair(F.get(ids, j - 2), new))
+                            .when(i == j - 1, pair(new, F.get(ids, j + 1))).otherwise(F.get(ranks, i + 1))).alias("ranks"))
 
-        return F.when((F.size(state) < 2) | (F.element_at(state, -1) == -1), state).otherwise(let(ranks, join))
+        return F.when(F.array_min(ranks) == NONE, s).otherwise(let(F.array_position(ranks, F.array_min(ranks)).cast("int"), join))
 
-    return F.when(F.size(ids) < 2, ids).otherwise(
-        F.filter(F.aggregate(F.sequence(F.lit(2), F.size(ids)), ids, step), lambda x: x >= 0))
+    folded = F.aggregate(F.sequence(F.lit(2), F.size(word)), F.struct(ids.alias("ids"), ranks.alias("ranks")), step,
+                         lambda s: F.slice(s["ids"], F.lit(2), F.size(s["ids"]) - 2))
+    return F.when(F.size(word) < 2, F.transform(word, lambda b: F.get(lit["bytes"], b))).otherwise(folded)
 
 
 def bundles(docs: DataFrame, path: str, rows: int = BUNDLE) -> DataFrame:
@@ -114,7 +121,7 @@ def bundles(docs: DataFrame, path: str, rows: int = BUNDLE) -> DataFrame:
                     library = library or tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_ranks(path), special_tokens={})
                     long_ids[i] = library.encode_ordinary(words[i].as_py().decode())
                 short = pc.if_else(pa.array(lengths > LONG), pa.scalar(b"", pa.binary()), words).to_pylist()
-                body = np.frombuffer(b"".join(short), np.uint8).astype(np.int16)
+                body = np.frombuffer(b"".join(short), np.uint8).astype(np.int32)
                 bounds = np.concatenate([[0], np.cumsum([len(w) for w in short], dtype=np.int64)]).astype(np.int32)
                 byte_lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(body))
                 positions = pa.ListArray.from_arrays(pa.array((offsets - offsets[0]).astype(np.int32)), coded.indices)
@@ -124,7 +131,7 @@ def bundles(docs: DataFrame, path: str, rows: int = BUNDLE) -> DataFrame:
                     names=["doc_ids", "words", "long_ids", "positions"])
 
     return tokens.split_documents(docs).mapInArrow(
-        bundle, "doc_ids array<long>, words array<array<smallint>>, long_ids array<array<int>>, positions array<array<int>>")
+        bundle, "doc_ids array<long>, words array<array<int>>, long_ids array<array<int>>, positions array<array<int>>")
 
 
 def encode_decode(docs: DataFrame, ranks: str = RANKS, rows: int = BUNDLE) -> DataFrame:
@@ -137,7 +144,8 @@ def encode_decode(docs: DataFrame, ranks: str = RANKS, rows: int = BUNDLE) -> Da
     by_id = {rank: token for token, rank in vocabulary.items()}
     top = max(by_id) + 1
     first, second = pair_tables(ranks)
-    literals = F.struct(
+    two = [vocabulary.get(bytes([a, b]), NONE) for a in range(256) for b in range(256)]
+    literals = F.struct(_literal(two, "int").alias("two"),
         _literal([vocabulary[bytes([b])] for b in range(256)], "int").alias("bytes"), _literal(first, "long").alias("first"),
         _literal(second, "long").alias("second"),
         _literal([i.to_bytes(4, "little").hex() for i in range(top)], "string").alias("ids"),
@@ -145,7 +153,7 @@ def encode_decode(docs: DataFrame, ranks: str = RANKS, rows: int = BUNDLE) -> Da
 
     def encode(lit: Column) -> Column:
         def word(w: Column, i: Column) -> Column:
-            ids = F.coalesce(F.get("long_ids", i), merged(F.transform(w, lambda b: F.get(lit["bytes"], b.cast("int"))), lit["first"], lit["second"]))
+            ids = F.coalesce(F.get("long_ids", i), merged(w, lit))
             return let(ids, lambda xs: F.struct(F.array_join(F.transform(xs, lambda x: F.get(lit["ids"], x)), "").alias("ids"),
                                                 F.array_join(F.transform(xs, lambda x: F.get(lit["pieces"], x)), "").alias("bytes")))
         def documents(table: Column) -> Column:

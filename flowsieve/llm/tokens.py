@@ -6,8 +6,10 @@ pre-token of a batch once (a worker remembers a bounded number of them), and gat
 
 from __future__ import annotations
 
+import base64
 import os
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -19,6 +21,8 @@ from pyspark.sql import functions as F
 from flowsieve.llm.common import ready
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+#: The same vocabulary as ranks, for the rank library.
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Pre-tokens a worker remembers before it starts anew.
 REMEMBER = 300_000
 _ENCODERS: dict[str, tuple[Callable, dict[str, bytes]]] = {}
@@ -29,8 +33,19 @@ def pretokens(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text.cast("string"), F.lit("")), F.lit("(?U)" + public_tokenizers.PATTERN), F.lit(0))
 
 
+@lru_cache(maxsize=4)
+def load_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as f:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+
+
 def _encoder(path: str) -> tuple[Callable, dict[str, bytes]]:
     if path not in _ENCODERS:
+        if path.endswith(".tiktoken"):
+            import tiktoken
+            ranks = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_ranks(path), special_tokens={})
+            _ENCODERS[path] = (lambda words: [np.array(ranks.encode_ordinary(w), "<u4").tobytes() for w in words]), {}
+            return _ENCODERS[path]
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         tokenizer = Tokenizer.from_file(path)
