@@ -55,19 +55,41 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: bytes, size: int = 5) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word shingles of the lower-cased text; fewer words: one for all of them."""
-    words = text.lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    values = np.array([_WORDS[w] for w in words], dtype=np.uint64)
-    width = min(size, len(values))
-    n = len(values) - width + 1
+def shingle_sets(texts: list[bytes], size: int = 5) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each text's word shingles, lower-cased; fewer words: one for all of them.
+
+    Words of all texts lie in one array, so a batch takes a few array operations, and windows across texts are skipped.
+    """
+    words = [t.lower().split() for t in texts]
+    sizes = [len(w) for w in words]
+    flat: list[int] = []
+    for ws in words:
+        flat += map(_WORDS.__getitem__, ws)
+    values = np.array(flat, np.uint64)
     with np.errstate(over="ignore"):
-        total = np.full(n, np.uint64(width), np.uint64)
-        for j in range(width):
-            total = _mix(total * ODD[0] + values[j:j + n])
-    return np.unique(total)
+        n = len(values) - size + 1
+        total = np.full(max(n, 0), np.uint64(size), np.uint64)
+        for j in range(size):
+            if n > 0:
+                total = total * ODD[0] + values[j:j + n]
+        total = _mix(total)
+        out, at = [], 0
+        for m in sizes:
+            if m >= size:
+                out.append(np.unique(total[at:at + m - size + 1]))
+            elif m:
+                few = np.uint64(m)
+                for v in values[at:at + m]:
+                    few = few * ODD[0] + v
+                out.append(_mix(np.array([few], np.uint64)))
+            else:
+                out.append(np.zeros(0, np.uint64))
+            at += m
+    return out
+
+
+def shingles(text: bytes, size: int = 5) -> np.ndarray:
+    return shingle_sets([text], size)[0]
 
 
 def fingerprint(items: np.ndarray) -> int:
@@ -82,6 +104,7 @@ class Threshold:
     den: int = 100
     ratio: float = 1.7
     slack: float = 0.4
+    salt: int = 0
 
     def partner(self, a: int) -> int:
         """The largest size that can still link with ``a``."""
@@ -127,16 +150,16 @@ def signatures(items: np.ndarray, t: Threshold) -> list[tuple[int, int, int, np.
         for level in range(LEVELS):
             group = band * LEVELS + level
             with np.errstate(over="ignore"):
-                mixed = _mix(items + np.uint64(group + 1) * ODD[1])
+                mixed = _mix(items + np.uint64(group + 1 + t.salt) * ODD[1])
                 part = (mixed >> np.uint64(11)) % np.uint64(parts)
                 order = np.argsort(part, kind="stable")
                 filled, first = np.unique(part[order], return_index=True)
                 content = np.add.reduceat(mixed[order] * ODD[2], first)
-                sigs = _mix(content + (filled + np.uint64(1)) * ODD[3] + np.uint64(group) * ODD[4])
+                sigs = _mix(content + (filled + np.uint64(1)) * ODD[3] + np.uint64(group + t.salt) * ODD[4])
                 short = d + 1 - len(filled)
                 if short > 0 and level == LEVELS - 1:
                     empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), filled)[:short]
-                    sigs = np.concatenate([sigs, _mix((empty + np.uint64(1)) * ODD[3] + np.uint64(group) * ODD[4])])
+                    sigs = np.concatenate([sigs, _mix((empty + np.uint64(1)) * ODD[3] + np.uint64(group + t.salt) * ODD[4])])
             out.append((group, len(sigs), d + 1, (sigs & SIG_MASK).astype(np.int64)))
             if short <= 0:
                 break
@@ -148,55 +171,99 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, size: int = 5) -> DataFrame:
-    """doc_id, n_shingles and the fingerprint of the set (null when it is empty) of every row."""
+    """doc_id, n_shingles, the fingerprint of the set (null when it is empty) and a hash of the text, of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches):
-            sets = [shingles(x, size) for x in texts_as_bytes(batch["text"])]
+            sets = shingle_sets(texts_as_bytes(batch["text"]), size)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64())],
-                names=["doc_id", "n_shingles", "fp"])
+                [batch["doc_id"], pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64()), batch["th"]],
+                names=["doc_id", "n_shingles", "fp", "th"])
 
-    return _documents(docs).mapInArrow(run, "doc_id long, n_shingles long, fp long")
+    return _documents(docs).withColumn("th", F.xxhash64("text")).mapInArrow(run, "doc_id long, n_shingles long, fp long, th long")
 
 
 def signature_rows(docs: DataFrame, t: Threshold, size: int = 5) -> DataFrame:
-    """sig, fp, grp, filled, keep: one row per signature of each distinct set (a task signs equal sets once)."""
+    """sig, fp, grp: one row per signature of each distinct set (a task signs equal sets once).
+
+    ``grp`` holds the partition and, in its lower half, how many of the set's filled parts may be left out.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in rows_of(batches, 256):
             found: list[tuple] = []
-            for text in texts_as_bytes(batch["text"]):
-                items = shingles(text, size)
+            for items in shingle_sets(texts_as_bytes(batch["text"]), size):
                 if len(items) and (fp := fingerprint(items)) not in seen:
                     if len(seen) < 1_000_000:
                         seen.add(fp)
-                    found += [(fp, *s) for s in signatures(items, t)]
+                    found += [(fp, (group << 32) + filled - keep + (1 << 31), sigs) for group, filled, keep, sigs in signatures(items, t)]
             if found:
-                times = [len(f[4]) for f in found]
-                columns = [np.repeat(np.array([f[i] for f in found], kind), times) for i, kind in ((0, np.int64), (1, np.int32), (2, np.int32), (3, np.int32))]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[4] for f in found])), *map(pa.array, columns)],
-                                                 names=["sig", "fp", "grp", "filled", "keep"])
+                times = [len(f[2]) for f in found]
+                columns = [np.repeat(np.array([f[i] for f in found], np.int64), times) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[2] for f in found])), *map(pa.array, columns)], names=["sig", "fp", "grp"])
 
-    return _documents(docs).select("text").mapInArrow(run, "sig long, fp long, grp int, filled int, keep int")
+    return _documents(docs).select("text").mapInArrow(run, "sig long, fp long, grp long")
 
 
 def kept_signatures(rows: DataFrame) -> DataFrame:
-    """(sig, fp): for each set and partition, those of its ``keep`` rarest signatures that another set has too."""
+    """(sig, fp, df): for each set and partition, those of its rarest signatures that another set has too.
+
+    All of a set's filled parts but those that may be left out are kept, in order of frequency; those that no other
+    set has are the rarest and need no row.
+    """
     same = Window.partitionBy("sig")
-    shared = (rows.repartition("sig").dropDuplicates(["sig", "fp"]).withColumn("df", F.count("*").over(same)).filter(F.col("df") > 1))
+    shared = (rows.repartition("sig").withColumns({"df": F.count("*").over(same), "lo": F.min("fp").over(same), "hi": F.max("fp").over(same)})
+              .filter("lo <> hi").select("sig", "fp", "grp", "df").distinct())
     own = Window.partitionBy("fp", "grp")
     ranked = shared.withColumns({"nth": F.row_number().over(own.orderBy("df", "sig")), "shared": F.count("*").over(own)})
-    return ranked.filter(F.col("nth") <= F.col("keep") - (F.col("filled") - F.col("shared"))).select("sig", "fp")
+    left_out = F.col("grp").bitwiseAND((1 << 32) - 1) - (1 << 31)
+    return ranked.filter(F.col("nth") <= F.col("shared") - left_out).select("sig", "fp", "df")
+
+
+#: Signatures of more sets than this are replaced by those of a finer partition.
+FREQUENT = 128
+
+
+def groups(docs: DataFrame, rows: DataFrame, t: Threshold, size: int = 5) -> tuple[DataFrame, DataFrame]:
+    """(sig, fp) groups in which every linking pair of sets meets, and the sets (fp, items) of their members.
+
+    A pair that meets in no signature below ``FREQUENT`` meets in a frequent one, so both sets have one: those sets sign
+    again, by narrower bands and many more parts, where what they have of their own weighs more. Groups with equal
+    members are one group.
+    """
+    kept = materialize(kept_signatures(signature_rows(docs, t, size)), "signatures")
+    sets = materialize(involved_sets(docs, kept, rows, size), "sets")
+    frequent = kept.filter(F.col("df") > FREQUENT).select("fp").distinct()
+    fine = Threshold(t.num, t.den, 1.2, 5.0, 1 << 20)
+    refined = kept_signatures(set_signature_rows(sets.join(frequent, "fp", "left_semi"), fine))
+    both = materialize(kept.filter(F.col("df") <= FREQUENT).select("sig", "fp").union(refined.select("sig", "fp")), "groups")
+    marks = both.groupBy("sig").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("fp")).alias("x"), F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("y"))
+    first = marks.filter("n > 1").groupBy("n", "x", "y").agg(F.min("sig").alias("sig")).select("sig")
+    return materialize(both.join(first, "sig", "left_semi"), "groups"), sets
+
+
+def set_signature_rows(sets: DataFrame, t: Threshold) -> DataFrame:
+    """sig, fp, grp as `signature_rows` gives them, of sets at hand."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows_of(batches, 128):
+            for fp, items in zip(batch["fp"].to_pylist(), batch["items"], strict=True):
+                for group, filled, keep, sigs in signatures(items.values.to_numpy().astype(np.uint64), t):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(sigs), pa.array(np.full(len(sigs), fp)), pa.array(np.full(len(sigs), (group << 32) + filled - keep + (1 << 31)))],
+                        names=["sig", "fp", "grp"])
+
+    return sets.mapInArrow(run, "sig long, fp long, grp long")
 
 
-def involved_sets(docs: DataFrame, members: DataFrame, size: int = 5) -> DataFrame:
+def involved_sets(docs: DataFrame, members: DataFrame, rows: DataFrame, size: int = 5) -> DataFrame:
     """fp and shingles of one document of each class among ``members``.
 
-    A bitmap of fixed size over the fingerprints lets tasks pass on only texts that may be asked for; the join decides.
+    A bitmap of fixed size over the hashes of these documents' texts lets tasks pass over the others unread; what gets
+    through by chance is dropped by the join.
     """
     wanted = members.select("fp").distinct()
-    bit = F.pmod(F.col("fp"), F.lit(FILTER_BITS)) + 1        # positions from 1, as the bitmap functions number them
-    maps = (wanted.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect())
+    texts = rows.filter("fp IS NOT NULL").groupBy("fp").agg(F.min("th").alias("th")).join(wanted, "fp", "left_semi")
+    bit = F.pmod(F.col("th"), F.lit(FILTER_BITS)) + 1        # positions from 1, as the bitmap functions number them
+    maps = (texts.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect())
     bits = np.zeros(FILTER_BITS, dtype=bool)
     for row in maps:          # at most FILTER_BITS / 32768 rows of 4 KB
         start = (row["bucket"] - 1) * 32768
@@ -204,20 +271,20 @@ def involved_sets(docs: DataFrame, members: DataFrame, size: int = 5) -> DataFra
     packed = np.packbits(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = np.unpackbits(packed)
+        lookup = np.unpackbits(packed).astype(bool)
         seen: set[int] = set()
         for batch in rows_of(batches, 256):
+            batch = batch.filter(pa.array(lookup[batch["th"].to_numpy() % FILTER_BITS]))
             found = {}
-            for text in texts_as_bytes(batch["text"]):
-                items = shingles(text, size)
-                if len(items) and (fp := fingerprint(items)) not in seen and lookup[fp % FILTER_BITS]:
+            for items in shingle_sets(texts_as_bytes(batch["text"]), size):
+                if len(items) and (fp := fingerprint(items)) not in seen:
                     found[fp] = items.astype(np.int64)
                     if len(seen) < 1_000_000:
                         seen.add(fp)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.int64()), pa.array(list(found.values()), pa.list_(pa.int64()))], names=["fp", "items"])
 
-    sets = _documents(docs).select("text").mapInArrow(run, "fp long, items array<long>")
+    sets = _documents(docs).select("text", F.xxhash64("text").alias("th")).mapInArrow(run, "fp long, items array<long>")
     return sets.join(wanted, "fp", "left_semi").dropDuplicates(["fp"])
 
 
@@ -233,51 +300,71 @@ def linked(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """node, root: the smallest node of each node's connected component, by alternating large and small stars.
 
-    Each round rewrites the edges in two shuffles into the shared folder; rounds grow with the logarithm of the longest chain.
+    Each round rewrites the edges into the shared folder, until every edge leads to a root. Rounds grow with the logarithm
+    of the longest chain, and no task holds more than the neighbours of one node.
     """
     edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
-    before = None
+    least = Window.partitionBy("u")
     while True:
-        n, total = edges.agg(F.count("*"), F.sum((F.xxhash64("u", "v") % 1_000_003).cast("long"))).first()
-        if (n, total) == before or not n:
-            break
-        before = n, total
         both = edges.union(edges.select(F.col("v"), F.col("u")))
-        least = Window.partitionBy("u")
         large = (both.withColumn("m", F.least(F.col("u"), F.min("v").over(least))).filter(F.col("v") > F.col("u"))
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")))
         low = large.withColumn("m", F.min("v").over(least))
         small = low.select("u", F.col("m").alias("v")).union(low.select(F.col("v").alias("u"), F.col("m").alias("v"))).filter("u <> v").distinct()
         edges = materialize(small, "edges")
-    return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
+        if edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
+            return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
+
+
+def _rename(roots: DataFrame, nodes: DataFrame, node: str, root: str) -> DataFrame:
+    """``nodes`` with the root of ``node``: itself where it links with nothing."""
+    named = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    return nodes.join(named, F.col(node) == F.col("_node"), "left").withColumn(root, F.coalesce("_root", node)).drop("_node", "_root")
+
+
+#: Hubs each member of a signature's group is compared with in a round.
+HUBS = 3
 
 
-def link_classes(docs: DataFrame, t: Threshold, size: int = 5, rounds: int = 3) -> DataFrame:
-    """(node, root) over fingerprints of classes that link with another class."""
+def link_classes(docs: DataFrame, rows: DataFrame, t: Threshold, size: int = 5, rounds: int = 3) -> DataFrame:
+    """(node, root) over fingerprints of classes that link with another class.
+
+    A round compares every member of a group with a few hubs of it, unless they are in one component already. Once
+    what is left to compare between components is no more than a few rows per signature, or after ``rounds`` rounds,
+    all of it is compared; so the rounds only save work.
+    """
     spark = docs.sparkSession
-    kept = materialize(kept_signatures(signature_rows(docs, t, size)), "signatures")
-    links = spark.createDataFrame([], "a long, b long")
+    kept, sets = groups(docs, rows, t, size)
     roots = spark.createDataFrame([], "node long, root long")
     done = spark.createDataFrame([], "a long, b long")
-    sets = None
     for turn in range(rounds + 1):
-        named = kept.join(roots, kept["fp"] == roots["node"], "left").select("sig", "fp", F.coalesce("root", "fp").alias("root"))
         group = Window.partitionBy("sig")
-        mixed = named.withColumns({"lo": F.min("root").over(group), "hi": F.max("root").over(group)}).filter("lo <> hi").drop("lo", "hi")
-        if turn < rounds:
-            hub = F.min(F.struct(F.xxhash64("fp", F.lit(turn)).alias("h"), F.col("fp").alias("fp"), F.col("root").alias("root"))).over(group)
-            pairs = mixed.withColumn("hub", hub).filter(F.col("hub.root") != F.col("root")).select(F.col("hub.fp").alias("x"), F.col("fp").alias("y"))
-        else:
+        named = _rename(roots, kept, "fp", "root") if turn else kept.withColumn("root", F.col("fp"))
+        mixed = materialize(named.withColumns({"lo": F.min("root").over(group), "hi": F.max("root").over(group)}).filter("lo <> hi").drop("lo", "hi"), "groups")
+        per = mixed.groupBy("sig", "root").agg(F.count("*").alias("m")).groupBy("sig").agg((F.pow(F.sum("m"), 2) - F.sum(F.pow("m", 2))).alias("open"), F.sum("m").alias("m"))
+        left, members = per.agg(F.coalesce(F.sum("open"), F.lit(0.0)) / 2, F.coalesce(F.sum("m"), F.lit(0))).first()
+        if not members:
+            break
+        last = turn == rounds or left <= 4 * members
+        if last:
             other = mixed.select("sig", F.col("fp").alias("y"), F.col("root").alias("y_root"))
             pairs = mixed.join(other, "sig").filter("root < y_root").select(F.col("fp").alias("x"), "y")
-        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        if pairs.isEmpty():
+        else:
+            hubs = [F.min(F.struct(F.xxhash64("fp", F.lit(HUBS * turn + i)).alias("h"), F.col("fp"), F.col("root"))).over(group) for i in range(HUBS)]
+            pairs = (mixed.select("fp", "root", F.array(*hubs).alias("hubs")).select("fp", "root", F.explode("hubs").alias("hub"))
+                     .filter(F.col("hub.root") != F.col("root")).select(F.col("hub.fp").alias("x"), F.col("fp").alias("y")))
+        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        pairs = materialize(pairs.join(done, ["a", "b"], "left_anti") if turn else pairs, "pairs")
+        found = materialize(linked(pairs, sets, t), "links")
+        if not found.isEmpty():
+            between = _rename(roots, _rename(roots, found, "a", "x"), "b", "y").select(F.col("x").alias("a"), F.col("y").alias("b")) if turn else found
+            fresh = components(between)
+            # old members follow their root; nodes that were roots of their own come with the new ones
+            moved = roots.join(fresh.select(F.col("node").alias("_n"), F.col("root").alias("_r")), F.col("root") == F.col("_n"), "left")
+            roots = materialize(moved.select("node", F.coalesce("_r", "root").alias("root")).union(fresh.join(roots.select("node"), "node", "left_anti")), "roots") if turn else fresh
+        if last:
             break
-        sets = sets if sets is not None else materialize(involved_sets(docs, kept, size), "sets")
         done = done.union(pairs)
-        links = links.union(materialize(linked(pairs, sets, t), "links"))
-        roots = components(links)
     return roots
 
 
@@ -290,17 +377,24 @@ def jaccard_join(docs: DataFrame, threshold: Threshold | None = None, size: int
     """
     t = threshold or Threshold()
     rows = materialize(classes(docs, size), "classes")
-    roots = link_classes(docs, t, size)
+    roots = link_classes(docs, rows, t, size)
     own = rows.filter("fp IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("least"))
     owners = own.join(roots, own["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = owners.join(owners.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    return rows.join(named, "fp", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return rows.drop("th").join(named, "fp", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, threshold: Threshold | None = None) -> DataFrame:
-    """The documents with the smallest id of their component, all columns unchanged; rows without id stay."""
+    """The documents with the smallest id of their component, all columns unchanged; rows without id stay.
+
+    Of rows that repeat an id with the same text one stays.
+    """
     gone = jaccard_join(docs, threshold).filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    kept = docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    again = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
+    if again.isEmpty():
+        return kept
+    return kept.filter("doc_id IS NULL").unionByName(kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]))
 
 
 ORACLE = r"""
