@@ -140,10 +140,10 @@ def test_isolation_forest(spark, small):
 
 
 @pytest.mark.parametrize("code", ["dt", "ada", "et", "knn", "lr", "svm", "nb", "rf"])
-def test_beats_the_majority_class(run, code):
-    test = run.test
-    share = test.agg(F.avg("y")).first()[0]
-    assert accuracy(run.model(code), test) > max(share, 1 - share) + 0.2
+def test_beats_one_class(run, code):
+    """Mean share of hits per class: the test rows are as unbalanced as the flows."""
+    hits = run.model(code).score(run.test).groupBy("y").agg(F.avg((F.col("y") == F.col("pred")).cast("int")).alias("hit")).collect()
+    assert len(hits) == 2 and sum(r["hit"] for r in hits) / 2 > 0.7
 
 
 @pytest.mark.parametrize("code", ["dt", "ada", "et", "knn", "svm", "nb", "iforest"])
