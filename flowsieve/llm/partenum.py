@@ -300,8 +300,9 @@ def linked(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """node, root: the smallest node of each node's connected component, by alternating large and small stars.
 
-    Each round rewrites the edges into the shared folder, until every edge leads to a root. Rounds grow with the logarithm
-    of the longest chain, and no task holds more than the neighbours of one node.
+    Each round rewrites the edges into the shared folder, until every edge leads to a root and every node to one only: a
+    node with two targets still ties two stars together. Rounds grow with the logarithm of the longest chain, and no task
+    holds more than the neighbours of one node.
     """
     edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
     least = Window.partitionBy("u")
@@ -312,8 +313,9 @@ def components(links: DataFrame) -> DataFrame:
         low = large.withColumn("m", F.min("v").over(least))
         small = low.select("u", F.col("m").alias("v")).union(low.select(F.col("v").alias("u"), F.col("m").alias("v"))).filter("u <> v").distinct()
         edges = materialize(small, "edges")
-        if edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
-            return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
+        if (edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
+                and edges.groupBy("u").count().filter("count > 1").isEmpty()):
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
 def _rename(roots: DataFrame, nodes: DataFrame, node: str, root: str) -> DataFrame:

@@ -66,6 +66,32 @@ def test_components_equal_all_pairs(spark, odd_rows, seed):
     assert sorted((str(r[0]), r[1], str(r[2])) for r in partenum.jaccard_join(df).collect()) == brute(rows)
 
 
+def roots_by_union_find(links):
+    root = {n: n for link in links for n in link}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for a, b in links:
+        root[max(top(a), top(b))] = min(top(a), top(b))
+    return {n: top(n) for n in root if top(n) != n}
+
+
+def chain_and_trees(seed):
+    """A path or a tree of up to 8 nodes in random order."""
+    rng = random.Random(seed)
+    names = rng.sample(range(1, 100), rng.randrange(2, 9))
+    return [(names[i], names[i - 1 if seed % 2 else rng.randrange(i)]) for i in range(1, len(names))]
+
+
+@pytest.mark.parametrize("links", [[(1, 4), (4, 3), (3, 5), (5, 2)], [(4, 2), (2, 5), (5, 1), (1, 3)], *map(chain_and_trees, range(6))])
+def test_components_join_all_that_is_linked(spark, links):
+    """The first chain ends a round with edges to roots only, two of them from one node."""
+    found = partenum.components(spark.createDataFrame(links, "a long, b long"))
+    assert sorted(map(tuple, found.collect())) == sorted(roots_by_union_find(links).items())
+
+
 def test_empty_and_clashing_tables(odd, odd_rows, empty):
     assert partenum.jaccard_join(empty).count() == 0
     assert partenum.jaccard_join(odd).count() == len(odd_rows)
