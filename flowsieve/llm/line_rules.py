@@ -2,8 +2,8 @@
 
 Lines are normalised (lower case, digits to 0, white space to single blanks) and hashed. Per host (``source``) the
 distinct documents of each line are counted; exact copies of a text are one document. Lines in more documents than the
-limit are taken out, and a document that loses more than ``max_lost`` of its words is rejected. A few per-document
-rules come first: too few words, too many words in repeated five-word windows.
+limit are taken out of the text, and a document that loses more than ``max_lost`` of its words is rejected. A few
+per-document rules come first: too few words, too many words in repeated five-word windows.
 """
 
 from __future__ import annotations
@@ -75,8 +75,8 @@ def _lines(docs: DataFrame) -> DataFrame:
             .filter(F.col("_l.w") > 0).groupBy("_host", "_d", "_p").agg(F.max("_l.h").alias("_h"), F.max("_l.w").alias("_w")))
 
 
-def depleted_texts(docs: DataFrame, share: float = SHARE, least: int = LEAST, max_lost: float = MAX_LOST) -> DataFrame:
-    """(_host, _d) of texts of which frequent lines hold more than ``max_lost`` of the words.
+def touched_texts(docs: DataFrame, share: float = SHARE, least: int = LEAST, max_lost: float = MAX_LOST) -> DataFrame:
+    """_host, _d, _cut and _gone of texts with frequent lines: their positions, and whether they hold more than ``max_lost`` of the words.
 
     The documents of a line are counted in two steps, so that a line of a third of all documents is summed where it
     lies; the join with the few frequent lines is left to adaptive execution, which splits or broadcasts it.
@@ -85,36 +85,64 @@ def depleted_texts(docs: DataFrame, share: float = SHARE, least: int = LEAST, ma
     lines = materialize(_lines(docs), "lines")
     counts = lines.groupBy("_host", "_h", "_d").agg(F.count("*").alias("_c")).groupBy("_host", "_h").agg(F.count("*").alias("_n"))
     frequent = counts.filter(F.col("_n") > least).join(hosts, "_host").filter(F.col("_n") > share * F.col("_docs")).select("_host", "_h", F.lit(True).alias("_often"))
-    touched = lines.join(frequent, ["_host", "_h"]).groupBy("_host", "_d").agg(F.sum("_w").alias("_lost"))
+    touched = lines.join(frequent, ["_host", "_h"]).groupBy("_host", "_d").agg(F.sum("_w").alias("_lost"), F.collect_list("_p").alias("_cut"))
     whole = lines.groupBy("_host", "_d").agg(F.sum("_w").alias("_words"))
-    return (touched.join(whole, ["_host", "_d"]).filter(F.col("_lost") > max_lost * F.col("_words")).select("_host", "_d"))
+    return touched.join(whole, ["_host", "_d"]).select("_host", "_d", "_cut", (F.col("_lost") > max_lost * F.col("_words")).alias("_gone"))
+
+
+def depleted_texts(docs: DataFrame, share: float = SHARE, least: int = LEAST, max_lost: float = MAX_LOST) -> DataFrame:
+    """(_host, _d) of texts of which frequent lines hold more than ``max_lost`` of the words."""
+    return touched_texts(docs, share, least, max_lost).filter("_gone").select("_host", "_d")
+
+
+def without_lines(text: Column, cut: Column) -> Column:
+    """The text without the lines at the positions ``cut``; as it is where that is null."""
+    def rest(lines: Column) -> Column:
+        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), cut)
+        return F.array_join(F.transform(places, lambda p: F.get(lines, p)), "\n")
+    return F.when(cut.isNull(), text).otherwise(let(F.split(text, "\n"), rest))
 
 
 def _prepared(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"_text": F.col("text").cast("string"), "_host": F.coalesce(F.col("source").cast("string"), F.lit(""))})
 
 
-def quality_rules(docs: DataFrame, share: float = SHARE, least: int = LEAST, max_lost: float = MAX_LOST) -> DataFrame:
-    """doc_id, the counts of `base_rules`, base_failed and kept, one row for each input row.
+def quality_rules(docs: DataFrame, share: float = SHARE, least: int = LEAST, max_lost: float = MAX_LOST, with_text: bool = False) -> DataFrame:
+    """doc_id, the counts of `base_rules`, base_failed and kept (and the text without frequent lines), one row for each input row.
 
-    Null text: no words, so base_failed. Null source: the host "". Repeated rows get equal verdicts. Columns besides
-    doc_id, text and source are ignored. An empty table gives an empty result.
+    Null text: no words, so base_failed. Null source: the host "". Repeated rows get equal verdicts. Counts and base
+    rules are those of the whole text. Columns besides doc_id, text and source are ignored. An empty table gives an
+    empty result.
     """
     rows = _prepared(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "source"))
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    if with_text:
+        touched = touched_texts(rows, share, least, max_lost)
+        measured = base_rules(rows).withColumn("_d", F.xxhash64("_text")).drop("text")
+        return (measured.join(touched, ["_host", "_d"], "left")
+                .withColumn("kept", ~F.col("base_failed") & ~F.coalesce("_gone", F.lit(False)))
+                .select(*names, without_lines(F.col("_text"), F.col("_cut")).alias("text")))
     gone = depleted_texts(rows, share, least, max_lost).withColumn("_gone", F.lit(True))
     measured = base_rules(rows).withColumn("_d", F.xxhash64("_text")).drop("text", "_text")
     return (measured.join(gone, ["_host", "_d"], "left")
             .withColumn("kept", ~F.col("base_failed") & F.col("_gone").isNull())
-            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"))
+            .select(*names))
 
 
 def keep_sound(docs: DataFrame, share: float = SHARE, least: int = LEAST, max_lost: float = MAX_LOST) -> DataFrame:
-    """The documents that pass base rules and are not depleted, all columns unchanged."""
-    rows = _prepared(docs)
-    gone = depleted_texts(rows, share, least, max_lost).withColumnsRenamed({"_host": "_gone_host", "_d": "_gone_d"})
-    sound = base_rules(rows).filter(~F.col("base_failed"))
-    return (sound.join(gone, (F.col("_host") == F.col("_gone_host")) & (F.xxhash64("_text") == F.col("_gone_d")), "left_anti")
-            .select(*docs.columns))
+    """The documents that pass base rules and are not depleted, without their frequent lines.
+
+    All columns stay, ``n_chars`` follows the new text.
+    """
+    rows = _prepared(docs.select(F.struct("*").alias("_row"), "text", "source"))
+    touched = touched_texts(rows, share, least, max_lost)
+    sound = base_rules(rows).filter(~F.col("base_failed")).withColumn("_d", F.xxhash64("_text")).select("_row", "_text", "_host", "_d")
+    kept = (sound.join(touched, ["_host", "_d"], "left").filter(~F.coalesce("_gone", F.lit(False)))
+            .select("_row", without_lines(F.col("_text"), F.col("_cut")).alias("_text")))
+    new = {"text": F.col("_text").cast(docs.schema["text"].dataType)}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
+    return kept.select(*[new.get(c, F.col("_row").getField(c)).alias(c) for c in docs.columns])
 
 
 ORACLE = r"""

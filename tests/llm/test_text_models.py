@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -93,6 +94,40 @@ def test_line_rules_on_odd_rows(spark, tmp_path, odd, empty):
     assert kept.columns == odd.columns and line_rules.quality_rules(empty).count() == 0
 
 
+def plain_removal(rows, share=0.01, least=20):
+    """Texts of (text, host) rows without frequent lines, and whether they lose more than half of their words."""
+    def norm(line):
+        return re.sub("[0-9]", "0", " ".join(re.findall(r"[^\x20\x09-\x0D]+", line)).lower())
+    hosts = {}
+    for text, host in rows:
+        hosts.setdefault(host, set()).add(text)
+    often = {}
+    for host, texts in hosts.items():
+        n = Counter(line for t in texts for line in {norm(x) for x in t.split("\n")} if line)
+        often[host] = {line for line, c in n.items() if c > least and c > share * len(texts)}
+    out = []
+    for text, host in rows:
+        kept = [x for x in text.split("\n") if norm(x) not in often[host]]
+        out.append(("\n".join(kept), 2 * len("\n".join(kept).split()) < len(text.split())))
+    return out
+
+
+def test_frequent_lines_are_taken_out_of_the_text(spark):
+    notice = "all rights  reserved by page 7"
+    rows = [(i, f"{notice}\n\n{prose(i)}\nALL rights reserved by page {i % 10} \n" + (prose(i + 500) + "\n" if i % 3 else ""), f"h{i % 2}", 1, "clash") for i in range(60)]
+    rows += [(100 + i, f"{notice}\n" * 3 + f"ten short words of its own stand here number {i} x", "h0", 1, "clash") for i in range(3)]
+    rows += [(200, f"{notice}\n{prose(77)}", "rare", 1, "clash"), (201, prose(78), None, 1, "clash"), (0, rows[0][1], "h0", 1, "clash")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int, _host string").repartition(3)
+    want = plain_removal([(r[1], r[2]) for r in rows])
+    full = line_rules.quality_rules(df, with_text=True)
+    assert sorted((r["doc_id"], r["text"]) for r in full.collect()) == sorted((r[0], t) for r, (t, _) in zip(rows, want, strict=True))
+    kept = line_rules.keep_sound(df)
+    failed = {r["doc_id"] for r in full.collect() if r["base_failed"]}
+    expect = [(r[0], t, r[2], len(t), "clash") for r, (t, gone) in zip(rows, want, strict=True) if not gone and r[0] not in failed]
+    assert kept.schema == df.schema and sorted(map(tuple, kept.collect()), key=str) == sorted(expect, key=str)
+    assert any(gone for _, gone in want) and len(expect) > 20 and not any("reserved" in e[1] for e in expect if e[2] in ("h0", "h1"))
+
+
 @pytest.mark.parametrize("name", sorted(corpus.ORACLE))
 def test_queries_match_sql(spark, sf, name):
     assert compare(corpus.QUERIES[name](spark, sf), duck(sf), corpus.ORACLE[name]) == []
