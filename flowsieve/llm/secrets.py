@@ -40,7 +40,7 @@ class CharClass:
 #: Random strings of the class pass, words and numbers do not: log2 of the window's width is the most it can have.
 CLASSES = (CharClass("base64", r"[A-Za-z0-9+/_=-]{24,}", 24, 4.0), CharClass("hex", r"[0-9A-Fa-f]{32,}", 32, 3.2))
 #: Candidates matching one of these in full are known to be harmless.
-ALLOW = (r"[A-Za-z_=/+-]*", r"[0-9_=/+.-]*", r"[A-Z]?[a-z]+(?:[-_/=+]?[A-Za-z]+)*[-_=/+]?[0-9]{0,6}",
+ALLOW = (r"[A-Za-z_=/+-]*", r"[0-9_=/+.-]*", r"[A-Z]?[a-z][A-Za-z]*(?:[-_/=+][A-Za-z]+)*[-_=/+]?[0-9]{0,6}",
          r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}")
 
 
