@@ -6,6 +6,7 @@ import random
 import re
 import time
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -55,6 +56,38 @@ def test_random_strings_are_found_and_allowed_ones_are_not():
         assert secrets.Scanner().scan(calm)[1] == []
 
 
+LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+#: Least shares of random strings of 16, 24 and 32 characters to be found.
+SHARES = [(LOWER + DIGITS, 0.88, 0.97, 0.99), (UPPER + DIGITS, 0.88, 0.97, 0.99), (UPPER + "234567", 0.72, 0.93, 0.98), (DIGITS + "ABCDEF", 0.94, 0.99, 0.99),
+          (DIGITS + "abcdef", 0.94, 0.99, 0.99), (LOWER + UPPER + DIGITS, 0.80, 0.96, 0.98), (LOWER + UPPER + DIGITS + "+/", 0.80, 0.96, 0.98)]
+
+
+@pytest.mark.parametrize(("alphabet", "at16", "at24", "at32"), SHARES)
+def test_share_of_random_strings_found(alphabet, at16, at24, at32):
+    rng = random.Random(alphabet)
+    for length, least in ((16, at16), (24, at24), (32, at32)):
+        found = [bool(secrets.Scanner().entropy("".join(rng.choices(alphabet, k=length)))) for _ in range(1000)]
+        assert sum(found) / 1000 >= least, (length, sum(found))
+
+
+def test_short_windows_raise_few_spans_on_names_with_a_number():
+    rng = random.Random(6)
+    words = "the history of painting stone bridge northern quality report chapter section document market water energy value region council".split()
+    for style in ("-", "_", "/", "", "upper"):
+        alarms = 0
+        for _ in range(500):
+            name = rng.choices(words, k=4)
+            name.insert(rng.randrange(5), str(rng.randrange(10_000)))
+            name = "".join(name).upper() if style == "upper" else style.join(name)
+            alarms += bool(secrets.Scanner(classes=secrets.CLASSES[2:]).entropy(name))
+        assert alarms <= 15, style
+
+
+def test_parts_of_allowed_strings_raise_no_span():
+    key = "x7Kd_" + "0a9b8c7d6e5f4a3b2c1d" + "/Zq"
+    assert secrets.Scanner().entropy(key) and not secrets.Scanner(allow_strings=frozenset({key})).entropy(f"see {key} here")
+
+
 def test_allow_list_takes_time_in_proportion():
     """A name of many letters that fails at its end; with nested quantifiers 24 letters took seconds."""
     began = time.process_time()
