@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowsieve.llm.common import ready, rows_of, texts_as_bytes
+from flowsieve.llm.common import WHITE, ready, rows_of, texts_as_bytes
 from flowsieve.session import materialize
 
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -387,16 +387,25 @@ def jaccard_join(docs: DataFrame, threshold: Threshold | None = None, size: int
 
 
 def one_of_each(docs: DataFrame, threshold: Threshold | None = None) -> DataFrame:
-    """The documents with the smallest id of their component, all columns unchanged; rows without id stay.
+    """One document of each component, all columns unchanged: the smallest id, then the smallest hash of the text.
 
-    Of rows that repeat an id with the same text one stays.
+    Rows without id come after those with one. Rows are told apart by id and text, so other texts of an id that goes
+    stay. Of rows that repeat an id with the same text one stays; rows with neither id nor words all stay.
     """
-    gone = jaccard_join(docs, threshold).filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
-    again = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
-    if again.isEmpty():
+    t = threshold or Threshold()
+    rows = materialize(classes(docs), "classes")
+    roots = link_classes(docs, rows, t)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("lost"), "doc_id", "th"))
+    own = rows.filter("fp IS NOT NULL").groupBy("fp").agg(best.alias("own"))
+    owners = own.join(roots, own["fp"] == roots["node"], "left").select("fp", "own", F.coalesce("root", "fp").alias("root"))
+    named = owners.join(owners.groupBy("root").agg(F.min("own").alias("best")), "root").select("fp", "best")
+    chosen = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("th") == F.col("best.th"))
+    gone = rows.join(named, "fp").filter(~chosen).select(F.col("doc_id").alias("_gone_id"), F.col("th").alias("_gone_th")).distinct()
+    kept = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col("_gone_id")) & (F.xxhash64(docs["text"].cast("string")) == F.col("_gone_th")), "left_anti")
+    if rows.filter("doc_id IS NOT NULL OR fp IS NOT NULL").groupBy("doc_id", "th").count().filter("count > 1").isEmpty():
         return kept
-    return kept.filter("doc_id IS NULL").unionByName(kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]))
+    blank = F.col("doc_id").isNull() & ~F.coalesce("text", F.lit("")).rlike(f"[^{WHITE}]")
+    return kept.filter(blank).unionByName(kept.filter(~blank).dropDuplicates(["doc_id", "text"]))
 
 
 ORACLE = r"""

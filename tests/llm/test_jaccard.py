@@ -100,6 +100,13 @@ def test_empty_and_clashing_tables(odd, odd_rows, empty):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(map(str, (1, 3, 4, None, 5, 6, 7, 9, 10)))
 
 
+def test_one_of_each_tells_rows_by_id_and_text(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(40)) for c in "abc")
+    rows = [(1, one), (2, one), (2, two), (None, one), (None, one + " end"), (None, three), (None, three), (None, ""), (None, ""), (5, two), (5, two)]
+    kept = partenum.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(1, one), (2, two), (None, three), (None, ""), (None, "")], key=str)
+
+
 @settings(max_examples=400, deadline=None)
 @given(st.integers(0, 2**32), st.integers(1, 40), st.integers(0, 12), st.integers(0, 12))
 def test_linking_sets_share_a_kept_signature(seed, common, extra_a, extra_b):
