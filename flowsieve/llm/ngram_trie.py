@@ -11,9 +11,9 @@ frequent words, whose own counts are known everywhere). There a trie is built fr
 and all tokens are looked up in it.
 
 A trie has three levels: words, predecessors of a word, predecessors of a pair. Each level's keys (parent position and
-context-relative word id) form one monotone Elias-Fano sequence, as do the pointers to children; values are quantised to 16 bits. The
-levels are laid out in one unlinked, memory-mapped file; queries walk down by successor search below the position of the
-context found before.
+context-relative word id) form one monotone Elias-Fano sequence, which also stands for pointers to children; values are quantised
+to 16 bits. The levels are laid out in one unlinked, memory-mapped file; queries walk down by successor search for the key
+below the position of the context found before, over the decoded level.
 """
 
 from __future__ import annotations
