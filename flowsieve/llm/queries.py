@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsieve.llm import bpe, gbt, line_rules, ngram_trie, packing, partenum, pii, secrets, training_order, vptree
+from flowsieve.llm import bpe, gbt, int8_tiles, line_rules, ngram_trie, packing, partenum, pii, resample, secrets, training_order, vptree, walsh
 from flowsieve.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,18 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = pii.pseudonymised(table(spark, sf_dir, "documents"))
     counts = [F.size(F.filter(F.col("found"), _of_kind(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return named.select("doc_id", "text", *counts, F.transform("found", lambda x: F.concat_ws(":", x["kind"], x["value"])).alias("pseudonyms"))
+
+
+@query("op11_walsh_clusters", walsh.oracle())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return walsh.clustered(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_int8_dedup", int8_tiles.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return int8_tiles.linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_resample", resample.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
