@@ -1,119 +1,79 @@
 """AdaBoost (SAMME) over depth-1 trees.
 
-Features are binned once at up to 256 quantiles. A round is one aggregation of weighted class counts per
-(feature, bin): every task sums its rows into that grid, the grids are added by Spark, and the driver reads the
-sum, 15 x 257 cells whatever the row count. Row weights are never stored; they follow from the stumps so far, so
-nothing accumulates between rounds and a lost task is simply run again.
+A round searches the stump of least weighted Gini impurity over every boundary of every feature (`splits`). Row weights are
+never stored; they follow from the stumps so far, so nothing accumulates between rounds and a lost task is simply run
+again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sigmoid
 from ..schema import FEATURES, MODEL_PARAMS
 from .base import ParamModel, majority
+from .passes import LOCAL_ROWS, Block, LocalPasses, SparkPasses, fitted
+from .splits import Best, Gini, Learner, best_splits, exact_cuts
 
-BINS = 256
 
+def _side(values: np.ndarray, stump: dict) -> np.ndarray:
+    return np.where(values <= stump["cut"], stump["left"], stump["right"])
 
-def quantile_cuts(train: DataFrame, bins: int = BINS) -> list[np.ndarray]:
-    """Per feature, the distinct quantiles that rows are compared with (``x <= cut`` goes left)."""
-    grid = [i / bins for i in range(1, bins)]
-    found = train.approxQuantile(FEATURES, grid, 0.25 / bins)
-    return [np.unique(np.asarray(q, dtype=np.float64)) for q in found]
 
+class _Weighted(Learner):
+    """Rows weighed by the stumps so far; ``shift`` is the log of the summed weights and keeps them near 1."""
 
-def _side(values: np.ndarray, stump: dict) -> np.ndarray:
-    return np.where(values <= stump["cut"], stump["left"], stump["right"])
+    kind = Gini
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.stumps, self.shift = [], 0.0
+
+    def stats(self, block: Block) -> np.ndarray:
+        log_weight = np.full(len(block.y), -self.shift)
+        for s in self.stumps:
+            log_weight += s["alpha"] * (_side(block.x[:, s["feature"]], s) != block.y)
+        return Gini.stats(block.y, np.exp(log_weight))
+
+
+def stump_of(best: Best, total: np.ndarray) -> dict:
+    """A leaf takes its heavier class, benign on a tie."""
+    right = total - best.left
+    label = lambda part: int(part[2] > part[1])
+    stump = {"feature": best.feature, "cut": best.cut, "left": label(best.left), "right": label(right)}
+    missed = best.left[2 - stump["left"]] + right[2 - stump["right"]]
+    return stump | {"error": float(max(missed, 0.0) / (total[1] + total[2]))}
 
 
-def best_stump(grid: np.ndarray, cuts: list[np.ndarray]) -> dict | None:
-    """Stump with the least weighted Gini impurity; ``grid`` holds class weights [feature, bin, class].
-
-    The first minimum by feature and cut wins. A leaf takes its heavier class, benign on a tie.
-    """
-    total = grid[0].sum(axis=0)
-    left = np.cumsum(grid, axis=1)[:, :-1, :]
-    right = total - left
-    wl, wr = left.sum(axis=2), right.sum(axis=2)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        impurity = (wl - (left ** 2).sum(axis=2) / wl) + (wr - (right ** 2).sum(axis=2) / wr)
-    tiny = 1e-12 * total.sum()
-    usable = np.array([[b < len(c) for b in range(left.shape[1])] for c in cuts]) & (wl > tiny) & (wr > tiny)
-    impurity = np.where(usable, impurity, np.inf)
-    if not np.isfinite(impurity).any():
-        return None
-    f, b = divmod(int(np.argmin(np.round(impurity / total.sum(), 12))), left.shape[1])
-    lab = lambda w: int(w[1] > w[0])
-    stump = {"feature": f, "bin": b, "cut": float(cuts[f][b]), "left": lab(left[f, b]), "right": lab(right[f, b])}
-    missed = left[f, b, 1 - stump["left"]] + right[f, b, 1 - stump["right"]]
-    stump["error"] = float(missed / total.sum())
-    return stump
+def fit_stumps(passes: LocalPasses | SparkPasses, rounds: int) -> list[dict]:
+    cuts, learner = exact_cuts(passes), _Weighted()
+    for _ in range(rounds):
+        total, best = best_splits(passes, learner, [0], cuts)[0]
+        if best is None:
+            break
+        stump = stump_of(best, total)
+        if stump["error"] >= 0.5:
+            if not learner.stumps:
+                raise ValueError("no stump is better than chance")
+            break
+        perfect = stump["error"] <= 1e-15
+        stump["alpha"] = 1.0 if perfect else float(np.log((1.0 - stump["error"]) / stump["error"]))
+        learner.stumps.append(stump)
+        if perfect:
+            break
+        learner.shift += float(np.log(total[1] + total[2]))
+    return learner.stumps
 
 
 class AdaBoost(ParamModel):
     code = "ada"
 
     @classmethod
-    def fit(cls, train: DataFrame, seed: int | None = None, rounds: int | None = None) -> AdaBoost:
+    def fit(cls, train: DataFrame, seed: int | None = None, rounds: int | None = None, local_rows: int = LOCAL_ROWS) -> AdaBoost:
         rounds = rounds or MODEL_PARAMS["ada"]["rounds"]
-        cuts = quantile_cuts(train)
-        width = max(len(c) for c in cuts) + 1
-        rows = train.select("y", *FEATURES).persist()
-        stumps: list[dict] = []
-        shift = 0.0  # log of the summed weights, keeps them near 1
-        try:
-            for _ in range(rounds):
-                grid = cls._weigh(rows, cuts, width, stumps, shift)
-                total = grid[0].sum()
-                stump = best_stump(grid, cuts)
-                if stump is None:
-                    break
-                error = stump["error"]
-                if error >= 0.5:
-                    if not stumps:
-                        raise ValueError("no stump is better than chance")
-                    break
-                perfect = error <= 1e-15
-                stump["alpha"] = 1.0 if perfect else float(np.log((1.0 - error) / error))
-                stumps.append(stump)
-                if perfect:
-                    break
-                shift += float(np.log(total))
-        finally:
-            rows.unpersist()
-        return cls({"stumps": stumps})
-
-    @staticmethod
-    def _weigh(rows: DataFrame, cuts: list[np.ndarray], width: int, stumps: list[dict], shift: float) -> np.ndarray:
-        n = len(FEATURES)
-
-        def per_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            grid = np.zeros((n, width, 2))
-            for pdf in batches:
-                x, y = pdf[FEATURES].to_numpy(dtype=np.float64), pdf["y"].to_numpy()
-                log_weight = np.full(len(y), -shift)
-                for s in stumps:
-                    log_weight += s["alpha"] * (_side(x[:, s["feature"]], s) != y)
-                weight = np.exp(log_weight)
-                for f in range(n):
-                    cell = np.searchsorted(cuts[f], x[:, f], side="left") * 2 + y
-                    grid[f] += np.bincount(cell, weight, width * 2).reshape(width, 2)
-            filled = np.argwhere(grid.any(axis=2))
-            yield pd.DataFrame({"feature": filled[:, 0], "bin": filled[:, 1],
-                                "w0": grid[filled[:, 0], filled[:, 1], 0], "w1": grid[filled[:, 0], filled[:, 1], 1]})
-
-        parts = rows.mapInPandas(per_task, "feature INT, bin INT, w0 DOUBLE, w1 DOUBLE")
-        grid = np.zeros((n, width, 2))
-        for row in parts.groupBy("feature", "bin").agg(F.sum("w0").alias("w0"), F.sum("w1").alias("w1")).collect():
-            grid[row["feature"], row["bin"]] = row["w0"], row["w1"]
-        return grid
+        return cls({"stumps": fitted(train, lambda passes: fit_stumps(passes, rounds), local_rows)})
 
     def score(self, df: DataFrame) -> DataFrame:
         """Probability is the logistic of twice the weighted vote, so it stays within 0.119 .. 0.881."""

@@ -12,8 +12,9 @@ from .linear_svm import LinearSvm
 from .naive_bayes import NaiveBayes
 from .neighbors import Neighbors
 from .spark_ml import SparkModel
+from .trees import DecisionTree, GradientBoosting, NewtonBoosting
 
-OWN = {"ada": AdaBoost, "et": ExtraTrees, "knn": Neighbors, "nb": NaiveBayes, "svm": LinearSvm}
+OWN = {"ada": AdaBoost, "dt": DecisionTree, "et": ExtraTrees, "gb": GradientBoosting, "knn": Neighbors, "nb": NaiveBayes, "svm": LinearSvm, "xgb": NewtonBoosting}
 CODES = list(MODEL_NAMES)
 ANOMALY = "iforest"
 

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -15,25 +13,14 @@ from ..schema import FEATURES, MODEL_PARAMS, SEED
 from ..session import shared_dir
 from .base import Model
 
-MAX_DEPTH = 30   # deepest tree Spark ML grows; stands for "no limit"
 COLUMNS = {"featuresCol": "_features", "labelCol": "y", "predictionCol": "_prediction"}
 
 
-def decision_tree(depth: int | None, seed: int = SEED) -> DecisionTreeClassifier:
-    return DecisionTreeClassifier(maxDepth=MAX_DEPTH if depth is None else depth, maxBins=256, seed=seed,
-                                  maxMemoryInMB=1024, **COLUMNS)
-
-
 def estimator(code: str, rows: int, seed: int):
     p = MODEL_PARAMS[code]
     if code == "rf":
         return RandomForestClassifier(numTrees=p["trees"], maxDepth=p["depth"], featureSubsetStrategy=str(int(len(FEATURES) ** 0.5)),
                                       maxBins=128, maxMemoryInMB=1024, seed=seed, **COLUMNS)
-    if code == "dt":
-        return decision_tree(p["depth"], seed)
-    if code in ("gb", "xgb"):
-        return GBTClassifier(maxIter=p["rounds"], maxDepth=p["depth"], stepSize=p["rate"], maxMemoryInMB=1024,
-                             seed=seed, **COLUMNS)
     if code == "lr":
         # Penalty 1/C on the summed loss is 1/(C n) on the mean loss Spark minimises.
         return LogisticRegression(maxIter=p["max_iter"], regParam=1.0 / (p["c"] * rows), standardization=False, **COLUMNS)
@@ -45,13 +32,13 @@ class SparkModel(Model):
         self.code, self.fitted = code, fitted
 
     @classmethod
-    def fit(cls, code: str, train: DataFrame, seed: int = SEED, stage=None) -> SparkModel:
+    def fit(cls, code: str, train: DataFrame, seed: int = SEED) -> SparkModel:
         spark = train.sparkSession
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(shared_dir(spark))
         rows = train.select("y", *FEATURES).persist()
         try:
-            stage = stage or estimator(code, rows.count(), seed)
+            stage = estimator(code, rows.count(), seed)
             stage.setProbabilityCol("_probability").setRawPredictionCol("_raw")
             return cls(code, Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="_features"), stage]).fit(rows))
         finally:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..models import registry
+from ..models.ada import AdaBoost
+from ..models.trees import DecisionTree, GradientBoosting, NewtonBoosting
 from ..operators import flows as fl
 from ..schema import ALERT_THRESHOLD, FEATURES, FLOW_KEY
 from ..session import materialize, scratch_path
@@ -121,6 +123,77 @@ def model_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_scored("nb")(spark, sf_dir), 5)
 
 
+# ---------------------------------------------------------------- first steps of fitted trees, which SQL can state
+
+_VALUES = f"[{', '.join(FEATURES)}]"
+
+
+def _boundaries(rows: str, sums: dict[str, str], worth: str, prefix: str, tie: str = "1e-12") -> str:
+    """WITH parts: per feature and boundary the ``sums`` left of it (l_*) and in all (t_*), and the best boundary by ``worth``."""
+    added = ", ".join(f"sum({e}) AS {k}" for k, e in sums.items())
+    left = ", ".join(f"sum({k}) OVER (PARTITION BY f ORDER BY v) AS l_{k}, sum({k}) OVER (PARTITION BY f) AS t_{k}" for k in sums)
+    return f"""{prefix}_long AS (SELECT * EXCLUDE (vs), vs[f + 1] AS v FROM (SELECT *, {_VALUES} AS vs, unnest(range({len(FEATURES)})) AS f FROM {rows})),
+{prefix}_sums AS (SELECT f, v, count(*)::DOUBLE AS n, {added} FROM {prefix}_long GROUP BY f, v),
+{prefix}_left AS (SELECT f, v, lead(v) OVER (PARTITION BY f ORDER BY v) AS w, sum(n) OVER (PARTITION BY f ORDER BY v) AS l_n, sum(n) OVER (PARTITION BY f) AS t_n,
+  count(*) OVER (PARTITION BY f) AS d, n, {left} FROM {prefix}_sums),
+{prefix}_worth AS (SELECT *, CASE WHEN v / 2 + w / 2 >= w OR v / 2 + w / 2 < v THEN v ELSE v / 2 + w / 2 END AS cut, {worth} AS worth FROM {prefix}_left WHERE w IS NOT NULL),
+{prefix} AS (SELECT * FROM {prefix}_worth WHERE worth >= (SELECT max(worth) - {tie} * abs(max(worth)) FROM {prefix}_worth) ORDER BY f, cut LIMIT 1)"""
+
+
+_EVERY = _nb_scores(_ROWS_Y).split(",\njoint AS")[0]            # all distinct rows, scaled
+_GINI = """(l_w0 * l_w0 + l_w1 * l_w1) / (l_w0 + l_w1) + ((t_w0 - l_w0) * (t_w0 - l_w0) + (t_w1 - l_w1) * (t_w1 - l_w1)) / (t_w0 + t_w1 - l_w0 - l_w1)"""
+_CLASSES = {"w0": "CASE WHEN y = 0 THEN 1.0e0 ELSE 0 END", "w1": "CASE WHEN y = 1 THEN 1.0e0 ELSE 0 END"}
+_LEAFS = "CASE WHEN {vs}[b.f + 1] <= b.cut THEN {left} ELSE {right} END"
+
+
+def _fitted_query(fit):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        scored = fit(training_run(spark, sf_dir).train).score(all_scaled(spark, sf_dir))
+        return rounded(scored.select("row_id", "y", "proba", "pred"), 5)
+    return query
+
+
+def _answers(proba: str, more: str = "") -> str:
+    return f"""SELECT row_id, y, round(proba, 5) AS proba, CAST(proba > 0.5 AS INTEGER) AS pred FROM (SELECT row_id, y, {proba} AS proba FROM every CROSS JOIN {more})"""
+
+
+# one level of the exact tree
+check("model_dt_stump", f"WITH {_EVERY}, {_boundaries('fitted', _CLASSES, _GINI, 'b')} "
+      + _answers(_LEAFS.format(vs=_VALUES, left="l_w1 / (l_w0 + l_w1)", right="(t_w1 - l_w1) / (t_w0 + t_w1 - l_w0 - l_w1)"), "b"))(
+    _fitted_query(lambda train: DecisionTree.fit(train, depth=1)))
+
+
+def _stump_parts(b: str) -> str:
+    return f"""{b}s AS (SELECT f, cut, CASE WHEN l_w1 > l_w0 THEN 1 ELSE 0 END AS lo, CASE WHEN t_w1 - l_w1 > t_w0 - l_w0 THEN 1 ELSE 0 END AS hi,
+  (least(l_w0, l_w1) + least(t_w0 - l_w0, t_w1 - l_w1)) / (t_w0 + t_w1) AS error FROM {b}),
+{b}a AS (SELECT *, ln((1 - error) / error) AS alpha FROM {b}s)"""
+
+
+# two rounds of discrete boosting
+_ADA_SIDE = "CASE WHEN {vs}[{a}.f + 1] <= {a}.cut THEN {a}.lo ELSE {a}.hi END"
+_ADA = f"""WITH {_EVERY}, {_boundaries('fitted', _CLASSES, _GINI, 'b')}, {_stump_parts('b')},
+again AS (SELECT t.*, exp(CASE WHEN {_ADA_SIDE.format(vs=_VALUES, a='ba')} <> y THEN ba.alpha ELSE 0 END) AS weight FROM fitted t CROSS JOIN ba),
+{_boundaries('again', {"w0": "CASE WHEN y = 0 THEN weight ELSE 0 END", "w1": "CASE WHEN y = 1 THEN weight ELSE 0 END"}, _GINI, 'c')}, {_stump_parts('c')}
+""" + _answers(f"1 / (1 + exp(-2 * (ba.alpha * (2 * ({_ADA_SIDE.format(vs=_VALUES, a='ba')}) - 1) + ca.alpha * (2 * ({_ADA_SIDE.format(vs=_VALUES, a='ca')}) - 1)) / (ba.alpha + ca.alpha)))", "ba CROSS JOIN ca")
+check("model_ada_two", _ADA)(_fitted_query(lambda train: AdaBoost.fit(train, rounds=2)))
+
+# first tree of gradient boosting, one level: residuals, variance, a Newton step per leaf
+_GB = f"""WITH {_EVERY}, prior AS (SELECT avg(y) AS p FROM fitted), residuals AS (SELECT t.*, y - p AS r FROM fitted t CROSS JOIN prior),
+{_boundaries('residuals', {"r": "r"}, "l_r * l_r / l_n + (t_r - l_r) * (t_r - l_r) / (t_n - l_n)", 'b')}
+""" + _answers(f"1 / (1 + exp(-(ln(p / (1 - p)) + 0.1e0 * ({_LEAFS.format(vs=_VALUES, left='l_r / (l_n * p * (1 - p))', right='(t_r - l_r) / ((t_n - l_n) * p * (1 - p))')}))))", "b CROSS JOIN prior")
+check("model_gb_first", _GB)(_fitted_query(lambda train: GradientBoosting.fit(train, rounds=1, depth=1)))
+
+# first tree of second-order boosting, one level: 256 bins of equal weight, L2 penalty 1, at least 1 hessian a side
+_SIDE = "({g}) * ({g}) / ({n} * h + 1)"
+_XGB_WORTH = f"""CASE WHEN l_n * h >= 1 AND (t_n - l_n) * h >= 1 AND (d <= 256 OR (l_n * 256)::BIGINT // t_n::BIGINT > ((l_n - n) * 256)::BIGINT // t_n::BIGINT)
+  THEN {_SIDE.format(g='l_g', n='l_n')} + {_SIDE.format(g='t_g - l_g', n='(t_n - l_n)')} - {_SIDE.format(g='t_g', n='t_n')} ELSE -1 END"""
+_XGB_BOUNDS = _boundaries('gradients', {"g": "p - y"}, _XGB_WORTH, 'b', "1e-9").replace("count(*)::DOUBLE AS n,", "count(*)::DOUBLE AS n, any_value(h) AS h,").replace("AS d, n,", "AS d, n, h,")
+_XGB = f"""WITH {_EVERY}, start AS (SELECT 4 * (avg(y) - 0.5e0) AS m, 1 / (1 + exp(-4 * (avg(y) - 0.5e0))) AS p FROM fitted),
+gradients AS (SELECT t.*, p, p * (1 - p) AS h FROM fitted t CROSS JOIN start), {_XGB_BOUNDS}
+""" + _answers(f"1 / (1 + exp(-(m + 0.1e0 * (CASE WHEN {_VALUES}[b.f + 1] < b.w THEN -l_g / (l_n * h + 1) ELSE -(t_g - l_g) / ((t_n - l_n) * h + 1) END))))", "b CROSS JOIN start")
+check("model_xgb_first", _XGB)(_fitted_query(lambda train: NewtonBoosting.fit(train, rounds=1, depth=1)))
+
+
 @check("model_iforest")
 def model_iforest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(registry.ANOMALY)(spark, sf_dir)

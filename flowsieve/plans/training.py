@@ -14,8 +14,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..models import registry, spark_ml
+from ..models import registry
 from ..models.base import Model
+from ..models.trees import DecisionTree
 from ..operators import cleaning as cl
 from ..operators import metrics as me
 from ..operators import sampling as sa
@@ -157,12 +158,16 @@ def report_on_test(run: TrainingRun, codes: list[str], anomaly: bool = True) ->
 
 
 def depth_study(train: DataFrame, test: DataFrame, depths: list[int | None] = DEPTH_STUDY, seed: int = SEED) -> DataFrame:
-    """Train and test accuracy of a decision tree per depth, and their gap in percentage points."""
+    """Train and test accuracy of a decision tree per depth (None: no limit), and their gap in percentage points.
+
+    Levels of a tree do not depend on those below, so one tree is fitted and cut to each depth.
+    """
+    deepest = None if None in depths else max(depths)
+    whole = DecisionTree.fit(train, seed, deepest)
     both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
     lines = None
     for depth in depths:
-        model = spark_ml.SparkModel.fit("dt", train, seed, spark_ml.decision_tree(depth, seed))
-        scored = model.score(both).select("part", (F.col("y") == F.col("pred")).cast("int").alias("hit"))
+        scored = whole.cut_to(depth).score(both).select("part", (F.col("y") == F.col("pred")).cast("int").alias("hit"))
         share = lambda part: F.avg(F.when(F.col("part") == part, F.col("hit"))) * 100.0
         line = scored.agg(share("train").alias("train_acc"), share("test").alias("test_acc")).select(
             F.lit(-1 if depth is None else depth).alias("depth"), "train_acc", "test_acc",
