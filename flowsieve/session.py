@@ -84,7 +84,19 @@ def materialize(df: DataFrame, purpose: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_to = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `materialize` wrote and nothing will read again; other tables stay."""
+    for table in tables:
+        path = table.__dict__.pop("_written_to", None)
+        if path:
+            jvm = table.sparkSession._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def bounded_table(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
