@@ -8,9 +8,10 @@ frequency, counted over all sets. Signatures of shared passages are frequent and
 has need no partner. A part without elements is the most frequent signature; a set with too few filled parts also signs
 under further partitions, and only beyond those by its empty parts.
 
-Equal sets are one class from the start. Sets that share a kept signature are compared with a hub of the signature's
-group first; what hubs link is one component, and only members of different components are compared further. So a group
-of near copies costs a number of comparisons in proportion to its members, and no link between classes is lost.
+Equal sets are one class from the start. Sets that meet in a kept signature, directly or by others, are a family; a family
+is compared inside tasks of bounded size, each of its sets travelling once for every tile it is in and no pair ever being a
+row. Within a tile, what has been reached from a component is not compared again, so a family of near copies costs
+comparisons in proportion to its members, and no link between classes is lost.
 """
 
 from __future__ import annotations
@@ -21,12 +22,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowsieve.llm.common import WHITE, ready, rows_of, texts_as_bytes
-from flowsieve.session import materialize
+from flowsieve.session import attach, discard, materialize
 
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 LEVELS = 4
@@ -219,39 +221,15 @@ def kept_signatures(rows: DataFrame) -> DataFrame:
     return ranked.filter(F.col("nth") <= F.col("shared") - left_out).select("sig", "fp", "df")
 
 
-#: Signatures of more sets than this are replaced by those of a finer partition.
-FREQUENT = 128
+#: Distinct sets, and elements of them, that one task compares with each other at most.
+TILE, TILE_VALUES = 4096, 4_000_000
 
 
-def groups(docs: DataFrame, rows: DataFrame, t: Threshold, size: int = 5) -> tuple[DataFrame, DataFrame]:
-    """(sig, fp) groups in which every linking pair of sets meets, and the sets (fp, items) of their members.
-
-    A pair that meets in no signature below ``FREQUENT`` meets in a frequent one, so both sets have one: those sets sign
-    again, by narrower bands and many more parts, where what they have of their own weighs more. Groups with equal
-    members are one group.
-    """
-    kept = materialize(kept_signatures(signature_rows(docs, t, size)), "signatures")
-    sets = materialize(involved_sets(docs, kept, rows, size), "sets")
-    frequent = kept.filter(F.col("df") > FREQUENT).select("fp").distinct()
-    fine = Threshold(t.num, t.den, 1.2, 5.0, 1 << 20)
-    refined = kept_signatures(set_signature_rows(sets.join(frequent, "fp", "left_semi"), fine))
-    both = materialize(kept.filter(F.col("df") <= FREQUENT).select("sig", "fp").union(refined.select("sig", "fp")), "groups")
-    marks = both.groupBy("sig").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("fp")).alias("x"), F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("y"))
+def candidate_groups(kept: DataFrame) -> DataFrame:
+    """(sig, fp) of the sets that share a kept signature; groups of equal members count once."""
+    marks = kept.groupBy("sig").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("fp")).alias("x"), F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("y"))
     first = marks.filter("n > 1").groupBy("n", "x", "y").agg(F.min("sig").alias("sig")).select("sig")
-    return materialize(both.join(first, "sig", "left_semi"), "groups"), sets
-
-
-def set_signature_rows(sets: DataFrame, t: Threshold) -> DataFrame:
-    """sig, fp, grp as `signature_rows` gives them, of sets at hand."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows_of(batches, 128):
-            for fp, items in zip(batch["fp"].to_pylist(), batch["items"], strict=True):
-                for group, filled, keep, sigs in signatures(items.values.to_numpy().astype(np.uint64), t):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(sigs), pa.array(np.full(len(sigs), fp)), pa.array(np.full(len(sigs), (group << 32) + filled - keep + (1 << 31)))],
-                        names=["sig", "fp", "grp"])
-
-    return sets.mapInArrow(run, "sig long, fp long, grp long")
+    return kept.join(first, "sig", "left_semi").select("sig", "fp")
 
 
 def involved_sets(docs: DataFrame, members: DataFrame, rows: DataFrame, size: int = 5) -> DataFrame:
@@ -288,85 +266,155 @@ def involved_sets(docs: DataFrame, members: DataFrame, rows: DataFrame, size: in
     return sets.join(wanted, "fp", "left_semi").dropDuplicates(["fp"])
 
 
-def linked(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
-    """The pairs (a, b) of fingerprints whose sets reach the threshold."""
-    left = sets.select(F.col("fp").alias("a"), F.col("items").alias("a_items"))
-    right = sets.select(F.col("fp").alias("b"), F.col("items").alias("b_items"))
-    both = F.size(F.array_intersect("a_items", "b_items"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", (F.size("a_items") + F.size("b_items")).alias("sum"), both.alias("both"))
-    return joined.filter(t.den * F.col("both") >= t.num * (F.col("sum") - F.col("both"))).select("a", "b")
-
-
 def components(links: DataFrame) -> DataFrame:
     """node, root: the smallest node of each node's connected component, by alternating large and small stars.
 
     Each round rewrites the edges into the shared folder, until every edge leads to a root and every node to one only: a
-    node with two targets still ties two stars together. Rounds grow with the logarithm of the longest chain, and no task
-    holds more than the neighbours of one node.
+    node with two targets still ties two stars together. Rounds grow with the logarithm of the longest chain. A node's smallest
+    neighbour is found by partial aggregation and joined to its edges, so a hub's edges may lie in many tasks.
     """
     edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
-    least = Window.partitionBy("u")
-    while True:
+    while not edges.isEmpty():
         both = edges.union(edges.select(F.col("v"), F.col("u")))
-        large = (both.withColumn("m", F.least(F.col("u"), F.min("v").over(least))).filter(F.col("v") > F.col("u"))
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")))
-        low = large.withColumn("m", F.min("v").over(least))
-        small = low.select("u", F.col("m").alias("v")).union(low.select(F.col("v").alias("u"), F.col("m").alias("v"))).filter("u <> v").distinct()
-        edges = materialize(small, "edges")
+        least = both.groupBy("u").agg(F.min("v").alias("m"))
+        large = materialize(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")), "edges")
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.withColumnRenamed("m", "v")).distinct()
+        old, edges = edges, materialize(small, "edges")
+        discard(old, large)
         if (edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
                 and edges.groupBy("u").count().filter("count > 1").isEmpty()):
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            break
+    found = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    found._written_to = edges._written_to
+    return found
 
 
-def _rename(roots: DataFrame, nodes: DataFrame, node: str, root: str) -> DataFrame:
-    """``nodes`` with the root of ``node``: itself where it links with nothing."""
+def connect(items: list[np.ndarray], labels: np.ndarray, t: Threshold) -> np.ndarray:
+    """Labels after all sets that link, directly or by others, have taken the smallest label among them.
+
+    Sets of one label are known to belong together. Smallest groups first, a group's sets are compared with all sets not
+    yet reached whose size allows a link; what they reach joins the group. So sets that belong together cost little, and only
+    what stays apart is compared in full.
+    """
+    sizes = np.array([len(x) for x in items])
+    order = np.argsort(sizes, kind="stable")
+    items, labels, sizes = [items[i] for i in order], labels[order], sizes[order]
+    distinct, ids = np.unique(np.concatenate(items), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    members = {label: np.flatnonzero(labels == label) for label in np.unique(labels)} if len(np.unique(labels)) < len(labels) else {label: np.array([i]) for i, label in enumerate(labels)}
+    mark, left, result = np.zeros(len(distinct), np.uint8), np.ones(len(items), bool), labels.copy()
+    place = np.arange(len(items))                 # sets not reached yet, in order of size, and their elements
+    flat, at = ids, starts[:-1]
+    for label in sorted(members, key=lambda label: len(members[label])):
+        if not left[members[label][0]]:
+            continue
+        open_, reached = list(members[label]), list(members[label])
+        left[open_] = False
+        while open_:
+            r = open_.pop()
+            if 2 * left[place].sum() < len(place):
+                place = place[left[place]]
+                flat = np.concatenate([ids[starts[i]:starts[i + 1]] for i in place]) if len(place) else ids[:0]
+                at = np.concatenate([[0], np.cumsum(sizes[place])])[:-1].astype(np.int64)
+            if not len(place):
+                break
+            n = int(sizes[r])
+            low, high = np.searchsorted(sizes[place], [-(-n * t.num // t.den), t.partner(n) + 1])
+            if low == high:
+                continue
+            begin, end = int(at[low]), int(at[high]) if high < len(at) else len(flat)
+            mine = ids[starts[r]:starts[r + 1]]
+            mark[mine] = 1
+            both = np.add.reduceat(mark[flat[begin:end]], at[low:high] - begin, dtype=np.int64)
+            mark[mine] = 0
+            near = place[low:high][t.den * both >= t.num * (n + sizes[place[low:high]] - both)]
+            for other in np.unique(labels[near[left[near]]]):
+                left[members[other]] = False
+                open_ += list(members[other])
+                reached += list(members[other])
+        result[reached] = labels[reached].min()
+    out = np.empty_like(result)
+    out[order] = result
+    return out
+
+
+def tile_links(tiles: DataFrame, t: Threshold) -> DataFrame:
+    """(a, b): each label that `connect` changes within a tile (family, i, j), and the label it gets."""
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        labels = group["label"].to_numpy()
+        values = group["items"].combine_chunks()
+        flat, ends = values.flatten().to_numpy(), np.concatenate([[0], np.cumsum(pa.compute.list_value_length(values).to_numpy())])
+        found = connect([flat[ends[i]:ends[i + 1]] for i in range(len(labels))], labels, t)
+        pairs = np.unique(np.stack([labels, found], axis=1)[labels != found], axis=0)
+        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+
+    return tiles.select("label", "items", "family", "i", "j").groupBy("family", "i", "j").applyInArrow(run, "a long, b long")
+
+
+def _labelled(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``nodes`` with ``label``, the root of ``fp``: itself where it links with nothing."""
     named = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-    return nodes.join(named, F.col(node) == F.col("_node"), "left").withColumn(root, F.coalesce("_root", node)).drop("_node", "_root")
+    return nodes.join(named, F.col("fp") == F.col("_node"), "left").withColumn("label", F.coalesce("_root", "fp")).drop("_node", "_root")
+
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    fresh = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
+    discard(roots)
+    return fresh
 
-#: Hubs each member of a signature's group is compared with in a round.
-HUBS = 3
 
+def open_tiles(sets: DataFrame, groups: DataFrame, roots: DataFrame, tile: int) -> DataFrame:
+    """Tiles of all that may still link in families beyond one task: sets that share a signature with another component.
 
-def link_classes(docs: DataFrame, rows: DataFrame, t: Threshold, size: int = 5, rounds: int = 3) -> DataFrame:
+    Blocks of a large component hold it alone, so that its blocks need not be compared with each other; smaller
+    components are dealt whole.
+    """
+    mixed = _labelled(groups, roots).groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("sig")
+    open_ = groups.join(mixed, "sig", "left_semi").select("fp").distinct()
+    named = materialize(_labelled(sets.join(open_, "fp", "left_semi"), roots), "open")
+    per = named.groupBy("family", "label").agg(F.count("*").alias("n"), F.max("blocks").alias("blocks"), F.sum(F.size("items").cast("long")).alias("values"))
+    per = per.withColumn("own", F.when(2 * F.col("n") >= tile, F.greatest(F.ceil(F.col("n") / tile), F.ceil(F.col("values") / TILE_VALUES))))
+    block = F.when(F.col("own").isNull(), F.concat(F.lit("s"), F.pmod(F.xxhash64("label"), "blocks"))).otherwise(
+        F.concat(F.lit("c"), F.col("label"), F.lit("-"), F.pmod(F.xxhash64("fp"), "own")))
+    placed = named.join(per.select("family", "label", "own"), ["family", "label"]).withColumn("block", block)
+    blocks = materialize(placed.groupBy("family", "block").agg(F.max(F.when(F.col("own").isNotNull(), F.col("label"))).alias("alone")), "blocks")
+    left, right = (blocks.select("family", F.col("block").alias(b), F.col("alone").alias(f"alone_{b}")) for b in ("i", "j"))
+    pairs = left.join(right, "family").filter("i <= j AND NOT coalesce(alone_i = alone_j, false)").select("family", "i", "j")
+    spread = pairs.select("family", F.col("i").alias("block"), "i", "j").union(pairs.filter("i < j").select("family", F.col("j").alias("block"), "i", "j"))
+    return placed.join(spread, ["family", "block"])
+
+
+def link_classes(docs: DataFrame, rows: DataFrame, t: Threshold, size: int = 5, tile: int = TILE) -> DataFrame:
     """(node, root) over fingerprints of classes that link with another class.
 
-    A round compares every member of a group with a few hubs of it, unless they are in one component already. Once
-    what is left to compare between components is no more than a few rows per signature, or after ``rounds`` rounds,
-    all of it is compared; so the rounds only save work.
+    Sets that meet in a kept signature, directly or by others, are a family, and every linking pair lies within one. A family
+    of at most ``tile`` sets is compared by one task. Larger ones are dealt twice at random into blocks of that size, which
+    joins most of what belongs together at a cost in proportion to their sets; then blocks are paired as far as their sets
+    belong to different components and share a signature.
     """
-    spark = docs.sparkSession
-    kept, sets = groups(docs, rows, t, size)
-    roots = spark.createDataFrame([], "node long, root long")
-    done = spark.createDataFrame([], "a long, b long")
-    for turn in range(rounds + 1):
-        group = Window.partitionBy("sig")
-        named = _rename(roots, kept, "fp", "root") if turn else kept.withColumn("root", F.col("fp"))
-        mixed = materialize(named.withColumns({"lo": F.min("root").over(group), "hi": F.max("root").over(group)}).filter("lo <> hi").drop("lo", "hi"), "groups")
-        per = mixed.groupBy("sig", "root").agg(F.count("*").alias("m")).groupBy("sig").agg((F.pow(F.sum("m"), 2) - F.sum(F.pow("m", 2))).alias("open"), F.sum("m").alias("m"))
-        left, members = per.agg(F.coalesce(F.sum("open"), F.lit(0.0)) / 2, F.coalesce(F.sum("m"), F.lit(0))).first()
-        if not members:
-            break
-        last = turn == rounds or left <= 4 * members
-        if last:
-            other = mixed.select("sig", F.col("fp").alias("y"), F.col("root").alias("y_root"))
-            pairs = mixed.join(other, "sig").filter("root < y_root").select(F.col("fp").alias("x"), "y")
-        else:
-            hubs = [F.min(F.struct(F.xxhash64("fp", F.lit(HUBS * turn + i)).alias("h"), F.col("fp"), F.col("root"))).over(group) for i in range(HUBS)]
-            pairs = (mixed.select("fp", "root", F.array(*hubs).alias("hubs")).select("fp", "root", F.explode("hubs").alias("hub"))
-                     .filter(F.col("hub.root") != F.col("root")).select(F.col("hub.fp").alias("x"), F.col("fp").alias("y")))
-        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        pairs = materialize(pairs.join(done, ["a", "b"], "left_anti") if turn else pairs, "pairs")
-        found = materialize(linked(pairs, sets, t), "links")
-        if not found.isEmpty():
-            between = _rename(roots, _rename(roots, found, "a", "x"), "b", "y").select(F.col("x").alias("a"), F.col("y").alias("b")) if turn else found
-            fresh = components(between)
-            # old members follow their root; nodes that were roots of their own come with the new ones
-            moved = roots.join(fresh.select(F.col("node").alias("_n"), F.col("root").alias("_r")), F.col("root") == F.col("_n"), "left")
-            roots = materialize(moved.select("node", F.coalesce("_r", "root").alias("root")).union(fresh.join(roots.select("node"), "node", "left_anti")), "roots") if turn else fresh
-        if last:
-            break
-        done = done.union(pairs)
+    kept = materialize(kept_signatures(signature_rows(docs, t, size)), "signatures")
+    groups = materialize(candidate_groups(kept), "groups")
+    discard(kept)
+    least = groups.groupBy("sig").agg(F.min("fp").alias("least"))
+    family = components(groups.join(least, "sig").select(F.col("fp").alias("a"), F.col("least").alias("b")))
+    members = _labelled(groups.select("fp").distinct(), family).withColumnRenamed("label", "family")
+    sets = involved_sets(docs, members, rows, size).join(members, "fp")
+    sets = materialize(sets, "sets")
+    blocks = F.greatest(F.ceil(F.count("*") / tile), F.ceil(F.sum(F.size("items").cast("long")) / TILE_VALUES)).cast("int")
+    large = sets.groupBy("family").agg(blocks.alias("blocks")).filter("blocks > 1")
+    dealt = attach(sets, large, ["family"]).withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+
+    def deal(part: DataFrame, salt: int) -> DataFrame:
+        return part.withColumn("i", F.pmod(F.xxhash64("fp", F.lit(salt)), "blocks").cast("string")).withColumn("j", F.col("i"))
+
+    roots = components(tile_links(deal(dealt.withColumn("label", F.col("fp")), 0), t))
+    whole = dealt.filter("blocks > 1")
+    if not large.isEmpty():
+        roots = _joined(roots, tile_links(deal(_labelled(whole, roots), 1), t))
+        roots = _joined(roots, tile_links(open_tiles(whole, groups, roots, tile), t))
+    discard(groups, sets, family)
     return roots
 
 

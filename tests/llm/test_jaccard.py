@@ -66,6 +66,52 @@ def test_components_equal_all_pairs(spark, odd_rows, seed):
     assert sorted((str(r[0]), r[1], str(r[2])) for r in partenum.jaccard_join(df).collect()) == brute(rows)
 
 
+@pytest.mark.parametrize("tile", [5, 12])
+def test_families_beyond_one_task(spark, tile):
+    """The same rows and a family around the threshold, in tiles far smaller than the families."""
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(60)]
+    rows = near_copies(3)
+    for i in range(150):
+        copy = list(base)
+        for _ in range(rng.choice([1, 2, 2, 3])):
+            copy[rng.randrange(60)] = f"n{rng.randrange(10**6)}"
+        rows.append((1000 + i, " ".join(copy)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    classes = partenum.classes(df).persist()
+    roots = {r["node"]: r["root"] for r in partenum.link_classes(df, classes, T, tile=tile).collect()}
+    least = {}
+    for r in classes.collect():
+        top = roots.get(r["fp"], r["fp"])
+        least[top] = min(least.get(top, r["doc_id"]), r["doc_id"])
+    got = sorted((str(r["doc_id"]), r["n_shingles"], str(least[roots.get(r["fp"], r["fp"])])) for r in classes.collect())
+    assert got == brute(rows)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(0, 2**32), st.integers(2, 25), st.booleans())
+def test_connect_is_union_find(seed, n, known):
+    rng = np.random.default_rng(seed)
+    pools = [rng.integers(0, 2**40, 24) for _ in range(3)]
+    sets = [np.unique(np.concatenate([rng.choice(pools[i % 3], rng.integers(12, 25), replace=False), rng.integers(0, 2**40, rng.integers(0, 4))])) for i in range(n)]
+    labels = np.arange(n) * 7 - 30
+    if known and n > 3:
+        labels[[1, 3]] = labels[2]          # told to belong together
+    root = {i: i for i in range(n)}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for i in range(n):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if labels[i] == labels[j] or 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                root[top(i)] = top(j)
+    want = [min(labels[j] for j in range(n) if top(j) == top(i)) for i in range(n)]
+    assert partenum.connect(sets, labels, T).tolist() == want
+
+
 def roots_by_union_find(links):
     root = {n: n for link in links for n in link}
 
