@@ -44,7 +44,7 @@ def train(spark: SparkSession, data: str, models: str, out: str, mock: bool = Fa
         flows = stage_flows(read_flows(spark, path), scratch_path(spark, "staged"))
     else:
         flows = staged(spark, data, TRAIN_EXCLUDE)
-    run = tr.TrainingRun(tr.training_rows(flows, ["row_id"], TAGS))
+    run = tr.TrainingRun(tr.training_rows(flows, TAGS))
     write_all({"depth_study": tr.depth_study(run.train, run.test), "comparison": tr.compare_on_test(run, registry.CODES),
                "report": tr.report_on_test(run, registry.CODES), "status": tr.model_status(run, [*registry.CODES, registry.ANOMALY])}, out)
     run.save(spark, models)

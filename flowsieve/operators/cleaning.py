@@ -47,6 +47,16 @@ def drop_duplicates(df: DataFrame, ignore: tuple[str, ...] = ()) -> DataFrame:
     return df.drop(*ignore).dropDuplicates()
 
 
+def distinct_of_sources(df: DataFrame, ignore: tuple[str, ...] = (), source: str = "source_file") -> DataFrame:
+    """Distinct rows with the source each belongs to; where that is no data, copies from several sources belong to the first by name."""
+    if source not in df.columns:
+        return drop_duplicates(df, ignore).withColumn(source, F.lit(None).cast("string"))
+    if source not in ignore:
+        return drop_duplicates(df, ignore)
+    data = [F.col(f"`{c}`") for c in df.columns if c not in ignore]
+    return df.groupBy(*data).agg(F.min(source).alias(source))
+
+
 def duplicate_counts(df: DataFrame, ignore: tuple[str, ...] = ()) -> DataFrame:
     """Rows before and after `drop_duplicates`, and how many it removes, in one aggregation."""
     data = df.drop(*ignore)
@@ -57,9 +67,9 @@ def duplicate_counts(df: DataFrame, ignore: tuple[str, ...] = ()) -> DataFrame:
     ).withColumn("removed", F.col("rows_before") - F.col("rows_after"))
 
 
-def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
-    """Add a 128-bit id computed from the row's content; unique once duplicates are gone."""
-    cols = [F.col(f"`{c}`") for c in df.columns]
+def with_row_id(df: DataFrame, name: str = "row_id", ignore: tuple[str, ...] = ()) -> DataFrame:
+    """Add a 128-bit id computed from the row's content, ``ignore`` left out; unique once duplicates are gone."""
+    cols = [F.col(f"`{c}`") for c in df.columns if c not in ignore]
     halves = [F.hex(F.xxhash64(F.lit(salt), *cols)) for salt in (1, 2)]
     return df.withColumn(name, F.concat(*[F.lpad(h, 16, "0") for h in halves]))
 

@@ -1,9 +1,9 @@
 """From labelled flows to fitted models.
 
-The order matters: clean, cap each source, drop duplicates, fit the scaler on everything that is left (so it has seen
-the test rows too, and the rows of capped sources only), split off the test rows, and balance and cap the training side
-alone: models are fitted on a bounded table and judged on every test row. Three tables are written on the way: the
-distinct rows at model precision, the marked rows and the small training table.
+The order matters: clean, drop duplicates, fit the scaler on all distinct rows (so it has seen the test rows too), split
+off the test rows, and only then cap each source, balance and cap the training side: models are fitted on a bounded table
+and judged on every test row, whatever the caps. Three tables are written on the way: the distinct rows at model
+precision, the marked rows and the small training table.
 """
 
 from __future__ import annotations
@@ -29,20 +29,12 @@ from ..sources.store import load_table, save_table
 ROWS_PER_TASK = 5_000
 
 
-def training_rows(flows: DataFrame, key: list[str], tags: tuple[str, ...] = (), file_cap: int | None = TRAIN_FILE_CAP,
-                  seed: int = SEED, single_precision: bool = True) -> DataFrame:
-    """Distinct clean rows with ``row_id``, ``y`` and the 15 features.
-
-    ``key`` identifies a row before duplicates are dropped; ``tags`` are columns that are no data. The cap per
-    source applies when there is more than one source.
-    """
-    clean = cl.drop_non_finite(cl.clean_columns(flows))
-    if file_cap is not None and "source_file" in clean.columns and clean.select("source_file").distinct().limit(2).count() > 1:
-        clean = sa.sample_n(clean, file_cap, key, by="source_file", seed=f"{seed}:source")
-    rows = cl.drop_duplicates(clean, ignore=tags)
+def training_rows(flows: DataFrame, tags: tuple[str, ...] = (), single_precision: bool = True) -> DataFrame:
+    """All distinct clean rows with ``row_id``, ``y``, ``source_file`` and the 15 features; ``tags`` are columns that are no data."""
+    rows = cl.distinct_of_sources(cl.drop_non_finite(cl.clean_columns(flows)), tags)
     if "row_id" not in rows.columns:
-        rows = cl.with_row_id(rows)
-    rows = cl.conform(cl.with_target(rows), strict=True, keep=("row_id", "y"))
+        rows = cl.with_row_id(rows, ignore=tags)
+    rows = cl.conform(cl.with_target(rows), strict=True, keep=("row_id", "y", "source_file"))
     return materialize(cl.model_types(rows) if single_precision else rows, "training-rows")
 
 
@@ -55,6 +47,7 @@ class TrainingRun:
     ratio: float = 1.0
     cap: int = TRAIN_CAP
     fraction: float = TEST_FRACTION
+    file_cap: int | None = TRAIN_FILE_CAP
     models: dict[str, Model] = field(default_factory=dict)
 
     @cached_property
@@ -73,8 +66,11 @@ class TrainingRun:
 
     @cached_property
     def train(self) -> DataFrame:
-        """Balanced and capped training rows; a small set is packed into few partitions, as every fit passes over it many times."""
+        """Training rows, capped per source where there are several, balanced and capped; a small set is packed into few partitions, as every fit passes over it many times."""
         left = self.split.where("NOT is_test").drop("is_test")
+        if self.file_cap is not None and left.select("source_file").distinct().limit(2).count() > 1:
+            left = sa.sample_n(left, self.file_cap, ["row_id"], by="source_file", seed=f"{self.seed}:source")
+        left = left.drop("source_file")
         balanced = sa.undersample(left, ["row_id"], self.ratio, self.seed)
         train = materialize(sa.stratified_cap(balanced, self.cap, ["row_id"], self.seed), "balanced")
         wanted = max(1, -(-train.count() // ROWS_PER_TASK))
@@ -83,7 +79,7 @@ class TrainingRun:
     @property
     def test(self) -> DataFrame:
         """Every distinct row that was split off, neither balanced nor capped."""
-        return self.split.where("is_test").drop("is_test")
+        return self.split.where("is_test").drop("is_test", "source_file")
 
     def model(self, code: str) -> Model:
         if code not in self.models:

@@ -191,3 +191,22 @@ def test_reports(spark, run, sf):
 def test_depth_study(run):
     table = tr.depth_study(run.train, run.test, [1, None]).toPandas()
     assert table.depth.tolist() == [1, -1] and (table.train_acc.diff().dropna() > 0).all()
+
+
+def test_every_test_row_is_judged_whatever_the_cap(run):
+    """The cap per source thins the training side only."""
+    capped = tr.TrainingRun(run.rows, file_cap=40, cap=100)
+    rows = run.rows.count()
+    assert capped.test.count() == run.test.count() == -(-rows // 5)
+    sources = run.rows.select("source_file").distinct().count()
+    assert 0 < capped.train.count() <= 40 * sources < run.train.count()
+    assert capped.train.join(capped.test, "row_id").isEmpty() and set(capped.test.columns) == {"row_id", "y", *FEATURES}
+
+
+def test_copies_in_several_sources_are_one_row(spark):
+    values = ", ".join(f"CAST(id % 5 + {i} AS DOUBLE) AS {f}" for i, f in enumerate(FEATURES))
+    flows = spark.sql(f"SELECT concat('r', id) AS row_id, concat('s', id % 3, '.csv') AS source_file, 'BENIGN' AS label, {values} FROM range(60)")
+    rows = tr.training_rows(flows, ("row_id", "source_file")).collect()
+    assert len(rows) == 5 and len({r["row_id"] for r in rows}) == 5 and {r["source_file"] for r in rows} == {"s0.csv"}
+    plain = tr.training_rows(flows.drop("source_file", "row_id")).collect()
+    assert {r["row_id"] for r in plain} == {r["row_id"] for r in rows} and {r["source_file"] for r in plain} == {None}
