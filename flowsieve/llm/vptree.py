@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 from flowsieve.llm.common import ready
 
 SCHEMA = "query_id long, vec_id long, score double"
-#: Entries kept per query beyond k: the query's own vector and ties at the last place.
+#: Entries kept per query beyond k: the query's own vector and a few ties at the last place; more ties take a second walk.
 SPARE = 8
+#: Queries that walk a second time together.
+TIED_QUERIES = 64
 EPS = 1e-9
 #: Production setting of the pruning factor: exact.
 FACTOR = 1.0
@@ -72,6 +74,27 @@ class VPTree:
             self._visit(self.root, np.arange(len(queries)))
         return self.where, self.best
 
+    def within(self, queries: np.ndarray, bound: np.ndarray, factor: float) -> tuple[np.ndarray, np.ndarray]:
+        """(query, position) of every vector whose squared lifted distance is at most its query's ``bound``."""
+        square = np.einsum("ij,ij->i", queries, queries) + self.top
+        radius, found = np.sqrt(np.maximum(bound, 0.0)), []
+        open_ = [(self.root, np.arange(len(queries)))]
+        while open_:
+            at, active = open_.pop()
+            if not len(active):
+                continue
+            node = self.nodes[at]
+            if node[0] == "leaf":
+                dist = square[active, None] - 2 * (queries[active] @ self.vectors[node[1]].T)
+                q, m = np.nonzero(dist <= bound[active, None])
+                found.append((active[q], node[1][m]))
+                continue
+            _, point, (lo_l, hi_l, lo_r, hi_r), left, right = node
+            d = np.sqrt(np.maximum(square[active] - 2 * (queries[active] @ self.vectors[point]), 0.0))
+            slack = factor * radius[active] + EPS
+            open_ += [(left, active[(d >= lo_l - slack) & (d <= hi_l + slack)]), (right, active[(d >= lo_r - slack) & (d <= hi_r + slack)])]
+        return tuple(np.concatenate(part) for part in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
     def _tau(self, active: np.ndarray) -> np.ndarray:
         return np.sqrt(np.maximum(self.best[active].max(axis=1), 0.0))
 
@@ -136,21 +159,38 @@ def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
     group = group.reshape(-1)
     by_group = np.argsort(group, kind="stable")               # ids ascend within a group
     starts = np.searchsorted(group[by_group], np.arange(len(distinct) + 1))
-    where, _ = VPTree(distinct, leaf).search(queries, k + SPARE, factor)
-    q, slot = np.nonzero(where >= 0)
-    entry = where[q, slot]
-    sizes = np.minimum(starts[entry + 1] - starts[entry], k + 1)   # more than k + 1 equal rows cannot all be among the nearest
-    q, entry = np.repeat(q, sizes), np.repeat(entry, sizes)
-    nth = np.arange(len(q)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    found = ids[by_group[starts[entry] + nth]]
-    own = found == query_ids[q]
-    q, entry, found = q[~own], entry[~own], found[~own]
-    score = dot(queries[q], distinct[entry]) if len(q) else np.zeros(0)
-    order = np.lexsort((found, -score, q))
-    q, found, score = q[order], found[order], score[order]
-    rank = np.arange(len(q)) - np.searchsorted(q, q)
-    top = rank < k
-    return query_ids[q[top]], found[top], score[top]
+    tree = VPTree(distinct, leaf)
+    where, dist = tree.search(queries, k + SPARE, factor)
+
+    def ranked(q: np.ndarray, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The k best rows of each query among the entries found for it."""
+        sizes = np.minimum(starts[entry + 1] - starts[entry], k + 1)   # more than k + 1 equal rows cannot all be among the nearest
+        q, entry = np.repeat(q, sizes), np.repeat(entry, sizes)
+        nth = np.arange(len(q)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        found = ids[by_group[starts[entry] + nth]]
+        own = found == query_ids[q]
+        q, entry, found = q[~own], entry[~own], found[~own]
+        score = dot(queries[q], distinct[entry]) if len(q) else np.zeros(0)
+        order = np.lexsort((found, -score, q))
+        q, found, score = q[order], found[order], score[order]
+        top = np.arange(len(q)) - np.searchsorted(q, q) < k
+        return q[top], found[top], score[top]
+
+    # All that was left out lies as far as the last one kept. Where that is no farther than the k-th (the query's own vector
+    # aside), more vectors may tie with it: these queries walk again and take all up to that distance.
+    near = np.sort(dist, axis=1)
+    allowed = near[:, k] + 1e-9 * (1.0 + np.where(np.isfinite(tree.square), tree.square, 0.0))
+    tied = np.flatnonzero(np.isfinite(near[:, -1]) & (near[:, -1] <= allowed))
+    clear = np.ones(len(queries), dtype=bool)
+    clear[tied] = False
+    q, slot = np.nonzero((where >= 0) & clear[:, None])
+    parts = [ranked(q, where[q, slot])]
+    for at in range(0, len(tied), TIED_QUERIES):
+        some = tied[at:at + TIED_QUERIES]
+        q, entry = tree.within(queries[some], allowed[some], factor)
+        parts.append(ranked(some[q], entry))
+    q, found, score = (np.concatenate(part) for part in zip(*parts))
+    return query_ids[q], found, score
 
 
 def usable(vector: Column) -> Column:

@@ -72,3 +72,15 @@ def test_relaxed_pruning_keeps_recall_and_visits_less():
         visits[factor] = tree.visits
         recall[factor] = np.mean([len(set(a) & set(b)) / 20 for a, b in zip(where, truth, strict=True)])
     assert recall[1.0] == 1.0 and recall[0.8] >= 0.9 and visits[0.8] <= visits[1.0] < 200 * 3000
+
+
+def test_many_ties_at_the_last_place_go_to_the_smallest_ids(spark):
+    """400 distinct vectors tie for one query, far more than the tree keeps; a few better ones stand before them."""
+    rows = [(20, [1.0] + [0.0] * 7)] + [(i, [0.0] + [float((i * p) % 13 - 6.5) for p in (1, 2, 3, 5, 7, 11, 17)]) for i in range(1000, 600, -1)]
+    rows += [(5000, [0.5] + [1.0] * 7), (5001, [0.25] + [2.0] * 7), (40, [2.0] + [1.0] * 7), (60, [0.0, 1.0] + [0.0] * 6)]
+    df = spark.createDataFrame([(i, v, "clash") for i, v in rows], VECTORS)
+    want = brute(rows, 20)
+    for shard_rows, leaf in ((10_000, 128), (150, 8)):
+        got = found(vptree.nearest(df, F.col("vec_id") % 20 == 0, k=20, shard_rows=shard_rows, leaf=leaf))
+        assert [i for i, _ in got[20]][:5] == [40, 5000, 5001, 60, 601]
+        assert {q: [i for i, _ in w] for q, w in got.items()} == {q: [i for i, _ in w] for q, w in want.items()}

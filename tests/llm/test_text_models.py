@@ -94,6 +94,26 @@ def test_line_rules_on_odd_rows(spark, tmp_path, odd, empty):
     assert kept.columns == odd.columns and line_rules.quality_rules(empty).count() == 0
 
 
+def test_limits_of_frequent_lines(spark, tmp_path):
+    """Null and empty texts of a host are one text; a line in many texts is frequent however large its host is."""
+    letters = str.maketrans("0123456789", "abcdefghij")                    # digits of a line all count as 0
+    own = lambda i: " ".join(str((i * 7919 + j * 104729) % 99991).translate(letters) for j in range(12))
+    notice = "one notice of twelve words that fills more than half of it"
+    rows = [(i, f"{notice}\n{own(i) if i % 2 else 'five words of its own'}", "edge", 0) for i in range(21)]
+    rows += [(100 + i, own(i), "edge", 0) for i in range(2099 - 21)] + [(9000, None, "edge", 0), (9001, "", "edge", 0)]        # 2,100 texts: 21 are not above 1 %
+    rows += [(20_000 + i, f"{notice}\nfive words of its own {own(i)[:9]}" if i < 25 else own(i), "mid", 0) for i in range(3000)]          # 25 of 3,000: below 1 %, rare
+    rows += [(40_000 + i, f"{notice}\nfive words of its own {own(i)[:9]}" if i < 201 else own(i), "big", 0) for i in range(21_000)]      # 201 of 21,000: below 1 %, but many
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    table.toPandas().to_parquet(tmp_path / "documents.parquet")
+    got = line_rules.quality_rules(table)
+    assert compare(got, duck(str(tmp_path)), line_rules.ORACLE) == []
+    kept = {r["doc_id"]: r["kept"] for r in got.collect()}
+    assert kept[0] and kept[20_000] and not kept[40_000] and kept[40_500] and not kept[9000]
+    empty = line_rules.quality_rules(table.filter("doc_id < 25 OR doc_id >= 9000 AND doc_id < 9002"), with_text=True)
+    assert {r["doc_id"]: r["text"] for r in empty.collect() if r["doc_id"] > 8000} == {9000: None, 9001: ""}
+    assert line_rules.keep_sound(table.limit(0)).count() == 0
+
+
 def plain_removal(rows, share=0.01, least=20):
     """Texts of (text, host) rows without frequent lines, and whether they lose more than half of their words."""
     def norm(line):
