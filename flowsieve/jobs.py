@@ -19,7 +19,7 @@ from .schema import ALERT_THRESHOLD
 from .session import scratch_path, ship_package
 from .sources import mock_flows, read_flows, read_packets, resolve_source, stage_flows, write_metrics
 from .sources.flows import CROSS_EVAL_EXCLUDE, TRAIN_EXCLUDE
-from .streaming.flows import alert_stream, flow_stream, set_threshold
+from .streaming.flows import alert_batch, alert_stream, flow_job, flow_stream, set_threshold
 
 TAGS = ("row_id", "source_file")   # columns of a staged table that are no data
 
@@ -95,8 +95,11 @@ def live(spark: SparkSession, data: str, models: str, out: str, idle: str | None
     def score(flows: DataFrame) -> DataFrame:
         return ev.score_with_model(run, flows, model) if model else ev.score_flow_windows(run, flows, layers)
 
-    return alert_stream(flow_stream(packets, idle=idle), score, f"{out}/threshold",
-                        f"{out}/alerts", f"{out}/rejected", f"{out}/checkpoint", **trigger)
+    paths = (f"{out}/threshold", f"{out}/alerts", f"{out}/rejected")
+    if idle:
+        return alert_stream(flow_stream(packets, idle=idle), score, *paths, f"{out}/checkpoint", **trigger)
+    return flow_job(packets, f"{out}/flows", f"{out}/waiting", f"{out}/checkpoint",
+                    then=lambda flows, batch_id: alert_batch(flows, batch_id, score, *paths), **trigger)
 
 
 def threshold(spark: SparkSession, out: str, value: float) -> None:

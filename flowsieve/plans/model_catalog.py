@@ -15,7 +15,7 @@ from ..session import materialize, scratch_path
 from ..sources import flows as flow_files
 from ..sources import read_packets
 from ..sources.packets import write_packets
-from ..streaming.flows import alert_stream, flow_stream, set_threshold
+from ..streaming.flows import alert_batch, alert_stream, flow_job, flow_stream, set_threshold
 from . import evaluation as ev
 from . import training as tr
 from .catalog import (
@@ -372,15 +372,19 @@ def availability_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 SLICE_FILES = 4       # files that a slice is written as, and that a micro-batch takes
 
 
-def _packet_slices(spark: SparkSession, sf_dir: str, slices: int = 4) -> str:
-    """All packets in ``slices`` groups of files written in time order, so a stream reads them one after another."""
-    path = scratch_path(spark, "packet-stream")
+def _write_slices(spark: SparkSession, sf_dir: str, path: str, numbers: range, slices: int = 4) -> None:
+    """Some of ``slices`` groups of files with all packets in time order, so a stream reads them one after another."""
     packets = fx.packets(spark, sf_dir)
     us = F.unix_micros(F.col("ts").cast("timestamp"))
     lo, hi = packets.agg(F.min(us), F.max(us)).first()
     part = F.least(F.floor((us - lo) * slices / F.lit(hi - lo + 1)), F.lit(slices - 1))
-    for i in range(slices):
+    for i in numbers:
         write_packets(packets.where(part == i).repartition(SLICE_FILES), path)
+
+
+def _packet_slices(spark: SparkSession, sf_dir: str, slices: int = 4) -> str:
+    path = scratch_path(spark, "packet-stream")
+    _write_slices(spark, sf_dir, path, range(slices), slices)
     return path
 
 
@@ -400,18 +404,27 @@ def stream_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_run_to_table(spark, flow_stream(packets)).drop("src_ip", "dst_ip", "src_port", "dst_port"))
 
 
+@check("flow_stream_carried", f"WITH {WITH_WINDOWS}, g AS ({FLOW_SELECT}) {FLOW_OUTPUT}")
+def carried_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by the batch operator and a carried table of what waits, one version per micro-batch."""
+    base = scratch_path(spark, "carried")
+    packets = read_packets(spark, _packet_slices(spark, sf_dir), streaming=True, maxFilesPerTrigger=str(SLICE_FILES))
+    flow_job(packets, f"{base}/flows", f"{base}/waiting", f"{base}/state", availableNow=True).awaitTermination()
+    return rounded(spark.read.parquet(f"{base}/flows").drop("batch", "src_ip", "dst_ip", "src_port", "dst_port"))
+
+
 @check("idle_eviction", f"""
 WITH {WITH_KEYED},
 gaps AS (SELECT *, us - lag(us) OVER (PARTITION BY {KEY} ORDER BY us, packet_id) AS gap FROM k),
 runs AS (SELECT *, sum(CASE WHEN gap > 86400000000 THEN 1 ELSE 0 END) OVER (PARTITION BY {KEY} ORDER BY us, packet_id) AS run FROM gaps),
 placed AS (SELECT *, (row_number() OVER (PARTITION BY {KEY}, run ORDER BY us, packet_id) - 1) // 10 AS win FROM runs)
-SELECT {KEY}, max(us) - min(us) AS flow_duration, CAST(sum(fwd) AS BIGINT) AS fwd_packets, CAST(sum(length) AS BIGINT) AS bytes
+SELECT {KEY}, CAST(win AS BIGINT) AS win, max(us) - min(us) AS flow_duration, CAST(sum(fwd) AS BIGINT) AS fwd_packets, CAST(sum(length) AS BIGINT) AS bytes
 FROM placed GROUP BY {KEY}, run, win HAVING count(*) = 10""")
 def idle_eviction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gaps of more than a day drop the packets waiting before them."""
+    """Gaps of more than a day drop the packets waiting before them; windows are numbered from 0 after each."""
     packets = read_packets(spark, _packet_slices(spark, sf_dir), streaming=True, maxFilesPerTrigger=str(SLICE_FILES))
     flows = _run_to_table(spark, flow_stream(packets, idle="24 hours", watermark="1 hour"))
-    return flows.select(*FLOW_KEY, "flow_duration", "fwd_packets", (F.col("fwd_len_total") + F.col("bwd_len_total")).alias("bytes"))
+    return flows.select(*FLOW_KEY, "win", "flow_duration", "fwd_packets", (F.col("fwd_len_total") + F.col("bwd_len_total")).alias("bytes"))
 
 
 @check("live_threshold", _ALERT_SQL.format(t="0.7e0"))
@@ -425,6 +438,26 @@ def live_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/alerts").drop("batch")
 
 
+@check("live_threshold_change", f"""
+WITH {WITH_WINDOWS}, g AS ({FLOW_SELECT}), span AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM packets),
+e AS (SELECT {KEY}, win, max(CASE WHEN ord % 10 = 0 THEN fwd END) = 1 AS opened, max(us) AS us FROM i WHERE in_window = 10 GROUP BY {KEY}, win),
+t AS (SELECT *, fwd_packets / 10.0e0 AS proba, CASE WHEN least(floor((us - lo) * 4 / (hi - lo + 1)), 3) <= 1 THEN 0.5e0 ELSE 0.7e0 END AS threshold
+      FROM g JOIN e USING ({KEY}, win) CROSS JOIN span)
+SELECT CASE WHEN opened THEN ip_a ELSE ip_b END AS src_ip, CASE WHEN opened THEN port_a ELSE port_b END AS src_port,
+  CASE WHEN opened THEN ip_b ELSE ip_a END AS dst_ip, CASE WHEN opened THEN port_b ELSE port_a END AS dst_port, proto, proba, threshold,
+  flow_duration, fwd_packets, bwd_packets FROM t WHERE proba >= threshold""")
+def live_threshold_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream whose threshold rises from 0.5 to 0.7 between its second and third micro-batch."""
+    base, files = scratch_path(spark, "alerts"), scratch_path(spark, "packet-stream")
+    for numbers, threshold in ((range(2), 0.5), (range(2, 4), 0.7)):
+        _write_slices(spark, sf_dir, files, numbers)
+        set_threshold(spark, f"{base}/threshold", threshold)
+        packets = read_packets(spark, files, streaming=True, maxFilesPerTrigger=str(SLICE_FILES))
+        flow_job(packets, f"{base}/flows", f"{base}/waiting", f"{base}/state", availableNow=True, then=lambda flows, batch_id: alert_batch(
+            flows, batch_id, forward_share, f"{base}/threshold", f"{base}/alerts", f"{base}/rejected")).awaitTermination()
+    return spark.read.parquet(f"{base}/alerts").drop("batch")
+
+
 @check("model_alerts")
 def model_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Assembled flows through the fitted cascade, with the combined probability and whether it alerts."""

@@ -1,6 +1,9 @@
-"""Continuous flow assembly with keyed state, and alerts with a threshold that may change while running.
+"""Continuous flow assembly, and alerts with a threshold that may change while running.
 
-State per key is the number of windows closed so far and at most ``size - 1`` waiting packets. A micro-batch is
+Two ways. `flow_job` runs the batch operator on every micro-batch: what waits (at most ``size - 1`` packets and the number of
+closed windows per key) is a table with one version per batch, read together with the new packets. A batch that is replayed
+reads the version before it and replaces its own output, and no key is folded in Python. `flow_stream` keeps the same in Spark's
+state and can evict idle keys; there, state per key is the number of windows closed so far and at most ``size - 1`` waiting packets. A micro-batch is
 ordered by (time, packet id) inside each key before it is folded; across micro-batches arrival order counts, as in
 a live capture. Without an idle limit a quiet key waits for ever. One task folds a key's share of a micro-batch, so
 bound the micro-batch at the source (``maxFilesPerTrigger``) where single keys can flood.
@@ -12,20 +15,21 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.alerts import alerts, usable
-from ..operators.flows import keyed_packets
+from ..operators.flows import flow_features, keyed_packets, order_in_key
 from ..schema import ALERT_THRESHOLD, FLOW_KEY, FLOW_SIZE
+from ..session import attach, materialize
 
 OUTPUT = """ip_a STRING, ip_b STRING, port_a LONG, port_b LONG, proto INT, win LONG,
 src_ip STRING, dst_ip STRING, src_port LONG, dst_port LONG,
 flow_duration LONG, fwd_packets LONG, bwd_packets LONG, fwd_len_total LONG, bwd_len_total LONG,
 fwd_len_max LONG, fwd_len_min LONG, fwd_len_mean DOUBLE, bwd_len_max LONG, bwd_len_min LONG, bwd_len_mean DOUBLE,
 flow_bytes_s DOUBLE, flow_packets_s DOUBLE, flow_iat_mean DOUBLE, flow_iat_max LONG"""
-STATE = "closed LONG, us ARRAY<LONG>, packet_id ARRAY<LONG>, fwd ARRAY<INT>, length ARRAY<LONG>"
+STATE = "closed LONG, last LONG, us ARRAY<LONG>, packet_id ARRAY<LONG>, fwd ARRAY<INT>, length ARRAY<LONG>"
 
 
 def _side(length: np.ndarray, mask: np.ndarray) -> dict[str, np.ndarray]:
@@ -65,7 +69,7 @@ def flow_stream(packets: DataFrame, size: int = FLOW_SIZE, idle: str | None = No
 
     ``idle`` (e.g. "60 seconds") turns on eviction: a longer gap between two packets of a key drops the packets that
     wait before it, and a key that stays quiet loses its state once the watermark has passed its last packet by that
-    long. Such a key starts again at window 0.
+    long. Either way the key starts again at window 0 after the gap, so window numbers do not depend on the watermark.
     """
     idle_us = int(pd.Timedelta(idle).total_seconds() * 1e6) if idle else None
     timeout = GroupStateTimeout.EventTimeTimeout if idle else GroupStateTimeout.NoTimeout
@@ -79,26 +83,102 @@ def flow_stream(packets: DataFrame, size: int = FLOW_SIZE, idle: str | None = No
         if state.hasTimedOut:
             state.remove()
             return
-        closed, *waiting = state.get if state.exists else (0, [], [], [], [])
+        closed, last, *waiting = state.get if state.exists else (0, None, [], [], [], [])
         fresh = pd.concat(list(batches)).sort_values(["us", "packet_id"])
         us, ids, fwd, length = (np.concatenate([np.asarray(old, dtype=np.int64), fresh[c].to_numpy(dtype=np.int64)])
                                 for old, c in zip(waiting, columns))
+        if idle_us is not None and last is not None and us[0] - last > idle_us:      # nothing waited, so the gap lies before these
+            closed = 0
         # Runs of packets without a gap above the idle limit; only the last run can still grow.
         starts = [0] if idle_us is None else [0, *(np.flatnonzero(np.diff(us) > idle_us) + 1)]
         for start, end in zip(starts, [*starts[1:], len(us)]):
+            closed = 0 if start else closed
             windows = (end - start) // size
             used = slice(start, start + windows * size)
             if windows:
                 yield fold_windows(key, closed, *(a[used].reshape(windows, size) for a in (us, fwd, length)))
                 closed += windows
         rest = slice(used.stop, None)
-        state.update((closed, *(a[rest].tolist() for a in (us, ids, fwd, length))))
+        state.update((closed, int(us[-1]), *(a[rest].tolist() for a in (us, ids, fwd, length))))
         if idle_us is not None:
             state.setTimeoutTimestamp(max(int(us[-1] + idle_us) // 1000, state.getCurrentWatermarkMs() + 1))
 
     return keyed.groupBy(*FLOW_KEY).applyInPandasWithState(fold, OUTPUT, STATE, "append", timeout)
 
 
+# ---------------------------------------------------------------- flows by a carried table
+
+CARRY = [*FLOW_KEY, "closed", "us", "packet_id", "fwd", "length"]
+
+
+def carried_flows(keyed: DataFrame, carry: DataFrame | None, size: int = FLOW_SIZE) -> tuple[DataFrame, DataFrame]:
+    """(closed flows, what waits now) of a micro-batch of keyed packets and what waited before it.
+
+    ``carry`` holds the waiting packets, each with the windows its key has closed, and a row without packet for a key where none
+    waits. Waiting and new packets of a key are ordered by (time, packet id). All of it are windows and joins on the key.
+    """
+    columns = [*FLOW_KEY, "us", "packet_id", "fwd", "length"]
+    packets, closed = keyed.select(*columns), None
+    if carry is not None:
+        packets = packets.unionByName(carry.where("packet_id IS NOT NULL").select(*columns))
+        closed = carry.groupBy(*FLOW_KEY).agg(F.max("closed").alias("closed"))
+    packets = materialize(packets, "waiting-and-new")
+
+    def named(df: DataFrame) -> DataFrame:
+        return df.withColumn("closed", F.lit(0).cast("long")) if closed is None else attach(df, closed, FLOW_KEY).fillna(0, ["closed"])
+
+    flows = flow_features(packets, size, endpoints=True)
+    flows = named(flows).withColumn("win", (F.col("win") + F.col("closed")).cast("long")).drop("closed")
+    per_key = Window.partitionBy(*FLOW_KEY)
+    counted = order_in_key(packets).withColumn("n", F.count("*").over(per_key))
+    rest = counted.where(F.col("ord") >= F.col("n") - F.col("n") % size)
+    waiting = named(rest).withColumn("closed", F.col("closed") + F.floor(F.col("n") / size)).select(*CARRY)
+    none = [F.lit(None).cast(kind).alias(c) for c, kind in (("us", "long"), ("packet_id", "long"), ("fwd", "int"), ("length", "long"))]
+    full = named(packets.groupBy(*FLOW_KEY).agg(F.count("*").alias("n")).where(F.col("n") % size == 0))
+    ended = full.select(*FLOW_KEY, (F.col("closed") + F.floor(F.col("n") / size)).alias("closed"), *none)
+    after = waiting.unionByName(ended)
+    if closed is not None:          # keys whose windows had all closed and that were silent in this batch
+        seen = packets.select(*[F.col(c).alias(f"_{c}") for c in FLOW_KEY]).distinct()
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in FLOW_KEY]
+        after = after.unionByName(closed.join(seen, same, "left_anti").select(*FLOW_KEY, "closed", *none))
+    return flows, after
+
+
+def _version(spark, carry: str, batch_id: int) -> DataFrame | None:
+    """What waited before a batch: the version of the batch before it."""
+    if batch_id == 0:
+        return None
+    try:
+        return spark.read.parquet(f"{carry}/batch={batch_id - 1}")
+    except Exception as error:  # noqa: BLE001 - batch ids start above 0 where a checkpoint was continued without this table
+        if "PATH_NOT_FOUND" in str(error):
+            raise RuntimeError(f"no version {batch_id - 1} of what waits under {carry}") from error
+        raise
+
+
+def flow_batch(packets: DataFrame, batch_id: int, out: str, carry: str, size: int = FLOW_SIZE) -> DataFrame:
+    """Close the flows of one micro-batch: writes them and what waits now, both under the batch's own name, and returns them."""
+    spark = packets.sparkSession
+    flows, waiting = carried_flows(keyed_packets(packets), _version(spark, carry, batch_id), size)
+    flows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+    waiting.write.mode("overwrite").parquet(f"{carry}/batch={batch_id}")
+    return spark.read.schema(flows.schema).parquet(f"{out}/batch={batch_id}")
+
+
+def flow_job(packets: DataFrame, out: str, carry: str, checkpoint: str, size: int = FLOW_SIZE,
+             then: Callable[[DataFrame, int], None] | None = None, **trigger):
+    """Run the stream: every micro-batch of packets goes through `flow_batch`, its flows through ``then`` (such as `alert_batch`)."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        flows = flow_batch(batch, batch_id, out, carry, size)
+        if then is not None:
+            then(flows, batch_id)
+
+    writer = packets.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+
+
+# ---------------------------------------------------------------- alerts
+
 def current_threshold(spark, path: str, default: float = ALERT_THRESHOLD) -> float:
     """Latest threshold in a small table of (set_at, threshold); the default until one is written."""
     try:
@@ -116,24 +196,36 @@ def set_threshold(spark, path: str, threshold: float) -> None:
     line.write.mode("append").parquet(path)
 
 
+def threshold_of_batch(spark, path: str, batch_id: int) -> float:
+    """The threshold in force when a batch was first scored, noted beside the table so that a replay uses the same one."""
+    used = f"{path}-used/batch={batch_id}"
+    try:
+        return float(spark.read.parquet(used).first()["threshold"])
+    except Exception as error:  # noqa: BLE001 - not noted yet
+        if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
+            raise
+    limit = current_threshold(spark, path)
+    spark.range(1).select(F.lit(limit).alias("threshold")).write.mode("overwrite").parquet(used)
+    return limit
+
+
+def alert_batch(flows: DataFrame, batch_id: int, score: Callable[[DataFrame], DataFrame], threshold_path: str, alert_path: str,
+                rejected_path: str) -> None:
+    """Score the flows of one micro-batch and write its alerts under its own name, so a replayed batch replaces its output."""
+    limit = threshold_of_batch(flows.sparkSession, threshold_path, batch_id)
+    flows.persist()
+    try:
+        alerts(score(flows.where(usable())), limit).write.mode("overwrite").parquet(f"{alert_path}/batch={batch_id}")
+        flows.where(~usable()).write.mode("overwrite").parquet(f"{rejected_path}/batch={batch_id}")
+    finally:
+        flows.unpersist()
+
+
 def alert_stream(flows: DataFrame, score: Callable[[DataFrame], DataFrame], threshold_path: str, alert_path: str,
                  rejected_path: str, checkpoint: str, **trigger):
-    """Score closed flows and append alerts, reading the threshold anew for every micro-batch.
-
-    Each micro-batch writes into its own ``batch`` directory, so a replayed one replaces its own output. Flows with
-    unusable features go to ``rejected_path``.
-    """
+    """Alerts of a stream of closed flows, with the threshold in force at each micro-batch; unusable flows go to ``rejected_path``."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        limit = current_threshold(spark, threshold_path)
-        batch.persist()
-        try:
-            alerts(score(batch.where(usable())), limit).write.mode("overwrite").parquet(f"{alert_path}/batch={batch_id}")
-            batch.where(~usable()).write.mode("overwrite").parquet(f"{rejected_path}/batch={batch_id}")
-        finally:
-            batch.unpersist()
+        alert_batch(batch, batch_id, score, threshold_path, alert_path, rejected_path)
 
     writer = flows.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
-
-

@@ -62,3 +62,57 @@ def test_threshold_is_read_per_batch(spark, sf):
     alert_stream(flow_stream(stream), score, f"{base}/t", f"{base}/out", f"{base}/bad", f"{base}/s", availableNow=True).awaitTermination()
     found = spark.read.parquet(f"{base}/out")
     assert len(seen) >= 2 and {r["threshold"] for r in found.select("threshold").distinct().collect()} == {0.0}
+
+
+def keyed_rows(flows):
+    return sorted(tuple(r) for r in flows.select("ip_a", "ip_b", "port_a", "win", "flow_duration", "fwd_packets", "flow_iat_max").collect())
+
+
+def test_carried_batches_close_the_flows_of_one_table(spark, sf):
+    """Batches of any size, keys silent in some of them, and a batch run twice."""
+    from flowsieve.streaming.flows import flow_batch
+    packets = fx.packets(spark, sf).persist()
+    lo, hi = packets.agg(F.min("packet_id"), F.max("packet_id")).first()
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts = [r[0] for r in packets.select(us.alias("us")).orderBy("us").collect()]
+    edges = [cuts[0], cuts[len(cuts) // 7], cuts[len(cuts) // 2], cuts[len(cuts) // 2 + 5], cuts[-1] + 1]
+    base = scratch_path(spark, "carried")
+    for i, (a, b) in enumerate(zip(edges, edges[1:])):
+        part = packets.where((us >= a) & (us < b))
+        flow_batch(part, i, f"{base}/flows", f"{base}/waiting")
+        if i == 2:                        # the batch fails after writing and is replayed
+            first = keyed_rows(spark.read.parquet(f"{base}/flows"))
+            flow_batch(part, i, f"{base}/flows", f"{base}/waiting")
+            assert keyed_rows(spark.read.parquet(f"{base}/flows")) == first
+    batch = fl.flow_features(fl.keyed_packets(packets), endpoints=True)
+    assert keyed_rows(spark.read.parquet(f"{base}/flows")) == keyed_rows(batch) and hi > lo
+    waiting = spark.read.parquet(f"{base}/waiting/batch=3").groupBy("ip_a", "ip_b", "port_a", "port_b", "proto").agg(F.count("packet_id").alias("n"), F.max("closed").alias("closed"))
+    assert waiting.where("n > 9").isEmpty()
+    whole = fl.keyed_packets(packets).groupBy("ip_a", "ip_b", "port_a", "port_b", "proto").count()
+    assert whole.join(waiting, ["ip_a", "ip_b", "port_a", "port_b", "proto"]).where("count <> 10 * closed + n").isEmpty() and waiting.count() == whole.count()
+
+
+def test_a_lost_version_is_an_error(spark, sf):
+    from flowsieve.streaming.flows import flow_batch
+    with pytest.raises(RuntimeError, match="no version 4"):
+        flow_batch(fx.packets(spark, sf), 5, scratch_path(spark, "f"), scratch_path(spark, "c"))
+
+
+def test_a_replay_uses_the_threshold_of_its_first_run(spark):
+    from flowsieve.streaming.flows import threshold_of_batch
+    path = scratch_path(spark, "threshold") + "/t"
+    set_threshold(spark, path, 0.3)
+    assert threshold_of_batch(spark, path, 0) == 0.3
+    set_threshold(spark, path, 0.8)
+    assert threshold_of_batch(spark, path, 0) == 0.3 and threshold_of_batch(spark, path, 1) == 0.8
+
+
+def test_windows_start_again_after_a_gap_however_batches_fall(spark):
+    """Ten packets, a gap, ten packets: window 0 twice, in one batch or in two."""
+    for files in (1, 2):
+        path = scratch_path(spark, "gap")
+        one, two = packets_at(spark, range(10)), packets_at(spark, range(500, 510), 50)
+        for part in ([one.union(two).coalesce(1)] if files == 1 else [one.coalesce(1), two.coalesce(1)]):
+            write_packets(part, path)
+        stream = read_packets(spark, path, streaming=True, maxFilesPerTrigger="1")
+        assert [r["win"] for r in _run_to_table(spark, flow_stream(stream, idle="60 seconds", watermark="1 hour")).collect()] == [0, 0]
