@@ -8,6 +8,9 @@ precision, the marked rows and the small training table.
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -21,7 +24,7 @@ from ..operators import cleaning as cl
 from ..operators import metrics as me
 from ..operators import sampling as sa
 from ..operators import scaling as sc
-from ..schema import DEPTH_STUDY, SEED, TEST_FRACTION, TRAIN_CAP, TRAIN_FILE_CAP
+from ..schema import DEPTH_STUDY, FEATURES, SEED, TEST_FRACTION, TRAIN_CAP, TRAIN_FILE_CAP
 from ..session import materialize
 from ..sources.store import load_table, save_table
 
@@ -92,19 +95,58 @@ class TrainingRun:
         clean = cl.drop_non_finite(cl.clean_columns(flows))
         return sc.scaler_apply(cl.model_types(cl.conform(clean, keep=keep)), self.params)
 
-    def save(self, spark: SparkSession, folder: str) -> None:
-        save_table(self.scaler, f"{folder}/scaler")
+    def save(self, spark: SparkSession, folder: str) -> str:
+        """Write scaler and models as a new version of the folder's model set; it counts once its manifest line is there."""
+        version = f"v-{uuid.uuid4().hex}"
+        save_table(self.scaler, f"{folder}/{version}/scaler")
         for model in self.models.values():
-            registry.save(model, spark, folder)
+            registry.save(model, spark, f"{folder}/{version}")
+        publish(spark, folder, version, self.params, sorted(self.models))
+        return version
+
+
+# ---------------------------------------------------------------- saved model sets
+
+MANIFEST = "number long, version string, features array<string>, scaler_hash string, models array<string>"
+
+
+def scaler_hash(params: dict[str, tuple[float, float]]) -> str:
+    return hashlib.sha256(json.dumps([[f, *map(float.hex, params[f])] for f in FEATURES]).encode()).hexdigest()
+
+
+def manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The published versions of a model set; raises FileNotFoundError when there is none."""
+    return load_table(spark, f"{folder}/manifest")
+
+
+def publish(spark: SparkSession, folder: str, version: str, params: dict[str, tuple[float, float]], models: list[str]) -> None:
+    """Append the version's line, which a reader sees whole or not at all, as the last step of saving."""
+    try:
+        last = manifest(spark, folder).agg(F.max("number")).first()[0]
+    except FileNotFoundError:
+        last = 0
+    line = [(last + 1, version, FEATURES, scaler_hash(params), models)]
+    spark.createDataFrame(line, MANIFEST).coalesce(1).write.mode("append").parquet(f"{folder}/manifest")
 
 
 class SavedRun(TrainingRun):
-    """Scaler and models read back from a folder."""
+    """Scaler and models of the latest published version of a folder, or of a given one.
+
+    The version is chosen once, so a job that runs on while a new one is saved keeps one consistent set. A set whose features
+    or scaler are not those its manifest names is refused.
+    """
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, version: str | None = None):
         super().__init__(rows=None)
-        self.scaler = load_table(spark, f"{folder}/scaler")
-        self._spark, self._folder = spark, folder
+        lines = manifest(spark, folder)
+        line = (lines if version is None else lines.where(F.col("version") == version)).orderBy(F.desc("number"), "version").first()
+        if line is None:
+            raise FileNotFoundError(f"{folder}: no version {version}")
+        self.version, self.saved = line["version"], list(line["models"])
+        self.scaler = load_table(spark, f"{folder}/{self.version}/scaler")
+        if list(line["features"]) != FEATURES or scaler_hash(self.params) != line["scaler_hash"]:
+            raise ValueError(f"{folder}/{self.version} was saved for other features or another scaler")
+        self._spark, self._folder = spark, f"{folder}/{self.version}"
 
     def model(self, code: str) -> Model:
         if code not in self.models:

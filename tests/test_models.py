@@ -210,3 +210,33 @@ def test_copies_in_several_sources_are_one_row(spark):
     assert len(rows) == 5 and len({r["row_id"] for r in rows}) == 5 and {r["source_file"] for r in rows} == {"s0.csv"}
     plain = tr.training_rows(flows.drop("source_file", "row_id")).collect()
     assert {r["row_id"] for r in plain} == {r["row_id"] for r in rows} and {r["source_file"] for r in plain} == {None}
+
+
+def test_model_sets_are_published_whole(spark, run, tmp_path, monkeypatch):
+    """A save that dies half way leaves the version before in force; a job keeps the version it began with."""
+    folder = str(tmp_path / "set")
+    with pytest.raises(FileNotFoundError):
+        tr.SavedRun(spark, folder)
+    part = tr.TrainingRun(run.rows)
+    part.models["nb"] = run.model("nb")
+    first = part.save(spark, folder)
+    live = tr.SavedRun(spark, folder)
+    assert (live.version, live.saved) == (first, ["nb"])
+
+    part.models["ada"] = run.model("ada")
+    save = registry.save
+    monkeypatch.setattr(registry, "save", lambda model, *a: save(model, *a) if model.code == "nb" else 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        part.save(spark, folder)
+    assert tr.SavedRun(spark, folder).version == first
+    monkeypatch.undo()
+    second = part.save(spark, folder)
+    assert tr.SavedRun(spark, folder).version == second and tr.SavedRun(spark, folder, first).version == first
+    assert live.model("nb").params == run.model("nb").params
+    with pytest.raises(FileNotFoundError):
+        live.model("ada")
+    assert [r["number"] for r in tr.manifest(spark, folder).orderBy("number").collect()] == [1, 2]
+
+    tr.publish(spark, folder, second, {f: (1.0, 2.0) for f in FEATURES}, ["nb"])
+    with pytest.raises(ValueError, match="another scaler"):
+        tr.SavedRun(spark, folder)
