@@ -1,9 +1,11 @@
-"""k nearest neighbours, Euclidean, uniform vote.
+"""k nearest neighbours, Euclidean, uniform vote, by stored ball trees.
 
-The training side is split by hash into blocks of at most ``BLOCK_ROWS`` rows. Scored rows stream through the
-blocks in Arrow batches and carry only their k best neighbours so far, so they are never shuffled and the result
-is exact for any number of blocks; one block (the capped training set) is the usual case. Equal distances are
-settled by training row id.
+Training rows are dealt by hash into shards of at most ``SHARD_ROWS`` rows. Each shard is one row of a written table: its rows in
+order of their ids and a tree's leaves as balls (centre, radius, members). Scored rows travel in packed batches that hold all
+their columns, and a batch meets a shard by a join: distances to the leaf centres bound what a leaf can hold, every row measures
+its nearest leaf first and then only leaves that may beat its k-th neighbour so far. With one shard (the capped training set)
+the shard is broadcast and a batch leaves the task scored, without any shuffle; with more, the k best of each (batch, shard) are
+merged per batch. Nothing passes through the driver. The result is exact; equal distances are settled by training row id.
 """
 
 from __future__ import annotations
@@ -11,17 +13,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import FEATURES, MODEL_PARAMS
-from ..session import materialize
+from ..session import materialize, ship_package
 from ..sources.store import load_table, save_table
 from .base import Model, majority
+from .passes import _typed
 
-BLOCK_ROWS = 40_000
+SHARD_ROWS = 65_536
+LEAF = 256
 SPARE = 16          # neighbours beyond k that are measured exactly
 CHUNK = 64          # scored rows per distance matrix, small enough to stay in cache
 ROUNDING = 4e-6     # relative error bound of the single-precision products
@@ -59,77 +63,205 @@ def nearest(x: np.ndarray, train: np.ndarray, labels: np.ndarray, k: int) -> tup
     return dist, place, labels[place]
 
 
+def ball_leaves(x: np.ndarray, leaf: int = LEAF) -> list[np.ndarray]:
+    """Positions of the rows of each leaf, ascending: halves along the widest feature down to ``leaf`` rows."""
+    done, open_ = [], [np.arange(len(x))]
+    while open_:
+        at = open_.pop()
+        spans = np.ptp(x[at], axis=0)
+        if len(at) <= leaf or not spans.max() > 0:
+            done += [at[i:i + 4 * leaf] for i in range(0, len(at), 4 * leaf)]
+            continue
+        order = at[np.argsort(x[at, int(spans.argmax())], kind="stable")]
+        open_ += [np.sort(order[:len(at) // 2]), np.sort(order[len(at) // 2:])]
+    return done
+
+
+class Shard:
+    """Training rows in order of id with their leaves; searched for many rows at once."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, leaves: list[np.ndarray]) -> None:
+        self.x, self.y, self.leaves = x, y, leaves
+        self.centres = np.array([x[at].mean(axis=0) for at in leaves])
+        self.radii = np.array([np.sqrt(((x[at] - c) ** 2).sum(axis=1).max()) for at, c in zip(leaves, self.centres, strict=True)])
+
+    @classmethod
+    def of(cls, row: dict) -> Shard:
+        x = np.frombuffer(row["x"], np.float64).reshape(-1, len(FEATURES))
+        order, ends = np.frombuffer(row["places"], np.int64), np.frombuffer(row["ends"], np.int64)
+        return cls(x, np.frombuffer(row["y"], np.int64), np.split(order, ends[:-1]))
+
+    def search(self, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(squared distances, positions) of the k nearest of each row, by (distance, position); inf and -1 where there are fewer."""
+        best, place = np.full((len(x), k), np.inf), np.full((len(x), k), -1, np.int64)
+        if not len(x):
+            return best, place
+        square = (x ** 2).sum(axis=1)[:, None] - 2 * x @ self.centres.T + (self.centres ** 2).sum(axis=1)
+        scale = (x ** 2).sum(axis=1)[:, None] + (self.centres ** 2).sum(axis=1)
+        # Lower bound of the distance to any row of a leaf, with room for rounding.
+        low = np.sqrt(np.maximum(square - 1e-12 * scale, 0.0)) * (1 - 1e-9) - self.radii * (1 + 1e-9)
+        first = low.argmin(axis=1)
+
+        def measure(rows: np.ndarray, leaf: int) -> None:
+            at = self.leaves[leaf]
+            d, p, _ = nearest(x[rows], self.x[at], self.y[at], k)
+            both, where = np.concatenate([best[rows], d], axis=1), np.concatenate([place[rows], at[p]], axis=1)
+            order = np.lexsort((where, both), axis=1)[:, :k]
+            best[rows], place[rows] = np.take_along_axis(both, order, 1), np.take_along_axis(where, order, 1)
+
+        by_leaf = np.argsort(first, kind="stable")
+        ends = np.searchsorted(first[by_leaf], np.arange(len(self.leaves) + 1))
+        for leaf in range(len(self.leaves)):
+            if ends[leaf] < ends[leaf + 1]:
+                measure(by_leaf[ends[leaf]:ends[leaf + 1]], leaf)
+        for leaf in np.argsort(low.min(axis=0)):
+            rows = np.flatnonzero((first != leaf) & (low[:, leaf] <= np.sqrt(best[:, -1])))
+            if len(rows):
+                measure(rows, leaf)
+        return best, place
+
+
+INDEX = "shard int, ids array<string>, x binary, y binary, places binary, ends binary"
+
+
+def index_table(train: DataFrame, shards: int, leaf: int = LEAF) -> DataFrame:
+    """One row per shard, as `Shard.of` reads it."""
+    def build(group: pa.Table) -> pa.Table:
+        order = np.argsort(group["row_id"].to_numpy(), kind="stable")
+        group = group.take(pa.array(order))
+        x = np.column_stack([group[f].to_numpy() for f in FEATURES]).astype(np.float64)
+        leaves = ball_leaves(x, leaf)
+        parts = (x, group["y"].to_numpy().astype(np.int64), np.concatenate(leaves), np.cumsum([len(at) for at in leaves]))
+        return pa.table([pa.array([group["shard"][0].as_py()], pa.int32()), pa.array([group["row_id"].to_pylist()], pa.list_(pa.string())),
+                         *[pa.array([np.ascontiguousarray(p).tobytes()], pa.binary()) for p in parts]], names=["shard", "ids", "x", "y", "places", "ends"])
+
+    rows = train.select(F.col("row_id").cast("string").alias("row_id"), F.col("y").cast("long").alias("y"), *[F.col(f).cast("double").alias(f) for f in FEATURES])
+    return rows.withColumn("shard", F.pmod(F.xxhash64("row_id"), F.lit(shards)).cast("int")).groupBy("shard").applyInArrow(build, INDEX)
+
+
+def _features(batch: pa.RecordBatch) -> np.ndarray:
+    return np.column_stack([batch.column(f).to_numpy(zero_copy_only=False).astype(np.float64) for f in FEATURES])
+
+
+def _packed(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(raw: bytes) -> pa.RecordBatch:
+    return next(iter(pa.ipc.open_stream(raw)))
+
+
+def _with_proba(batch: pa.RecordBatch, known: np.ndarray, proba: np.ndarray) -> pa.RecordBatch:
+    """The batch with ``proba`` of its ``known`` rows, null for the others."""
+    every = np.zeros(batch.num_rows)
+    every[known] = proba
+    return pa.RecordBatch.from_arrays([*batch.columns, pa.array(every, mask=~known)], names=[*batch.schema.names, "proba"])
+
+
 class Neighbors(Model):
     code = "knn"
 
-    def __init__(self, train: DataFrame, blocks: int, k: int):
-        self.train, self.blocks, self.k = train, blocks, k
+    def __init__(self, index: DataFrame, shards: int, k: int):
+        self.index, self.shards, self.k = index, shards, k
 
     @classmethod
-    def fit(cls, train: DataFrame, seed: int | None = None, k: int | None = None, block_rows: int = BLOCK_ROWS) -> Neighbors:
+    def fit(cls, train: DataFrame, seed: int | None = None, k: int | None = None, shard_rows: int = SHARD_ROWS, leaf: int = LEAF) -> Neighbors:
+        ship_package(train.sparkSession)
         rows = train.count()
-        # Hash blocks vary in size; planning for 80 % keeps every one of them below the limit in practice.
-        blocks = 1 if rows <= block_rows else -(-rows * 5 // (block_rows * 4))
-        block = F.pmod(F.xxhash64("row_id"), F.lit(blocks)).cast("int")
-        kept = materialize(train.select("row_id", "y", *FEATURES, block.alias("block")), "neighbors")
-        return cls(kept, blocks, k or MODEL_PARAMS["knn"]["k"])
+        if not rows:
+            raise ValueError("no training rows")
+        # Hash shards vary in size; planning for 80 % keeps every one of them below the limit in practice.
+        shards = 1 if rows <= shard_rows else -(-rows * 5 // (shard_rows * 4))
+        return cls(materialize(index_table(train, shards, leaf), "neighbors"), shards, k or MODEL_PARAMS["knn"]["k"])
 
     def score(self, df: DataFrame) -> DataFrame:
-        scored = self._one_block(df) if self.blocks == 1 else self._many_blocks(df)
+        """All columns and ``proba``, the share of attacks among the k nearest, and ``pred``. A scored row without a feature gets no probability."""
+        ship_package(df.sparkSession)
+        kind = T.StructType([*df.drop("proba", "pred").schema.fields, T.StructField("proba", T.DoubleType())])
+        df = df.drop("proba", "pred")
+        scored = self._one_shard(df, kind) if self.shards == 1 else self._many_shards(df, kind)
         return scored.withColumn("pred", majority(F.col("proba")))
 
-    def _shared(self, spark: SparkSession, block: int):
-        side = self.train.where(F.col("block") == block).orderBy("row_id").select("row_id", "y", *FEATURES).toPandas()
-        return spark.sparkContext.broadcast((
-            side[FEATURES].to_numpy(dtype=np.float64), side["y"].to_numpy(), side["row_id"].to_numpy()))
-
-    def _one_block(self, df: DataFrame) -> DataFrame:
-        shared, k = self._shared(df.sparkSession, 0), self.k
-
-        @F.pandas_udf(T.DoubleType())
-        def share(x: pd.DataFrame) -> pd.Series:
-            train, labels, _ = shared.value
-            return pd.Series(nearest(x.to_numpy(dtype=np.float64), train, labels, k)[2].mean(axis=1))
-
-        return df.withColumn("proba", share(F.struct(*FEATURES)))
-
-    def _many_blocks(self, df: DataFrame) -> DataFrame:
-        empty = lambda kind: F.array().cast(f"array<{kind}>")
-        scored = df.withColumn("_best", F.struct(
-            empty("double").alias("dist"), empty("string").alias("id"), empty("int").alias("vote")))
-        for block in range(self.blocks):
-            scored = self._through(scored, block)
-        votes = F.aggregate("_best.vote", F.lit(0), lambda acc, v: acc + v)
-        return scored.withColumn("proba", votes / F.size("_best.vote")).drop("_best")
-
-    def _through(self, scored: DataFrame, block: int) -> DataFrame:
-        """Let the rows meet one block of training rows and keep the k best of old and new neighbours."""
-        shared, k = self._shared(scored.sparkSession, block), self.k
-        if not len(shared.value[0]):
-            return scored
-
-        def merge(batches: Iterator[tuple[pd.DataFrame, pd.DataFrame]]) -> Iterator[pd.DataFrame]:
-            train, labels, ids = shared.value
-            for x, best in batches:
-                dist, place, vote = nearest(x.to_numpy(dtype=np.float64), train, labels, k)
-                out = {"dist": [], "id": [], "vote": []}
-                for d0, i0, v0, d1, p1, v1 in zip(best["dist"], best["id"], best["vote"], dist, place, vote):
-                    ranked = sorted(zip([*d0, *d1], [*i0, *ids[p1]], [*v0, *v1]))[:k]
-                    out["dist"].append([float(d) for d, _, _ in ranked])
-                    out["id"].append([str(i) for _, i, _ in ranked])
-                    out["vote"].append([int(v) for _, _, v in ranked])
-                yield pd.DataFrame(out)
-
-        best = F.pandas_udf(merge, T.StructType([
-            T.StructField("dist", T.ArrayType(T.DoubleType())), T.StructField("id", T.ArrayType(T.StringType())),
-            T.StructField("vote", T.ArrayType(T.IntegerType()))]))
-        return scored.withColumn("_best", best(F.struct(*FEATURES), F.col("_best")))
+    @staticmethod
+    def _batches(df: DataFrame) -> DataFrame:
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    yield pa.RecordBatch.from_arrays([pa.array([_packed(batch)], pa.binary())], names=["rows"])
+
+        return df.mapInArrow(pack, "rows binary")
+
+    def _one_shard(self, df: DataFrame, kind: T.StructType) -> DataFrame:
+        k = self.k
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            shard = None
+            for packed in batches:
+                for row in packed.to_pylist():
+                    shard = shard or Shard.of(row)          # the same one for every batch
+                    batch = _unpacked(row["rows"])
+                    x = _features(batch)
+                    known = np.isfinite(x).all(axis=1)
+                    _, place = shard.search(x[known], min(k, len(shard.x)))
+                    yield _with_proba(batch, known, shard.y[place].mean(axis=1))
+
+        # One row of at most SHARD_ROWS training rows; ids only settle ties between shards.
+        side = F.broadcast(self.index.select("x", "y", "places", "ends"))
+        return self._batches(df).crossJoin(side).mapInArrow(run, kind)
+
+    def _many_shards(self, df: DataFrame, kind: T.StructType) -> DataFrame:
+        k = self.k
+        batches = materialize(self._batches(df).withColumn("batch", F.monotonically_increasing_id()), "scored-batches")
+
+        def find(pairs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            at, shard = None, None
+            for packed in pairs:
+                for i in range(packed.num_rows):
+                    row = packed.slice(i, 1).to_pylist()[0]
+                    if row["shard"] != at:
+                        at, shard, ids = row["shard"], Shard.of(row), np.array(row["ids"], object)
+                    x = _features(_unpacked(row["rows"]))
+                    known = np.isfinite(x).all(axis=1)
+                    dist, place = shard.search(x[known], min(k, len(shard.x)))
+                    values = pa.RecordBatch.from_arrays([pa.array(dist.reshape(-1)), pa.array(ids[place].reshape(-1), pa.string()), pa.array(shard.y[place].reshape(-1))],
+                                                        names=["dist", "id", "vote"])
+                    yield pa.RecordBatch.from_arrays([pa.array([row["batch"]]), pa.array([len(dist)]), pa.array([_packed(values)], pa.binary())], names=["batch", "n", "found"])
+
+        def merge(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """The k best of a batch's rows over all shards, part by part."""
+            best = None
+            for part in parts:
+                for n, raw in zip(part["n"].to_pylist(), part["found"].to_pylist(), strict=True):
+                    values = _unpacked(raw)
+                    mine = [values.column(c).to_numpy(zero_copy_only=False) for c in ("dist", "id", "vote")]
+                    mine = [v.reshape(n, -1) if n else np.zeros((0, 1)) for v in (mine[0], mine[1].astype(str), mine[2])]
+                    if best is not None:
+                        mine = [np.concatenate([a, b], axis=1) for a, b in zip(best, mine, strict=True)]
+                    order = np.lexsort((mine[1], mine[0]), axis=1)[:, :k]
+                    best = [np.take_along_axis(v, order, 1) for v in mine]
+            votes = best[2].mean(axis=1).astype(np.float64)
+            yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()]), pa.array([votes.tobytes()], pa.binary())], names=["batch", "votes"])
+
+        def unpack(packed: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows in packed:
+                for row in rows.to_pylist():
+                    batch = _unpacked(row["rows"])
+                    yield _with_proba(batch, np.isfinite(_features(batch)).all(axis=1), np.frombuffer(row["votes"], np.float64))
+
+        shards = F.explode(F.sequence(F.lit(0), F.lit(self.shards - 1)))
+        pairs = batches.select("batch", "rows", shards.alias("shard")).join(self.index, "shard")
+        found = pairs.select("batch", "rows", *self.index.columns).mapInArrow(find, "batch long, n long, found binary")
+        votes = found.groupBy("batch").applyInArrow(_typed(merge), "batch long, votes binary")
+        return batches.join(votes, "batch").select("rows", "votes").mapInArrow(unpack, kind)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        save_table(self.train.withColumn("blocks", F.lit(self.blocks)).withColumn("k", F.lit(self.k)), path)
+        save_table(self.index.withColumn("shards", F.lit(self.shards)).withColumn("k", F.lit(self.k)), path)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Neighbors:
         table = load_table(spark, path)
-        row = table.first()
-        return cls(table.drop("blocks", "k"), row["blocks"], row["k"])
+        row = table.select("shards", "k").first()
+        return cls(table.drop("shards", "k"), row["shards"], row["k"])

@@ -213,6 +213,19 @@ gradients AS (SELECT t.*, p, p * (1 - p) AS h FROM fitted t CROSS JOIN start), {
 check("model_xgb_first", _XGB)(_fitted_query(lambda train: NewtonBoosting.fit(train, rounds=1, depth=1)))
 
 
+# nearest neighbours of every test row among a small training set
+_APART = " + ".join(f"(a.{f} - b.{f}) * (a.{f} - b.{f})" for f in FEATURES)
+
+
+@check("model_knn_capped", _capped(f"""WITH {WITH_TRAIN},
+near AS (SELECT a.row_id, a.y, b.y AS vote FROM split a CROSS JOIN fitted b WHERE a.is_test
+  QUALIFY row_number() OVER (PARTITION BY a.row_id ORDER BY {_APART}, b.row_id) <= 5)
+SELECT row_id, any_value(y) AS y, round(avg(vote), 5) AS proba, CAST(avg(vote) > 0.5 AS INTEGER) AS pred FROM near GROUP BY row_id"""))
+def model_knn_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = training_run(spark, sf_dir, SMALL_CAP)
+    return rounded(run.model("knn").score(run.test).select("row_id", "y", "proba", "pred"), 5)
+
+
 @check("model_iforest")
 def model_iforest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(registry.ANOMALY)(spark, sf_dir)

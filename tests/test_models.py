@@ -46,14 +46,37 @@ def test_svm_gradient_vanishes(small):
     assert np.abs(w - 2 * xb.T @ (slack * s)).max() < 1e-6
 
 
-def test_knn_against_brute_force(small):
+@pytest.mark.parametrize(("shard_rows", "leaf"), [(65_536, 256), (65_536, 8), (5, 2), (100, 16)])
+def test_knn_against_brute_force(small, shard_rows, leaf):
+    """One shard or a hundred, leaves of any size: the same votes; other columns travel along, a row without a feature gets none."""
     df, x, y = small
-    for block_rows in (40_000, 100):
-        model = Neighbors.fit(df, block_rows=block_rows)
-        got = {r["row_id"]: r["proba"] for r in model.score(df).collect()}
-        dist = ((x[:, None, :] - x[None]) ** 2).sum(axis=2)
-        votes = y[np.argsort(dist, axis=1, kind="stable")[:, :5]].mean(axis=1)
-        assert [got[f"r{i:04d}"] for i in range(len(x))] == pytest.approx(votes.tolist())
+    model = Neighbors.fit(df, shard_rows=shard_rows, leaf=leaf)
+    assert (model.shards == 1) == (shard_rows > 400) and (shard_rows != 5 or model.shards == 100)
+    asked = df.withColumn("proba", F.lit("clash")).withColumn("extra", F.struct("y", "row_id"))
+    asked = asked.unionByName(asked.limit(1).withColumn("row_id", F.lit("lost")).withColumn(FEATURES[2], F.lit(None).cast("double")))
+    got = {r["row_id"]: r for r in model.score(asked).collect()}
+    dist = ((x[:, None, :] - x[None]) ** 2).sum(axis=2)
+    votes = y[np.argsort(dist, axis=1, kind="stable")[:, :5]].mean(axis=1)
+    assert [got[f"r{i:04d}"]["proba"] for i in range(len(x))] == pytest.approx(votes.tolist())
+    assert got["lost"]["proba"] is None and got["lost"]["pred"] is None and got["r0007"]["extra"]["row_id"] == "r0007"
+
+
+@pytest.mark.parametrize("shard_rows", [65_536, 30])
+def test_knn_ties_go_to_the_smallest_row_id(spark, shard_rows):
+    """Many rows in the same place with labels by id: the five smallest ids vote."""
+    rows = [(f"r{i:03d}", int(i in (0, 2, 4)), *[1.0] * 15) for i in range(200)] + [(f"s{i}", 1, *[float(i)] * 15) for i in range(3, 9)]
+    df = spark.createDataFrame(rows, "row_id STRING, y INT, " + ", ".join(f"{f} DOUBLE" for f in FEATURES)).repartition(3)
+    got = {r["row_id"]: r["proba"] for r in Neighbors.fit(df, shard_rows=shard_rows, leaf=16).score(df).collect()}
+    assert got["r150"] == got["r000"] == 0.6 and got["s8"] == 1.0
+
+
+def test_knn_fewer_rows_than_neighbours(spark, small):
+    df, _, y = small
+    few = df.orderBy("row_id").limit(3)
+    (got,) = Neighbors.fit(few, shard_rows=2).score(df).select("proba").distinct().collect()
+    assert got["proba"] == pytest.approx(y[:3].mean())
+    with pytest.raises(ValueError, match="no training rows"):
+        Neighbors.fit(df.limit(0))
 
 
 def test_knn_many_ties():
