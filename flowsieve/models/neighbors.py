@@ -25,12 +25,23 @@ from .base import Model, majority
 from .passes import _typed
 
 SHARD_ROWS = 65_536
-LEAF = 256
+LEAF = 512
 SPARE = 16          # neighbours beyond k that are measured exactly
+STRIP = 256         # scored rows whose bounds to a leaf are looked at together
 CHUNK = 64          # scored rows per distance matrix, small enough to stay in cache
 ROUNDING = 4e-6     # relative error bound of the single-precision products
 
 
+def train_side(train: np.ndarray) -> np.ndarray:
+    """What `scored_side` is multiplied with: the product, plus the scored row's squared norm, bounds squared distances from below."""
+    norms = (train ** 2).sum(axis=1)
+    return np.vstack([-2.0 * train.T, -2.0 * ROUNDING * np.sqrt(norms), norms * (1.0 - ROUNDING)]).astype(np.float32)
+
+
+def scored_side(x: np.ndarray, own: np.ndarray) -> np.ndarray:
+    return np.hstack([x, np.sqrt(own)[:, None], np.ones((len(x), 1))]).astype(np.float32)
+
+
 def nearest(x: np.ndarray, train: np.ndarray, labels: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(squared distances, training positions, labels) of each row's k nearest, ordered by (distance, position).
 
@@ -40,14 +51,12 @@ def nearest(x: np.ndarray, train: np.ndarray, labels: np.ndarray, k: int) -> tup
     """
     k = min(k, len(train))
     wide = min(k + SPARE, len(train))
-    norms = (train ** 2).sum(axis=1)
-    right = np.vstack([-2.0 * train.T, -2.0 * ROUNDING * np.sqrt(norms), norms * (1.0 - ROUNDING)]).astype(np.float32)
+    right = train_side(train)
     dist, place = np.empty((len(x), k)), np.empty((len(x), k), dtype=np.int64)
     for at in range(0, len(x), CHUNK):
         part = x[at:at + CHUNK]
         own = (part ** 2).sum(axis=1)
-        left = np.hstack([part, np.sqrt(own)[:, None], np.ones((len(part), 1))]).astype(np.float32)
-        lower = left @ right
+        lower = scored_side(part, own) @ right
         cand = np.sort(np.argpartition(lower, wide - 1, axis=1)[:, :wide], axis=1)
         exact = ((part[:, None, :] - train[cand]) ** 2).sum(axis=2)
         order = np.argsort(exact, axis=1, kind="stable")[:, :k]
@@ -83,6 +92,7 @@ class Shard:
     def __init__(self, x: np.ndarray, y: np.ndarray, leaves: list[np.ndarray]) -> None:
         self.x, self.y, self.leaves = x, y, leaves
         self.centres = np.array([x[at].mean(axis=0) for at in leaves])
+        self.sides = [train_side(x[at]) for at in leaves]
         self.radii = np.array([np.sqrt(((x[at] - c) ** 2).sum(axis=1).max()) for at, c in zip(leaves, self.centres, strict=True)])
 
     @classmethod
@@ -100,24 +110,42 @@ class Shard:
         scale = (x ** 2).sum(axis=1)[:, None] + (self.centres ** 2).sum(axis=1)
         # Lower bound of the distance to any row of a leaf, with room for rounding.
         low = np.sqrt(np.maximum(square - 1e-12 * scale, 0.0)) * (1 - 1e-9) - self.radii * (1 + 1e-9)
-        first = low.argmin(axis=1)
+        first = square.argmin(axis=1)
 
-        def measure(rows: np.ndarray, leaf: int) -> None:
-            at = self.leaves[leaf]
-            d, p, _ = nearest(x[rows], self.x[at], self.y[at], k)
-            both, where = np.concatenate([best[rows], d], axis=1), np.concatenate([place[rows], at[p]], axis=1)
+        def keep(rows: np.ndarray, d: np.ndarray, p: np.ndarray) -> None:
+            both, where = np.concatenate([best[rows], d], axis=1), np.concatenate([place[rows], p], axis=1)
             order = np.lexsort((where, both), axis=1)[:, :k]
             best[rows], place[rows] = np.take_along_axis(both, order, 1), np.take_along_axis(where, order, 1)
 
         by_leaf = np.argsort(first, kind="stable")
         ends = np.searchsorted(first[by_leaf], np.arange(len(self.leaves) + 1))
-        for leaf in range(len(self.leaves)):
-            if ends[leaf] < ends[leaf + 1]:
-                measure(by_leaf[ends[leaf]:ends[leaf + 1]], leaf)
-        for leaf in np.argsort(low.min(axis=0)):
-            rows = np.flatnonzero((first != leaf) & (low[:, leaf] <= np.sqrt(best[:, -1])))
+        for leaf, at in enumerate(self.leaves):
+            rows = by_leaf[ends[leaf]:ends[leaf + 1]]
             if len(rows):
-                measure(rows, leaf)
+                d, p, _ = nearest(x[rows], self.x[at], self.y[at], k)
+                keep(rows, d, at[p])
+        own = (x ** 2).sum(axis=1)
+        left = scored_side(x, own)
+        for leaf in np.argsort(low.min(axis=0)):
+            rows, at = np.flatnonzero((first != leaf) & (low[:, leaf] <= np.sqrt(best[:, -1]))), self.leaves[leaf]
+            # Only pairs whose bound does not exceed the row's k-th distance so far are measured.
+            reach = np.nextafter((best[rows, -1] - own[rows] * (1.0 - ROUNDING)).astype(np.float32), np.float32(np.inf))[:, None]
+            pairs = []
+            for start in range(0, len(rows), STRIP):
+                strip = slice(start, start + STRIP)
+                hit = np.flatnonzero(left[rows[strip]] @ self.sides[leaf] <= reach[strip])
+                pairs.append((start + hit // len(at), hit % len(at)))
+            r, c = (np.concatenate(v) for v in zip(*pairs)) if pairs else ((), ())
+            if len(r):
+                d = ((x[rows[r]] - self.x[at[c]]) ** 2).sum(axis=1)
+                order = np.lexsort((c, d, r))
+                r, c, d = r[order], c[order], d[order]
+                nth = np.arange(len(r)) - np.searchsorted(r, r)
+                r, c, d, nth = (v[nth < k] for v in (r, c, d, nth))
+                some, row = np.unique(r, return_inverse=True)
+                found, where = np.full((len(some), k), np.inf), np.full((len(some), k), np.iinfo(np.int64).max)
+                found[row, nth], where[row, nth] = d, at[c]
+                keep(rows[some], found, where)
         return best, place
 
 
