@@ -37,6 +37,16 @@ class Nodes:
         if len(self.feature) > MAX_NODES:
             raise ValueError(f"{len(self.feature)} nodes exceed the broadcast bound of {MAX_NODES}")
 
+    def shared(self, spark: SparkSession):
+        """The nodes as a broadcast, made once per application however often they score."""
+        app = spark.sparkContext.applicationId
+        if self.__dict__.get("_shared", (None,))[0] != app:
+            self._shared = (app, spark.sparkContext.broadcast(self))
+        return self._shared[1]
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_shared"}
+
     def descend(self, x: np.ndarray, root: int) -> np.ndarray:
         """Leaf (or open node) of each row in one tree."""
         at = np.full(len(x), root, dtype=np.int32)
@@ -72,7 +82,7 @@ class Nodes:
 
 def mean_leaf(df: DataFrame, nodes: Nodes, name: str) -> DataFrame:
     """Average leaf value over all trees, by an Arrow-batched function over a broadcast forest."""
-    shared = df.sparkSession.sparkContext.broadcast(nodes)
+    shared = nodes.shared(df.sparkSession)
 
     @F.pandas_udf(T.DoubleType())
     def value(x: pd.DataFrame) -> pd.Series:

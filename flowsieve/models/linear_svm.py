@@ -48,6 +48,14 @@ class LinearSvm(ParamModel):
     @classmethod
     def fit(cls, train: DataFrame, seed: int | None = None, tolerance: float = 1e-4) -> LinearSvm:
         c, limit = MODEL_PARAMS["svm"]["c"], MODEL_PARAMS["svm"]["max_iter"]
+        rows = train.select("y", *FEATURES).persist()
+        try:
+            return cls._solve(rows, c, limit, tolerance)
+        finally:
+            rows.unpersist()
+
+    @classmethod
+    def _solve(cls, train: DataFrame, c: float, limit: int, tolerance: float) -> LinearSvm:
         d = len(FEATURES) + 1
         w = np.zeros(d)
         first = None

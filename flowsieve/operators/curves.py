@@ -24,10 +24,13 @@ def score_counts(df: DataFrame, by: list[str] = (), score: str = "proba") -> Dat
         F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg"))
 
 
-def running_counts(counts: DataFrame, by: list[str] = (), single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
-    """Add tp and fp: rows at or above each threshold, with the group totals n_pos and n_neg."""
-    kept = materialize(counts.repartitionByRange(*by, F.desc("threshold"))
-                       .withColumn("part", F.spark_partition_id()), "scores")
+def written_counts(counts: DataFrame, by: list[str] = ()) -> DataFrame:
+    """Counts by score, range partitioned and written once with the number of their partition."""
+    return materialize(counts.repartitionByRange(*by, F.desc("threshold")).withColumn("part", F.spark_partition_id()), "scores")
+
+
+def running_counts(kept: DataFrame, by: list[str] = (), single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+    """Add tp and fp to `written_counts`: rows at or above each threshold, with the group totals n_pos and n_neg."""
     groups = list(by)
     totals = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
     if kept.count() <= single_task_rows:
@@ -49,18 +52,19 @@ def running_counts(counts: DataFrame, by: list[str] = (), single_task_rows: int
             .drop("part", "tp_before", "fp_before"))
 
 
-def _end_point(running: DataFrame, by: list[str], **values: float) -> DataFrame:
-    """The one point per group that belongs to no score."""
-    return running.groupBy(*by).agg(F.lit(None).cast("double").alias("threshold"),
+def _end_point(kept: DataFrame, by: list[str], **values: float) -> DataFrame:
+    """The one point per group that belongs to no score, from the written counts."""
+    return kept.groupBy(*by).agg(F.lit(None).cast("double").alias("threshold"),
                                     *[F.lit(v).alias(name) for name, v in values.items()])
 
 
 def roc_curve(df: DataFrame, by: list[str] = (), score: str = "proba", **limits) -> DataFrame:
     """(fpr, tpr) at each distinct score, plus the (0, 0) start, whose threshold is null."""
-    running = running_counts(score_counts(df, by, score), by, **limits)
+    kept = written_counts(score_counts(df, by, score), by)
+    running = running_counts(kept, by, **limits)
     points = running.select(
         *by, "threshold", rate(F.col("fp"), F.col("n_neg")).alias("fpr"), rate(F.col("tp"), F.col("n_pos")).alias("tpr"))
-    return points.unionByName(_end_point(running, by, fpr=0.0, tpr=0.0))
+    return points.unionByName(_end_point(kept, by, fpr=0.0, tpr=0.0))
 
 
 def roc_auc(df: DataFrame, by: list[str] = (), score: str = "proba", **limits) -> DataFrame:
@@ -68,7 +72,7 @@ def roc_auc(df: DataFrame, by: list[str] = (), score: str = "proba", **limits) -
 
     Each score adds a trapezoid of width neg and heights tp - pos and tp, so no neighbour row is needed.
     """
-    points = running_counts(score_counts(df, by, score), by, **limits)
+    points = running_counts(written_counts(score_counts(df, by, score), by), by, **limits)
     area = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2.0))
     whole = F.max("n_pos").cast("double") * F.max("n_neg")
     return points.groupBy(*by).agg(F.when(whole > 0, area / whole).alias("auc"))
@@ -76,11 +80,12 @@ def roc_auc(df: DataFrame, by: list[str] = (), score: str = "proba", **limits) -
 
 def pr_curve(df: DataFrame, by: list[str] = (), score: str = "proba", **limits) -> DataFrame:
     """(recall, precision) at each distinct score, plus the (0, 1) end point, whose threshold is null."""
-    running = running_counts(score_counts(df, by, score), by, **limits)
+    kept = written_counts(score_counts(df, by, score), by)
+    running = running_counts(kept, by, **limits)
     points = running.select(
         *by, "threshold", rate(F.col("tp"), F.col("n_pos"), 1.0).alias("recall"),
         rate(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"))
-    return points.unionByName(_end_point(running, by, recall=0.0, precision=1.0))
+    return points.unionByName(_end_point(kept, by, recall=0.0, precision=1.0))
 
 
 def threshold_sweep(df: DataFrame, n: int = 100, by: list[str] = (), score: str = "proba") -> DataFrame:
