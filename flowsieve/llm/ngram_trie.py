@@ -224,17 +224,20 @@ def corpus_numbers(rows: DataFrame) -> Corpus:
     return Corpus(int(total), int(distinct), int(once), texts, hashes[order], counts[order])
 
 
-MESSAGE = ("shard int, key long, learnt binary, counts binary, ids binary, tail3 binary, tail2 binary, tail1 binary, "
+MESSAGE = ("shard int, key long, learnt binary, counts binary, texts binary, ids binary, tail3 binary, tail2 binary, tail1 binary, "
            "doc_ids array<long>, n_tokens array<long>")
 PARTIAL = "batch long, doc_ids array<long>, learnt binary, n_tokens array<long>, known binary, base binary, score binary"
 FINAL = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
 
 
 def messages(rows: DataFrame, corpus: Corpus, n_shards: int) -> DataFrame:
-    """Tokens with their two predecessors, packed per batch and shard: short ids for frequent words, hashes for others."""
+    """Tokens with their two predecessors, packed per batch and shard: short ids for frequent words, hashes for others.
+
+    A message names only the texts that have tokens in its shard, so its size follows from its tokens however many shards there are.
+    """
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, nth = TaskContext.get().partitionId(), 0
-        for turn, batch in enumerate(rows_of(batches, ROWS)):
+        for batch in rows_of(batches, ROWS):
             h, sizes = _tokens(batch)
             ends = np.cumsum(sizes)
             doc = np.repeat(np.arange(len(sizes)), sizes)
@@ -249,19 +252,19 @@ def messages(rows: DataFrame, corpus: Corpus, n_shards: int) -> DataFrame:
             spread = np.where(short != TAIL, h ^ _mix(before), h)
             shard = (_mix(spread) % np.uint64(n_shards)).astype(np.int32)
             order = np.argsort(shard, kind="stable")
-            bounds = np.searchsorted(shard[order], np.arange(n_shards + 1))
-            learnt = (~batch["held_out"].to_numpy(zero_copy_only=False)).astype(np.uint8).tobytes()
+            there, bounds = np.unique(shard[order], return_index=True)        # shards a batch has nothing for cost nothing
+            learnt = (~batch["held_out"].to_numpy(zero_copy_only=False)).astype(np.uint8)
             key = part << 40 | nth
-            out: list[tuple] = [(-1 - turn % 97, key, learnt, None, None, None, None, None, batch["doc_id"].to_pylist(), sizes.tolist())]
-            for s in range(n_shards):
-                pick = order[bounds[s]:bounds[s + 1]]
-                if len(pick):
-                    ids = np.concatenate([short[pick], short2[pick], short1[pick]])
-                    out.append((s, key, learnt, np.bincount(doc[pick], minlength=len(sizes)).astype(np.uint32).tobytes(), ids.tobytes(),
-                                h[pick][short[pick] == TAIL].tobytes(), _six(before[pick][short2[pick] == TAIL]),
-                                _six(first[pick][short1[pick] == TAIL]), None, None))
+            meta = -1 - int(_mix(np.array([key], np.uint64))[0] % np.uint64(max(97, n_shards)))
+            out: list[tuple] = [(meta, key, learnt.tobytes(), None, None, None, None, None, None, batch["doc_id"].to_pylist(), sizes.tolist())]
+            for s, pick in zip(there.tolist(), np.split(order, bounds[1:]), strict=False):
+                ids = np.concatenate([short[pick], short2[pick], short1[pick]])
+                texts, times = np.unique(doc[pick], return_counts=True)
+                out.append((s, key, learnt[texts].tobytes(), times.astype(np.uint32).tobytes(), texts.astype(np.uint16).tobytes(), ids.tobytes(),
+                            h[pick][short[pick] == TAIL].tobytes(), _six(before[pick][short2[pick] == TAIL]),
+                            _six(first[pick][short1[pick] == TAIL]), None, None))
             nth += batch.num_rows
-            kinds = [pa.int32(), pa.int64()] + [pa.binary()] * 6 + [pa.list_(pa.int64())] * 2
+            kinds = [pa.int32(), pa.int64()] + [pa.binary()] * 7 + [pa.list_(pa.int64())] * 2
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
                                              names=[x.split()[0] for x in MESSAGE.split(", ")])
 
@@ -376,10 +379,10 @@ def lm_scores(docs: DataFrame, held_out_mod: int = 5, rule: Smoothing | None = N
         """Add a shard's known tokens, base and score of each text to the sums of its batch."""
         columns: list[list[np.ndarray]] = [[] for _ in range(5)]
         at = 0
-        for _, key, learnt, counts, ids, tail3, tail2, tail1, _, _ in rows:
+        for _, key, learnt, counts, _, ids, tail3, tail2, tail1, _, _ in rows:
             counts = np.frombuffer(counts, np.uint32)
             if key not in held:
-                held[key] = (np.zeros(len(counts), np.int64), np.zeros(len(counts)), np.zeros(len(counts)))
+                held[key] = (np.zeros(ROWS, np.int64), np.zeros(ROWS), np.zeros(ROWS))
             three, two, one = np.frombuffer(ids, np.uint16).reshape(3, -1)
             for column, value in zip(columns, (
                     _unpack(three, tail3, 8), _unpack(two, tail2, 6), _unpack(one, tail1, 6),
@@ -391,10 +394,10 @@ def lm_scores(docs: DataFrame, held_out_mod: int = 5, rule: Smoothing | None = N
         sums = [np.bincount(texts, part, at) for part in shard_scores(last, before, first, learnt, corpus, rule)]
         at = 0
         for row in rows:
-            own = held[row[1]]
-            for total, part in zip(own, sums, strict=True):
-                total += part[at:at + len(total)].astype(total.dtype)
-            at += len(own[0])
+            texts = np.frombuffer(row[4], np.uint16)
+            for total, part in zip(held[row[1]], sums, strict=True):
+                total[texts] += part[at:at + len(texts)].astype(total.dtype)
+            at += len(texts)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Shards come one after the other; what they add to the texts of a batch is summed up before it is shuffled."""
@@ -409,7 +412,7 @@ def lm_scores(docs: DataFrame, held_out_mod: int = 5, rule: Smoothing | None = N
                         yield from (row_of(key, None, sums) for key, sums in held.items())
                         held = {}
                 if row[0] < 0:
-                    yield row_of(row[1], (row[8], row[2], row[9]), None)
+                    yield row_of(row[1], (row[9], row[2], row[10]), None)
                 else:
                     rows.append(row)
         if rows:
@@ -424,7 +427,7 @@ def lm_scores(docs: DataFrame, held_out_mod: int = 5, rule: Smoothing | None = N
         for total, name in zip(sums, ("known", "base", "score"), strict=True):
             for part in group[name].to_pylist():
                 if part is not None:
-                    total += np.frombuffer(part, total.dtype)
+                    total += np.frombuffer(part, total.dtype)[:n]
         return pa.table([pa.array(about[0], pa.int64()), pa.array([not x for x in about[1]]), pa.array(about[2], pa.int64()), *map(pa.array, sums)],
                         names=[x.split()[0] for x in FINAL.split(", ")])
 
