@@ -6,9 +6,9 @@ Euclidean distance falls as the inner product rises, so the triangle inequality
 to its vantage point lie in [lo, hi] is skipped when d < lo - factor * tau or d > hi + factor * tau, tau being the
 distance of the query's current last neighbour: factor 1 restores exact search, smaller factors prune more.
 
-Rows are spread over shards of a fixed size, queries over blocks of a fixed size, and every (shard, block) pair is one
-independent task: a lost executor costs a rebuild of its pairs only, and memory is bounded by the two sizes. Equal
-vectors of a shard share one tree entry, so a very common vector costs one distance.
+Rows are spread over shards of a fixed size. A shard's rows travel once and its tree is built once, in the task that all
+queries of that shard stream through in blocks; a lost executor costs a rebuild of its shards only, and memory is bounded by
+the sizes of a shard and a block. Equal vectors of a shard share one tree entry, so a very common vector costs one distance.
 """
 
 from __future__ import annotations
@@ -150,47 +150,60 @@ def _distinct_ids(ids: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.
     return ids[first], vectors[first]
 
 
-def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int,
-                 factor: float, leaf: int = 128) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k nearest (query_id, vec_id, score) of each query within one shard, ties to the smaller id."""
-    ids, vectors = _distinct_ids(ids, vectors)
-    query_ids, queries = _distinct_ids(query_ids, queries)
-    distinct, group = np.unique(vectors, axis=0, return_inverse=True)
-    group = group.reshape(-1)
-    by_group = np.argsort(group, kind="stable")               # ids ascend within a group
-    starts = np.searchsorted(group[by_group], np.arange(len(distinct) + 1))
-    tree = VPTree(distinct, leaf)
-    where, dist = tree.search(queries, k + SPARE, factor)
-
-    def ranked(q: np.ndarray, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The k best rows of each query among the entries found for it."""
-        sizes = np.minimum(starts[entry + 1] - starts[entry], k + 1)   # more than k + 1 equal rows cannot all be among the nearest
-        q, entry = np.repeat(q, sizes), np.repeat(entry, sizes)
-        nth = np.arange(len(q)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        found = ids[by_group[starts[entry] + nth]]
-        own = found == query_ids[q]
-        q, entry, found = q[~own], entry[~own], found[~own]
-        score = dot(queries[q], distinct[entry]) if len(q) else np.zeros(0)
-        order = np.lexsort((found, -score, q))
-        q, found, score = q[order], found[order], score[order]
-        top = np.arange(len(q)) - np.searchsorted(q, q) < k
-        return q[top], found[top], score[top]
-
-    # All that was left out lies as far as the last one kept. Where that is no farther than the k-th (the query's own vector
-    # aside), more vectors may tie with it: these queries walk again and take all up to that distance.
-    near = np.sort(dist, axis=1)
-    allowed = near[:, k] + 1e-9 * (1.0 + np.where(np.isfinite(tree.square), tree.square, 0.0))
-    tied = np.flatnonzero(np.isfinite(near[:, -1]) & (near[:, -1] <= allowed))
-    clear = np.ones(len(queries), dtype=bool)
-    clear[tied] = False
-    q, slot = np.nonzero((where >= 0) & clear[:, None])
-    parts = [ranked(q, where[q, slot])]
-    for at in range(0, len(tied), TIED_QUERIES):
-        some = tied[at:at + TIED_QUERIES]
-        q, entry = tree.within(queries[some], allowed[some], factor)
-        parts.append(ranked(some[q], entry))
-    q, found, score = (np.concatenate(part) for part in zip(*parts))
-    return query_ids[q], found, score
+class ShardSearch:
+    """The rows of one shard and their tree, built once and asked by any number of query batches."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, leaf: int = 128) -> None:
+        self.ids, vectors = _distinct_ids(ids, vectors)
+        self.distinct, group = np.unique(vectors, axis=0, return_inverse=True)
+        group = group.reshape(-1)
+        self.by_group = np.argsort(group, kind="stable")               # ids ascend within a group
+        self.starts = np.searchsorted(group[self.by_group], np.arange(len(self.distinct) + 1))
+        self.tree = VPTree(self.distinct, leaf)
+
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The k nearest (query_id, vec_id, score) of each query within the shard, ties to the smaller id."""
+        ids, distinct, by_group, starts, tree = self.ids, self.distinct, self.by_group, self.starts, self.tree
+        where, dist = tree.search(queries, k + SPARE, factor)
+
+        def ranked(q: np.ndarray, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """The k best rows of each query among the entries found for it."""
+            sizes = np.minimum(starts[entry + 1] - starts[entry], k + 1)   # more than k + 1 equal rows cannot all be among the nearest
+            q, entry = np.repeat(q, sizes), np.repeat(entry, sizes)
+            nth = np.arange(len(q)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            found = ids[by_group[starts[entry] + nth]]
+            own = found == query_ids[q]
+            q, entry, found = q[~own], entry[~own], found[~own]
+            score = dot(queries[q], distinct[entry]) if len(q) else np.zeros(0)
+            order = np.lexsort((found, -score, q))
+            q, found, score = q[order], found[order], score[order]
+            top = np.arange(len(q)) - np.searchsorted(q, q) < k
+            return q[top], found[top], score[top]
+
+        # All that was left out lies as far as the last one kept. Where that is no farther than the k-th (the query's own vector
+        # aside), more vectors may tie with it: these queries walk again and take all up to that distance.
+        near = np.sort(dist, axis=1)
+        allowed = near[:, k] + 1e-9 * (1.0 + np.where(np.isfinite(tree.square), tree.square, 0.0))
+        tied = np.flatnonzero(np.isfinite(near[:, -1]) & (near[:, -1] <= allowed))
+        clear = np.ones(len(queries), dtype=bool)
+        clear[tied] = False
+        q, slot = np.nonzero((where >= 0) & clear[:, None])
+        parts = [ranked(q, where[q, slot])]
+        for at in range(0, len(tied), TIED_QUERIES):
+            some = tied[at:at + TIED_QUERIES]
+            q, entry = tree.within(queries[some], allowed[some], factor)
+            parts.append(ranked(some[q], entry))
+        q, found, score = (np.concatenate(part) for part in zip(*parts))
+        return query_ids[q], found, score
+
+
+def _runs_of(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], np.ndarray, np.ndarray, bool]]:
+    """(shard, ids, vectors, whether they ask) of each run of rows of one shard and kind."""
+    width, shard, asks, ids = (batch[c].to_numpy(zero_copy_only=False) for c in ("width", "shard", "q", "id"))
+    new = np.flatnonzero((width[1:] != width[:-1]) | (shard[1:] != shard[:-1]) | (asks[1:] != asks[:-1])) + 1
+    for start, end in zip([0, *new], [*new, len(ids)], strict=True):
+        if end > start:
+            yield (int(width[start]), int(shard[start])), ids[start:end], _matrix(batch["v"].slice(start, end - start), int(width[start])), bool(asks[start])
 
 
 def usable(vector: Column) -> Column:
@@ -200,7 +213,7 @@ def usable(vector: Column) -> Column:
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, factor: float = 1.0, id_col: str = "vec_id",
-            vector_col: str = "embedding", shard_rows: int = 16384, block_rows: int = 4096, leaf: int = 128) -> DataFrame:
+            vector_col: str = "embedding", shard_rows: int = 16384, block_rows: int = 2048, leaf: int = 128) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` rows of largest inner product for every row that ``is_query``.
 
     Ties go to the smaller id; a query never finds its own id; with fewer candidates all are returned. Rows without
@@ -211,26 +224,33 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, factor: float = 1
     rows = (vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"),
                            F.coalesce(is_query, F.lit(False)).alias("is_query"))
             .filter(F.col("id").isNotNull() & usable(F.col("v"))).withColumn("width", F.size("v")))
-    n, asked = rows.agg(F.count("*"), F.count_if("is_query")).first()
-    shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-asked // block_rows))
+    n = rows.count()
+    shards = max(1, -(-n // shard_rows))
     key = F.xxhash64("id")
-    candidates = rows.select("id", "v", "width", F.pmod(key, F.lit(shards)).cast("int").alias("shard"),
-                             F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(False).alias("q"))
-    queries = rows.filter("is_query").select(
-        "id", "v", "width", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-        F.pmod(F.shiftright(key, 20), F.lit(blocks)).cast("int").alias("block"), F.lit(True).alias("q"))
-
-    def search(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        width = group["width"][0].as_py()
-        asks = group["q"].to_numpy()
-        ids = group["id"].to_numpy()
-        every = _matrix(group["v"].combine_chunks(), width)
-        out = search_shard(ids[~asks], every[~asks], ids[asks], every[asks], k, factor, leaf) if asks.any() and not asks.all() \
-            else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        return pa.table({"query_id": out[0], "vec_id": out[1], "score": out[2]})
-
-    found = candidates.unionByName(queries).groupBy("width", "shard", "block").applyInArrow(search, SCHEMA)
+    candidates = rows.select("id", "v", "width", F.pmod(key, F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("q"))
+    queries = rows.filter("is_query").select("id", "v", "width", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("q"))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A shard's rows come first: its tree is built when the first query follows, and stays for all of them."""
+        at, known, tree, last = None, [], None, None
+        for batch in batches:
+            for shard, ids, vectors, asks in _runs_of(batch):
+                if shard != at:
+                    at, known, tree, last = shard, [], None, None
+                if not asks:
+                    known.append((ids, vectors))
+                    continue
+                if tree is None and known:
+                    tree, known = ShardSearch(*(np.concatenate(part) for part in zip(*known)), leaf), []
+                fresh = np.append(ids[:1] != last if last is not None else [True], ids[1:] != ids[:-1])       # of equal ids the first
+                last = ids[-1]
+                for start in range(0, len(ids) if tree else 0, block_rows):
+                    some = np.flatnonzero(fresh[start:start + block_rows]) + start
+                    if len(some):
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in tree.search(ids[some], vectors[some], k, factor)], names=["query_id", "vec_id", "score"])
+
+    dealt = candidates.unionByName(queries).repartition("width", "shard").sortWithinPartitions("width", "shard", "q", "id", "v")
+    found = dealt.select("width", "shard", "q", "id", "v").mapInArrow(search, SCHEMA)
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
