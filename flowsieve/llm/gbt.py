@@ -206,7 +206,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, fit: Fit | None = None, h
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, fit: Fit | None = None) -> DataFrame:
-    """The documents predicted to be of quality 1, all columns unchanged."""
+    """The documents predicted to be of quality 1, all columns unchanged.
+
+    Null and empty texts have the statistics of an empty text and are judged by them; repeated rows stay or go together. Ids
+    only choose the labelled rows to fit on. An empty table gives an empty result.
+    """
     fit = fit or Fit()
     ready(docs)
     trees = fit_trees(*training_features(docs, labels, fit), trees=fit.trees, depth=fit.depth)

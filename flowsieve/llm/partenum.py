@@ -438,7 +438,8 @@ def one_of_each(docs: DataFrame, threshold: Threshold | None = None) -> DataFram
     """One document of each component, all columns unchanged: the smallest id, then the smallest hash of the text.
 
     Rows without id come after those with one. Rows are told apart by id and text, so other texts of an id that goes
-    stay. Of rows that repeat an id with the same text one stays; rows with neither id nor words all stay.
+    stay. Of rows that repeat an id with the same text one stays; rows with neither id nor words all stay. Columns of any other
+    name are kept as they are; an empty table gives an empty result.
     """
     t = threshold or Threshold()
     rows = materialize(classes(docs), "classes")
@@ -449,7 +450,7 @@ def one_of_each(docs: DataFrame, threshold: Threshold | None = None) -> DataFram
     named = owners.join(owners.groupBy("root").agg(F.min("own").alias("best")), "root").select("fp", "best")
     chosen = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("th") == F.col("best.th"))
     gone = rows.join(named, "fp").filter(~chosen).select(F.col("doc_id").alias("_gone_id"), F.col("th").alias("_gone_th")).distinct()
-    kept = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col("_gone_id")) & (F.xxhash64(docs["text"].cast("string")) == F.col("_gone_th")), "left_anti")
+    kept = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_gone_id"]) & (F.xxhash64(docs["text"].cast("string")) == gone["_gone_th"]), "left_anti")
     if rows.filter("doc_id IS NOT NULL OR fp IS NOT NULL").groupBy("doc_id", "th").count().filter("count > 1").isEmpty():
         return kept
     blank = F.col("doc_id").isNull() & ~F.coalesce("text", F.lit("")).rlike(f"[^{WHITE}]")

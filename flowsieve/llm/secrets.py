@@ -196,7 +196,10 @@ def scan_secrets(docs: DataFrame, scanner: Scanner | None = None, id_col: str =
 
 
 def redact_documents(docs: DataFrame, scanner: Scanner | None = None) -> DataFrame:
-    """The documents with every secret replaced by a mark; all columns stay, ``n_chars`` follows the new text."""
+    """The documents with every secret replaced by a mark; all columns stay, ``n_chars`` follows the new text in its own type.
+
+    A null text stays null, an empty one empty; repeated rows are scanned one by one. An empty table gives an empty result.
+    """
     scanner = scanner or Scanner()
     ready(docs)
 
@@ -208,4 +211,4 @@ def redact_documents(docs: DataFrame, scanner: Scanner | None = None) -> DataFra
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     out = docs.mapInArrow(clean, docs.schema)
-    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
