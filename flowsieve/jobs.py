@@ -52,12 +52,13 @@ def train(spark: SparkSession, data: str, models: str, out: str, mock: bool = Fa
 
 
 def evaluate(spark: SparkSession, data: str, models: str, out: str) -> None:
-    """Score any flow CSV with every saved model."""
-    flows = read_flows(spark, data).drop("source_file")
+    """Score any flow CSV with every saved model, all files together and each file by itself."""
+    flows = read_flows(spark, data)
     run = tr.SavedRun(spark, models)
-    tables = {"external": ev.evaluate_external(run, flows)}
+    whole = flows.drop("source_file")
+    tables = {"external": ev.evaluate_external(run, whole), "external_files": ev.evaluate_external(run, flows, by=["source_file"])}
     if cl.find_label(flows):
-        tables["report"] = ev.external_reports(run, flows)
+        tables |= {"report": ev.external_reports(run, whole), "report_files": ev.external_reports(run, flows, by=["source_file"])}
     write_all(tables, out)
 
 

@@ -88,9 +88,9 @@ def long_scores(df: DataFrame, models: list[str], keep: list[str] = ("row_id", "
     return df.select(*keep, F.inline(rows))
 
 
-def compare_models(long: DataFrame) -> DataFrame:
-    """Confusion counts, rates and Bayesian detection rates per model."""
-    return with_bayes(rates(confusion(long, ["model"])))
+def compare_models(long: DataFrame, by: list[str] = ()) -> DataFrame:
+    """Confusion counts, rates and Bayesian detection rates per model, and per further columns ``by``."""
+    return with_bayes(rates(confusion(long, [*by, "model"])))
 
 
 def cross_dataset_eval(scored: DataFrame, by: str = "source_file") -> DataFrame:

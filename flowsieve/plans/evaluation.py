@@ -19,21 +19,24 @@ from .training import TrainingRun, available, score_all
 LAYERS = ("ada", "et")
 
 
-def evaluate_external(run: TrainingRun, flows: DataFrame, codes: list[str] | None = None) -> DataFrame:
-    """Any flow table scored with every model at hand: quality per model if it is labelled, else the prediction mix."""
-    label = cl.find_label(flows)
+def evaluate_external(run: TrainingRun, flows: DataFrame, codes: list[str] | None = None, by: list[str] = ()) -> DataFrame:
+    """Any flow table scored with every model at hand: quality per model if it is labelled, else the prediction mix.
+
+    ``by`` names columns of the table, such as ``source_file``, whose groups are judged by themselves in the same pass.
+    """
+    label, by = cl.find_label(flows), list(by)
     tagged = cl.with_target(flows) if label else flows
     models = available(run, codes or registry.CODES)
-    wide = score_all(run.transform(tagged, keep=("y",)), models)
-    long = me.long_scores(wide, list(models), ["y"] if label else [])
-    return me.with_mix(me.compare_models(long)) if label else me.prediction_mix(long, ["model"])
+    wide = score_all(run.transform(tagged, keep=("y", *by)), models)
+    long = me.long_scores(wide, list(models), [*by, "y"] if label else by)
+    return me.with_mix(me.compare_models(long, by)) if label else me.prediction_mix(long, [*by, "model"])
 
 
-def external_reports(run: TrainingRun, flows: DataFrame, codes: list[str] | None = None) -> DataFrame:
-    """Classification report of each model at hand on a labelled flow table."""
-    models = available(run, codes or registry.CODES)
-    wide = score_all(run.transform(cl.with_target(flows), keep=("y",)), models)
-    return me.classification_report(me.confusion(me.long_scores(wide, list(models), ["y"]), ["model"]))
+def external_reports(run: TrainingRun, flows: DataFrame, codes: list[str] | None = None, by: list[str] = ()) -> DataFrame:
+    """Classification report of each model at hand on a labelled flow table, for all of it or for each group ``by``."""
+    models, by = available(run, codes or registry.CODES), list(by)
+    wide = score_all(run.transform(cl.with_target(flows), keep=("y", *by)), models)
+    return me.classification_report(me.confusion(me.long_scores(wide, list(models), [*by, "y"]), [*by, "model"]))
 
 
 def cascade_scores(run: TrainingRun, scaled: DataFrame, layers: tuple[str, str] = LAYERS, anomaly: bool = True) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import fixtures as fx
 from ..models import registry
 from ..models.ada import AdaBoost
+from ..models.forest import ExtraTrees, IsolationForest, Nodes, average_path
 from ..models.trees import DecisionTree, GradientBoosting, NewtonBoosting
 from ..operators import flows as fl
 from ..schema import ALERT_THRESHOLD, FEATURES, FLOW_KEY, TRAIN_FILE_CAP
@@ -307,6 +308,30 @@ def evaluate_external_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(ev.evaluate_external(training_run(spark, sf_dir), fx.flows(spark, sf_dir), ["nb"]))
 
 
+_NB_FILES = _nb_scores(_CLEAN_Y, keep="source_file, y") + ", cm AS (SELECT source_file, 'nb' AS model, " + CONFUSION + \
+    " FROM (SELECT source_file, y, CAST(proba > 0.5 AS INTEGER) AS pred FROM p) GROUP BY source_file)"
+
+
+@check("evaluate_files_nb", f"""WITH {_NB_FILES}, rated AS (SELECT *, {RATES} FROM cm) SELECT source_file, model, tn, fp, fn, tp, {_QUALITY}, tn + fp + fn + tp AS total,
+  tn + fn AS benign, fp + tp AS attack, round((fp + tp) / (tn + fp + fn + tp) * 100.0e0, 6) AS attack_pct FROM rated""")
+def evaluate_files_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every external file judged by itself, in one pass."""
+    return rounded(ev.evaluate_external(training_run(spark, sf_dir), fx.flows(spark, sf_dir), ["nb"], by=["source_file"]))
+
+
+_LOST = ("flow_iat_max", "bwd_len_min")
+_REST = " AND ".join(f"{f} IS NOT NULL AND isfinite({f})" for f in FEATURES if f not in _LOST)
+
+
+@check("evaluate_unlabelled_nb", f"""WITH {_nb_scores(f"SELECT * FROM flows WHERE {_REST}", keep="row_id", missing=_LOST)}
+SELECT 'nb' AS model, count(*) AS total, count(*) FILTER (WHERE proba <= 0.5) AS benign, count(*) FILTER (WHERE proba > 0.5) AS attack,
+  round(count(*) FILTER (WHERE proba > 0.5) / count(*) * 100.0e0, 6) AS attack_pct FROM p""")
+def evaluate_unlabelled_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No label column and two features missing, which count as 0: how many rows are called what."""
+    flows = fx.flows(spark, sf_dir).drop("label", *_LOST)
+    return rounded(ev.evaluate_external(training_run(spark, sf_dir), flows, ["nb"]))
+
+
 @check("external_reports_nb", f"WITH {_NB_ALL}, {REPORT_LINES}")
 def external_reports_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(ev.external_reports(training_run(spark, sf_dir), fx.flows(spark, sf_dir), ["nb"]))
@@ -350,6 +375,37 @@ def cascade_cross_report_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(ev.cross_source_report(training_run(spark, sf_dir), flows, ROW, layers=("nb", "nb")))
 
 
+# ---------------------------------------------------------------- the cascade's own kinds of layers with given parameters
+
+_STUMPS = [{"feature": 0, "cut": -0.2, "left": 1, "right": 0, "alpha": 0.9}, {"feature": 12, "cut": -0.05, "left": 0, "right": 1, "alpha": 0.4}]
+#: Two trees in one node table: (feature or -1, cut, left child, leaf value); the right child follows the left one.
+_TREES = [(3, 0.0, 1, 0.0), (-1, 0.0, 0, 0.2), (11, -0.1, 3, 0.0), (-1, 0.0, 0, 0.9), (-1, 0.0, 0, 0.4), (7, -0.3, 6, 0.0), (-1, 0.0, 0, 0.1), (-1, 0.0, 0, 0.8)]
+_PATHS = [(f, c, left, 3.0 * v + 1.0) for f, c, left, v in _TREES]
+_SAMPLE, _CUTOFF = 16, 0.68
+
+
+def _tree_sql(table: list[tuple], at: int) -> str:
+    f, cut, left, value = table[at]
+    return f"{value!r}e0" if f < 0 else f"CASE WHEN {FEATURES[f]} <= {cut!r}e0 THEN {_tree_sql(table, left)} ELSE {_tree_sql(table, left + 1)} END"
+
+
+_VOTE = " + ".join(f"{s['alpha']}e0 * CASE WHEN {FEATURES[s['feature']]} <= {s['cut']}e0 THEN {2 * s['left'] - 1} ELSE {2 * s['right'] - 1} END" for s in _STUMPS)
+
+
+@check("cascade_given", f"""WITH {_nb_scores(_ROWS_Y).split(",\njoint AS")[0]},
+s AS (SELECT row_id, y, 1 / (1 + exp(-2 * ({_VOTE}) / {sum(s['alpha'] for s in _STUMPS)}e0)) AS p1, ({_tree_sql(_TREES, 0)} + {_tree_sql(_TREES, 5)}) / 2 AS p2,
+  pow(2.0e0, -(({_tree_sql(_PATHS, 0)} + {_tree_sql(_PATHS, 5)}) / 2) / {float(average_path(_SAMPLE))!r}e0) AS odd FROM every)
+SELECT row_id, y, round(p1, 5) AS p1, round(p2, 5) AS p2, round(least(p1, p2), 5) AS proba, CAST(p1 > 0.5 AND p2 > 0.5 AS INTEGER) AS pred,
+  CASE WHEN p1 > 0.5 AND p2 > 0.5 THEN 1 WHEN odd > {_CUTOFF} THEN 2 ELSE 0 END AS verdict FROM s""")
+def cascade_given(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stumps, a forest of two trees and an isolation forest of two trees, all given, as the three layers."""
+    run = tr.TrainingRun(training_run(spark, sf_dir).rows)
+    nodes = lambda table: Nodes(*zip(*table, strict=True), roots=[0, 5])
+    run.models = {"ada": AdaBoost({"stumps": _STUMPS}), "et": ExtraTrees(nodes(_TREES)), "iforest": IsolationForest(nodes(_PATHS), _SAMPLE, _CUTOFF)}
+    scored = ev.cascade_scores(run, all_scaled(spark, sf_dir))
+    return rounded(scored.select("row_id", "y", "p1", "p2", "proba", "pred", "verdict"), 5)
+
+
 # ---------------------------------------------------------------- the fitted cascade
 
 @check("cascade_models")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from flowsieve import fixtures as fx
 from flowsieve import jobs
@@ -30,6 +31,9 @@ def test_jobs_on_csv(spark, sf, tmp_path, monkeypatch):
 
     jobs.evaluate(spark, data, models, out)
     assert spark.read.parquet(f"{out}/external").count() == 4 and spark.read.parquet(f"{out}/report").count() == 20
+    files = spark.read.parquet(f"{out}/external_files")
+    assert files.count() == 4 * files.select("source_file").distinct().count() == spark.read.parquet(f"{out}/report_files").count() / 5
+    assert files.agg(F.sum("total")).first()[0] == spark.read.parquet(f"{out}/external").agg(F.sum("total")).first()[0]
 
     jobs.simulate(spark, data, models, f"{out}/simulate")
     assert spark.read.parquet(f"{out}/simulate/sweep").count() == 100
