@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import draw
 from ..schema import SEED, TEST_FRACTION, TRAIN_CAP
-from ..session import attach_table, bounded_table
+from ..session import attach_table, bounded_table, discard, materialize
 
 _MAX_DRAW = "g"          # sorts after every hex digit
 PREFIX = 3               # hex digits per counting step
@@ -79,7 +79,9 @@ def mark_n(df: DataFrame, sizes: Column | int, key: list[str], by: str | None =
               .withColumn(group, F.col(by) if by else F.lit(0)))
     wanted = sizes if isinstance(sizes, Column) else F.lit(int(sizes))
     limit = RANKED_ROWS if ranked_rows is None else ranked_rows
-    cuts = bounded_table(_cuts(tagged.select(group, "_draw"), group, wanted, limit))
+    draws = materialize(tagged.select(group, "_draw"), "draws")          # the counting passes need no more than this
+    cuts = bounded_table(_cuts(draws, group, wanted, limit))
+    discard(draws)
     return (attach_table(tagged, cuts, [group], "inner")
             .withColumn(name, F.col("_draw") <= F.col("_cut")).drop("_draw", "_cut", group))
 
