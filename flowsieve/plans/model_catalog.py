@@ -55,9 +55,9 @@ narrow AS (SELECT row_id, source_file, {TARGET} AS y, {F32} FROM (SELECT DISTINC
 scaler AS (SELECT {SCALER_STATS} FROM narrow),
 scaled AS (SELECT row_id, source_file, y, {", ".join(f"(t.{f} - s.m_{f}) / s.s_{f} AS {f}" for f in FEATURES)} FROM narrow t CROSS JOIN scaler s),
 split AS (SELECT *, row_number() OVER (ORDER BY {sql_draw('row_id', step='split')}) <= ceil(0.2 * (SELECT count(*) FROM scaled)) AS is_test FROM scaled),
-sourced AS (SELECT * EXCLUDE (rn, source_file) FROM (SELECT *, row_number() OVER (PARTITION BY source_file ORDER BY {sql_draw('row_id', step='source')}) AS rn FROM split WHERE NOT is_test)
+thinned AS (SELECT * EXCLUDE (rn, source_file) FROM (SELECT *, row_number() OVER (PARTITION BY source_file ORDER BY {sql_draw('row_id', step='source')}) AS rn FROM split WHERE NOT is_test)
   WHERE rn <= {TRAIN_FILE_CAP}),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {sql_draw('row_id', step='balance')}) AS rn FROM sourced),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {sql_draw('row_id', step='balance')}) AS rn FROM thinned),
 balanced AS (SELECT * EXCLUDE (rn), row_number() OVER (PARTITION BY y ORDER BY {sql_draw('row_id', step='cap')}) AS rn2 FROM ranked
   WHERE y = 1 OR rn <= (SELECT count(*) FROM ranked WHERE y = 1)),
 fitted AS (SELECT * EXCLUDE (rn2) FROM balanced WHERE rn2 <= 20000 OR (SELECT count(*) FROM balanced) <= 40000)"""
