@@ -213,7 +213,7 @@ def usable(vector: Column) -> Column:
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, factor: float = 1.0, id_col: str = "vec_id",
-            vector_col: str = "embedding", shard_rows: int = 16384, block_rows: int = 2048, leaf: int = 128) -> DataFrame:
+            vector_col: str = "embedding", shard_rows: int = 16384, block_rows: int = 8192, leaf: int = 128) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` rows of largest inner product for every row that ``is_query``.
 
     Ties go to the smaller id; a query never finds its own id; with fewer candidates all are returned. Rows without
