@@ -172,9 +172,9 @@ def count_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check("count_windows_sliced", f"""
 WITH {WITH_WINDOWS} SELECT packet_id, {KEY}, win, ord, iat FROM i WHERE in_window = 10""")
 def count_windows_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The hot-key route, forced onto every key that has more than 20 packets."""
+    """Many small ranges, so that keys and windows lie across their borders."""
     keyed = fl.keyed_packets(fx.packets(spark, sf_dir))
-    return fl.count_windows(keyed, hot_rows=20).select("packet_id", *FLOW_KEY, "win", "ord", "iat")
+    return fl.count_windows(keyed, parts=61).select("packet_id", *FLOW_KEY, "win", "ord", "iat")
 
 
 @check("flow_iat", f"""

@@ -15,14 +15,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.alerts import alerts, usable
-from ..operators.flows import flow_features, keyed_packets, order_in_key
+from ..operators.flows import in_closed_window, keyed_packets, order_in_key, window_features
 from ..schema import ALERT_THRESHOLD, FLOW_KEY, FLOW_SIZE
-from ..session import attach, materialize
+from ..session import attach, discard
 
 OUTPUT = """ip_a STRING, ip_b STRING, port_a LONG, port_b LONG, proto INT, win LONG,
 src_ip STRING, dst_ip STRING, src_port LONG, dst_port LONG,
@@ -115,32 +115,31 @@ def carried_flows(keyed: DataFrame, carry: DataFrame | None, size: int = FLOW_SI
     """(closed flows, what waits now) of a micro-batch of keyed packets and what waited before it.
 
     ``carry`` holds the waiting packets, each with the windows its key has closed, and a row without packet for a key where none
-    waits. Waiting and new packets of a key are ordered by (time, packet id). All of it are windows and joins on the key.
+    waits. Waiting and new packets of a key are ordered by (time, packet id). Both results read
+    one written table of numbered packets, which `discard` of the flows deletes.
     """
     columns = [*FLOW_KEY, "us", "packet_id", "fwd", "length"]
     packets, closed = keyed.select(*columns), None
     if carry is not None:
         packets = packets.unionByName(carry.where("packet_id IS NOT NULL").select(*columns))
         closed = carry.groupBy(*FLOW_KEY).agg(F.max("closed").alias("closed"))
-    packets = materialize(packets, "waiting-and-new")
+    ordered = order_in_key(packets, size - 1)
 
     def named(df: DataFrame) -> DataFrame:
         return df.withColumn("closed", F.lit(0).cast("long")) if closed is None else attach(df, closed, FLOW_KEY).fillna(0, ["closed"])
 
-    flows = flow_features(packets, size, endpoints=True)
-    flows = named(flows).withColumn("win", (F.col("win") + F.col("closed")).cast("long")).drop("closed")
-    per_key = Window.partitionBy(*FLOW_KEY)
-    counted = order_in_key(packets).withColumn("n", F.count("*").over(per_key))
-    rest = counted.where(F.col("ord") >= F.col("n") - F.col("n") % size)
-    waiting = named(rest).withColumn("closed", F.col("closed") + F.floor(F.col("n") / size)).select(*CARRY)
+    flows = named(window_features(ordered, size, endpoints=True)).withColumn("win", (F.col("win") + F.col("closed")).cast("long")).drop("closed")
+    so_far = lambda packets: (F.col("closed") + F.floor(packets / size)).alias("closed")
+    waiting = named(ordered.where(~in_closed_window(size))).withColumn("closed", so_far(F.col("ord"))).select(*CARRY)
     none = [F.lit(None).cast(kind).alias(c) for c, kind in (("us", "long"), ("packet_id", "long"), ("fwd", "int"), ("length", "long"))]
-    full = named(packets.groupBy(*FLOW_KEY).agg(F.count("*").alias("n")).where(F.col("n") % size == 0))
-    ended = full.select(*FLOW_KEY, (F.col("closed") + F.floor(F.col("n") / size)).alias("closed"), *none)
+    last = ordered.where(F.col("left") == 0)
+    ended = named(last.where((F.col("ord") + 1) % size == 0)).select(*FLOW_KEY, so_far(F.col("ord") + 1), *none)
     after = waiting.unionByName(ended)
     if closed is not None:          # keys whose windows had all closed and that were silent in this batch
-        seen = packets.select(*[F.col(c).alias(f"_{c}") for c in FLOW_KEY]).distinct()
+        seen = last.select(*[F.col(c).alias(f"_{c}") for c in FLOW_KEY])
         same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in FLOW_KEY]
         after = after.unionByName(closed.join(seen, same, "left_anti").select(*FLOW_KEY, "closed", *none))
+    flows._written_to = ordered._written_to
     return flows, after
 
 
@@ -162,6 +161,7 @@ def flow_batch(packets: DataFrame, batch_id: int, out: str, carry: str, size: in
     flows, waiting = carried_flows(keyed_packets(packets), _version(spark, carry, batch_id), size)
     flows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
     waiting.write.mode("overwrite").parquet(f"{carry}/batch={batch_id}")
+    discard(flows)
     return spark.read.schema(flows.schema).parquet(f"{out}/batch={batch_id}")
 
 

@@ -1,16 +1,18 @@
-"""Window closing, both hot-key routes and the first inter-arrival value."""
+"""Window closing, numbering across ranges and the first inter-arrival value."""
 
 from __future__ import annotations
 
 import datetime as dt
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowsieve import fixtures as fx
 from flowsieve.operators import alerts as al
 from flowsieve.operators import flows as fl
-from flowsieve.schema import PACKET_SCHEMA
+from flowsieve.schema import FLOW_KEY, PACKET_SCHEMA
 
 
 def packets(spark, times, src="1.1.1.1", dst="2.2.2.2", proto=6, lengths=None):
@@ -25,7 +27,7 @@ def test_windows_of_ten(spark, n, closed):
     keyed = fl.keyed_packets(packets(spark, list(range(n))))
     assert fl.flow_features(keyed).count() == closed
     assert fl.count_windows(keyed).count() == closed * 10
-    assert fl.flow_features(keyed, hot_rows=5).count() == closed
+    assert fl.flow_features(keyed, parts=5).count() == closed
 
 
 def test_one_instant(spark):
@@ -53,30 +55,59 @@ def test_key_direction(spark):
     assert (icmp["port_a"], icmp["port_b"]) == (0, 0)
 
 
-@pytest.mark.parametrize("hot_rows", [3, 20, 100])
-def test_hot_route_equals_plain_route(spark, sf, hot_rows):
+def by_windows(keyed, size=10):
+    """The plain way: one window per key."""
+    by_time = Window.partitionBy(*FLOW_KEY).orderBy("us", "packet_id")
+    return (keyed.withColumn("ord", (F.row_number().over(by_time) - 1).cast("long")).withColumn("prev", F.lag("us").over(by_time))
+            .withColumn("n", F.count("*").over(Window.partitionBy(*FLOW_KEY)))
+            .withColumn("win", F.floor(F.col("ord") / size)).where((F.col("win") + 1) * size <= F.col("n"))
+            .withColumn("iat", F.when(F.col("ord") % size == 0, F.lit(0)).otherwise(F.col("us") - F.col("prev"))).drop("prev", "n"))
+
+
+@pytest.mark.parametrize("parts", [1, 7, 150])
+def test_ranges_equal_plain_windows(spark, sf, parts):
     keyed = fl.keyed_packets(fx.packets(spark, sf))
-    plain = fl.flow_features(keyed, endpoints=True)
-    hot = fl.flow_features(keyed, endpoints=True, hot_rows=hot_rows)
-    assert plain.exceptAll(hot).isEmpty() and hot.exceptAll(plain).isEmpty()
+    plain = by_windows(keyed)
+    ranged = fl.count_windows(keyed, parts=parts).select(*plain.columns)
+    assert plain.exceptAll(ranged).isEmpty() and ranged.exceptAll(plain).isEmpty()
 
 
-def test_hot_route_with_bursts_and_null_protocol(spark):
+@pytest.mark.parametrize("size", [1, 2, 10])
+def test_one_key_over_many_ranges(spark, size):
     """A key without protocol, one whose packets share an instant, and one that lives long with one full second."""
     at = lambda n, us, proto, ip: packets(spark, [us(i) for i in range(n)], ip, "2.2.2.2", proto=proto)
     table = (at(60, lambda i: 7 * i, None, "1.1.1.1").unionByName(at(95, lambda i: 5, 6, "1.1.1.2"))
              .unionByName(at(90, lambda i: i * 3_600_000_000 if i < 30 else 29 * 3_600_000_000 + i, 17, "1.1.1.3")))
-    keyed = fl.keyed_packets(table.withColumn("packet_id", F.xxhash64("packet_id", "src_ip") % 100_000))
-    plain = fl.count_windows(keyed)
-    assert plain.count() == 60 + 90 + 90
-    for hot_rows in (2, 10, 50):
-        hot = fl.count_windows(keyed, hot_rows=hot_rows).select(*plain.columns)
-        assert plain.exceptAll(hot).isEmpty() and hot.exceptAll(plain).isEmpty()
+    keyed = fl.keyed_packets(table.withColumn("packet_id", F.xxhash64("packet_id", "src_ip")))
+    plain = by_windows(keyed, size)
+    assert plain.count() == (60 + 90 + 90 if size == 10 else 245 - (size == 2))
+    for parts in (1, 3, 40):            # 40: ranges of a few packets, so a window lies across several
+        ranged = fl.count_windows(keyed, size, parts=parts).select(*plain.columns)
+        assert plain.exceptAll(ranged).isEmpty() and ranged.exceptAll(plain).isEmpty()
+
+
+def test_batches_of_a_range_are_one_sequence():
+    """Numbering does not depend on where a task's batches are cut."""
+    keys = [("a", "b", 1, 2, None)] * 23 + [("a", "b", 1, 2, 6)] * 9 + [("a", "c", 1, 2, 6)] + [("b", "c", 1, 2, 6)] * 40
+    rows = pa.table([*map(pa.array, zip(*keys, strict=True)), pa.array(range(len(keys)), pa.int64())], names=[*FLOW_KEY, "us"])
+    whole = pa.Table.from_batches(fl.number_in_range(iter(rows.to_batches()), 3, 9))
+    assert whole["ord"].to_pylist() == [*range(23), *range(9), 0, *range(40)]
+    assert whole["left"].to_pylist() == [min(9, n - 1 - i) for n in (23, 9, 1, 40) for i in range(n)]
+    assert [x for x in whole["prev_us"].to_pylist() if x is None] == [None] * 4
+    for cut in (1, 2, 5, 10, 50):
+        assert pa.Table.from_batches(fl.number_in_range(iter(rows.to_batches(cut)), 3, 9)).equals(whole)
+
+
+def test_empty_packets(spark):
+    keyed = fl.keyed_packets(packets(spark, []))
+    assert fl.count_windows(keyed).isEmpty() and fl.flow_features(keyed, endpoints=True).isEmpty()
 
 
-def test_plain_route_shuffles_packets_once(spark, sf):
+def test_packets_are_shuffled_once(spark, sf):
+    """After the ranges are written only window sums move: one exchange, behind the partial aggregate."""
     plan = fl.flow_features(fl.keyed_packets(fx.packets(spark, sf)))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Exchange hashpartitioning") == 1 and "partial_sum" in plan.split("Exchange hashpartitioning")[1]
+    assert " Window" not in plan
 
 
 def test_alerts_keep_rejected_flows(spark, sf):
