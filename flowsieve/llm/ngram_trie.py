@@ -10,10 +10,11 @@ the n-grams of that last word lie, so each token is moved once, to the shard of
 frequent words, whose own counts are known everywhere). There a trie is built from the tokens that may be learnt from,
 and all tokens are looked up in it.
 
-A trie has three levels: words, predecessors of a word, predecessors of a pair. Each level's keys (parent position and
-context-relative word id) form one monotone Elias-Fano sequence, which also stands for pointers to children; values are quantised
-to 16 bits. The levels are laid out in one unlinked, memory-mapped file; queries walk down by successor search for the key
-below the position of the context found before, over the decoded level.
+A trie has three levels: words, predecessors of a word, predecessors of a pair. A level holds, node by node, the context-relative
+word ids of each parent's children, made one monotone sequence by adding what the parents before reach; a second monotone
+sequence points from each parent to its first child. Both are Elias-Fano coded and searched as they are: two selects on the
+pointers give a parent's range, a select on the high bits the few values that can match inside it, and a binary search over their
+packed low bits the successor. Values are quantised to 16 bits. All parts lie in one unlinked, memory-mapped file.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ from flowsieve.session import materialize
 
 #: Frequent words with a short id; the table every task holds is bounded by it.
 HEAD = 65_000
+#: Keys below this are short ids: frequent words, begin and end.
+SHORT = HEAD + 2
 TAIL = 65_535
 BEGIN, END = np.uint64(0xB0B0_0000_0000_0001), np.uint64(0xE0E0_0000_0000_0002)
 SHARD_TOKENS = 1_000_000
@@ -43,41 +46,115 @@ ROWS = 1024
 HELD_SUMS = 1_000_000
 
 
+class Bits:
+    """A bit string in 64-bit words with the ones before each word, for selects of many places at once."""
+
+    def __init__(self, words: np.ndarray, ones: np.ndarray) -> None:
+        self.words, self.ones = words, ones
+
+    @classmethod
+    def of(cls, places: np.ndarray, size: int) -> Bits:
+        """Ones at ascending ``places`` below ``size``."""
+        words = _or_into(places >> 6, np.uint64(1) << (places & 63).astype(np.uint64), (size >> 6) + 1)
+        return cls(words, np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype=np.uint32)[:-1]]).astype(np.uint32))
+
+    def select(self, nth: np.ndarray) -> np.ndarray:
+        """Places of the ones with these numbers, counted from 0."""
+        word = np.searchsorted(self.ones, nth.astype(np.uint32), "right") - 1
+        return (word << 6) + _nth_bit(self.words[word], nth - self.ones[word])
+
+    def select_zero(self, nth: np.ndarray) -> np.ndarray:
+        """Places of the zeros with these numbers, counted from 0."""
+        zeros = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones
+        word = np.searchsorted(zeros, nth, "right") - 1
+        return (word << 6) + _nth_bit(~self.words[word], nth - zeros[word])
+
+    def rank(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ones before each place, and whether there is one at it."""
+        word, bit = self.words[places >> 6], (places & 63).astype(np.uint64)
+        below = word & ((np.uint64(1) << bit) - np.uint64(1))
+        return self.ones[places >> 6].astype(np.int64) + np.bitwise_count(below), (word >> bit & np.uint64(1)).astype(bool)
+
+
+def _or_into(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Words of ``size``, each the union of the values that go to it; ``at`` ascends."""
+    out = np.zeros(size, np.uint64)
+    if len(at):
+        starts = _runs(at)
+        out[at[starts]] = np.bitwise_or.reduceat(values, starts)
+    return out
+
+
+def _nth_bit(words: np.ndarray, nth: np.ndarray) -> np.ndarray:
+    """Place of the nth one in each word: halves are told apart by their counts."""
+    words, nth, place = words.copy(), nth.astype(np.uint8), np.zeros(len(words), np.int64)
+    for width in (32, 16, 8, 4, 2, 1):
+        ones = np.bitwise_count(words & np.uint64((1 << width) - 1))
+        up = nth >= ones
+        nth -= ones * up
+        shift = up.astype(np.uint8) * np.uint8(width)
+        words >>= shift.astype(np.uint64)
+        place += shift
+    return place
+
+
 class EliasFano:
     """Monotone sequence in two parts: low bits packed, high bits in unary."""
 
-    def __init__(self, n: int, low: int, lows: np.ndarray, highs: np.ndarray) -> None:
+    def __init__(self, n: int, low: int, lows: np.ndarray, highs: Bits) -> None:
         self.n, self.low, self.lows, self.highs = n, low, lows, highs
 
     @classmethod
     def of(cls, values: np.ndarray) -> EliasFano:
+        values = values.astype(np.uint64)
         n = len(values)
         top = int(values[-1]) + 1 if n else 1
         low = max(0, (top // max(1, n)).bit_length() - 1)
         high = (values >> np.uint64(low)).astype(np.int64)
-        bits = np.zeros((int(high[-1]) + n + 1) if n else 1, dtype=np.uint8)
-        bits[high + np.arange(n)] = 1
-        parts = ((values[:, None] >> np.arange(low, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8) if low else np.zeros((n, 0), np.uint8)
-        return cls(n, low, np.packbits(parts.reshape(-1)), np.packbits(bits))
-
-    def values(self) -> np.ndarray:
-        """All values; one pass over the two bit strings."""
-        high = np.flatnonzero(np.unpackbits(np.asarray(self.highs)))[:self.n].astype(np.uint64) - np.arange(self.n, dtype=np.uint64)
-        out = high << np.uint64(self.low)
-        if self.low:
-            bits = np.unpackbits(np.asarray(self.lows), count=self.n * self.low).reshape(self.n, self.low)
-            for b in range(self.low):
-                out |= bits[:, b].astype(np.uint64) << np.uint64(b)
-        return out
-
-    def successor(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Position of the first value not below each key, and whether it equals the key."""
-        values = self.values()
-        at = np.searchsorted(values, keys)
-        hit = np.zeros(len(keys), dtype=bool)
-        inside = at < self.n
-        hit[inside] = values[at[inside]] == keys[inside]
-        return at, hit
+        lows = np.zeros(0, np.uint64)
+        if low:
+            kept, bit = values & np.uint64((1 << low) - 1), np.arange(n, dtype=np.int64) * low
+            off, size = (bit & 63).astype(np.uint64), (n * low >> 6) + 2
+            over = off + np.uint64(low) > 64
+            lows = _or_into(bit >> 6, kept << off, size) | _or_into((bit[over] >> 6) + 1, kept[over] >> (np.uint64(64) - off[over]), size)
+        return cls(n, low, lows, Bits.of(high + np.arange(n), int(high[-1]) + n + 1 if n else 1))
+
+    def _low(self, at: np.ndarray) -> np.ndarray:
+        if not self.low:
+            return np.zeros(len(at), np.uint64)
+        bit = at * self.low
+        word, off = bit >> 6, (bit & 63).astype(np.uint64)
+        above = np.where(off > 0, self.lows[word + 1] << ((np.uint64(64) - off) & np.uint64(63)), np.uint64(0))
+        return (self.lows[word] >> off | above) & np.uint64((1 << self.low) - 1)
+
+    def get(self, at: np.ndarray) -> np.ndarray:
+        """The values at these positions."""
+        return (self.highs.select(at) - at).astype(np.uint64) << np.uint64(self.low) | self._low(at)
+
+    def successor(self, keys: np.ndarray, start: np.ndarray | None = None, end: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Position of the first value not below each key, from ``start`` to before ``end``, and whether it equals the key."""
+        first = np.zeros(len(keys), np.int64) if start is None else start.copy()
+        stop = np.full(len(keys), self.n, np.int64) if end is None else end.copy()
+        high = keys >> np.uint64(self.low)
+        last = (len(self.highs.words) * 64 - self.n) - 1            # zeros of the last word behind the sequence count as empty buckets
+        inside = high <= np.uint64(max(last, 0)) if self.n else np.zeros(len(keys), dtype=bool)
+        first[~inside] = stop[~inside]
+        bucket = high[inside].astype(np.int64)
+        ends = np.minimum(self.highs.select_zero(bucket) - bucket, self.n)
+        starts = np.zeros(len(bucket), np.int64)
+        starts[bucket > 0] = self.highs.select_zero(bucket[bucket > 0] - 1) - bucket[bucket > 0] + 1
+        first[inside] = np.maximum(first[inside], np.minimum(starts, stop[inside]))
+        stop[inside] = np.maximum(np.minimum(stop[inside], ends), first[inside])
+        lows, a, b = keys & np.uint64((1 << self.low) - 1), first, stop.copy()
+        live = np.flatnonzero(a < b)
+        while len(live):
+            middle = (a[live] + b[live]) >> 1
+            less = self._low(middle) < lows[live]
+            a[live[less]], b[live[~less]] = middle[less] + 1, middle[~less]
+            live = live[a[live] < b[live]]
+        hit = a < stop
+        hit[hit] = self._low(a[hit]) == lows[hit]
+        return a, hit
 
 
 def quantise(values: np.ndarray) -> tuple[float, float, np.ndarray]:
@@ -103,19 +180,43 @@ class Trie:
         at, n, kind = place
         return np.frombuffer(self._map, kind, n, at)
 
+    def _bits(self, bits: Bits) -> tuple:
+        return self._put(bits.words), self._put(bits.ones)
+
     def _sequence(self, values: np.ndarray) -> tuple:
-        ef = EliasFano.of(values.astype(np.uint64))
-        return ef.n, ef.low, self._put(ef.lows), self._put(ef.highs)
+        ef = EliasFano.of(values)
+        return ef.n, ef.low, self._put(ef.lows), self._bits(ef.highs)
 
     def _open(self, place: tuple) -> EliasFano:
-        return EliasFano(place[0], place[1], self._get(place[2]), self._get(place[3]))
+        n, low, lows, bits = place
+        return EliasFano(n, low, self._get(lows), Bits(*map(self._get, bits)))
+
+    def _names(self, keys: np.ndarray) -> tuple:
+        """Sorted word keys: short ids as a bitmap, hashes of other words as a sequence."""
+        few = int(np.searchsorted(keys, SHORT))
+        return few, self._bits(Bits.of(keys[:few].astype(np.int64), SHORT)), self._sequence(keys[few:])
+
+    def name(self, place: tuple, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Position of each word key in a list of names, and whether it is there."""
+        few, bits, others = place
+        at, hit = np.zeros(len(keys), np.int64), np.zeros(len(keys), dtype=bool)
+        short = keys < SHORT
+        at[short], hit[short] = Bits(*map(self._get, bits)).rank(keys[short].astype(np.int64))
+        at[~short], hit[~short] = self._open(others).successor(keys[~short])
+        at[~short] += few
+        return at, hit
 
     @classmethod
     def build(cls, words: np.ndarray, lexicon: np.ndarray, second: tuple, third: tuple, values: list[np.ndarray]) -> Trie:
         """``words``: sorted keys; ``second`` / ``third``: (parent position, word id) per node, sorted; values: five arrays."""
         trie = cls()
-        trie.words, trie.lexicon, trie.span = trie._sequence(words), trie._sequence(lexicon), max(1, len(lexicon))
-        trie.levels = [trie._sequence(p.astype(np.uint64) * np.uint64(trie.span) + w.astype(np.uint64)) for p, w in (second, third)]
+        trie.words, trie.lexicon = trie._names(words), trie._names(lexicon)
+        trie.levels = []
+        for parents, (parent, ids) in zip((len(words), len(second[0])), (second, third), strict=True):
+            starts = np.searchsorted(parent, np.arange(parents + 1))            # every parent has a child
+            reach = np.cumsum(ids[starts[1:] - 1].astype(np.uint64) + np.uint64(1))
+            base = np.concatenate([np.zeros(min(1, parents), np.uint64), reach[:-1]])
+            trie.levels.append((trie._sequence(starts), trie._sequence(base[parent] + ids.astype(np.uint64))))
         trie.coded = []
         for v in values:
             lo, step, codes = quantise(v)
@@ -133,22 +234,36 @@ class Trie:
         lo, step, place = self.coded[which]
         return lo + step * self._get(place)[at]
 
-    def find(self, last: np.ndarray, before: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Deepest level (0: none) and position there of n-grams (first, before, last); keys sorted by last, before, first."""
-        depth, at = np.zeros(len(last), np.int8), np.zeros(len(last), np.int64)
-        live = np.arange(len(last))
-        place, hit = self._open(self.words).successor(last)
-        depth[hit], at[hit] = 1, place[hit]
-        live = live[hit]
-        lexicon = self._open(self.lexicon)
-        for level, context in ((0, before), (1, first)):
-            ids, known = lexicon.successor(context[live])
-            live, ids = live[known], ids[known]
-            keys = at[live].astype(np.uint64) * np.uint64(self.span) + ids.astype(np.uint64)
-            place, hit = self._open(self.levels[level]).successor(keys)
-            live = live[hit]
-            depth[live], at[live] = level + 2, place[hit]
-        return depth, at
+    def _children(self, level: int, parent: np.ndarray, ids: np.ndarray, family: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of word ids among the children of the nodes ``parent[family]``: pointers are read once per family."""
+        pointers, level = (self._open(x) for x in self.levels[level])
+        start, end = pointers.get(parent).astype(np.int64), pointers.get(parent + 1).astype(np.int64)
+        base = np.zeros(len(parent), np.uint64)
+        base[start > 0] = level.get(start[start > 0] - 1) + np.uint64(1)
+        return level.successor(base[family] + ids, start[family], end[family])
+
+    def find(self, last: np.ndarray, before: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Positions of the words, pairs and triples (first, before, last), -1 where unknown; keys sorted by last, before, first."""
+        words, pairs = _runs(last), _runs(last, before)
+        up = np.searchsorted(words, pairs, "right") - 1                         # of pairs to words, of triples to pairs
+        over = np.searchsorted(pairs, np.arange(len(last)), "right") - 1
+
+        def below(level: int, parent: np.ndarray, family: np.ndarray, context: np.ndarray) -> np.ndarray:
+            out = np.full(len(family), -1, np.int64)
+            ids, known = self.name(self.lexicon, context)
+            live = np.flatnonzero(known & (parent[family] >= 0))
+            there = np.flatnonzero(parent >= 0)
+            nth = np.zeros(len(parent), np.int64)
+            nth[there] = np.arange(len(there))
+            at, hit = self._children(level, parent[there], ids[live].astype(np.uint64), nth[family[live]])
+            out[live[hit]] = at[hit]
+            return out
+
+        place, hit = self.name(self.words, last[words])
+        word = np.where(hit, place, -1)
+        pair = below(0, word, up, before[pairs])
+        triple = below(1, pair, over, first)
+        return word[up][over], pair[over], triple
 
 
 @dataclass(frozen=True)
@@ -301,7 +416,7 @@ def build_trie(last: np.ndarray, before: np.ndarray, first: np.ndarray, corpus:
     words = _runs(last)
     count = lambda starts: np.diff(np.append(starts, n))
     c3, c2, c1 = count(third), count(second), count(words)
-    is_head = last[words] < HEAD + 2
+    is_head = last[words] < SHORT
     c1[is_head] = corpus.counts[last[words[is_head]].astype(np.int64)]
     q = corpus.share(c1)
     up2, up3 = np.searchsorted(words, second, "right") - 1, np.searchsorted(second, third, "right") - 1
@@ -316,7 +431,7 @@ def build_trie(last: np.ndarray, before: np.ndarray, first: np.ndarray, corpus:
 
 
 def context_weights(keys: np.ndarray, corpus: Corpus, rule: Smoothing) -> tuple[np.ndarray, np.ndarray]:
-    head = keys < HEAD + 2
+    head = keys < SHORT
     m, f = np.full(len(keys), rule.tail_mass), np.full(len(keys), rule.tail_weight)
     m[head] = rule.head_mass * np.maximum(corpus.counts[keys[head].astype(np.int64)], 1)
     f[head] = rule.head_weight
@@ -332,23 +447,22 @@ def shard_scores(last: np.ndarray, before: np.ndarray, first: np.ndarray, learnt
     starts = _runs(last, before, first)          # every distinct n-gram is looked up once
     times = np.diff(np.append(starts, len(last)))
     a, b, c = last[starts], before[starts], first[starts]
-    depth, at = trie.find(a, b, c)
-    pair_depth, pair_at = trie.find(a, b, np.full(len(a), np.uint64(2**63)))
+    word, pair, triple = trie.find(a, b, c)
     m, f = context_weights(b, corpus, rule)
     own_m, own_f = context_weights(a, corpus, rule)
-    head = a < HEAD + 2
+    head = a < SHORT
     count = np.zeros(len(a))
     count[head] = corpus.counts[a[head].astype(np.int64)]      # counted everywhere, and not only in this shard
-    word_at, known = trie._open(trie.words).successor(a)
-    tail = known & ~head
-    count[tail] = counts[word_at[tail]]
+    tail = (word >= 0) & ~head
+    count[tail] = counts[word[tail]]
     top = np.log10(f * m) + np.log10(corpus.share(count))
     bottom = np.log10(own_f * (count + own_m))
-    top[tail] = np.log10(f * m)[tail] + trie.value(0, word_at[tail])
-    bottom[tail] = trie.value(1, word_at[tail])
-    for level, which in ((2, 2), (3, 4)):
-        top[depth == level] = trie.value(which, at[depth == level])
-    bottom[pair_depth == 2] = trie.value(3, pair_at[pair_depth == 2])
+    top[tail] = np.log10(f * m)[tail] + trie.value(0, word[tail])
+    bottom[tail] = trie.value(1, word[tail])
+    paired, all_three = pair >= 0, triple >= 0
+    top[paired] = trie.value(2, pair[paired])
+    top[all_three] = trie.value(4, triple[all_three])
+    bottom[paired] = trie.value(3, pair[paired])
     end = np.uint64(np.searchsorted(corpus.head, END))
     part = top - np.where(a == end, 0.0, bottom)
     back = np.empty(len(order), dtype=np.int64)

@@ -221,11 +221,42 @@ def test_probabilities_sum_to_one():
 
 
 def test_elias_fano_keeps_values_and_finds_successors():
-    rng = np.random.default_rng(8)
-    for values in (np.zeros(0, np.uint64), np.array([0], np.uint64), np.sort(rng.integers(0, 2**60, 500)).astype(np.uint64), np.arange(999, dtype=np.uint64)):
-        ef = ngram_trie.EliasFano.of(values)
-        assert (ef.values() == values).all()
-        keys = np.concatenate([values, values + np.uint64(1), rng.integers(0, 2**61, 50).astype(np.uint64)])
-        at, hit = ef.successor(keys)
-        assert (at == np.searchsorted(values, keys)).all() and (hit == np.isin(keys, values)).all()
+    rng = np.random.default_rng(4)
     assert zlib.crc32(b"1") == crc_of(1)
+    for n, top in ((0, 1), (1, 1), (1, 2**62), (7, 8), (50, 3), (1000, 10**12), (500, 2**62), (3000, 20_000)):
+        values = np.sort(rng.integers(0, top, n)).astype(np.uint64)
+        values[n // 2:] += np.uint64(top // 2)                            # a gap of empty buckets
+        ef = ngram_trie.EliasFano.of(values)
+        assert (ef.get(np.arange(n)) == values).all()
+        keys = np.concatenate([values, values + np.uint64(1), values - np.minimum(values, 1).astype(np.uint64),
+                               rng.integers(0, 2 * top, 300).astype(np.uint64), np.array([0, 2**63], np.uint64)])
+        for start, end in ((None, None), (rng.integers(0, n + 1, len(keys)), None), (rng.integers(0, n // 2 + 1, len(keys)), rng.integers(n // 2, n + 1, len(keys)))):
+            at, hit = ef.successor(keys, start, end)
+            for i, key in enumerate(keys):
+                a, b = (0 if start is None else start[i]), (n if end is None else end[i])
+                want = a + int(np.searchsorted(values[a:b], key))
+                assert (at[i], hit[i]) == (want, want < b and values[want] == key)
+
+
+def test_selects_and_ranks_of_bits():
+    rng = np.random.default_rng(5)
+    for size, share in ((1, 1.0), (64, 0.5), (1000, 0.02), (1000, 0.98), (5000, 0.5)):
+        flags = rng.random(size) < share
+        bits = ngram_trie.Bits.of(np.flatnonzero(flags), size)
+        assert (bits.select(np.arange(flags.sum())) == np.flatnonzero(flags)).all()
+        assert (bits.select_zero(np.arange((~flags).sum())) == np.flatnonzero(~flags)).all()
+        before, there = bits.rank(np.arange(size))
+        assert (before == np.cumsum(flags) - flags).all() and (there == flags).all()
+
+
+def test_nodes_are_found_below_their_context_only():
+    """Positions in the compact levels are those of a dictionary, for known and unknown n-grams, short ids and hashes."""
+    rng = np.random.default_rng(6)
+    names = np.concatenate([np.arange(0, 40), (rng.integers(0, 2**61, 30) | 1 << 62)]).astype(np.uint64)
+    grams = np.unique(rng.choice(names[::2], (4000, 3)), axis=0)          # sorted by last, before, first
+    ask = np.unique(np.concatenate([grams[::3], rng.choice(names, (3000, 3))]), axis=0)
+    corpus_ = ngram_trie.Corpus(len(grams), 60, 1, 1, np.arange(ngram_trie.SHORT, dtype=np.uint64), np.ones(ngram_trie.SHORT, np.int64))
+    trie, _ = ngram_trie.build_trie(*grams.T, corpus_, ngram_trie.Smoothing())
+    for depth, found in enumerate(trie.find(*ask.T), 1):
+        place = {tuple(g): i for i, g in enumerate(np.unique(grams[:, :depth], axis=0).tolist())}
+        assert found.tolist() == [place.get(tuple(g), -1) for g in ask[:, :depth].tolist()]
