@@ -73,12 +73,13 @@ def sequences(docs: DataFrame, stride: int, vocabulary: str, end_id: int) -> Dat
     return tokens.split_documents(docs).mapInArrow(cut, "part int, nth long, doc_id long, start long, length int, ids binary")
 
 
-def training_order(docs: DataFrame, key: int = 20_240_501, stride: int = 512, vocabulary: str = tokens.RANKS,
-                   end_id: int = 0) -> DataFrame:
+def placed(docs: DataFrame, key: int = 20_240_501, stride: int = 512, vocabulary: str = tokens.RANKS,
+           end_id: int = 0) -> tuple[DataFrame, int]:
     """slot, doc_id, start, length, ids (little endian, 2 bytes each, or 4 where the batch needs them) of every sequence.
 
     A null or empty text gives one sequence with ``end_id`` alone; repeated rows give sequences of their own; a null id
-    stays null; an empty table gives no rows. The written table fixes the numbering, so a lost executor cannot change it.
+    stays null; an empty table gives no rows. The written table fixes the numbering, so a lost executor cannot change it. With the rows
+    comes their number.
     """
     rows, path = sequences(docs, stride, vocabulary, end_id), scratch_path(docs.sparkSession, "sequences")
     rows.write.option("compression", CODEC).parquet(path)
@@ -98,13 +99,20 @@ def training_order(docs: DataFrame, key: int = 20_240_501, stride: int = 512, vo
                     [pa.array(permute(index, total, key)), *(batch[c] for c in ("doc_id", "start", "length", "ids"))],
                     names=["slot", "doc_id", "start", "length", "ids"])
 
-    return written.mapInArrow(place, "slot long, doc_id long, start long, length int, ids binary")
+    return written.mapInArrow(place, "slot long, doc_id long, start long, length int, ids binary"), total
+
+
+def training_order(docs: DataFrame, key: int = 20_240_501, stride: int = 512, vocabulary: str = tokens.RANKS,
+                   end_id: int = 0) -> DataFrame:
+    """The rows of `placed`."""
+    return placed(docs, key, stride, vocabulary, end_id)[0]
 
 
-def shards(ordered: DataFrame, per_shard: int = 1024, stride: int = 512) -> DataFrame:
+def shards(ordered: DataFrame, per_shard: int = 1024, stride: int = 512, slots: int | None = None) -> DataFrame:
     """One row per shard: the ids of ``per_shard`` consecutive slots as one byte string, and what each slot holds.
 
-    Shards are range partitioned, so files follow the training order and every shard comes from one task.
+    Shards are range partitioned, so files follow the training order and every shard comes from one task. Slots are dense: with their
+    number ``slots`` a shard's range is computed; without it Spark reads the rows once more to find the ranges.
     """
     def bind(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, rows = None, []
@@ -129,12 +137,16 @@ def shards(ordered: DataFrame, per_shard: int = 1024, stride: int = 512) -> Data
 
     numbered = ordered.withColumn("shard", F.expr(f"slot div {per_shard}"))
     parts = int(ordered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (numbered.repartitionByRange(parts, "shard").sortWithinPartitions("shard", "slot")
+    if slots is None:
+        ranged = numbered.repartitionByRange(parts, "shard")
+    else:
+        ranged = numbered.repartitionById(parts, F.expr(f"cast(shard * {parts}L div {max(1, -(-slots // per_shard))}L as int)"))
+    return (ranged.sortWithinPartitions("shard", "slot")
             .select("slot", "doc_id", "start", "length", "ids").mapInArrow(bind, SHARDS))
 
 
-def write_shards(ordered: DataFrame, path: str, per_shard: int = 1024, stride: int = 512) -> None:
-    shards(ordered, per_shard, stride).write.option("compression", CODEC).parquet(path)
+def write_shards(ordered: DataFrame, path: str, per_shard: int = 1024, stride: int = 512, slots: int | None = None) -> None:
+    shards(ordered, per_shard, stride, slots).write.option("compression", CODEC).parquet(path)
 
 
 def read_from(spark: SparkSession, path: str, slot: int = 0) -> DataFrame:
@@ -152,5 +164,6 @@ def materialised(docs: DataFrame, key: int = 20_240_501, stride: int = 512, per_
     """Write the shards of ``docs`` into the shared folder and read them back in slots."""
     spark = docs.sparkSession
     path = scratch_path(spark, "shards")
-    write_shards(training_order(docs, key, stride), path, per_shard, stride)
+    ordered, slots = placed(docs, key, stride)
+    write_shards(ordered, path, per_shard, stride, slots)
     return read_from(spark, path)

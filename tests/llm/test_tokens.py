@@ -102,6 +102,14 @@ def test_shards_hold_every_sequence_and_resume(spark, table, texts, empty):
     for i, x in want.items():
         assert np.concatenate([seen[i][s] for s in sorted(seen[i])]).tolist() == x.tolist()
     assert sorted(training_order.read_from(spark, path, 11).collect()) == rows[11:]
+    ordered, slots = training_order.placed(table, key=9, stride=32)
+    assert slots == len(rows)
+    by_slot = training_order.shards(ordered, 7, 32, slots)               # ranges computed: no second read, the same shards in order
+    assert by_slot.select("shard").distinct().count() == by_slot.count() == -(-slots // 7)
+    assert [r[0] for r in by_slot.select("shard").collect()] == list(range(-(-slots // 7)))
+    assert "rangepartitioning" not in by_slot._jdf.queryExecution().executedPlan().toString()
+    training_order.shards(ordered, 7, 32, slots).write.parquet(path + "-by-slot")
+    assert sorted(training_order.read_from(spark, path + "-by-slot").collect()) == rows
     assert training_order.materialised(empty).count() == 0
 
 
