@@ -2,7 +2,7 @@
 
 Two ways. `flow_job` runs the batch operator on every micro-batch: what waits (at most ``size - 1`` packets and the number of
 closed windows per key) is a table with one version per batch, read together with the new packets. A batch that is replayed
-reads the version before it and replaces its own output, and no key is folded in Python. `flow_stream` keeps the same in Spark's
+reads the version before it and replaces its own output, and no task holds a key's whole share of a batch. `flow_stream` keeps the same in Spark's
 state and can evict idle keys; there, state per key is the number of windows closed so far and at most ``size - 1`` waiting packets. A micro-batch is
 ordered by (time, packet id) inside each key before it is folded; across micro-batches arrival order counts, as in
 a live capture. Without an idle limit a quiet key waits for ever. One task folds a key's share of a micro-batch, so
