@@ -9,6 +9,7 @@ from .. import fixtures as fx
 from ..models import registry
 from ..models.ada import AdaBoost
 from ..models.forest import ExtraTrees, IsolationForest, Nodes, average_path
+from ..models.linear_svm import LinearSvm
 from ..models.trees import DecisionTree, GradientBoosting, NewtonBoosting
 from ..operators import flows as fl
 from ..schema import ALERT_THRESHOLD, FEATURES, FLOW_KEY, TRAIN_FILE_CAP
@@ -375,6 +376,33 @@ def cascade_cross_report_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(ev.cross_source_report(training_run(spark, sf_dir), flows, ROW, layers=("nb", "nb")))
 
 
+_GRID_POINT = {"flow_duration": ("xl", "xh", "cell % 40"), "fwd_len_max": ("yl", "yh", "cell // 40")}
+_GRID_ROWS = """SELECT *, CAST(cell % 40 AS INTEGER) AS ix, CAST(cell // 40 AS INTEGER) AS iy, flow_duration AS x, fwd_len_max AS y FROM (SELECT cell, """ + ", ".join(
+    "CASE WHEN {2} = 39 THEN {1} ELSE {0} + ({2}) * (({1} - {0}) / 39.0e0) END AS {3}".format(*_GRID_POINT[f], f) if f in _GRID_POINT else f for f in FEATURES) + """
+  FROM (SELECT min(flow_duration) AS xl, max(flow_duration) AS xh, min(fwd_len_max) AS yl, max(fwd_len_max) AS yh, """ + ", ".join(
+    f"avg({f}) AS {f}" for f in FEATURES if f not in _GRID_POINT) + """ FROM clean) CROSS JOIN (SELECT CAST(range AS INTEGER) AS cell FROM range(1600)))"""
+
+
+@check("decision_grid_nb", f"""WITH {_nb_scores(_GRID_ROWS, keep="cell, ix, iy, x, y")}
+SELECT cell, ix, iy, round(x, 2) AS x, round(y, 2) AS y, 'nb' AS model, CAST(proba > 0.5 AS INTEGER) AS pred FROM p""")
+def decision_grid_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of each point of the grid over two features of all clean rows."""
+    run = training_run(spark, sf_dir)
+    return rounded(ev.decision_grid(run, ev.single_source(run, fx.flows(spark, sf_dir), ROW), ["nb"]), 2)
+
+
+_WEIGHTS = [round((i % 5 - 2) * 0.3, 1) for i in range(len(FEATURES))]
+_DECISION = " + ".join(f"{w!r}e0 * {f}" for w, f in zip(_WEIGHTS, FEATURES, strict=True)) + " - 0.1e0"
+
+
+@check("svm_given", f"""WITH {_nb_scores(_ROWS_Y).split(",\njoint AS")[0]}, s AS (SELECT row_id, y, {_DECISION} AS d FROM every)
+SELECT row_id, y, round(1.0e0 / (1.0e0 + exp(-greatest(least(d, 700.0e0), -700.0e0))), 5) AS proba, CAST(d > 0 AS INTEGER) AS pred FROM s""")
+def svm_given(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A linear machine of given weights on every distinct flow."""
+    model = LinearSvm({"weights": _WEIGHTS, "bias": -0.1})
+    return rounded(model.score(all_scaled(spark, sf_dir)).select("row_id", "y", "proba", "pred"), 5)
+
+
 # ---------------------------------------------------------------- the cascade's own kinds of layers with given parameters
 
 _STUMPS = [{"feature": 0, "cut": -0.2, "left": 1, "right": 0, "alpha": 0.9}, {"feature": 12, "cut": -0.05, "left": 0, "right": 1, "alpha": 0.4}]
