@@ -11,7 +11,7 @@ from flowsieve.models import ada, registry
 from flowsieve.models.forest import Nodes, average_path
 from flowsieve.models.linear_svm import LinearSvm
 from flowsieve.models.naive_bayes import NaiveBayes
-from flowsieve.models.neighbors import Neighbors, nearest
+from flowsieve.models.neighbors import Neighbors, Shard, ball_leaves, nearest
 from flowsieve.plans import evaluation as ev
 from flowsieve.plans import training as tr
 from flowsieve.schema import FEATURES
@@ -79,6 +79,24 @@ def test_knn_fewer_rows_than_neighbours(spark, small):
         Neighbors.fit(df.limit(0))
 
 
+def test_knn_leaves_are_bounded_by_boxes(small):
+    """No member is nearer than its leaf's box; the boxes rule out most leaves that a ball around the centre would not."""
+    _, x, y = small
+    shard = Shard(x, y, ball_leaves(x, 16))
+    low = shard.apart(x)
+    for leaf, at in enumerate(shard.leaves):
+        dist = ((x[:, None, :] - x[None, at]) ** 2).sum(axis=2).min(axis=1)
+        assert (low[leaf] <= dist).all() and (low[leaf, at] == 0).all()
+    best, place = shard.search(x, 5)
+    assert (place == np.argsort(((x[:, None, :] - x[None]) ** 2).sum(axis=2), axis=1, kind="stable")[:, :5]).all()
+
+
+def test_knn_with_one_shard_moves_only_features(small):
+    df, _, _ = small
+    plan = Neighbors.fit(df).score(df)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "MapInArrow" not in plan and "Join" not in plan
+
+
 def test_knn_many_ties():
     train = np.zeros((300, 15))
     _, place, _ = nearest(np.zeros((3, 15)), train, np.arange(300), 5)
