@@ -229,6 +229,25 @@ def test_reports(spark, run, sf):
     assert single["quality"].first()["accuracy"] > 90 and single["report"].count() == 5
 
 
+def test_training_writes_distinct_rows_once(run, monkeypatch):
+    """Scaled values and test marks are computed from the written rows, not written again."""
+    written = []
+    monkeypatch.setattr(tr, "materialize", lambda df, purpose="table": written.append((purpose, df.count())) or df)
+    again = tr.TrainingRun(run.rows, file_cap=40)
+    assert again.test.count() == run.test.count() and sorted(again.scaled.columns) == sorted(run.rows.columns)
+    again.train.count()
+    rows = dict(written)
+    assert set(rows) == {"scaler", "thinned", "balanced"}
+    assert rows["thinned"] <= 40 * run.rows.select("source_file").distinct().count()
+
+
+def test_scored_rows_are_those_of_the_training_run(spark, run, sf):
+    """The single-model queries do not drop duplicates a second time."""
+    from flowsieve.plans import model_catalog as mc
+    plan = mc.all_scaled(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "HashAggregate" not in plan
+
+
 def test_depth_study(run):
     table = tr.depth_study(run.train, run.test, [1, None]).toPandas()
     assert table.depth.tolist() == [1, -1] and (table.train_acc.diff().dropna() > 0).all()

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from flowsieve.operators import cleaning as cl
 from flowsieve.operators import curves as cu
 from flowsieve.operators import sampling as sa
 from flowsieve.operators import scaling as sc
@@ -35,6 +36,26 @@ def test_refined_cut_equals_plain_cut(rows, monkeypatch, n):
     assert sorted(want) == sorted(sa.sample_n(rows, n, ["row_id"], by="y").collect())
 
 
+def test_only_rows_near_a_cut_are_written(rows, monkeypatch):
+    """One bucket of 4,096 per group, not a draw for every row."""
+    written, write = [], sa.materialize
+    monkeypatch.setattr(sa, "materialize", lambda df, purpose="table": written.append(df.count()) or write(df, purpose))
+    assert sa.sample_n(rows, 700, ["row_id"], by="y").count() == 1400
+    assert len(written) == 1 and 2 <= written[0] < 100
+    assert sa.sample_n(rows, 50_000, ["row_id"], by="y").count() == 20_000 and len(written) == 1
+
+
+def test_distinct_rows_are_dealt_by_content(spark):
+    """Mostly distinct rows meet their copies in one shuffle without a map-side aggregate; often copied ones collapse first."""
+    few = spark.sql("SELECT id % 1000 AS a, concat('s', id % 7) AS tag, CAST(id % 1000 AS DOUBLE) AS v FROM range(1500)")
+    dealt = cl.dealt_by_row(few, ("tag",), 100)
+    plan = cl.drop_duplicates(dealt, ("tag",))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "HashAggregate" not in plan.split("Exchange")[1]
+    assert cl.drop_duplicates(dealt, ("tag",)).count() == 1000
+    copied = few.where("a < 100").unionAll(few.where("a < 100")).unionAll(few.where("a < 100"))
+    assert cl.dealt_by_row(copied, ("tag",), 100) is copied and cl.dealt_by_row(few, ("tag",)) is few
+
+
 def test_sample_does_not_depend_on_layout(rows):
     ids = lambda df: sorted(r["row_id"] for r in sa.sample_n(df, 500, ["row_id"]).select("row_id").collect())
     assert ids(rows) == ids(rows.repartition(13))
