@@ -229,6 +229,20 @@ def test_reports(spark, run, sf):
     assert single["quality"].first()["accuracy"] > 90 and single["report"].count() == 5
 
 
+def test_one_part_of_a_report_writes_nothing(spark, run, sf, monkeypatch):
+    """Who asks for the quality table alone pays for one pass over the rows, and gets the same table."""
+    from flowsieve import fixtures as fx
+    from flowsieve.operators import curves as cu
+    raw = ev.single_source(run, fx.flows(spark, sf), ["row_id", "copy"])
+    whole = {"availability": ev.availability_report(run, raw, ["nb", "dt"]), "cascade": ev.cascade_report(run, raw, ("nb", "dt"))}
+    assert list(whole["availability"]) == list(ev.AVAILABILITY) and list(whole["cascade"]) == list(ev.CASCADE)
+    for module in (ev, cu):
+        monkeypatch.setattr(module, "materialize", lambda df, purpose="table": pytest.fail(f"{purpose} was written"))
+    alone = {"availability": ev.availability_report(run, raw, ["nb", "dt"], parts=("quality",)), "cascade": ev.cascade_report(run, raw, ("nb", "dt"), parts=("quality",))}
+    for job, report in alone.items():
+        assert list(report) == ["quality"] and sorted(report["quality"].collect()) == sorted(whole[job]["quality"].collect())
+
+
 def test_training_writes_distinct_rows_once(run, monkeypatch):
     """Scaled values and test marks are computed from the written rows, not written again."""
     written = []
