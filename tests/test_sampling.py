@@ -56,6 +56,18 @@ def test_distinct_rows_are_dealt_by_content(spark):
     assert cl.dealt_by_row(copied, ("tag",), 100) is copied and cl.dealt_by_row(few, ("tag",)) is few
 
 
+def test_rows_that_occur_once_are_not_shuffled(spark):
+    """Only hashes and rows that may occur again leave their task; copies, crowded bitmaps and sources as when compared whole."""
+    once = spark.range(3000).selectExpr("id AS a", "CASE WHEN id % 5 > 0 THEN concat('s', id) END AS `b.c`", "id % 3 AS tag", "concat('f', id % 4) AS source_file")
+    plan = cl.distinct_by_hash(once, ("tag",), 100)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and plan.index("Union") < plan.index("Aggregate")
+    some = once.unionAll(once.where("a % 10 = 0").withColumn("tag", F.lit(7)).withColumn("source_file", F.lit("e")))
+    for table, ignore, places in ((some, ("tag",), cl.HASH_PLACES), (some, ("tag", "source_file"), 1 << 9), (some.unionAll(once), ("tag",), 1 << 9),
+                                  (some.drop("source_file"), ("tag",), cl.HASH_PLACES), (some.where("a < 50"), ("tag",), 1 << 9)):
+        got, want = cl.distinct_by_hash(table, ignore, 100, places), cl.distinct_of_sources(table, ignore)
+        assert got.count() == want.count() and got.select([f"`{c}`" for c in want.columns]).exceptAll(want).isEmpty()
+
+
 def test_sample_does_not_depend_on_layout(rows):
     ids = lambda df: sorted(r["row_id"] for r in sa.sample_n(df, 500, ["row_id"]).select("row_id").collect())
     assert ids(rows) == ids(rows.repartition(13))
