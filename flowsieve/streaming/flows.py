@@ -3,9 +3,10 @@
 Two ways. `flow_job` runs the batch operator on every micro-batch: what waits (at most ``size - 1`` packets and the number of
 closed windows per key) is a table with one version per batch, read together with the new packets. A batch that is replayed
 reads the version before it and replaces its own output, and no task holds a key's whole share of a batch. `flow_stream` keeps the same in Spark's
-state and can evict idle keys; there, state per key is the number of windows closed so far and at most ``size - 1`` waiting packets. A micro-batch is
+state and can evict idle keys; there, state per key is the number of windows closed so far and at most ``size - 1`` waiting packets, and the keys
+of one hash group are folded together. A micro-batch is
 ordered by (time, packet id) inside each key before it is folded; across micro-batches arrival order counts, as in
-a live capture. Without an idle limit a quiet key waits for ever. One task folds a key's share of a micro-batch, so
+a live capture. Without an idle limit a quiet key waits for ever. One task folds a group's share of a micro-batch, so
 bound the micro-batch at the source (``maxFilesPerTrigger``) where single keys can flood.
 """
 
@@ -29,7 +30,10 @@ src_ip STRING, dst_ip STRING, src_port LONG, dst_port LONG,
 flow_duration LONG, fwd_packets LONG, bwd_packets LONG, fwd_len_total LONG, bwd_len_total LONG,
 fwd_len_max LONG, fwd_len_min LONG, fwd_len_mean DOUBLE, bwd_len_max LONG, bwd_len_min LONG, bwd_len_mean DOUBLE,
 flow_bytes_s DOUBLE, flow_packets_s DOUBLE, flow_iat_mean DOUBLE, flow_iat_max LONG"""
-STATE = "closed LONG, last LONG, us ARRAY<LONG>, packet_id ARRAY<LONG>, fwd ARRAY<INT>, length ARRAY<LONG>"
+#: Keys share a state with those of the same hash, so that a task folds many keys at once; the number stays that of the checkpoint.
+KEY_GROUPS = 256
+STATE = """ip_a ARRAY<STRING>, ip_b ARRAY<STRING>, port_a ARRAY<LONG>, port_b ARRAY<LONG>, proto ARRAY<INT>, closed ARRAY<LONG>, last ARRAY<LONG>,
+waits ARRAY<LONG>, us ARRAY<LONG>, fwd ARRAY<LONG>, length ARRAY<LONG>"""
 
 
 def _side(length: np.ndarray, mask: np.ndarray) -> dict[str, np.ndarray]:
@@ -40,22 +44,21 @@ def _side(length: np.ndarray, mask: np.ndarray) -> dict[str, np.ndarray]:
             "mean": np.where(n > 0, total / np.maximum(n, 1), 0.0)}
 
 
-def fold_windows(key: tuple, first_win: int, us: np.ndarray, fwd: np.ndarray, length: np.ndarray) -> pd.DataFrame:
-    """Features of full windows; the arrays have one row per window and one column per packet."""
+def fold_windows(keys: pd.DataFrame, win: np.ndarray, us: np.ndarray, fwd: np.ndarray, length: np.ndarray) -> pd.DataFrame:
+    """Features of full windows: one row of ``keys`` and of each array per window, one column of an array per packet."""
     windows, size = us.shape
     duration = us[:, -1] - us[:, 0]
     gaps = np.diff(us, axis=1)
     f, b = _side(length, fwd == 1), _side(length, fwd == 0)
     seconds = np.where(duration > 0, duration, 1) / 1e6
     per_second = lambda amount: np.where(duration > 0, amount / seconds, 0.0)
-    opened = fwd[:, 0] == 1
-    ip_a, ip_b, port_a, port_b, _ = key
-    side = lambda a, b: np.where(opened, a, b)
+    opened = pd.Series(fwd[:, 0] == 1)
+    side = lambda a, b: keys[a].where(opened, keys[b])
     n_fwd = fwd.sum(axis=1)
     return pd.DataFrame({
-        **{name: np.repeat([value], windows) for name, value in zip(FLOW_KEY, key)},
-        "win": first_win + np.arange(windows),
-        "src_ip": side(ip_a, ip_b), "dst_ip": side(ip_b, ip_a), "src_port": side(port_a, port_b), "dst_port": side(port_b, port_a),
+        **{name: keys[name] for name in FLOW_KEY},
+        "win": win,
+        "src_ip": side("ip_a", "ip_b"), "dst_ip": side("ip_b", "ip_a"), "src_port": side("port_a", "port_b"), "dst_port": side("port_b", "port_a"),
         "flow_duration": duration, "fwd_packets": n_fwd, "bwd_packets": size - n_fwd,
         "fwd_len_total": f["total"], "bwd_len_total": b["total"],
         "fwd_len_max": f["max"], "fwd_len_min": f["min"], "fwd_len_mean": f["mean"],
@@ -64,46 +67,100 @@ def fold_windows(key: tuple, first_win: int, us: np.ndarray, fwd: np.ndarray, le
         "flow_iat_mean": gaps.sum(axis=1) / size, "flow_iat_max": gaps.max(axis=1, initial=0)})
 
 
-def flow_stream(packets: DataFrame, size: int = FLOW_SIZE, idle: str | None = None, watermark: str = "60 seconds") -> DataFrame:
+def _key_values(proto: pd.Series) -> pd.Series:
+    """Protocol numbers as they were before null made them fractions."""
+    return pd.Series([None if p != p else int(p) for p in proto], dtype=object) if proto.isna().any() else proto.astype(np.int64)
+
+
+def fold_keys(waiting: tuple, fresh: pd.DataFrame, size: int = FLOW_SIZE, idle_us: int | None = None) -> tuple[pd.DataFrame, tuple, np.ndarray]:
+    """(closed flows, what waits now, which of its keys had packets) of many keys at once; ``waiting`` has the columns of ``STATE``.
+
+    In a key, what waits comes before the new packets, which are ordered by (time, packet id). Keys keep their place in the state.
+    """
+    *parts, closed, last, waits, us, fwd, length = waiting
+    old = pd.DataFrame(dict(zip(FLOW_KEY, parts))).astype({"proto": float})
+    known = len(old)
+    every = pd.concat([old, fresh[FLOW_KEY].astype({"proto": float})] if known else [fresh[FLOW_KEY].astype({"proto": float})], ignore_index=True)
+    code = every.groupby(FLOW_KEY, dropna=False, sort=False).ngroup().to_numpy()
+    keys = every[~pd.Series(code).duplicated()].reset_index(drop=True)
+    new = len(keys) - known
+    closed = np.concatenate([np.asarray(closed, np.int64), np.zeros(new, np.int64)])
+    last = np.concatenate([np.asarray(last, np.int64), np.zeros(new, np.int64)])
+    order = fresh.assign(_key=code[known:]).sort_values(["_key", "us", "packet_id"])
+    k = np.concatenate([np.repeat(np.arange(known), np.asarray(waits, np.int64)), order["_key"].to_numpy()])
+    placed = np.argsort(k, kind="stable")
+    k, n = k[placed], len(k)
+    us, fwd, length = (np.concatenate([np.asarray(was, np.int64), order[c].to_numpy(dtype=np.int64)])[placed]
+                       for was, c in ((us, "us"), (fwd, "fwd"), (length, "length")))
+
+    # Runs of packets without a gap above the idle limit; only the last run of a key can still grow.
+    opens = np.append(True, k[1:] != k[:-1]) if n else np.zeros(0, bool)
+    starts = opens if idle_us is None else opens | np.append(True, np.diff(us) > idle_us)[:n]
+    run, first = np.cumsum(starts) - 1, np.flatnonzero(starts)
+    length_of = np.diff(np.append(first, n))
+    place, windows, owner = np.arange(n) - first[run], length_of // size, k[first]
+    if idle_us is not None:             # where nothing waited, the gap may lie before the first new packet
+        heads = np.flatnonzero(opens)
+        heads = heads[(k[heads] < known) & (us[heads] - last[k[heads]] > idle_us)]
+        closed[k[heads]] = 0
+    base = np.where(opens[first], closed[owner], 0)
+    used = place < windows[run] * size
+    heads = np.flatnonzero(used)[::size]
+    owners = keys.iloc[k[heads]].reset_index(drop=True)
+    owners["proto"] = _key_values(owners["proto"])
+    flows = fold_windows(owners, base[run[heads]] + place[heads] // size, *(x[used].reshape(-1, size) for x in (us, fwd, length)))
+
+    ends = np.append(opens[first][1:], True)[:len(first)]              # the last run of each key
+    closed[owner[ends]] = (base + windows)[ends]
+    last[owner[ends]] = us[(first + length_of - 1)[ends]]
+    rest = ends[run] & ~used
+    seen = np.zeros(len(keys), bool)
+    seen[code[known:]] = True
+    waits = np.bincount(k[rest], minlength=len(keys))
+    return flows, (*(keys[c] for c in FLOW_KEY), closed, last, waits, us[rest], fwd[rest], length[rest]), seen
+
+
+def _evicted(waiting: tuple, keep: np.ndarray) -> tuple:
+    """The state without the keys that are not kept."""
+    *of_key, us, fwd, length = waiting
+    packets = np.repeat(keep, of_key[-1])
+    return (*(x[keep] for x in of_key), *(x[packets] for x in (us, fwd, length)))
+
+
+def flow_stream(packets: DataFrame, size: int = FLOW_SIZE, idle: str | None = None, watermark: str = "60 seconds", groups: int = KEY_GROUPS) -> DataFrame:
     """Closed flows with features and end points from a packet stream, in append mode.
 
     ``idle`` (e.g. "60 seconds") turns on eviction: a longer gap between two packets of a key drops the packets that
     wait before it, and a key that stays quiet loses its state once the watermark has passed its last packet by that
     long. Either way the key starts again at window 0 after the gap, so window numbers do not depend on the watermark.
+    A stream must go on with the number of ``groups`` that its checkpoint was written with.
     """
     idle_us = int(pd.Timedelta(idle).total_seconds() * 1e6) if idle else None
     timeout = GroupStateTimeout.EventTimeTimeout if idle else GroupStateTimeout.NoTimeout
     if idle:
         packets = packets.withWatermark("ts", watermark)
     keyed = keyed_packets(packets)
-    keyed = keyed.select(*FLOW_KEY, "packet_id", "us", "fwd", "length", *(["ts"] if idle else []))
-    columns = ["us", "packet_id", "fwd", "length"]
-
-    def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        closed, last, *waiting = state.get if state.exists else (0, None, [], [], [], [])
-        fresh = pd.concat(list(batches)).sort_values(["us", "packet_id"])
-        us, ids, fwd, length = (np.concatenate([np.asarray(old, dtype=np.int64), fresh[c].to_numpy(dtype=np.int64)])
-                                for old, c in zip(waiting, columns))
-        if idle_us is not None and last is not None and us[0] - last > idle_us:      # nothing waited, so the gap lies before these
-            closed = 0
-        # Runs of packets without a gap above the idle limit; only the last run can still grow.
-        starts = [0] if idle_us is None else [0, *(np.flatnonzero(np.diff(us) > idle_us) + 1)]
-        for start, end in zip(starts, [*starts[1:], len(us)]):
-            closed = 0 if start else closed
-            windows = (end - start) // size
-            used = slice(start, start + windows * size)
-            if windows:
-                yield fold_windows(key, closed, *(a[used].reshape(windows, size) for a in (us, fwd, length)))
-                closed += windows
-        rest = slice(used.stop, None)
-        state.update((closed, int(us[-1]), *(a[rest].tolist() for a in (us, ids, fwd, length))))
+    columns = [*FLOW_KEY, "us", "packet_id", "fwd", "length"]
+    keyed = keyed.select(*columns, *(["ts"] if idle else []), F.pmod(F.xxhash64(*FLOW_KEY), F.lit(groups)).alias("_group"))
+    none = pd.DataFrame({c: pd.Series(dtype=object if c.startswith("ip") else np.int64) for c in columns})
+
+    def fold(_: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        fresh = none if state.hasTimedOut else pd.concat(list(batches), ignore_index=True)[columns]
+        flows, waiting, seen = fold_keys(state.get if state.exists else ([],) * 11, fresh, size, idle_us)
+        if len(flows):
+            yield flows
+        if idle_us is not None:
+            passed = state.getCurrentWatermarkMs()
+            until = (waiting[6] + idle_us) // 1000
+            waiting, until = _evicted(waiting, seen | (until >= passed)), until[seen | (until >= passed)]
+            if not len(until):
+                state.remove()
+                return
+        state.update(tuple(_key_values(x).tolist() if i == 4 else x.tolist() for i, x in enumerate(waiting)))
         if idle_us is not None:
-            state.setTimeoutTimestamp(max(int(us[-1] + idle_us) // 1000, state.getCurrentWatermarkMs() + 1))
+            state.setTimeoutTimestamp(max(int(until.min()), passed + 1))
 
-    return keyed.groupBy(*FLOW_KEY).applyInPandasWithState(fold, OUTPUT, STATE, "append", timeout)
+    return keyed.groupBy("_group").applyInPandasWithState(fold, OUTPUT, STATE, "append", timeout)
 
 
 # ---------------------------------------------------------------- flows by a carried table

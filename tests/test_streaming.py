@@ -116,3 +116,30 @@ def test_windows_start_again_after_a_gap_however_batches_fall(spark):
             write_packets(part, path)
         stream = read_packets(spark, path, streaming=True, maxFilesPerTrigger="1")
         assert [r["win"] for r in _run_to_table(spark, flow_stream(stream, idle="60 seconds", watermark="1 hour")).collect()] == [0, 0]
+
+
+def test_keys_of_a_group_are_folded_together(spark, sf):
+    """Few states for many keys, one of them without protocol; silent keys leave the state when the watermark has passed them."""
+    from flowsieve.streaming.flows import _evicted, fold_keys
+    packets = fx.packets(spark, sf).withColumn("proto", F.when(F.col("proto") != 17, F.col("proto")))
+    path = scratch_path(spark, "grouped")
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    half = packets.agg(F.percentile_approx(us, 0.5)).first()[0]
+    for part in (us <= half, us > half):
+        write_packets(packets.where(part).coalesce(1), path)
+    out = scratch_path(spark, "grouped-out")
+    running = (flow_stream(read_packets(spark, path, streaming=True, maxFilesPerTrigger="1"), groups=4).writeStream.format("parquet").option("path", out)
+               .option("checkpointLocation", scratch_path(spark, "grouped-state")).trigger(availableNow=True).start())
+    running.awaitTermination()
+    assert running.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4
+    live, batch = spark.read.parquet(out), fl.flow_features(fl.keyed_packets(packets), endpoints=True)
+    batch = batch.select(*live.columns)
+    assert live.exceptAll(batch).isEmpty() and batch.exceptAll(live).isEmpty() and not batch.where("proto IS NULL").isEmpty()
+
+    fresh = fl.keyed_packets(packets_at(spark, [0, 1, 2]).union(packets_at(spark, [500], 9).withColumn("src_port", F.lit(8)))).toPandas()
+    nothing = ([],) * 11
+    _, waiting, _ = fold_keys(nothing, fresh, 10, 60_000_000)
+    flows, waiting, seen = fold_keys(waiting, fresh[fresh["port_a"] == 8].assign(us=lambda x: x["us"] + 1), 10, 60_000_000)
+    assert len(flows) == 0 and list(seen) == [p == 8 for p in waiting[2]] and sorted(waiting[7]) == [2, 3]
+    kept = _evicted(waiting, seen)
+    assert list(kept[2]) == [8] and list(kept[7]) == [2] and len(kept[8]) == 2
