@@ -1,11 +1,10 @@
-"""Byte-level BPE encoding and decoding with Spark's higher-order functions.
-
-Texts are split by the tokenizers' pattern in Spark. Tasks bundle documents: the distinct pre-tokens of a bundle as byte
-arrays, and each document as positions in that list. A fold then merges every distinct word once: the state is the list
-of token ids, each step looks up the rank of all neighbouring pairs in a literal map and joins the leftmost pair of the
-lowest rank. The map is held in two hashed arrays (every pair has one place in either), as a map literal would be
-searched from its start. Documents put the ids of their words together by position; decoding joins the byte pieces of
-the ids. Nothing is shuffled and no vocabulary of the corpus is ever gathered.
+"""Byte-level BPE encoding and decoding: a fold of ranked merges over many words at once.
+
+Texts are split by the tokenizers' pattern in Spark. Tasks bundle documents and merge the distinct pre-tokens of a bundle: the
+state of all words is the list of their token ids, each step joins in every word the leftmost pair of the lowest rank and
+looks up the ranks of the pairs it makes, and words that are done leave the fold. Pairs are looked up in two hashed arrays
+(every pair has one place in either). Documents put the ids of their words together by position; decoding joins the byte
+pieces of the ids. Nothing is shuffled and no vocabulary of the corpus is ever gathered.
 """
 
 from __future__ import annotations
@@ -17,20 +16,20 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from flowsieve.llm import tokens
-from flowsieve.llm.line_rules import let
 from flowsieve.llm.tokens import load_ranks
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-#: Pre-tokens of more bytes are merged by the tokenizer library: a fold's work grows with the square of the length.
+#: Pre-tokens of more bytes are merged by the tokenizer library: a step goes over whole words, so work grows with the square of the length.
 LONG = 192
 BUNDLE = 8192
+#: Documents whose ids and bytes are put together at once.
+PART = 512
 SLOTS = 1 << 17
-#: An id that no token has, and a rank that no pair has.
-EDGE, NONE = 65535, 1 << 30
+#: A rank that no pair has.
+NONE = 1 << 30
 
 
 def _places(pair: int) -> tuple[int, int]:
@@ -59,79 +58,99 @@ def pair_tables(path: str) -> tuple[list[int], list[int]]:
     return tables[0], tables[1]
 
 
-def _literal(values: list, kind: str) -> Column:
-    """An array literal: the optimizer folds the split and the cast once."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+@lru_cache(maxsize=4)
+def _arrays(path: str) -> tuple[np.ndarray, ...]:
+    """The pair tables, the ids of single bytes, and the bytes of all ids with where each begins."""
+    ranks = load_ranks(path)
+    by_id = {rank: token for token, rank in ranks.items()}
+    pieces = [by_id.get(i, b"") for i in range(max(by_id) + 1)]
+    begins = np.concatenate([[0], np.cumsum([len(p) for p in pieces], dtype=np.int64)])
+    first, second = (np.array(t, np.int64) for t in pair_tables(path))
+    return first, second, np.array([ranks[bytes([b])] for b in range(256)], np.int64), np.frombuffer(b"".join(pieces), np.uint8), begins
 
 
-def _found(pair: Column, lit: Column) -> Column:
-    """Rank of a pair (left id * 65536 + right id), NONE when it does not merge."""
-    a = F.get(lit["first"], (pair * 40_503 % 2_147_483_647 % SLOTS).cast("int"))
-    b = F.get(lit["second"], (pair * 30_011 % 2_147_483_629 % SLOTS).cast("int"))
-    return (F.when(F.shiftright(a, 16) == pair, a.bitwiseAND(65535)).when(F.shiftright(b, 16) == pair, b.bitwiseAND(65535))
-            .otherwise(NONE).cast("int"))
+def _found(left: np.ndarray, right: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Ranks of pairs of ids, NONE where they do not merge."""
+    pair = left << 16 | right
+    a, b = first[pair * 40_503 % 2_147_483_647 % SLOTS], second[pair * 30_011 % 2_147_483_629 % SLOTS]
+    return np.where(a >> 16 == pair, a & 65535, np.where(b >> 16 == pair, b & 65535, NONE))
 
 
-def merged(word: Column, lit: Column) -> Column:
-    """Fold ranked merges over a word's bytes.
+def merged(body: np.ndarray, sizes: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Fold ranked merges over many words at once: (ids of all words one after the other, ids per word).
 
-    The state is the list of ids, with a sign before and after them that merges with nothing, and the ranks of
-    neighbours in it. A step joins the leftmost pair of the lowest rank and looks up the two pairs it makes.
+    ``body`` holds the bytes of all words, ``sizes`` their lengths. The state is the list of ids and the ranks of neighbours. A step
+    joins in every word the leftmost pair of the lowest rank and looks up the two pairs it makes; words without one are done.
     """
-    ids = F.concat(F.array(F.lit(EDGE)), F.transform(word, lambda b: F.get(lit["bytes"], b)), F.array(F.lit(EDGE)))
-    inner = F.transform(F.sequence(F.lit(0), F.size(word) - 2), lambda i: F.get(lit["two"], F.get(word, i) * 256 + F.get(word, i + 1)))
-    ranks = F.concat(F.array(F.lit(NONE)), inner, F.array(F.lit(NONE)))
-
-    def step(s: Column, _: Column) -> Column:
-        ids, ranks = s["ids"], s["ranks"]
-
-        def join(j: Column) -> Column:
-            new = F.get(ranks, j - 1)
-            pair = lambda left, right: let(left.cast("long") * 65536 + right, lambda p: _found(p, lit))
-            at = F.sequence(F.lit(0), F.size(ranks) - 2)       # of ranks; there is one more id
-            left, right = (lambda i: i < j - 2), (lambda i: i == j - 2)
-            return F.struct(
-                F.transform(F.sequence(F.lit(0), F.size(ids) - 2), lambda i: F.when(i < j - 1, F.get(ids, i)).when(i == j - 1, new)
-                            .otherwise(F.get(ids, i + 1))).alias("ids"),
-                F.transform(at, lambda i: F.when(left(i), F.get(ranks, i)).when(right(i), pair(F.get(ids, j - 2), new))
-                            .when(i == j - 1, pair(new, F.get(ids, j + 1))).otherwise(F.get(ranks, i + 1))).alias("ranks"))
-
-        return F.when(F.array_min(ranks) == NONE, s).otherwise(let(F.array_position(ranks, F.array_min(ranks)).cast("int"), join))
-
-    folded = F.aggregate(F.sequence(F.lit(2), F.size(word)), F.struct(ids.alias("ids"), ranks.alias("ranks")), step,
-                         lambda s: F.slice(s["ids"], F.lit(2), F.size(s["ids"]) - 2))
-    return F.when(F.size(word) < 2, F.transform(word, lambda b: F.get(lit["bytes"], b))).otherwise(folded)
-
-
-def bundles(docs: DataFrame, path: str, rows: int = BUNDLE) -> DataFrame:
-    """One row per bundle: document ids, distinct words as byte arrays, ids of overlong words, documents as positions."""
-    def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import tiktoken
-        library = None
-        for whole in batches:
-            for at in range(0, whole.num_rows, rows):
-                batch = whole.slice(at, rows)
-                lists = batch["tokens"]
-                offsets = lists.offsets.to_numpy()
-                coded = pc.dictionary_encode(lists.values.slice(offsets[0], offsets[-1] - offsets[0]))
-                words = coded.dictionary.cast(pa.binary())
-                lengths = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
-                long_ids: list = [None] * len(words)
-                for i in np.flatnonzero(lengths > LONG):
-                    library = library or tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_ranks(path), special_tokens={})
-                    long_ids[i] = library.encode_ordinary(words[i].as_py().decode())
-                short = pc.if_else(pa.array(lengths > LONG), pa.scalar(b"", pa.binary()), words).to_pylist()
-                body = np.frombuffer(b"".join(short), np.uint8).astype(np.int32)
-                bounds = np.concatenate([[0], np.cumsum([len(w) for w in short], dtype=np.int64)]).astype(np.int32)
-                byte_lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(body))
-                positions = pa.ListArray.from_arrays(pa.array((offsets - offsets[0]).astype(np.int32)), coded.indices)
-                one = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
-                yield pa.RecordBatch.from_arrays(
-                    [one(batch["doc_id"]), one(byte_lists), one(pa.array(long_ids, pa.list_(pa.int32()))), one(positions)],
-                    names=["doc_ids", "words", "long_ids", "positions"])
-
-    return tokens.split_documents(docs).mapInArrow(
-        bundle, "doc_ids array<long>, words array<array<int>>, long_ids array<array<int>>, positions array<array<int>>")
+    first, second, single, _, _ = _arrays(path)
+    ids, counts = single[body], sizes.astype(np.int64)
+    done_ids, done_words, open_ = [], [], np.flatnonzero(counts > 0)
+    final, counts = counts.copy(), counts[open_]
+    nth = np.arange(len(ids))
+    ends = np.cumsum(counts)
+    ranks = np.full(len(ids), NONE, np.int64)                   # of an id and the one after it; NONE at a word's end
+    inner = np.ones(len(ids), bool)
+    inner[ends - 1] = False
+    at = np.flatnonzero(inner)
+    ranks[at] = _found(ids[at], ids[at + 1], first, second)
+    while len(open_):
+        starts = np.cumsum(counts) - counts
+        best = np.minimum.reduceat(ranks * (1 << 32) + nth[:len(ranks)], starts)       # leftmost of the lowest rank
+        over = best >> 32 >= NONE
+        if over.any():
+            out = np.repeat(over, counts)
+            done_ids.append(ids[out])
+            done_words.append(open_[over])
+            final[open_[over]] = counts[over]
+            shift = np.cumsum(out)[best[~over] & 0xFFFFFFFF]
+            best = best[~over] - shift
+            ids, ranks, open_, counts = ids[~out], ranks[~out], open_[~over], counts[~over]
+            if not len(open_):
+                break
+        j = best & 0xFFFFFFFF                               # ids at j and j + 1 become one
+        ids[j] = best >> 32
+        keep = np.ones(len(ids), bool)
+        keep[j + 1] = False
+        ranks[j] = ranks[j + 1]
+        ids, ranks, counts = ids[keep], ranks[keep], counts - 1
+        ends, j = np.cumsum(counts), j - np.arange(len(j))
+        right = j + 1 < ends
+        ranks[j[right]] = _found(ids[j[right]], ids[j[right] + 1], first, second)
+        left = j > ends - counts
+        ranks[j[left] - 1] = _found(ids[j[left] - 1], ids[j[left]], first, second)
+    words = np.concatenate(done_words) if done_words else np.zeros(0, np.int64)
+    flat = np.concatenate(done_ids) if done_ids else np.zeros(0, np.int64)
+    return _gather(flat, final[words], np.argsort(words, kind="stable")), final
+
+
+def _gather(flat: np.ndarray, sizes: np.ndarray, picked: np.ndarray) -> np.ndarray:
+    """The picked ones of the pieces that lie one after the other in ``flat``."""
+    begins, each = (np.cumsum(sizes) - sizes)[picked], sizes[picked]
+    ends = np.cumsum(each)
+    return flat[np.repeat(begins - ends + each, each) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+def _binaries(flat: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Bytes of ``flat`` between neighbouring bounds."""
+    bounds = pa.py_buffer(bounds.astype(np.int64).tobytes())
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) // 8 - 1, [None, bounds, pa.py_buffer(np.ascontiguousarray(flat).tobytes())])
+
+
+def coded_words(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of distinct words one after the other, and how many each has."""
+    import tiktoken
+    raw = words.cast(pa.large_binary())
+    lengths = pc.binary_length(raw).to_numpy(zero_copy_only=False).astype(np.int64)
+    long_at = np.flatnonzero(lengths > LONG)
+    short = pc.if_else(pa.array(lengths > LONG), pa.scalar(b"", pa.large_binary()), raw) if len(long_at) else raw
+    body = np.frombuffer(b"".join(short.to_pylist()), np.uint8)
+    ids, sizes = merged(body, np.where(lengths > LONG, 0, lengths), path)
+    if len(long_at):
+        library = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_ranks(path), special_tokens={})
+        more = [np.array(library.encode_ordinary(raw[i].as_py().decode()), np.int64) for i in long_at]
+        ids = np.insert(ids, np.repeat(np.cumsum(sizes)[long_at], [len(m) for m in more]), np.concatenate(more))
+        sizes[long_at] = [len(m) for m in more]
+    return ids, sizes
 
 
 def encode_decode(docs: DataFrame, ranks: str = RANKS, rows: int = BUNDLE) -> DataFrame:
@@ -140,28 +159,25 @@ def encode_decode(docs: DataFrame, ranks: str = RANKS, rows: int = BUNDLE) -> Da
     One row for each input row, also for repeated ones; a null id stays null; other columns are ignored; an empty table
     gives no rows. Special tokens in a text are ordinary text.
     """
-    vocabulary = load_ranks(ranks)
-    by_id = {rank: token for token, rank in vocabulary.items()}
-    top = max(by_id) + 1
-    first, second = pair_tables(ranks)
-    two = [vocabulary.get(bytes([a, b]), NONE) for a in range(256) for b in range(256)]
-    literals = F.struct(_literal(two, "int").alias("two"),
-        _literal([vocabulary[bytes([b])] for b in range(256)], "int").alias("bytes"), _literal(first, "long").alias("first"),
-        _literal(second, "long").alias("second"),
-        _literal([i.to_bytes(4, "little").hex() for i in range(top)], "string").alias("ids"),
-        _literal([by_id.get(i, b"").hex() for i in range(top)], "string").alias("pieces"))
-
-    def encode(lit: Column) -> Column:
-        def word(w: Column, i: Column) -> Column:
-            ids = F.coalesce(F.get("long_ids", i), merged(w, lit))
-            return let(ids, lambda xs: F.struct(F.array_join(F.transform(xs, lambda x: F.get(lit["ids"], x)), "").alias("ids"),
-                                                F.array_join(F.transform(xs, lambda x: F.get(lit["pieces"], x)), "").alias("bytes")))
-        def documents(table: Column) -> Column:
-            return F.transform("positions", lambda p, i: F.struct(
-                F.get("doc_ids", i).alias("doc_id"),
-                F.unhex(F.array_join(F.transform(p, lambda c: F.get(table, c)["ids"]), "")).alias("ids"),
-                F.unhex(F.array_join(F.transform(p, lambda c: F.get(table, c)["bytes"]), "")).alias("decoded")))
-        return let(F.transform("words", word), documents)
-
-    done = bundles(docs, ranks, rows).select(F.explode(let(literals, encode)).alias("d"))
-    return done.select("d.doc_id", "d.ids", "d.decoded")
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        *_, pieces, begins = _arrays(ranks)
+        piece_sizes = np.diff(begins)
+        for whole in batches:
+            for at in range(0, whole.num_rows, rows):
+                batch = whole.slice(at, rows)
+                lists = batch["tokens"]
+                offsets = lists.offsets.to_numpy()
+                coded = pc.dictionary_encode(lists.values.slice(offsets[0], offsets[-1] - offsets[0]))
+                places = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                ids, sizes = coded_words(coded.dictionary, ranks)
+                bounds = np.concatenate([[0], np.cumsum(sizes[places])])[offsets - offsets[0]]
+                ids = _gather(ids, sizes, places)
+                for lo in range(0, batch.num_rows, PART):
+                    hi = min(lo + PART, batch.num_rows)
+                    own, edges = ids[bounds[lo]:bounds[hi]], bounds[lo:hi + 1] - bounds[lo]
+                    decoded = np.concatenate([[0], np.cumsum(piece_sizes[own])])[edges]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch["doc_id"].slice(lo, hi - lo), _binaries(own.astype("<u4").view(np.uint8), edges * 4).cast(pa.binary()),
+                         _binaries(_gather(pieces, piece_sizes, own), decoded).cast(pa.binary())], names=["doc_id", "ids", "decoded"])
+
+    return tokens.split_documents(docs).mapInArrow(code, "doc_id long, ids binary, decoded binary")

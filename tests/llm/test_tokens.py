@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -38,6 +39,17 @@ def test_byte_bpe_equals_the_library_and_round_trips(table, texts, empty):
     assert bpe.encode_decode(empty).count() == 0
 
 
+def test_words_of_a_bundle_are_folded_together(table):
+    """One fold for many words of any length, the overlong ones among them; no interpreted expression per word."""
+    library = tiktoken.Encoding("m", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(bpe.RANKS), special_tokens={})
+    words = ["", "a", " the", "aaaa" * 30, "=" * 500, "ü", "漢字", " international", "x" * bpe.LONG, "y" * (bpe.LONG + 1), "qzxj", "1234567"]
+    ids, sizes = bpe.coded_words(pa.array(words), bpe.RANKS)
+    for word, end, n in zip(words, np.cumsum(sizes), sizes, strict=True):
+        assert ids[end - n:end].tolist() == library.encode_ordinary(word), word
+    plan = bpe.encode_decode(table)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Generate" not in plan and "lambdafunction" not in plan
+
+
 def test_every_pair_has_one_place():
     first, second = bpe.pair_tables(bpe.RANKS)
     entries = [e for e in first + second if e >= 0]
