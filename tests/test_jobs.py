@@ -57,6 +57,18 @@ def test_a_failing_model_gets_a_status_row(spark, sf, run, monkeypatch):
     assert status["nb"] == (True, None) and not status["svm"][0] and "ZeroDivisionError" in status["svm"][1]
 
 
+def test_the_training_job_goes_on_and_says_which_model_failed(spark, sf, tmp_path, monkeypatch):
+    fit = registry.fit
+    monkeypatch.setattr(registry, "CODES", ["nb", "svm"])
+    monkeypatch.setattr(registry, "fit", lambda code, *a: fit(code, *a) if code == "nb" else 1 / 0)
+    data, models, out = (str(tmp_path / n) for n in ("data", "models", "out"))
+    write_flows_csv(fx.flows(spark, sf).drop("row_id", "copy").limit(2000), data)
+    jobs.train(spark, data, models, out)
+    assert {r["model"] for r in spark.read.parquet(f"{out}/comparison").collect()} == {"nb", "iforest"}
+    status = {r["model"]: r["reason"] for r in spark.read.parquet(f"{out}/status").collect()}
+    assert status["nb"] is None and status["iforest"] is None and "ZeroDivisionError" in status["svm"]
+
+
 def test_no_data_is_an_error_and_mock_is_asked_for(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     with pytest.raises(Exception):

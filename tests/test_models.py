@@ -210,6 +210,33 @@ def test_missing_models_are_skipped(spark, run, sf, tmp_path):
     assert [r["model"] for r in table.collect()] == ["nb"]
 
 
+@pytest.mark.parametrize("query", ["decision_grid"])
+def test_a_model_that_fails_is_no_shorter_result(spark, sf, run, monkeypatch, query):
+    """A query over all models must not return the lines of the others as if they were all."""
+    from flowsieve.plans import model_catalog as mc
+    fit = registry.fit
+    monkeypatch.setattr(registry, "CODES", ["nb", "svm"])
+    monkeypatch.setattr(registry, "fit", lambda code, *a: fit(code, *a) if code == "nb" else 1 / 0)
+    monkeypatch.setattr(mc, "training_run", lambda *a: tr.TrainingRun(run.rows))
+    with pytest.raises(ZeroDivisionError):
+        getattr(mc, query)(spark, sf)
+
+
+def test_a_saved_model_that_is_lost_is_an_error(spark, run, tmp_path, monkeypatch):
+    """What the set was published without is left out; what it names must load."""
+    part = tr.TrainingRun(run.rows)
+    part.models["nb"] = run.model("nb")
+    part.save(spark, str(tmp_path / "m"))
+    saved = tr.SavedRun(spark, str(tmp_path / "m"))
+    assert list(tr.available(saved, ["nb", "svm"])) == ["nb"]
+    lost = tr.SavedRun(spark, str(tmp_path / "m"))
+    monkeypatch.setattr(registry, "load", lambda code, *a: (_ for _ in ()).throw(FileNotFoundError(code)))
+    with pytest.raises(FileNotFoundError):
+        tr.available(lost, ["nb"])
+    reasons = {}
+    assert not tr.available(lost, ["nb", "svm"], reasons) and set(reasons) == {"nb", "svm"}
+
+
 def test_cascade_is_inside_both_layers(spark, run):
     scored = ev.cascade_scores(run, run.test)
     assert scored.where("pred = 1 AND (pred1 = 0 OR pred2 = 0)").isEmpty()
