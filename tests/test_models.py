@@ -210,7 +210,7 @@ def test_missing_models_are_skipped(spark, run, sf, tmp_path):
     assert [r["model"] for r in table.collect()] == ["nb"]
 
 
-@pytest.mark.parametrize("query", ["decision_grid"])
+@pytest.mark.parametrize("query", ["decision_grid", "availability_quality"])
 def test_a_model_that_fails_is_no_shorter_result(spark, sf, run, monkeypatch, query):
     """A query over all models must not return the lines of the others as if they were all."""
     from flowsieve.plans import model_catalog as mc
@@ -270,6 +270,13 @@ def test_one_part_of_a_report_writes_nothing(spark, run, sf, monkeypatch):
         assert list(report) == ["quality"] and sorted(report["quality"].collect()) == sorted(whole[job]["quality"].collect())
 
 
+def test_a_part_that_does_not_exist_is_an_error(run):
+    for report in (ev.availability_report, ev.cascade_report):
+        for parts in (("qualty",), ("quality", "areas"), ()):
+            with pytest.raises(ValueError, match="parts"):
+                report(run, run.rows, parts=parts)
+
+
 def test_training_writes_distinct_rows_once(run, monkeypatch):
     """Scaled values and test marks are computed from the written rows, not written again."""
     written = []
