@@ -210,7 +210,7 @@ def test_missing_models_are_skipped(spark, run, sf, tmp_path):
     assert [r["model"] for r in table.collect()] == ["nb"]
 
 
-@pytest.mark.parametrize("query", ["decision_grid", "availability_quality", "evaluate_external", "evaluate_unlabelled"])
+@pytest.mark.parametrize("query", ["decision_grid", "availability_quality", "evaluate_external", "evaluate_unlabelled", "train_report"])
 def test_a_model_that_fails_is_no_shorter_result(spark, sf, run, monkeypatch, query):
     """A query over all models must not return the lines of the others as if they were all."""
     from flowsieve.plans import model_catalog as mc
