@@ -311,6 +311,19 @@ def test_every_test_row_is_judged_whatever_the_cap(run):
     assert capped.train.join(capped.test, "row_id").isEmpty() and set(capped.test.columns) == {"row_id", "y", *FEATURES}
 
 
+def test_train_all_fits_on_every_training_row(spark, monkeypatch):
+    """No cap, neither per source nor in all, thins what its models are fitted on; classes are still balanced."""
+    from flowsieve.plans import model_catalog as mc
+    values = ", ".join(f"CAST(id % {97 + i} AS DOUBLE) AS {f}" for i, f in enumerate(FEATURES))
+    rows = spark.sql(f"SELECT concat('r', id) AS row_id, CAST(id % 20 < 9 AS INT) AS y, if(id < 59000, 'a.csv', 'b.csv') AS source_file, {values} FROM range(60000)")
+    monkeypatch.setattr(mc, "training_run", lambda *a: tr.TrainingRun(rows))
+    monkeypatch.setattr(tr, "compare_on_test", lambda run, codes: (run, codes))
+    run, codes = mc.train_all(spark, "generated rows")
+    left = run.split.where("NOT is_test").groupBy("y").count().toPandas()["count"]
+    assert codes == registry.CODES and left.sum() == 48_000 and run.train.count() == 2 * left.min() > 40_000
+    assert run.train.groupBy("y").count().select("count").distinct().count() == 1 and run.test.count() == 12_000
+
+
 def test_copies_in_several_sources_are_one_row(spark):
     values = ", ".join(f"CAST(id % 5 + {i} AS DOUBLE) AS {f}" for i, f in enumerate(FEATURES))
     flows = spark.sql(f"SELECT concat('r', id) AS row_id, concat('s', id % 3, '.csv') AS source_file, 'BENIGN' AS label, {values} FROM range(60)")
