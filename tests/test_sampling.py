@@ -133,6 +133,15 @@ def test_scaled_columns_are_standard(spark, run):
         assert stats[f"s_{f}"] == pytest.approx(0.0 if f == "bwd_len_mean" else 1.0, abs=1e-9)
 
 
+def test_scaling_drops_duplicates_once(spark, sf):
+    """The scaled rows are read as they were written for the fit, not found a second time."""
+    from flowsieve.plans import catalog
+    scaled = catalog.scaler_apply(spark, sf)
+    plan = scaled._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "HashAggregate" not in plan
+    assert scaled.count() == catalog.distinct_flows(spark, sf).count() == scaled.select("row_id").distinct().count()
+
+
 @pytest.fixture(scope="module")
 def scored(spark):
     p = F.round(F.abs(F.sin(F.col("id"))), 3)
