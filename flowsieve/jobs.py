@@ -16,7 +16,7 @@ from .operators import cleaning as cl
 from .plans import evaluation as ev
 from .plans import training as tr
 from .schema import ALERT_THRESHOLD
-from .session import scratch_path, ship_package
+from .session import compile_small_methods, scratch_path, ship_package
 from .sources import mock_flows, read_flows, read_packets, resolve_source, stage_flows, write_metrics
 from .sources.flows import CROSS_EVAL_EXCLUDE, TRAIN_EXCLUDE
 from .streaming.flows import alert_batch, alert_stream, flow_job, flow_stream, set_threshold
@@ -126,6 +126,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"flowsieve-{args.job}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     ship_package(spark)
+    compile_small_methods(spark)
     paths = (spark, args.data, args.models, args.out)
     if args.job == "train":
         train(*paths, args.mock)

@@ -260,3 +260,37 @@ def test_cut_trees_are_the_shallow_fits(spark):
     lines = {r["depth"]: r for r in tr.depth_study(df, df, [2, None]).collect()}
     assert lines[-1]["train_acc"] == 100.0 and lines[2]["gap"] == 0.0
     assert lines[2]["train_acc"] == pytest.approx(100 * df.count() ** -1 * DecisionTree.fit(df, depth=2).score(df).filter(F.col("y") == F.col("pred")).count())
+
+
+def test_masks_find_the_leaves_that_walking_finds():
+    """Trees of few and of many exits, lopsided ones, missing and infinite values; sums are added in the order of the trees."""
+    rng = np.random.default_rng(5)
+    trees = []
+    for size in (0, 1, 5, 31, 63, 64, 200, 700):
+        tree, leaves = Tree(), [0]
+        for _ in range(size):
+            at = leaves.pop(rng.integers(len(leaves)) if size % 2 else -1 if len(leaves) > 40 else 0)
+            left = tree.split(at, int(rng.integers(15)), float(rng.integers(-8, 8)) / 4, bool(rng.integers(2)), tuple(rng.random(2)))
+            leaves += [left, left + 1]
+        trees.append(tree)
+    x = rng.integers(-10, 10, (1500, 15)) / 4.0
+    x[rng.random(x.shape) < 0.1], x[::9, 2], x[::11, 3] = np.nan, np.inf, -np.inf
+    model = DecisionTree(trees, 0.3, 0.1)
+    exits, value = model.exits
+    plain = np.full(len(x), 0.3)
+    for tree in trees:
+        plain += 0.1 * tree.values(x)
+    assert (exits.total(x, value, 0.3) == plain).all()
+    assert (exits._leaves(x) == np.stack([tree.descend(x) + root for tree, root in zip(trees, exits.roots)], axis=1)).all()
+
+
+def test_models_share_one_visit_to_python(run):
+    """All models that are scored in Python are scored in one visit, with the values each has by itself."""
+    models = {code: run.model(code) for code in ("nb", "dt", "gb", "lr", "xgb", "et", "knn")}
+    rows = run.test.limit(300)
+    wide = tr.score_all(rows, models)
+    assert wide._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    together = wide.toPandas().set_index("row_id").sort_index()
+    for code, model in models.items():
+        alone = model.score(rows).toPandas().set_index("row_id").sort_index()
+        assert (together[f"p_{code}"] == alone["proba"]).all() and (together[f"pred_{code}"] == alone["pred"]).all()
