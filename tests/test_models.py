@@ -256,6 +256,22 @@ def test_reports(spark, run, sf):
     assert single["quality"].first()["accuracy"] > 90 and single["report"].count() == 5
 
 
+def test_classes_are_counted_before_rows_are_repeated(spark, run, sf):
+    """Quality tables of all models count combinations of classes; no row is repeated for every model."""
+    from flowsieve import fixtures as fx
+    from flowsieve.operators import metrics as me
+    rows = [(i, i % 2, "ab"[i % 2], (i // 3) % 2 if i % 7 else None, (i // 5) % 2, i / 100.0, None) for i in range(100)] + [(100, 0, None, None, None, 0.5, 0.5)]
+    wide = spark.createDataFrame(rows, "row_id long, y int, source_file string, pred_a int, pred_b int, p_a double, p_b double")
+    for by in ([], ["source_file"]):
+        long, counts = me.long_scores(wide, ["a", "b"], [*by, "y"]), me.class_counts(wide, ["a", "b"], [*by, "y"])
+        assert sorted(map(str, me.compare_models(long, by).collect())) == sorted(map(str, me.compare_models(counts, by, "rows").collect()))
+        assert sorted(map(str, me.prediction_mix(long, [*by, "model"]).collect())) == sorted(map(str, me.prediction_mix(counts, [*by, "model"], "rows").collect()))
+    raw = ev.single_source(run, fx.flows(spark, sf), ["row_id", "copy"])
+    for table in (ev.evaluate_external(run, fx.flows(spark, sf), ["nb", "dt"]), ev.availability_report(run, raw, ["nb", "dt"], parts=("quality",))["quality"]):
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert plan.rindex("HashAggregate") > plan.index("Generate")            # the plan's last lines run first
+
+
 def test_one_part_of_a_report_writes_nothing(spark, run, sf, monkeypatch):
     """Who asks for the quality table alone pays for one pass over the rows, and gets the same table."""
     from flowsieve import fixtures as fx
